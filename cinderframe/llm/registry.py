@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash
+from . import exact_dedup, language_id, packing, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_sharding": sharding.op5_sharding,
+        "op6_packing": packing.op6_packing,
         "op7_simhash": simhash.op7_simhash,
+        "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 
