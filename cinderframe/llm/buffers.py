@@ -83,3 +83,24 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Sorted rows in tables that split no group of equal keys. Holds one batch and one group at most."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, batch]).combine_chunks()
+        change = np.zeros(rows.num_rows, bool)
+        for k in keys:
+            x = rows.column(k).to_numpy()
+            change[1:] |= x[1:] != x[:-1]
+        at = np.flatnonzero(change)
+        if len(at):
+            yield rows.slice(0, int(at[-1]))
+            held = rows.slice(int(at[-1])).to_batches()
+        else:
+            held = rows.to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, sharding, simhash
+from . import exact_dedup, language_id, packing, sharding, simhash, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_sharding": sharding.op5_sharding,
         "op6_packing": packing.op6_packing,
         "op7_simhash": simhash.op7_simhash,

@@ -12,19 +12,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the checkpoint folder, which outlives any executor.
-
-    The folder is the cluster's spark.checkpoint.dir; a temporary one serves only sessions that name none, as in tests.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. A temporary one serves only sessions that name none, as in tests."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder, which outlives any executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def fold(column: str, folds: int):
     """crc32 of an id as text, modulo folds; a null id falls into fold -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % folds, F.lit(-1)).cast("int")
-
-
