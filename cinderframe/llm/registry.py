@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, sharding, simhash, suffix_dedup
+from . import exact_dedup, language_id, packing, quality, sharding, simhash, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_quality": quality.op3_quality,
         "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_sharding": sharding.op5_sharding,
         "op6_packing": packing.op6_packing,
         "op7_simhash": simhash.op7_simhash,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
