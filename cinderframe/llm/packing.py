@@ -21,7 +21,7 @@ from .tables import durable, read
 #: Permitted sequence lengths in tokens; a token is a UTF-8 byte here, and each document ends with one more.
 LENGTHS = (1024, 2048, 4096, 8192, 16384)
 #: Tokens of one packing group.
-GROUP_TOKENS = 16_000_000
+GROUP_TOKENS = 2_000_000
 #: Cost of a bin: its length, a share for attention that grows with the square, and a fixed part.
 ATTENTION, FIXED = 1 / 65536, 64
 
