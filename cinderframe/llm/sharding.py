@@ -20,10 +20,10 @@ RANGES, DRAWS, ROUNDS = 64, 16, 6
 WHOLE = 0.05
 
 
-def _sample(rows: DataFrame, n: int, salt: int) -> np.ndarray:
-    """n rows' (h, tie) drawn with a chance in proportion to size (smallest exponential arrival times), sorted; n rows reach the driver."""
+def _sample(rows: DataFrame, total: int, n: int, salt: int) -> np.ndarray:
+    """About n rows' (h, tie), sorted, drawn with a chance in proportion to size: those whose exponential arrival time comes before n / total."""
     u = (F.pmod(F.xxhash64("h", "tie", F.lit(salt)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
-    got = rows.select("h", "tie", (-F.log(u) / F.col("size")).alias("arrival")).orderBy("arrival").limit(n).collect()
+    got = rows.where(-F.log(u) / F.col("size") < n / max(1, total)).select("h", "tie").collect()
     return np.array(sorted((r[0], r[1]) for r in got), np.int64).reshape(-1, 2)
 
 
@@ -47,7 +47,7 @@ def splitters(rows: DataFrame, ranges: int) -> tuple[np.ndarray, dict[int, tuple
 
     First by hash alone, which keeps equal texts in one range; overfull ranges are cut anew, and by (h, tie) where one text fills them.
     """
-    draw = _sample(rows, ranges * DRAWS, 0)
+    draw = _sample(rows, rows.agg(F.sum("size")).first()[0] or 0, ranges * DRAWS, 0)
     cuts = np.unique(np.stack([draw[:: DRAWS][1:, 0], np.full(len(draw[:: DRAWS][1:]), -1)], axis=1), axis=0) if len(draw) else np.zeros((0, 2), np.int64)
     for salt in range(1, ROUNDS + 1):
         placed = _ranged(rows, cuts)
@@ -57,7 +57,7 @@ def splitters(rows: DataFrame, ranges: int) -> tuple[np.ndarray, dict[int, tuple
         if not over or salt == ROUNDS:
             return cuts, sizes, total
         inside = placed.where(F.col("range").isin(list(over)))
-        draw = _sample(inside, sum(DRAWS * (1 + int(b * ranges / total)) for b in over.values()), salt)
+        draw = _sample(inside, sum(over.values()), sum(DRAWS * (1 + int(b * ranges / total)) for b in over.values()), salt)
         more = []
         where = np.array([int(np.searchsorted(cuts[:, 0], h, "left") + np.searchsorted(cuts[np.searchsorted(cuts[:, 0], h, "left") : np.searchsorted(cuts[:, 0], h, "right"), 1], t, "right")) for h, t in draw])
         for k in over:
