@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, quality, sharding, simhash, suffix_dedup, toxicity
+from . import exact_dedup, language_id, packing, quality, sentencepiece_sampling, sharding, simhash, suffix_dedup, topk_search, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_topk_search": topk_search.op1_topk_search,
+        "op2_sentencepiece": sentencepiece_sampling.op2_sentencepiece,
         "op3_quality": quality.op3_quality,
         "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_sharding": sharding.op5_sharding,
@@ -23,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_topk_search": topk_search.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
