@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .buffers import slices, span_hashes, whole_groups, word_spans
-from .tables import durable, read
+from .tables import durable, read, release, stored
 
 #: Words of the shortest repeat, and of the k-grams among which a minimiser is chosen.
 MIN_WORDS, GRAM = 50, 12
@@ -169,10 +169,14 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_co
     kind = docs.schema[id_col].dataType
     told = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc", kind), T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType()), T.StructField("first", T.BooleanType()), T.StructField("again", T.BooleanType()), T.StructField("other", kind)])
     spans = T.StructType([T.StructField("doc", kind), T.StructField("removed", T.BooleanType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("other", kind)])
-    suffixes = durable(sparse_suffixes(docs, id_col, text_col, min_words, gram))
+    spark = docs.sparkSession
+    suffixes, at_suffixes = stored(sparse_suffixes(docs, id_col, text_col, min_words, gram))
     key = ["gram", "context", "doc", "lo"]
-    pairs = durable(suffixes.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(compare_neighbours, told))
-    windows = durable(_windows(docs, pairs.where("first"), id_col, text_col, min_words))
+    pairs, at_pairs = stored(suffixes.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(compare_neighbours, told))
+    del suffixes
+    release(spark, at_suffixes)
+    windows, at_windows = stored(_windows(docs, pairs.where("first"), id_col, text_col, min_words))
+    release(spark)
     place = F.struct("doc", "start")
     equal = windows.groupBy("gram", "window").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.max("again").alias("again")).where("again or least != most")
     met = windows.drop("again").join(equal, ["gram", "window"])
@@ -180,7 +184,10 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_co
     long = pairs.where("not first").select("doc", F.lit(True).alias("removed"), F.col("lo").alias("start"), (F.col("hi") + min_words).alias("end"), "other")
     short = met.select("doc", removed.alias("removed"), "start", (F.col("start") + min_words).cast("int").alias("end"), F.when(removed, F.col("least.doc")).otherwise(F.col("most.doc")).alias("other"))
     order = ["doc", "removed", "start"]
-    return long.unionByName(short).repartition("doc").sortWithinPartitions(*order).mapInArrow(merge_spans, spans)
+    found = durable(long.unionByName(short).repartition("doc").sortWithinPartitions(*order).mapInArrow(merge_spans, spans))
+    del pairs, windows, equal, met, long, short
+    release(spark, at_pairs, at_windows)
+    return found
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,22 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """(df, path): df written once as a compressed table in the shared folder; release() drops it."""
+    path = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Drops stored tables, and has the driver collect its garbage: only then does Spark remove the shuffle files of steps that nothing refers to."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fold(column: str, folds: int):
     """crc32 of an id as text, modulo folds; a null id falls into fold -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % folds, F.lit(-1)).cast("int")
