@@ -1,5 +1,36 @@
-"""Queries and SQL twins of the fire evaluation."""
-def queries():
-    return {}
-def oracle_sql():
-    return {}
+"""All queries of the fire evaluation, each with its SQL twin where SQL can express it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .fixtures import with_fixtures
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(name: str, fixtures: str = "", sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under a name; sql reads the named fixtures and the driver's tables."""
+
+    def keep(f: Query) -> Query:
+        _QUERIES[name] = f
+        if sql is not None:
+            _SQL[name] = with_fixtures(fixtures.split(), sql) if fixtures else sql.strip()
+        return f
+
+    return keep
+
+
+def queries() -> dict[str, Query]:
+    from . import burns, dating, grids, reports, runs, streams, weather  # noqa: F401  they register themselves
+
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    queries()
+    return dict(_SQL)
