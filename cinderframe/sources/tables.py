@@ -52,7 +52,7 @@ def safe_for_files(df: DataFrame, geometry: str = "rings") -> DataFrame:
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """(case_id, line_no, text) of text files in folders named by case."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("case_id"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
+    lines = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("case_id"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
     return lines.select("case_id", (F.col("i") + 1).cast("long").alias("line_no"), "text")
 
 
