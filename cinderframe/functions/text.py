@@ -53,3 +53,8 @@ def seconds_between(start: Column, end: Column) -> Column:
 def whole_days(start: Column, end: Column) -> Column:
     """Days between two times, rounded down: -36 hours are -2 days."""
     return F.floor(seconds_between(start, end) / 86400)
+
+
+def naive_utc(ts: Column, zone: str) -> Column:
+    """A clock time in a zone as the UTC time without one."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), ts.cast("timestamp_ntz"))

@@ -106,10 +106,14 @@ def whole_rain(weather: DataFrame) -> DataFrame:
     return weather.withColumn("pcp_mm", whole(F.col("pcp_mm")))
 
 
+# The lines above the hours in the text form.
+HEAD_LINES = ("RAWS_UNITS: METRIC", "RAWS_WINDS: OpenMeteo_ERA5_center_of_DEM", "Year Mth Day Time Temp RH HrlyPcp WindSpd WindDir CloudCov")
+
+
 def text_lines(weather: DataFrame, elevation: DataFrame) -> DataFrame:
     """(case_id, line_no, line): four header lines and a line of fixed width for each hour. `elevation` has case_id and elevation."""
     head = elevation.select("case_id", F.posexplode(F.array(
-        F.format_string("RAWS_ELEVATION: %d", whole(F.col("elevation"))), F.lit("RAWS_UNITS: METRIC"), F.lit("RAWS_WINDS: OpenMeteo_ERA5_center_of_DEM"), F.lit("Year Mth Day Time Temp RH HrlyPcp WindSpd WindDir CloudCov"),
+        F.format_string("RAWS_ELEVATION: %d", whole(F.col("elevation"))), *map(F.lit, HEAD_LINES),
     )).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
     number = F.row_number().over(Window.partitionBy("case_id").orderBy("ts")) + 4
     time = F.hour("ts") * 100 + F.minute("ts")

@@ -232,3 +232,31 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
     got = polygon_mask(cases(spark, sf).select("perim_idx", "rings"), xll=0.0, ymax=2000.0, cell=30.0, rows=67, cols=67)
     return got.groupBy("perim_idx", "row_no").agg(F.count("*").alias("n_cells"), F.min("col_no").alias("first_col"))
+
+
+@query("s1_perimeter_source", "perimeters", "select perim_idx, perim_name, ig_date, acres from perimeters")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    from ..schema import PERIMETERS, require_columns
+
+    return require_columns(frame(spark, sf, "perimeters"), "perim_name", "ig_date", "acres").select(*[F.col(f.name).cast(f.dataType) for f in PERIMETERS])
+
+
+@query("s2_ignition_source", "ignitions", "select pt_idx, point_name, discovery, fireout, cast(x as double) as x, cast(y as double) as y from ignitions")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    from ..schema import IGNITIONS, require_columns
+
+    return require_columns(frame(spark, sf, "ignitions"), "point_name", "discovery", "fireout").select(*[F.col(f.name).cast(f.dataType) for f in IGNITIONS])
+
+
+@query("p6_naive_utc", sql="select event_id, ts - interval '7' hour as local_ts, ts as utc_ts from events")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Times of a source in UTC-7, as zoned times and then without a zone."""
+    local = F.col("ts") - F.expr("interval 7 hours")
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", local.alias("local_ts"), X.naive_utc(local, "-07:00").alias("utc_ts"))
+
+
+@query("p30_safe_divide", sql="select p_partkey, case when p_size % 5 = 0 then 0.0 else p_retailprice / (p_size % 5) end as ratio from part")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.reports import safe_divide
+
+    return spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", safe_divide(F.col("p_retailprice"), (F.col("p_size") % 5).cast("double")).alias("ratio"))

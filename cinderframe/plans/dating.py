@@ -134,3 +134,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.cases import assumed_crs
 
     return assumed_crs(hot(spark, sf))
+
+
+@query("s3_hotspot_source", "hotspots", "select acq_date, count(*) as n, count(distinct case_id) as cases from hotspots where try_strptime(substr(acq_date, 1, 10) || ' ' || lpad(acq_time, 4, '0'), '%Y-%m-%d %H%M') is not null group by acq_date")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    from ..schema import require_columns
+
+    rows = D.with_hotspot_time(require_columns(hot(spark, sf), "acq_date", "acq_time", "x", "y").drop("sat_ts"))
+    return rows.groupBy("acq_date").agg(F.count("*").alias("n"), F.countDistinct("case_id").alias("cases"))

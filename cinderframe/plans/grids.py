@@ -183,12 +183,23 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return B.barrier_raster(touched)
 
 
-@query("a15_barrier_on_grid", "barrier_segments", f"""
+TOUCHED = f"""
 with w as (select s.*, t.width, t.r from barrier_segments s join (values {WIDTHS}) t(layer, class, width, r) on t.layer = s.layer and t.class = s.class),
 near as (select *, unnest(generate_series(cast(floor((least(y1, y2) - width / 2) / 20.0) as bigint), cast(floor((greatest(y1, y2) + width / 2) / 20.0) as bigint))) as v
   from (select *, unnest(generate_series(cast(floor((least(x1, x2) - width / 2) / 20.0) as bigint), cast(floor((greatest(x1, x2) + width / 2) / 20.0) as bigint))) as u from w) q),
 hit as (select u, v, layer, width, r from (select *, {DIST.format(x="(u + .5) * 20", y="(v + .5) * 20")} as t from near) q
   where ((u + .5) * 20 - (x1 + t * (x2 - x1))) * ((u + .5) * 20 - (x1 + t * (x2 - x1))) + ((v + .5) * 20 - (y1 + t * (y2 - y1))) * ((v + .5) * 20 - (y1 + t * (y2 - y1))) <= width * width / 4)
+"""
+
+
+@query("a14_cells_by_class", "barrier_segments", TOUCHED.replace("hit as (select u, v, layer, width, r", "hit as (select u, v, layer, class, width, r") + "select layer, class, count(distinct (u, v)) as cells from hit group by layer, class")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Area of each class's buffered lines as cells, overlaps counted once."""
+    touched = B.touched_cells(B.with_widths(frame(spark, sf, "barrier_segments"), config.class_widths(spark)), cell=20.0, by_centre=True)
+    return touched.select("layer", "class", "u", "v").distinct().groupBy("layer", "class").agg(F.count("*").alias("cells"))
+
+
+@query("a15_barrier_on_grid", "barrier_segments", TOUCHED + """
 select g.u, g.v, coalesce(max(b.width), 0.0) as width from (select u, v from generate_series(0, 21) a(u), generate_series(0, 21) b(v)) g
 left join (select u, v, layer, max_by(width, r) as width from hit group by all) b on b.u = g.u and b.v = g.v group by g.u, g.v
 """)
