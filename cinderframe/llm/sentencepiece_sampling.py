@@ -26,7 +26,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations drawn for each text.
 SAMPLES = 3
 #: Bytes of text searched together, and the code point that stands for a space.
-SLICE, MARK = 400_000, 0x2581
+SLICE, MARK = 1_000_000, 0x2581
 SLOTS = 20
 
 
@@ -84,64 +84,82 @@ def vocabulary(model_file: str = MODEL_FILE) -> Vocabulary:
 
 @dataclass
 class Lattice:
-    """Of the distinct chunks of a slice: piece[node, length - 1] (-1: no edge, -2: the character's bytes), the edge's log-weight, and beta, the log-sum over all ways from a node to its chunk's end."""
+    """Edges of the distinct chunks of a slice, by node and then from the longest: ends of each node's edges, and of each edge its length, piece (-2: the character's bytes), log-probability at its node and the sum of those up to it."""
 
+    first: np.ndarray
+    length: np.ndarray
     piece: np.ndarray
-    weight: np.ndarray
-    beta: np.ndarray
     log_p: np.ndarray
-    cumulative: np.ndarray
+    upto: np.ndarray
 
 
 def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], codes: np.ndarray, ends: np.ndarray) -> Lattice:
     """codes: all characters of the chunks, one after another; ends: for each character the end of its chunk."""
-    n, wide = len(codes), v.longest
+    n = len(codes)
     slot, late = table
+    order = np.argsort(v.hashes[late])
+    known = v.hashes[late][order]
     up, down = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    piece = np.full((n, wide), -1, np.int32)
     left = ends - np.arange(n)
-    for k in range(1, wide + 1):
-        at = np.flatnonzero(left >= k)
+    nodes, lengths, pieces = [], [], []
+    alone = np.ones(n, bool)
+    at = np.arange(n)
+    for k in range(1, v.longest + 1):
+        at = at[left[at] >= k]
         if not len(at):
             break
         h = mix((total[at + k] - total[at]) * down[at] + np.uint64(k))
         found = slot[h >> np.uint64(64 - SLOTS)]
-        hit = (found >= 0) & (v.hashes[found] == h)
-        piece[at[hit], k - 1] = v.ids[found[hit]]
-        miss = np.flatnonzero((found >= 0) & ~hit)
+        there = found >= 0
+        same = there & (v.hashes[found] == h)
+        nodes.append(at[same])
+        pieces.append(v.ids[found[same]])
+        miss = np.flatnonzero(there & ~same)
         if len(late) and len(miss):
-            order = np.argsort(v.hashes[late])
-            known = v.hashes[late][order]
             where = np.minimum(np.searchsorted(known, h[miss]), len(known) - 1)
-            same = known[where] == h[miss]
-            piece[at[miss[same]], k - 1] = v.ids[late[order[where[same]]]]
-    alone = piece[:, 0] < 0
-    piece[alone, 0] = -2
-    weight = np.where(piece >= 0, v.weights[np.maximum(piece, 0)], -np.inf)
-    if alone.any():
-        size = 1 + (codes[alone] >= 0x80).astype(int) + (codes[alone] >= 0x800) + (codes[alone] >= 0x10000)
-        weight[alone, 0] = size * v.weights[v.first_byte] if v.first_byte >= 0 else v.weights[v.unknown]
+            hit = known[where] == h[miss]
+            nodes[-1] = np.concatenate([nodes[-1], at[miss[hit]]])
+            pieces[-1] = np.concatenate([pieces[-1], v.ids[late[order[where[hit]]]]])
+        lengths.append(np.full(len(nodes[-1]), k, np.uint8))
+        if k == 1:
+            alone[nodes[0]] = False
+    alone = np.flatnonzero(alone)
+    node = np.concatenate([alone, *nodes])[::-1]
+    length = np.concatenate([np.ones(len(alone), np.uint8), *lengths])[::-1]
+    piece = np.concatenate([np.full(len(alone), -2, np.int32), *pieces])[::-1]
+    by = np.argsort(node, kind="stable")
+    node, length, piece = node[by], length[by], piece[by]
+    weight = v.weights[np.maximum(piece, 0)]
+    bare = np.flatnonzero(piece == -2)
+    code = codes[node[bare]]
+    size = 1 + (code >= 0x80).astype(int) + (code >= 0x800) + (code >= 0x10000)
+    weight[bare] = size * v.weights[v.first_byte] if v.first_byte >= 0 else v.weights[v.unknown]
+    first = np.searchsorted(node, np.arange(n + 1))
+    # Backwards from the chunks' ends, all nodes at one distance at a time: the log-sum over all ways to the end.
     beta = np.zeros(n + 1)
-    log_p = np.full((n, wide), -np.inf)
-    order = np.argsort(left, kind="stable")
-    cut = np.r_[0, np.flatnonzero(np.diff(left[order])) + 1, n]
+    target = node + length
+    last = target == ends[node]
+    log_p = np.empty(len(node))
+    by = np.argsort(left, kind="stable")
+    cut = np.r_[0, np.flatnonzero(np.diff(left[by])) + 1, n]
+    degree = np.diff(first)
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        at = order[a:b]
-        d = min(wide, int(left[at[0]])) if b > a else 0
-        nxt = at[:, None] + np.arange(1, d + 1)
-        ways = weight[at, :d] + np.where(nxt < ends[at][:, None], beta[np.minimum(nxt, n)], 0.0)
-        top = ways.max(axis=1)
-        beta[at] = top + np.log(np.exp(ways - top[:, None]).sum(axis=1))
-        log_p[at, :d] = np.minimum(ways - beta[at][:, None], 0.0)
-    one = (piece != -1).sum(axis=1) == 1
-    log_p[one] = np.where(piece[one] != -1, 0.0, -np.inf)
-    cumulative = np.cumsum(np.exp(log_p), axis=1).astype(np.float32)
-    # The last edge of each node catches what rounding leaves.
-    last = wide - 1 - (piece[:, ::-1] != -1).argmax(axis=1)
-    cumulative[np.arange(wide)[None, :] >= last[:, None]] = 2
-    return Lattice(piece, weight, beta, log_p, cumulative)
+        mine = by[a:b]
+        d = degree[mine]
+        begin = np.cumsum(d) - d
+        e = np.repeat(first[mine] - begin, d) + np.arange(d.sum())
+        ways = weight[e] + np.where(last[e], 0.0, beta[target[e]])
+        top = np.maximum.reduceat(ways, begin)
+        beta[mine] = top + np.log(np.add.reduceat(np.exp(ways - np.repeat(top, d)), begin))
+        log_p[e] = np.minimum(ways - np.repeat(beta[mine], d), 0.0)
+    log_p[first[:-1][degree == 1]] = 0.0
+    p = np.exp(log_p)
+    run = np.cumsum(p)
+    upto = run - np.repeat((run - p)[first[:-1]], degree)
+    upto[first[1:] - 1] = 2.0  # the last edge of each node catches what rounding leaves
+    return Lattice(first, length, piece, log_p, upto)
 
 
 def uniforms(keys: np.ndarray, salt: int, at: np.ndarray) -> np.ndarray:
@@ -163,7 +181,7 @@ def segment_max(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
 
 
 class Search:
-    """The search over the texts of a slice: paths as an edge length at each character, 0 where no edge begins."""
+    """The search over the texts of a slice: a path has at each character 1 plus the edge that begins there, 0 if none does."""
 
     def __init__(self, v: Vocabulary, table: tuple[np.ndarray, np.ndarray], texts: np.ndarray, keys: np.ndarray, bounds: np.ndarray):
         self.codes, self.keys, self.bounds = texts, keys, bounds
@@ -185,11 +203,16 @@ class Search:
 
     def walk(self, path: np.ndarray, at: np.ndarray, end: np.ndarray, salt: int) -> None:
         """Draws edges into path from each position to its chunk's end."""
+        upto, length = self.lattice.upto, self.lattice.length
         while len(at):
             u = uniforms(self.keys[self.row[at]], salt, at - self.bounds[self.row[at]])
-            length = (self.lattice.cumulative[self.node[at]] < u[:, None].astype(np.float32)).sum(axis=1) + 1
-            path[at] = length
-            at = at + length
+            edge = self.lattice.first[self.node[at]]
+            more = np.flatnonzero(upto[edge] < u)
+            while len(more):
+                edge[more] += 1
+                more = more[upto[edge[more]] < u[more]]
+            path[at] = edge + 1
+            at = at + length[edge]
             go = at < end
             at, end = at[go], end[go]
 
@@ -200,7 +223,7 @@ class Search:
         """
         at = np.flatnonzero(path)
         row = self.row[at]
-        log_q = self.lattice.log_p[self.node[at], path[at] - 1]
+        log_q = self.lattice.log_p[path[at] - 1]
         run = np.cumsum(log_q)
         edges = np.searchsorted(row, np.arange(len(self.bounds)))
         ahead = np.r_[0.0, run]
@@ -221,11 +244,11 @@ def search(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], texts: np.ndarra
     """(search, [(path, has, log-probability, key)] for each draw, threshold): the k segmentations of largest key of each text, and the next key."""
     s = Search(v, table, texts, keys, bounds)
     rows = len(bounds) - 1
-    path = np.zeros(len(texts), np.uint8)
+    path = np.zeros(len(texts), np.int32)
     s.walk(path, s.chunk, s.chunk_end, 0)
     key = -np.log(-np.log(uniforms(keys, 1, np.zeros(rows))))
     has = np.ones(rows, bool)
-    since, skip, taken = bounds[:-1].copy(), np.full(rows, -np.inf), np.zeros((rows, v.longest), bool)
+    since, skip, taken = bounds[:-1].copy(), np.full(rows, -np.inf), {}
     draws, open_ = [], []
     for draw in range(k):
         keys_of, at, total, edges = s.frontier(path, since, key, skip, 2 + 3 * draw)
@@ -241,7 +264,7 @@ def search(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], texts: np.ndarra
         has = np.isfinite(key)
         if draw == k - 1:
             break
-        new, since, skip, taken = np.zeros_like(path), bounds[:-1].copy(), np.full(rows, -np.inf), np.zeros((rows, v.longest), bool)
+        new, since, skip, taken = np.zeros_like(path), bounds[:-1].copy(), np.full(rows, -np.inf), {}
         cut = bounds[:-1].copy()
         begin = np.zeros(rows, np.int64)
         for d, (keys_of, at, _, start, before) in enumerate(open_):
@@ -252,20 +275,21 @@ def search(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], texts: np.ndarra
             x = at[i]
             keys_of[i] = -np.inf  # this part leaves the frontier
             old = draws[d][0]
-            barred = before[mine] & (start[mine] == x)[:, None]
-            barred[np.arange(len(mine)), old[x] - 1] = True
-            p = np.where(barred, 0.0, np.exp(s.lattice.log_p[s.node[x]]))
-            u = uniforms(keys[mine], 3 + 3 * draw, x - bounds[mine]) * p.sum(axis=1)
-            length = np.minimum((np.cumsum(p, axis=1) <= u[:, None]).sum(axis=1), v.longest - 1)
-            length = np.where(p[np.arange(len(mine)), length] > 0, length, p.argmax(axis=1)) + 1
-            cut[mine], since[mine], begin[mine] = x, x, x + length
-            taken[mine] = barred
-            skip[mine] = np.log((np.exp(s.lattice.log_p[s.node[x]]) * barred).sum(axis=1))
+            u = uniforms(keys[mine], 3 + 3 * draw, x - bounds[mine])
+            edge = np.zeros(len(mine), np.int64)
+            for j, row in enumerate(mine.tolist()):  # a row for each text that goes on
+                gone = {int(old[x[j]]) - 1} | (before.get(row, set()) if start[row] == x[j] else set())
+                ways = [e for e in range(s.lattice.first[s.node[x[j]]], s.lattice.first[s.node[x[j]] + 1]) if e not in gone]
+                p = np.exp(s.lattice.log_p[ways])
+                edge[j] = ways[min(int(np.searchsorted(np.cumsum(p), u[j] * p.sum(), "right")), len(ways) - 1)]
+                taken[row] = gone
+                skip[row] = np.logaddexp.reduce(s.lattice.log_p[list(gone)])
+            cut[mine], since[mine], begin[mine] = x, x, x + s.lattice.length[edge]
             from_old = np.zeros(rows, bool)
             from_old[mine] = True
             keep = from_old[s.row] & (np.arange(len(path)) < cut[s.row])
             new[keep] = old[keep]
-            new[x] = length
+            new[x] = edge + 1
         live = np.flatnonzero(has)
         chunk_row = s.row[s.chunk] if len(s.chunk) else s.chunk
         later = has[chunk_row] & (s.chunk >= begin[chunk_row])
@@ -332,7 +356,7 @@ def marked(data: np.ndarray, bounds: np.ndarray, prefix: bool) -> tuple[np.ndarr
 
 def piece_ids(v: Vocabulary, s: Search, path: np.ndarray, at: np.ndarray, data: np.ndarray, first_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids, ids of each edge) along a path; characters without a piece are their bytes."""
-    ids = s.lattice.piece[s.node[at], path[at] - 1]
+    ids = s.lattice.piece[path[at] - 1]
     count = np.ones(len(at), np.int64)
     alone = np.flatnonzero(ids == -2)
     if not len(alone):
