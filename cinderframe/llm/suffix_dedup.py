@@ -6,7 +6,7 @@ sorted by k-gram and then by the context that their windows cover; neighbours ar
 
 * a k-gram without an equal neighbour is unique, and so are all its windows;
 * a context equal to its neighbour's repeats an earlier one over all its windows, which is one long match;
-* the rest, first of their context, are extended word by word to the left and right: their windows are hashed and matched.
+* the rest, first of their context, are extended word by word to the left and right where contexts of one k-gram differ: their windows are hashed and matched.
 
 So a passage of MIN_WORDS words or more that occurs twice is always found, and nothing shorter is.
 """
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,7 +84,7 @@ def sparse_suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int,
 def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted suffixes, those with an equal k-gram next to them: `first` of their context, or a repeat of document `other`.
 
-    `again`: an equal context follows. At a partition's edges, where a neighbour is out of sight, a suffix counts as first of its
+    `again`: an equal context follows; its document is then the first's `other`. At a partition's edges, where a neighbour is out of sight, a suffix counts as first of its
     context, and its windows decide. A suffix that stands twice, as its row does, repeats nothing.
     """
     held: pa.RecordBatch | None = None  # the last row, which waits for its right neighbour
@@ -110,6 +111,7 @@ def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         if not was_first:  # the run that began before this batch
             run = int(np.argmin(np.r_[same[1:], False])) + 1
             other = pa.concat_arrays([pa.array([was_other] * run, other.type), other.slice(run)])
+        other = pc.if_else(pa.array(first & again), doc.take(pa.array(np.minimum(np.arange(n) + 1, n - 1))), other)
         take = np.flatnonzero((near & ~twice)[: n - 1])
         if len(take):
             at = pa.array(take)
@@ -175,18 +177,23 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_co
     pairs, at_pairs = stored(suffixes.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(compare_neighbours, told))
     del suffixes
     release(spark, at_suffixes)
-    windows, at_windows = stored(_windows(docs, pairs.where("first"), id_col, text_col, min_words))
+    # A k-gram that has one context only repeats as a whole; windows are needed where contexts of one k-gram differ.
+    firsts = pairs.where("first")
+    several = firsts.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1").select("gram", F.lit(True).alias("several"))
+    firsts, at_firsts = stored(firsts.join(several, "gram", "left"))
+    windows, at_windows = stored(_windows(docs, firsts.where("several"), id_col, text_col, min_words))
     release(spark)
     place = F.struct("doc", "start")
     equal = windows.groupBy("gram", "window").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.max("again").alias("again")).where("again or least != most")
     met = windows.drop("again").join(equal, ["gram", "window"])
     removed = F.struct("doc", "start") != F.col("least")
     long = pairs.where("not first").select("doc", F.lit(True).alias("removed"), F.col("lo").alias("start"), (F.col("hi") + min_words).alias("end"), "other")
+    alone = firsts.where("several is null and again").select("doc", F.lit(False).alias("removed"), F.col("lo").alias("start"), (F.col("hi") + min_words).alias("end"), "other")
     short = met.select("doc", removed.alias("removed"), "start", (F.col("start") + min_words).cast("int").alias("end"), F.when(removed, F.col("least.doc")).otherwise(F.col("most.doc")).alias("other"))
     order = ["doc", "removed", "start"]
-    found = durable(long.unionByName(short).repartition("doc").sortWithinPartitions(*order).mapInArrow(merge_spans, spans))
-    del pairs, windows, equal, met, long, short
-    release(spark, at_pairs, at_windows)
+    found = durable(long.unionByName(alone).unionByName(short).repartition("doc").sortWithinPartitions(*order).mapInArrow(merge_spans, spans))
+    del pairs, firsts, several, windows, equal, met, long, alone, short
+    release(spark, at_pairs, at_firsts, at_windows)
     return found
 
 
