@@ -28,6 +28,8 @@ SAMPLES = 3
 #: Bytes of text searched together, and the code point that stands for a space.
 SLICE, MARK = 1_000_000, 0x2581
 SLOTS = 20
+#: Log-probabilities are summed in units of its inverse.
+FIXED = 2.0**36
 
 
 @dataclass
@@ -103,7 +105,7 @@ def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], codes: np.ndarr
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
     left = ends - np.arange(n)
-    nodes, lengths, pieces = [], [], []
+    nodes, pieces = [], []
     alone = np.ones(n, bool)
     at = np.arange(n)
     for k in range(1, v.longest + 1):
@@ -122,29 +124,33 @@ def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], codes: np.ndarr
             hit = known[where] == h[miss]
             nodes[-1] = np.concatenate([nodes[-1], at[miss[hit]]])
             pieces[-1] = np.concatenate([pieces[-1], v.ids[late[order[where[hit]]]]])
-        lengths.append(np.full(len(nodes[-1]), k, np.uint8))
         if k == 1:
             alone[nodes[0]] = False
     alone = np.flatnonzero(alone)
-    node = np.concatenate([alone, *nodes])[::-1]
-    length = np.concatenate([np.ones(len(alone), np.uint8), *lengths])[::-1]
-    piece = np.concatenate([np.full(len(alone), -2, np.int32), *pieces])[::-1]
-    by = np.argsort(node, kind="stable")
-    node, length, piece = node[by], length[by], piece[by]
+    # Each node's edges side by side, the longest first: every length fills the next place of its nodes.
+    parts = [(alone, 1, np.full(len(alone), -2, np.int32)), *zip(nodes, range(1, len(nodes) + 1), pieces, strict=True)]
+    degree = np.zeros(n, np.int64)
+    for where, _, _ in parts:
+        degree[where] += 1
+    first = np.r_[0, np.cumsum(degree)]
+    place, node = first[:-1].copy(), np.repeat(np.arange(n), degree)
+    length, piece = np.empty(len(node), np.uint8), np.empty(len(node), np.int32)
+    for where, k, found in reversed(parts):
+        to = place[where]
+        length[to], piece[to] = k, found
+        place[where] = to + 1
     weight = v.weights[np.maximum(piece, 0)]
     bare = np.flatnonzero(piece == -2)
     code = codes[node[bare]]
     size = 1 + (code >= 0x80).astype(int) + (code >= 0x800) + (code >= 0x10000)
     weight[bare] = size * v.weights[v.first_byte] if v.first_byte >= 0 else v.weights[v.unknown]
-    first = np.searchsorted(node, np.arange(n + 1))
     # Backwards from the chunks' ends, all nodes at one distance at a time: the log-sum over all ways to the end.
     beta = np.zeros(n + 1)
     target = node + length
     last = target == ends[node]
     log_p = np.empty(len(node))
-    by = np.argsort(left, kind="stable")
+    by = np.argsort(left.astype(np.int16) if n and left.max() < 2**15 else left, kind="stable")
     cut = np.r_[0, np.flatnonzero(np.diff(left[by])) + 1, n]
-    degree = np.diff(first)
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
         mine = by[a:b]
         d = degree[mine]
@@ -224,17 +230,18 @@ class Search:
         at = np.flatnonzero(path)
         row = self.row[at]
         log_q = self.lattice.log_p[path[at] - 1]
-        run = np.cumsum(log_q)
+        fixed = np.rint(log_q * FIXED).astype(np.int64)  # sums of whole numbers do not depend on what else is in the slice
+        run = np.cumsum(fixed)
         edges = np.searchsorted(row, np.arange(len(self.bounds)))
-        ahead = np.r_[0.0, run]
+        ahead = np.r_[0, run]
         base = ahead[edges[:-1]]
-        total = ahead[edges[1:]] - base
+        total = (ahead[edges[1:]] - base) / FIXED
         q = np.exp(log_q)
         first = at == since[row]
         gone = np.where(first, np.exp(skip[row]), 0.0)
         rest = 1.0 - q - gone
         with np.errstate(divide="ignore", invalid="ignore"):
-            mass = np.where((at >= since[row]) & (rest > 1e-12), run - log_q - base[row] + np.log(np.maximum(rest, 1e-300)), -np.inf)
+            mass = np.where((at >= since[row]) & (rest > 1e-12), (run - fixed - base[row]) / FIXED + np.log(np.maximum(rest, 1e-300)), -np.inf)
             noise = np.log(-np.log(uniforms(self.keys[row], salt, at - self.bounds[row])))
             key = np.where(np.isfinite(mass), -np.logaddexp(-bound[row], noise - mass), -np.inf)
         return key, at, total, edges
@@ -323,7 +330,7 @@ def segmentations(docs: DataFrame, k: int = SAMPLES, model_file: str = MODEL_FIL
         codes, edges, first_byte = marked(data, bounds, v.prefix)
         keys = rows.column(2).to_numpy().view(np.uint64)
         s, draws, after = search(v, table, codes, keys, edges, k)
-        after = np.round(after, 8)  # sums run over a slice; rounded, they do not depend on what else is in it
+        after = np.round(after, 8)
         parts: list[tuple] = [[], [], [], [], [], []]
         for nth, (path, has, log_prob, key) in enumerate(draws):
             live, log_prob, key = np.flatnonzero(has), np.round(log_prob, 8), np.round(key, 8)
