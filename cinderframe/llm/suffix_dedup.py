@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,13 +161,42 @@ def merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column("doc").combine_chunks().take(at), pa.array(removed[new]), pa.array(start[new]), pa.array((reach[last] - base[last]).astype(np.int32)), rows.column("other").combine_chunks().take(at)], ["doc", "removed", "start", "end", "other"])
 
 
+def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """(__id, __digest, __row): a number of each distinct id and text, in order of id; None if no id repeats, so that ids tell rows apart."""
+    known = docs.where(F.col(id_col).isNotNull())
+    if known.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return None
+    keys = known.select(F.col(id_col).alias("__id"), _digest(text_col).alias("__digest")).distinct()
+    return durable(keys.repartitionByRange("__id", "__digest").sortWithinPartitions("__id", "__digest").withColumn("__row", F.monotonically_increasing_id()))
+
+
+def _digest(text_col: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+
+
+def _numbered(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with the column __row, null for a null id."""
+    return docs.join(keys, (docs[id_col] == keys["__id"]) & (_digest(text_col) == keys["__digest"]), "left").drop("__id", "__digest")
+
+
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, removed, start, end, other): the maximal spans of words [start, end) whose every word lies in a repeated window.
 
     Words are runs of `[^\x20\x09-\x0D]+`. Of equal windows the first by (id, start) is not removed (removed false), all others are; a place may lie in
     a span of either kind. `other` is a document that holds a part of the span as well, the same one if the repeat is inside it. Rows with a null
-    id or text and texts shorter than min_words have no spans. Repeated rows of one id repeat nothing by that. An empty table gives no rows.
+    id or text and texts shorter than min_words have no spans. Rows that share an id
+    and differ in text are documents of their own; repeated rows of one id and text count once. An empty table gives no rows.
     """
+    keys = _row_keys(docs, id_col, text_col)
+    if keys is None:
+        return _repeats(docs, min_words, gram, id_col, text_col)
+    found = _repeats(_numbered(docs, keys, id_col, text_col).dropDuplicates(["__row"]), min_words, gram, "__row", text_col)
+    here, there = keys.select(F.col("__row").alias("doc"), "__id"), keys.select(F.col("__row").alias("other"), F.col("__id").alias("__other"))
+    return found.join(here, "doc").join(there, "other").select(F.col("__id").alias("doc"), "removed", "start", "end", F.col("__other").alias("other"))
+
+
+def _repeats(docs: DataFrame, min_words: int, gram: int, id_col: str, text_col: str) -> DataFrame:
+    """repeats() of rows that id_col tells apart."""
     kind = docs.schema[id_col].dataType
     told = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc", kind), T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType()), T.StructField("first", T.BooleanType()), T.StructField("again", T.BooleanType()), T.StructField("other", kind)])
     spans = T.StructType([T.StructField("doc", kind), T.StructField("removed", T.BooleanType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("other", kind)])
@@ -199,10 +228,14 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_co
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The documents without their removed spans, all columns; a document of nothing else goes. `chars_col`, if there, is counted anew where a text changed."""
-    cuts = repeats(docs, min_words, gram, id_col, text_col).where("removed").groupBy(F.col("doc").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-    text_at = docs.columns.index(text_col)
-    chars_at = docs.columns.index(chars_col) if chars_col in docs.columns else None
-    names = docs.columns
+    names, schema, key = docs.columns, docs.schema, id_col
+    keys = _row_keys(docs, id_col, text_col)
+    if keys is not None:
+        docs, key = _numbered(docs, keys, id_col, text_col), "__row"
+    once = docs if keys is None else docs.dropDuplicates([key])
+    cuts = _repeats(once, min_words, gram, key, text_col).where("removed").groupBy(F.col("doc").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
+    text_at = names.index(text_col)
+    chars_at = names.index(chars_col) if chars_col in names else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in slices(batches, text_col):
@@ -227,8 +260,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
                     columns[chars_at] = pa.array(chars, columns[chars_at].type)
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
-    joined = docs.join(cuts, docs[id_col] == F.col("__doc"), "left").drop("__doc")
-    return joined.select(*[F.col(f"`{k}`") for k in names], "__cuts").mapInArrow(cut, docs.schema)
+    joined = docs.join(cuts, docs[key] == F.col("__doc"), "left").drop("__doc")
+    return joined.select(*[F.col(f"`{k}`") for k in names], "__cuts").mapInArrow(cut, schema)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
