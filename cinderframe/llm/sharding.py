@@ -1,8 +1,9 @@
 """Shards of near equal bytes by sampled splitters.
 
-The rows are ordered by a hash of their text. A sample, drawn with a chance in proportion to size, gives quantile
-boundaries that cut the order into many ranges; the bytes of each range are counted, and overfull ones are
-subdivided by a further sample until none is left that could be. Inside a range a running sum places each row among all bytes, and so names its shard.
+Equal texts form a group, which is never split. The groups are ordered by a hash of their text. A sample of them, drawn with a chance in
+proportion to size, gives quantile boundaries that cut the order into many ranges; the bytes of each range are counted, and overfull ones are
+subdivided by a further sample until no range of several groups is overfull. Inside a range a running sum places each group among all bytes, and
+its middle names its shard. A group that is larger than an even share gets a shard of its own, and the others share what is left.
 """
 
 from __future__ import annotations
@@ -14,97 +15,94 @@ from pyspark.sql import functions as F
 
 from .tables import durable, read
 
-#: Ranges per shard, rows of the sample per range, and how often overfull ranges are subdivided.
-RANGES, DRAWS, ROUNDS = 64, 16, 6
-#: Equal texts stay together unless they hold over this share of a shard.
-WHOLE = 0.05
+#: Ranges per shard at least, bytes of a range at most, and rows of the sample per range. The driver holds a row for each range and the sample.
+RANGES, RANGE_BYTES, DRAWS = 64, 1 << 30, 16
 
 
-def _sample(rows: DataFrame, total: int, n: int, salt: int) -> np.ndarray:
-    """About n rows' (h, tie), sorted, drawn with a chance in proportion to size: those whose exponential arrival time comes before n / total."""
-    u = (F.pmod(F.xxhash64("h", "tie", F.lit(salt)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
-    got = rows.where(-F.log(u) / F.col("size") < n / max(1, total)).select("h", "tie").collect()
-    return np.array(sorted((r[0], r[1]) for r in got), np.int64).reshape(-1, 2)
+def _sample(groups: DataFrame, total: int, n: int, salt: int) -> np.ndarray:
+    """About n groups' h, sorted, drawn with a chance in proportion to size: those whose exponential arrival time comes before n / total."""
+    u = (F.pmod(F.xxhash64("h", F.lit(salt)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
+    return np.sort(np.array([r[0] for r in groups.where(-F.log(u) / F.col("bytes") < n / max(1, total)).select("h").collect()], np.int64))
 
 
-def _ranged(rows: DataFrame, cuts: np.ndarray) -> DataFrame:
-    """rows with `range`: how many cuts (h, tie) are at or below the row's."""
-    h, tie = cuts[:, 0].copy(), cuts[:, 1].copy()
+def _ranged(groups: DataFrame, cuts: np.ndarray) -> DataFrame:
+    """groups with `range`: how many cuts are at or below the group's hash."""
 
     @F.pandas_udf("int")
-    def place(a: pd.Series, b: pd.Series) -> pd.Series:
-        at = np.searchsorted(h, a.to_numpy(), "left")
-        tail = np.searchsorted(h, a.to_numpy(), "right")
-        for i in np.flatnonzero(tail > at):  # a cut shares this row's hash
-            at[i] += np.searchsorted(tie[at[i] : tail[i]], b.iloc[i], "right")
-        return pd.Series(at.astype(np.int32))
-
-    return rows.withColumn("range", place("h", "tie"))
-
-
-def splitters(rows: DataFrame, ranges: int) -> tuple[np.ndarray, dict[int, tuple[int, int]], int]:
-    """(cuts, {range: (rows, bytes)}, all bytes) such that no range of more than one row is much over its share of all bytes.
-
-    First by hash alone, which keeps equal texts in one range; overfull ranges are cut anew, and by (h, tie) where one text fills them.
-    """
-    draw = _sample(rows, rows.agg(F.sum("size")).first()[0] or 0, ranges * DRAWS, 0)
-    cuts = np.unique(np.stack([draw[:: DRAWS][1:, 0], np.full(len(draw[:: DRAWS][1:]), -1)], axis=1), axis=0) if len(draw) else np.zeros((0, 2), np.int64)
-    for salt in range(1, ROUNDS + 1):
-        placed = _ranged(rows, cuts)
-        sizes = {r[0]: (r[1], r[2]) for r in placed.groupBy("range").agg(F.count("*"), F.sum("size")).collect()}
-        total = sum(b for _, b in sizes.values())
-        over = {k: b for k, (n, b) in sizes.items() if n > 1 and b > 2 * total / ranges}
-        if not over or salt == ROUNDS:
-            return cuts, sizes, total
-        inside = placed.where(F.col("range").isin(list(over)))
-        draw = _sample(inside, sum(over.values()), sum(DRAWS * (1 + int(b * ranges / total)) for b in over.values()), salt)
-        more = []
-        where = np.array([int(np.searchsorted(cuts[:, 0], h, "left") + np.searchsorted(cuts[np.searchsorted(cuts[:, 0], h, "left") : np.searchsorted(cuts[:, 0], h, "right"), 1], t, "right")) for h, t in draw])
-        for k in over:
-            mine = draw[where == k]
-            step = max(1, len(mine) // (1 + int(over[k] * ranges / total)))
-            picked = mine[step::step]
-            hashes, n = np.unique(mine[:, 0], return_counts=True)
-            hot = set(hashes[n > len(mine) // 2].tolist())
-            more += [(h, t if h in hot else -1) for h, t in picked.tolist()]
-            more += [(h, -1) for h in hot] + [(h + 1, -1) for h in hot if h < 2**63 - 1]
-        cuts = np.unique(np.concatenate([cuts, np.array(more, np.int64).reshape(-1, 2)]), axis=0)
-    raise AssertionError("unreachable")
+    def place(h: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, h.to_numpy(), "right").astype(np.int32))
+
+    return groups.withColumn("range", place("h"))
+
+
+def splitters(groups: DataFrame, total: int, ranges: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(cuts, [(range, groups' rows, bytes)] in order) such that no range of more than one group holds over twice its share of all bytes."""
+    draw, salt = _sample(groups, total, ranges * DRAWS, 0), 0
+    cuts = np.unique(draw[DRAWS::DRAWS])
+    while True:
+        sizes = _ranged(groups, cuts).groupBy("range").agg(F.sum("rows"), F.sum("bytes"), F.min("h"), F.max("h")).orderBy("range").collect()
+        over = [r for r in sizes if r[3] < r[4] and r[2] > 2 * total / ranges]
+        if not over:
+            return cuts, [(r[0], r[1], r[2]) for r in sizes]
+        salt += 1
+        parts = {r[0]: 1 + int(r[2] * ranges / total) for r in over}
+        inside = _ranged(groups, cuts).where(F.col("range").isin(list(parts)))
+        draw = _sample(inside, sum(r[2] for r in over), DRAWS * sum(parts.values()), salt)
+        where, more = np.searchsorted(cuts, draw, "right"), []
+        for r in over:
+            mine = draw[where == r[0]]
+            found = mine[max(1, len(mine) // parts[r[0]]) :: max(1, len(mine) // parts[r[0]])]
+            # A group that fills a range by itself is cut off on both sides. Every cut lies above the least hash, so each round goes on.
+            found = [h for x in found.tolist() for h in (x, x + 1) if r[3] < h <= r[4]]
+            more += found or [r[4]]
+        cuts = np.unique(np.r_[cuts, np.array(more, np.int64)])
 
 
 def shards(docs: DataFrame, n: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, size, text_crc32, shard, slot) for each row, shards 0..n-1 of near equal bytes and slots gapless from 0 in each.
+    """(id, size, text_crc32, shard, slot, oversize) for each row, shards 0..n-1 of near equal bytes and slots gapless from 0 in each.
 
-    Size is the text's UTF-8 bytes plus 1 (a null text: 1, with checksum 0). Rows with equal texts share a shard unless they hold over WHOLE of
-    one. Repeated rows and null ids get a row each; an empty table gives no rows. Shards are within WHOLE and one row of equal.
+    Size is the text's UTF-8 bytes plus 1 (a null text: 1, with checksum 0; it equals the empty one). Rows with equal texts always share a shard, so
+    the bytes of two shards differ by one group's at most. `oversize` marks rows of a group that is larger than an even share of what the larger ones
+    leave; each has a shard to itself, and the others are equal among themselves. Repeated rows and null ids get a row each; an empty table gives no rows.
     """
-    rows = docs.select(
-        F.col(id_col), (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(F.col(text_col), F.lit(""))).alias("text_crc32"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"),
-    )
-    rows = durable(rows.withColumn("tie", F.monotonically_increasing_id()))
-    cuts, sizes, total = splitters(rows, n * RANGES)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("h"))
+    rows = durable(rows.withColumn("tie", F.monotonically_increasing_id())).withColumn("part", F.shiftrightunsigned("tie", 33))
+    # A group is numbered part by part, so that no task holds all rows of one.
+    parts = durable(rows.groupBy("h", "part").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")))
+    groups = durable(parts.groupBy("h").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")))
+    left, own = groups.agg(F.sum("bytes")).first()[0] or 0, []
+    for g in groups.orderBy(F.desc("bytes"), "h").limit(n - 1).collect():
+        if g["bytes"] * (n - len(own)) <= left:
+            break
+        own.append(g["h"])
+        left -= g["bytes"]
+    rest, shared = groups.where(~F.col("h").isin(own)), n - len(own)
+    cuts, sizes = splitters(rest, left, max(n * RANGES, left // RANGE_BYTES))
     first_row, first_byte, offsets = 0, 0, []
-    for k in sorted(sizes):
+    for k, count, size in sizes:
         offsets.append((k, first_row, first_byte))
-        first_row, first_byte = first_row + sizes[k][0], first_byte + sizes[k][1]
-    spark = docs.sparkSession
-    starts = spark.createDataFrame(offsets, "range int, first_row long, first_byte long")  # a row per range: n * RANGES and a few more
-    order = Window.partitionBy("range").orderBy("h", "tie")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = _ranged(rows, cuts).withColumn("nth", F.row_number().over(order)).withColumn("through", F.sum("size").over(upto))
-    placed = placed.join(F.broadcast(starts), "range").withColumn("from", F.col("first_byte") + F.col("through") - F.col("size"))
-    # A text's rows start where its first row does, if they are few enough to stay together and lie in one range.
-    same = Window.partitionBy("range", "h").orderBy("tie")
-    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = placed.withColumn("group_from", F.first("from").over(whole)).withColumn("group_size", F.sum("size").over(whole))
-    at = F.when(F.col("group_size") <= WHOLE * max(1, total) / n, F.col("group_from")).otherwise(F.col("from"))
-    placed = placed.withColumn("shard", F.least(F.lit(n - 1), F.floor(at * n / max(1, total))).cast("int")).withColumn("nth", F.col("first_row") + F.col("nth") - 1)
-    placed = durable(placed.select(id_col, "size", "text_crc32", "shard", "nth"))
+        first_row, first_byte = first_row + count, first_byte + size
+    starts = docs.sparkSession.createDataFrame(offsets, "range int, first_row long, first_byte long")  # a row for each range
+    upto = Window.partitionBy("range").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(upto), F.lit(0))
+    placed = _ranged(rest, cuts).withColumn("row", before("rows")).withColumn("byte", before("bytes")).join(F.broadcast(starts), "range")
+    middle = F.col("first_byte") + F.col("byte") + F.col("bytes") / 2
+    placed = placed.select("h", F.least(F.lit(shared - 1), F.floor(middle * shared / max(1, left))).cast("int").alias("shard"), (F.col("first_row") + F.col("row")).alias("nth"), F.lit(False).alias("oversize"))
+    alone = groups.where(F.col("h").isin(own)).withColumn("shard", (F.array_position(F.array(*map(F.lit, own)), F.col("h")) - 1 + shared).cast("int")) if own else None
+    if alone is not None:
+        placed = placed.unionByName(alone.select("h", "shard", F.lit(0).cast("long").alias("nth"), F.lit(True).alias("oversize")))
+    placed = durable(placed)
     begins = placed.groupBy("shard").agg(F.min("nth").alias("begin"))  # n rows
-    return placed.join(F.broadcast(begins), "shard").select(id_col, "size", "text_crc32", "shard", (F.col("nth") - F.col("begin")).alias("slot"))
+    placed = placed.join(F.broadcast(begins), "shard").select("h", "shard", (F.col("nth") - F.col("begin")).alias("nth"), "oversize")
+    earlier = Window.partitionBy("h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = parts.withColumn("earlier", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).join(placed, "h")
+    dealt = dealt.select("h", "part", "shard", (F.col("nth") + F.col("earlier")).alias("from"), "oversize")
+    order = Window.partitionBy("h", "part").orderBy("tie")
+    numbered = rows.withColumn("in_part", F.row_number().over(order) - 1).join(dealt, ["h", "part"])
+    return numbered.select(id_col, "size", "text_crc32", "shard", (F.col("from") + F.col("in_part")).alias("slot"), "oversize")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "oversize")
