@@ -3,7 +3,10 @@
 Vectors are taken as documents whose terms are their components. They are put in an order that brings like vectors together and cut into blocks of
 neighbours; a block keeps the extremes of each term and a forward index, the terms of its documents. A query bounds each
 block's scores by the sum of the terms' maxima, visits blocks in falling order of that bound and scores all documents of a block from its forward index,
-until the bound falls below its k-th best score. Queries in tiles meet blocks in cells of a bounded size, each cell a group of Spark.
+until the bound falls below its k-th best score.
+
+Queries are cut into tiles in the same order. Tiles meet the blocks' extremes first, which are small; each query's best-bounded blocks are scored, which
+lifts its k-th score, and then a forward index is sent only to the tiles where some query's bound still reaches that.
 """
 
 from __future__ import annotations
@@ -19,20 +22,20 @@ from pyspark.sql import Window
 
 from .tables import durable, read
 
-#: Documents of a block, blocks of a cell, queries of a tile (and of a cell).
-BLOCK, CELL_BLOCKS, TILE = 256, 64, 2048
-#: Documents that each query is scored against first, so that its k-th best score is a good one from the start.
-SEEDS = 2048
+#: Documents of a block, blocks whose extremes meet a tile together, blocks of a cell that a task scores, queries of a tile.
+BLOCK, BOUNDS, CELL_BLOCKS, TILE = 128, 4096, 64, 512
+#: Documents that each query is scored against first, and its best-bounded blocks that are scored next, so that its k-th best score is a good one before the rest.
+SEEDS, PROBES = 2048, 2
 #: Signs of random projections that make the order.
 SIGNS = 14
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:
-    """(id, terms array<long>): floor(scale * component) of vectors without null or non-finite components; repeated rows once. Null ids take no part."""
+    """(id, terms array<long>): floor(scale * component) of each row's vector if it has no null or non-finite components. Null ids take no part."""
     x = F.col(vec_col)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     terms = F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long"))
-    return vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0)).where(~bad).select(F.col(id_col).alias("id"), terms.alias("terms")).distinct()
+    return vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0)).where(~bad).select(F.col(id_col).alias("id"), terms.alias("terms"))
 
 
 def _matrix(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -47,8 +50,8 @@ def _matrix(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, np.ndarray,
         yield d, ids[mine], flat[start[mine][:, None] + np.arange(d)]
 
 
-def blocks(terms: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(dim, n, ids, forward, low, high): blocks of at most `block` neighbours, packed little-endian longs."""
+def blocks(terms: DataFrame, block: int = BLOCK, key: str = "block") -> DataFrame:
+    """(dim, n, ids, forward, low, high, key): blocks of at most `block` neighbours, packed little-endian longs, and a number of each."""
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +86,7 @@ def blocks(terms: DataFrame, block: int = BLOCK) -> DataFrame:
     kind = dict(terms.dtypes)["id"]
     placed = durable(terms.mapInArrow(order, f"code long, id {kind}, terms array<long>"))
     placed = placed.repartitionByRange("code", "id").sortWithinPartitions("code", "id")
-    return placed.mapInArrow(pack, "dim int, n int, ids binary, forward binary, low binary, high binary")
+    return placed.mapInArrow(pack, "dim int, n int, ids binary, forward binary, low binary, high binary").withColumn(key, F.monotonically_increasing_id())
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -96,7 +99,7 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Best:
-    """The k best (score, id) of each query, ties to smaller ids; `floor` is a score that k documents are known to reach."""
+    """The k best (score, id) of each query, ties to smaller ids, each row of a repeated document for itself; `floor` is a score that k documents are known to reach."""
 
     def __init__(self, queries: np.ndarray, k: int, floor: np.ndarray):
         self.queries, self.k, self.floor = queries, k, floor.copy()
@@ -126,9 +129,13 @@ def _falling(s: np.ndarray) -> np.ndarray:
     return np.bitwise_not(s)
 
 
-def search_cell(best: Best, x: np.ndarray, low: np.ndarray, high: np.ndarray, index: list[tuple[np.ndarray, np.ndarray]]) -> int:
+def bounds(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """bounds[i, j]: what no document of block j can exceed for query i."""
+    return product(np.maximum(x, 0), high) + product(np.minimum(x, 0), low)
+
+
+def search_cell(best: Best, x: np.ndarray, bound: np.ndarray, index: list[tuple[np.ndarray, np.ndarray]]) -> int:
     """Brings the queries x through the blocks of a cell; returns how many query-block pairs were scored."""
-    bound = product(np.maximum(x, 0), high) + product(np.minimum(x, 0), low)
     order = np.argsort(-bound, axis=1, kind="stable")
     live, scored = np.arange(len(x)), 0
     for nth in range(len(index)):
@@ -145,57 +152,130 @@ def search_cell(best: Best, x: np.ndarray, low: np.ndarray, high: np.ndarray, in
     return scored
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", block: int = BLOCK, cell_blocks: int = CELL_BLOCKS, tile: int = TILE) -> DataFrame:
-    """(query_id, rank, id, score): the k vectors of the largest integer inner product for each query, ties to smaller ids, all if there are fewer.
+def _longs(column: pd.Series, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.int64).reshape(-1, width)
 
-    Ids are longs; a vector with the query's id is no candidate. Only vectors of the query's dimension are compared. Vectors that are null, empty or hold null or
-    non-finite components take no part, nor do null ids; equal rows count once. Empty inputs give no rows. The bounds skip blocks, never a document that belongs to the result.
-    """
-    terms = durable(whole_vectors(vectors, id_col, vec_col))
-    asked = durable(whole_vectors(queries, id_col, vec_col))
-    n = asked.count()
-    index = durable(blocks(terms, block))
-    cells = max(1, -(-index.count() // cell_blocks))
-    tiles = max(1, -(-n // tile))
-    # A bounded number of documents, sent with the code.
-    seeds = terms.orderBy(F.xxhash64("id"), "id").limit(SEEDS).toPandas()
+
+def _seeded(terms: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """asked with `floor`: the k-th best score of each query among SEEDS documents, which are sent with the code."""
     by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    seeds = terms.orderBy(F.xxhash64("id"), "id").limit(SEEDS).toPandas()
     for d, g in seeds.groupby(seeds["terms"].map(len)) if len(seeds) else []:
         by_dim[int(d)] = g["id"].to_numpy(), np.stack(g["terms"].to_numpy()).astype(np.int64)
+    schema = "tile long, dim int, n int, ids binary, forward binary, floors binary"
 
-    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, ids, x in _matrix(batch):
-                floor = np.full(len(ids), np.iinfo(np.int64).min)
+            floors = []
+            for d, ids, forward in zip(batch.column("dim").to_pylist(), batch.column("ids").to_pylist(), batch.column("forward").to_pylist(), strict=True):
+                q = np.frombuffer(ids, np.int64)
+                part = Best(q, k, np.full(len(q), np.iinfo(np.int64).min))
                 if d in by_dim:
-                    for a in range(0, len(ids), 512):
-                        part = Best(ids[a : a + 512], k, floor[a : a + 512])
-                        part.add(np.arange(len(part.queries)), by_dim[d][0], product(x[a : a + 512], by_dim[d][1]))
-                        floor[a : a + 512] = part.floor
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), d, np.int32)), pa.array(ids), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(floor)], ["dim", "id", "terms", "floor"])
-
-    tiled = asked.mapInArrow(seeded, "dim int, id long, terms binary, floor long").withColumn("tile", F.pmod(F.xxhash64("id"), F.lit(tiles)))
-    packs = tiled.groupBy("dim", "tile").agg(F.collect_list(F.struct("id", "terms", "floor")).alias("queries"))  # about `tile` queries a pack
-    left = packs.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
-    right = index.withColumn("cell", F.pmod(F.xxhash64("ids"), F.lit(cells)).cast("int")).withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
-
-    def cell(packs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"query_id": np.zeros(0, np.int64), "id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)})
-        if not len(packs) or not len(held):
-            return out
-        longs = lambda column: np.stack([np.frombuffer(v, np.int64) for v in column])
-        asked = packs["queries"].iloc[0]
-        best = Best(np.array([q["id"] for q in asked]), k, np.array([q["floor"] for q in asked]))
+                    part.add(np.arange(len(q)), by_dim[d][0], product(np.frombuffer(forward, np.int64).reshape(-1, d), by_dim[d][1]))
+                floors.append(part.floor.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("tile", "dim", "n", "ids", "forward")] + [pa.array(floors, pa.binary())], ["tile", "dim", "n", "ids", "forward", "floors"])
+
+    return asked.mapInArrow(run, schema)
+
+
+def _bounded(tiles: DataFrame, extremes: DataFrame, chosen: str, least: int) -> DataFrame:
+    """(dim, tile, block) of the pairs to be scored, from the blocks' extremes alone.
+
+    chosen "probes": for each query its `least` blocks of the largest bounds in every group of extremes; "rest": all whose bound reaches a query's floor.
+    """
+
+    def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(held):
+            return pd.DataFrame({"dim": np.zeros(0, np.int32), "tile": np.zeros(0, np.int64), "block": np.zeros(0, np.int64)})
+        dim, low, high = int(held["dim"].iloc[0]), _longs(held["low"], int(held["dim"].iloc[0])), _longs(held["high"], int(held["dim"].iloc[0]))
+        out = []
+        for tile, forward, floors in zip(asked["tile"], asked["forward"], asked["floors"], strict=True):
+            bound = bounds(np.frombuffer(forward, np.int64).reshape(-1, dim), low, high)
+            reach = bound >= np.frombuffer(floors, np.int64)[:, None]
+            if chosen == "probes":
+                top = np.zeros_like(reach)
+                np.put_along_axis(top, np.argsort(-bound, axis=1, kind="stable")[:, :least], True, axis=1)
+                reach &= top
+            out.append(pd.DataFrame({"dim": np.int32(dim), "tile": np.int64(tile), "block": held["block"].to_numpy()[reach.any(axis=0)]}))
+        return pd.concat(out)
+
+    return tiles.groupBy("dim", "some", "part").cogroup(extremes.groupBy("dim", "some", "part")).applyInPandas(run, "dim int, tile long, block long")
+
+
+def _scored(tiles: DataFrame, index: DataFrame, pairs: DataFrame, k: int, cell_blocks: int) -> DataFrame:
+    """(tile, nth, id, score): for each query the k best documents of each cell of its tile's pairs."""
+    counts = pairs.groupBy("tile").agg(F.count("*").alias("blocks"))
+    dealt = pairs.join(counts, "tile").withColumn("cell", F.pmod(F.xxhash64("block"), F.ceil(F.col("blocks") / cell_blocks)).cast("int")).select("dim", "tile", "block", "cell")
+    right = dealt.join(index.select("block", "ids", "forward", "low", "high"), "block")
+    left = tiles.join(dealt.select("tile", "cell").distinct(), "tile").select(*[F.col(c).alias(c) for c in ("dim", "tile", "cell", "ids", "forward", "floors")])
+
+    def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(held):
+            return pd.DataFrame({"tile": np.zeros(0, np.int64), "nth": np.zeros(0, np.int32), "id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)})
         dim = int(held["dim"].iloc[0])
+        x = np.frombuffer(asked["forward"].iloc[0], np.int64).reshape(-1, dim)
+        best = Best(np.frombuffer(asked["ids"].iloc[0], np.int64), k, np.frombuffer(asked["floors"].iloc[0], np.int64))
         parts = [(np.frombuffer(i, np.int64), np.frombuffer(f, np.int64).reshape(-1, dim)) for i, f in zip(held["ids"], held["forward"], strict=True)]
-        search_cell(best, longs([q["terms"] for q in asked]), longs(held["low"]), longs(held["high"]), parts)
+        search_cell(best, x, bounds(x, _longs(held["low"], dim), _longs(held["high"], dim)), parts)
         q, j = np.nonzero(best.id < np.iinfo(np.int64).max)
-        return pd.DataFrame({"query_id": best.queries[q], "id": best.id[q, j], "score": best.score[q, j]})
+        return pd.DataFrame({"tile": np.full(len(q), asked["tile"].iloc[0]), "nth": q.astype(np.int32), "id": best.id[q, j], "score": best.score[q, j]})
 
     key = ["dim", "tile", "cell"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(cell, "query_id long, id long, score long").distinct()
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(run, "tile long, nth int, id long, score long")
+
+
+def _lifted(tiles: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """tiles with each query's floor lifted to its k-th best score found."""
+    rank = Window.partitionBy("tile", "nth").orderBy(F.desc("score"))
+    kth = found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") == k).groupBy("tile").agg(F.collect_list(F.struct("nth", "score")).alias("kth"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            floors = []
+            for old, new in zip(batch.column("floors").to_pylist(), batch.column("kth").to_pylist(), strict=True):
+                floor = np.frombuffer(old, np.int64).copy()
+                at = np.array([r["nth"] for r in new or []], np.int64)
+                floor[at] = np.maximum(floor[at], np.array([r["score"] for r in new or []], np.int64))
+                floors.append(floor.tobytes())
+            keep = [c for c in batch.schema.names if c not in ("floors", "kth")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(floors, pa.binary())], [*keep, "floors"])
+
+    joined = tiles.join(kth, "tile", "left").select("tile", "dim", "n", "ids", "forward", "floors", "kth")
+    return joined.mapInArrow(run, "tile long, dim int, n int, ids binary, forward binary, floors binary")
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", block: int = BLOCK, cell_blocks: int = CELL_BLOCKS, tile: int = TILE) -> DataFrame:
+    """(query_id, rank, id, score): the k vectors of the largest integer inner product for each query, ties to smaller ids, all if there are fewer.
+
+    Ids are longs; a vector with the query's id is no candidate. Each row of a repeated vector is a candidate of its own; a query that is repeated as a
+    whole is asked once, and rows of one id and different vectors are queries of their own. Only vectors of the query's dimension are compared. Vectors
+    that are null, empty or hold null or non-finite components take no part, nor do null ids. Empty inputs give no rows. The bounds skip blocks, never a document that belongs to the result.
+    """
+    terms = durable(whole_vectors(vectors, id_col, vec_col))
+    index = durable(blocks(terms, block))
+    tiles = blocks(durable(whole_vectors(queries, id_col, vec_col).distinct()), tile, "tile").select("tile", "dim", "n", "ids", "forward")
+    tiles = durable(_seeded(terms, tiles, k))
+    groups = max(1, -(-index.count() // BOUNDS))
+    # Each group of extremes meets each tile; tiles are dealt to parts so that a task holds few of them, and a group of extremes goes to each part once.
+    parts = max(1, -(-tiles.count() // 16))
+    extremes = index.select("dim", "block", "low", "high", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("some")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    everywhere = lambda t: t.select("dim", "tile", "forward", "floors", F.pmod(F.xxhash64("tile"), F.lit(parts)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("some"))
+    probes = durable(_bounded(everywhere(tiles), extremes, "probes", PROBES))
+    first = durable(_scored(tiles, index, probes, k, cell_blocks))
+    tiles = durable(_lifted(tiles, first, k))
+    rest = _bounded(everywhere(tiles), extremes, "rest", 0).join(probes, ["dim", "tile", "block"], "left_anti")
+    found = first.unionByName(_scored(tiles, index, durable(rest), k, cell_blocks))
+    order = Window.partitionBy("tile", "nth").orderBy(F.desc("score"), "id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    named = tiles.select("tile", "ids").mapInArrow(_query_ids, "tile long, nth int, query_id long")
+    return ranked.join(named, ["tile", "nth"]).select("query_id", "rank", "id", "score")
+
+
+def _query_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for tile, ids in zip(batch.column("tile").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+            q = np.frombuffer(ids, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), tile)), pa.array(np.arange(len(q), dtype=np.int32)), pa.array(q)], ["tile", "nth", "query_id"])
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,11 +290,10 @@ with v as (
   from embeddings
   where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
-  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) as bigint) as score
-  from v q join v c on q.vec_id <> c.vec_id
-  where q.vec_id % 50 = 0
+  select q.vec_id as query_id, q.e, c.vec_id, cast(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) as bigint) as score
+  from (select distinct vec_id, e from v where vec_id % 50 = 0) q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e)
 )
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+select query_id, cast(row_number() over (partition by query_id, e order by score desc, vec_id) as integer) as rank, vec_id, score
 from s
 qualify rank <= 5
 """
