@@ -42,6 +42,20 @@ def slices(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[tuple[pa.Re
             first = last
 
 
+def pieces(bounds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows in runs of at most about `size` bytes, longer ones cut at multiples of it: (row of each piece, bounds of the pieces)."""
+    lengths = np.diff(bounds)
+    per_row = np.maximum(1, -(-lengths // size))
+    row = np.repeat(np.arange(len(lengths)), per_row)
+    start = bounds[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)) * size
+    end = np.minimum(start + size, bounds[1:][row])
+    first = 0
+    while first < len(row):
+        last = max(first + 1, int(np.searchsorted(end, start[first] + size, "right")))
+        yield row[first:last], np.r_[start[first:last], end[last - 1]]
+        first = last
+
+
 def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of each run of non-space bytes; a row's end also ends a word."""
     if not len(data):

@@ -12,22 +12,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .buffers import slices
+from .buffers import pieces, slices
 from .tables import fold, read
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-#: About so many labelled documents of each language are drawn for training, by a hash of their id, and from each so many windows.
-TRAIN_DOCS, TRAIN_WINDOWS = 500, 6
+#: About so many labelled documents of each language are drawn for training, by a hash of their id, and from each so many windows; of all languages
+#: together TRAIN_ALL documents at most, dealt to them alike, so that the driver holds 80 MB of windows.
+TRAIN_DOCS, TRAIN_WINDOWS, TRAIN_ALL = 500, 6, 50_000
 EPOCHS, BATCH, RATE = 10, 128, 0.01
-#: What a document must score for drop_unknown to keep it.
-LEAST_SCORE = 0.3
+#: Labelled documents, held out from training, on which drop_unknown chooses the score below which a verdict is more often wrong than right.
+CALIBRATION = 20_000
 UNKNOWN = "und"
+#: Bytes whose windows are held at once, a multiple of WINDOW: memory does not grow with a text.
+PIECE = 1 << 21
 
 #: Class of each byte: 0 padding, 1 space, 2 digit, 3 control, then letters without case, other ASCII and the bytes above 127.
 CLASS = np.zeros(256, np.uint8)
@@ -140,13 +144,15 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = EPOCHS,
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = TRAIN_DOCS) -> ByteCNN | None:
     """A network from rows with a language whose fold of three is not 1; None if there are none.
 
-    A bounded sample: about per_lang documents of each language, and TRAIN_WINDOWS windows of each, spread over the whole text.
+    A bounded sample: about per_lang documents of each language (fewer where there are over TRAIN_ALL / per_lang languages), and TRAIN_WINDOWS
+    windows of each, spread over the whole text. Every language is learned.
     """
     known = docs.where(F.col(lang_col).isNotNull() & (F.col(lang_col) != UNKNOWN) & (F.length(text_col) > 0) & fold(id_col, 3).isin(0, 2))
-    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(1000).collect()}
+    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}  # a row for each language
     if not counts:
         return None
     langs = sorted(counts)
+    per_lang = min(per_lang, max(1.0, TRAIN_ALL / len(langs)))
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(per_lang / counts[k]))])
     drawn = known.where(F.pmod(F.xxhash64(id_col, F.lit(11)), F.lit(1 << 20)) / float(1 << 20) < share[F.col(lang_col)])
 
@@ -169,13 +175,14 @@ def verdicts(model: ByteCNN | None, n: int, data: np.ndarray, bounds: np.ndarray
     """(best, score) of n texts; best is 0 for `und`, else 1 plus the language's index."""
     if not model or not len(data):
         return np.zeros(n, np.int64), np.zeros(n)
-    x, row, weight = windows(data, bounds)
-    total = np.zeros((n, len(model.langs)))
-    np.add.at(total, row, model.probabilities(x, pairs) * weight[:, None])
+    total, has = np.zeros((n, len(model.langs))), np.zeros(n, bool)
+    for of, edges in pieces(bounds, PIECE):
+        part = data[edges[0] : edges[-1]]
+        x, row, weight = windows(part, edges - edges[0])
+        np.add.at(total, of[row], model.probabilities(x, pairs) * weight[:, None])
+        letters = np.r_[0, np.cumsum(ASCII_LETTER[part])]
+        np.logical_or.at(has, of, letters[edges[1:] - edges[0]] > letters[edges[:-1] - edges[0]])
     total /= np.maximum(1e-9, total.sum(axis=1, keepdims=True))
-    letters = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(ASCII_LETTER[data], out=letters[1:])
-    has = letters[bounds[1:]] > letters[bounds[:-1]]
     for i in np.flatnonzero(~has & (np.diff(bounds) > 0)):
         has[i] = any(map(str.isalpha, data[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8", "replace")))
     return np.where(has, total.argmax(axis=1) + 1, 0), np.clip(np.where(has, total.max(axis=1), 0.0), 0.0, 1.0)
@@ -188,29 +195,60 @@ def identify(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", tex
     """
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, pairs = np.array([UNKNOWN, *(model.langs if model else [])], object), model.pairs() if model else {}
-        for rows, data, bounds in slices(batches, "text"):
-            best, score = verdicts(model, rows.num_rows, data, bounds, pairs)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names[best], pa.string()), pa.array(score)], [id_col, "lang_pred", "score"])
+    def make(rows: pa.RecordBatch, best: np.ndarray, score: np.ndarray, names: np.ndarray) -> tuple[list, None]:
+        return [rows.column(0), pa.array(names[best], pa.string()), pa.array(score)], None
+
+    return _judged(docs.select(F.col(id_col), F.col(text_col).alias("text")), model, "text", make, schema)
+
+
+def least_score(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = CALIBRATION) -> float:
+    """The largest score, in hundredths, below which verdicts on held-out documents are wrong more often than right; 0 if there is none.
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("text")).mapInArrow(predict, schema)
+    About `rows` labelled documents whose fold of three is 1, a bounded sample drawn by a hash of their id.
+    """
+    known = docs.where(F.col(lang_col).isNotNull() & (F.col(lang_col) != UNKNOWN) & (F.length(text_col) > 0) & (fold(id_col, 3) == 1)).select(id_col, text_col, lang_col)
+    share = rows / max(1, known.count())
+    drawn = known.where(F.pmod(F.xxhash64(id_col, F.lit(13)), F.lit(1 << 20)) / float(1 << 20) < share).withColumn("__lang", F.col(lang_col))
+    told = _judged(drawn.select(id_col, text_col, "__lang"), model, text_col, lambda batch, best, score, names: ([batch.column(2), pa.array(names[best], pa.string()), pa.array(score)], None), "lang string, pred string, score double")
+    levels = told.where(F.col("pred") != UNKNOWN).groupBy(F.floor(F.col("score") * 100).alias("level")).agg(F.count("*").alias("n"), F.sum((F.col("lang") == F.col("pred")).cast("int")).alias("right")).orderBy("level").collect()  # 101 rows at most
+    least, n, right = 0.0, 0, 0
+    for r in levels:
+        n, right = n + r["n"], right + r["right"]
+        if 2 * right < n:
+            least = (r["level"] + 1) / 100
+    return least
+
+
+def _judged(docs: DataFrame, model: ByteCNN | None, text_col: str, make, schema: T.StructType | str) -> DataFrame:
+    """make(rows, best, score, names) for every slice of docs: columns and the rows to keep (None: all)."""
+    names = [f.name for f in (schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, langs = model.pairs() if model else {}, np.array([UNKNOWN, *(model.langs if model else [])], object)
+        for rows, data, bounds in slices(batches, text_col):
+            columns, keep = make(rows, *verdicts(model, rows.num_rows, data, bounds, pairs), langs)
+            out = pa.RecordBatch.from_arrays(columns, names)
+            yield out if keep is None else out.filter(pa.array(keep))
 
+    return docs.mapInArrow(run, schema)
 
-def drop_unknown(docs: DataFrame, least_score: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Documents with a language, all columns: `und` ones and those whose best language scores under least_score go.
 
-    The verdict is made where the row is, so nothing is shuffled.
+def drop_unknown(docs: DataFrame, least: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Documents with a language, all columns: `und` ones go, and those whose best language scores under `least` (None: least_score()).
+
+    A null language becomes the predicted one; a given one stays. The verdict is made where the row is, so nothing is shuffled. Null ids and repeated rows
+    are judged like any other; null and empty texts go; without a labelled document to learn from every document goes. An empty table gives no rows.
     """
     model = learn(docs, id_col, text_col, lang_col)
+    least = least_score(docs, model, id_col, text_col, lang_col) if least is None else least
+    at = docs.columns.index(lang_col)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = model.pairs() if model else {}
-        for rows, data, bounds in slices(batches, text_col):
-            best, score = verdicts(model, rows.num_rows, data, bounds, pairs)
-            yield rows.filter(pa.array((best > 0) & (score >= least_score)))
+    def make(rows: pa.RecordBatch, best: np.ndarray, score: np.ndarray, names: np.ndarray) -> tuple[list, np.ndarray]:
+        columns = list(rows.columns)
+        columns[at] = pc.coalesce(columns[at], pa.array(names[best], pa.string()).cast(columns[at].type))
+        return columns, (best > 0) & (score >= least)
 
-    return docs.mapInArrow(keep, docs.schema)
+    return _judged(docs, model, text_col, make, docs.schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
