@@ -23,6 +23,8 @@ from .tables import durable, read
 LENGTHS = (1024, 2048, 4096, 8192, 16384)
 #: Tokens of one packing group.
 GROUP_TOKENS = 2_000_000
+#: Groups that a task packs, about, and the tasks at most.
+GROUPS_PER_TASK, MOST_TASKS = 4, 20_000
 #: Cost of a bin: its length, a share for attention that grows with the square, and a fixed part.
 ATTENTION, FIXED = 1 / 65536, 64
 
@@ -158,7 +160,8 @@ def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, tokens: Column | N
         held = np.bincount(bins, weights=group["tokens"], minlength=len(lengths_)).astype(np.int64)
         return group.assign(bin=np.array(bins, np.int32), start=np.array(starts, np.int64), bin_length=np.array(lengths_, np.int32)[bins], bin_tokens=held[bins])[schema.names]
 
-    return items.groupBy("group").applyInPandas(one, schema)
+    # Rows are small and packing them is not: tasks by the number of groups, which a coalescing by bytes would join.
+    return items.repartition(min(MOST_TASKS, -(-groups // GROUPS_PER_TASK)), "group").groupBy("group").applyInPandas(one, schema)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
