@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +27,10 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations drawn for each text.
 SAMPLES = 3
 #: Bytes of text searched together, and the code point that stands for a space.
-SLICE, MARK = 1_000_000, 0x2581
+SLICE, MARK = 2_000_000, 0x2581
 SLOTS = 20
-#: Log-probabilities are summed in units of its inverse.
-FIXED = 2.0**36
+#: Log-probabilities are summed in units of its inverse: exact for texts of some 10**8 characters.
+FIXED = 2.0**32
 
 
 @dataclass
@@ -39,21 +40,24 @@ class Vocabulary:
     weights: np.ndarray
     hashes: np.ndarray
     ids: np.ndarray
+    prefixes: np.ndarray
     longest: int
     first_byte: int
     unknown: int
     prefix: bool
     proto: bytes
 
-    def lookup(self) -> tuple[np.ndarray, np.ndarray]:
-        """slot[hash's upper bits]: number of the piece there (-1: none); and numbers of pieces that found their slot taken."""
+    def lookup(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """slot[hash's upper bits]: number of the piece there (-1: none); numbers of pieces that found their slot taken; which slots a proper prefix of a piece has."""
         slot, late = np.full(1 << SLOTS, -1, np.int32), []
         for i, at in enumerate((self.hashes >> np.uint64(64 - SLOTS)).tolist()):
             if slot[at] < 0:
                 slot[at] = i
             else:
                 late.append(i)
-        return slot, np.array(late, np.int64)
+        longer = np.zeros(1 << SLOTS, bool)
+        longer[self.prefixes >> np.uint64(64 - SLOTS)] = True
+        return slot, np.array(late, np.int64), longer
 
 
 def vocabulary(model_file: str = MODEL_FILE) -> Vocabulary:
@@ -80,25 +84,30 @@ def vocabulary(model_file: str = MODEL_FILE) -> Vocabulary:
     score[unknown] = score[normal].min() - 10
     codes = [np.array([ord(c) for c in model.pieces[i].piece], np.uint64) for i in normal]
     ends = np.cumsum([len(c) for c in codes])
-    hashes = span_hashes(np.concatenate(codes), np.r_[0, ends[:-1]], ends)
-    return Vocabulary(score, hashes, np.array(normal, np.int32), max(map(len, codes)), of_bytes[0] if len(of_bytes) == 256 else -1, unknown, model.normalizer_spec.add_dummy_prefix, proto)
+    starts, whole = np.r_[0, ends[:-1]], np.concatenate(codes)
+    hashes = span_hashes(whole, starts, ends)
+    inner = np.flatnonzero(~np.isin(np.arange(len(whole)), ends - 1))  # the last character of each proper prefix
+    prefixes = span_hashes(whole, starts[np.searchsorted(ends, inner, "right")], inner + 1)
+    return Vocabulary(score, hashes, np.array(normal, np.int32), prefixes, max(map(len, codes)), of_bytes[0] if len(of_bytes) == 256 else -1, unknown, model.normalizer_spec.add_dummy_prefix, proto)
 
 
 @dataclass
 class Lattice:
-    """Edges of the distinct chunks of a slice, by node and then from the longest: ends of each node's edges, and of each edge its length, piece (-2: the character's bytes), log-probability at its node and the sum of those up to it."""
+    """Edges of the distinct chunks of a slice, by node and then from the longest: ends of each node's edges, and of each edge its length, piece (-2: the character's bytes), log-probability at its node, that in units of 1 / FIXED, the log-mass of the node's other edges, and the sum of probabilities up to it."""
 
     first: np.ndarray
     length: np.ndarray
     piece: np.ndarray
     log_p: np.ndarray
+    fixed: np.ndarray
+    log_rest: np.ndarray
     upto: np.ndarray
 
 
-def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], codes: np.ndarray, ends: np.ndarray) -> Lattice:
+def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray, np.ndarray], codes: np.ndarray, ends: np.ndarray) -> Lattice:
     """codes: all characters of the chunks, one after another; ends: for each character the end of its chunk."""
     n = len(codes)
-    slot, late = table
+    slot, late, longer = table
     order = np.argsort(v.hashes[late])
     known = v.hashes[late][order]
     up, down = powers(n + 1)
@@ -113,7 +122,8 @@ def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], codes: np.ndarr
         if not len(at):
             break
         h = mix((total[at + k] - total[at]) * down[at] + np.uint64(k))
-        found = slot[h >> np.uint64(64 - SLOTS)]
+        place = h >> np.uint64(64 - SLOTS)
+        found = slot[place]
         there = found >= 0
         same = there & (v.hashes[found] == h)
         nodes.append(at[same])
@@ -126,6 +136,7 @@ def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], codes: np.ndarr
             pieces[-1] = np.concatenate([pieces[-1], v.ids[late[order[where[hit]]]]])
         if k == 1:
             alone[nodes[0]] = False
+        at = at[longer[place]]
     alone = np.flatnonzero(alone)
     # Each node's edges side by side, the longest first: every length fills the next place of its nodes.
     parts = [(alone, 1, np.full(len(alone), -2, np.int32)), *zip(nodes, range(1, len(nodes) + 1), pieces, strict=True)]
@@ -162,10 +173,22 @@ def lattice(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], codes: np.ndarr
         log_p[e] = np.minimum(ways - np.repeat(beta[mine], d), 0.0)
     log_p[first[:-1][degree == 1]] = 0.0
     p = np.exp(log_p)
+    # The mass beside an edge: 1 - p is exact enough but for a very likely edge, where the node's others are summed in logs.
+    log_rest = np.log1p(-np.minimum(p, 0.75))
+    likely = np.flatnonzero(p > 0.75)
+    d = degree[node[likely]]
+    log_rest[likely[d == 1]] = -np.inf
+    likely, d = likely[d > 1], d[d > 1]
+    if len(likely):
+        begin = np.cumsum(d) - d
+        e = np.repeat(first[node[likely]] - begin, d) + np.arange(d.sum())
+        others = np.where(e == np.repeat(likely, d), -np.inf, log_p[e])
+        top = np.maximum.reduceat(others, begin)
+        log_rest[likely] = top + np.log(np.add.reduceat(np.exp(others - np.repeat(top, d)), begin))
     run = np.cumsum(p)
     upto = run - np.repeat((run - p)[first[:-1]], degree)
     upto[first[1:] - 1] = 2.0  # the last edge of each node catches what rounding leaves
-    return Lattice(first, length, piece, log_p, upto)
+    return Lattice(first, length, piece, log_p, np.rint(log_p * FIXED).astype(np.int64), log_rest, upto)
 
 
 def uniforms(keys: np.ndarray, salt: int, at: np.ndarray) -> np.ndarray:
@@ -189,7 +212,7 @@ def segment_max(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
 class Search:
     """The search over the texts of a slice: a path has at each character 1 plus the edge that begins there, 0 if none does."""
 
-    def __init__(self, v: Vocabulary, table: tuple[np.ndarray, np.ndarray], texts: np.ndarray, keys: np.ndarray, bounds: np.ndarray):
+    def __init__(self, v: Vocabulary, table: tuple[np.ndarray, np.ndarray, np.ndarray], texts: np.ndarray, keys: np.ndarray, bounds: np.ndarray):
         self.codes, self.keys, self.bounds = texts, keys, bounds
         n = len(texts)
         mark = texts == MARK
@@ -222,32 +245,30 @@ class Search:
             go = at < end
             at, end = at[go], end[go]
 
-    def frontier(self, path: np.ndarray, since: np.ndarray, bound: np.ndarray, skip: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(key, position, log-probability of each row's path, bounds by row): the parts that differ from path first at position.
+    def frontier(self, path: np.ndarray, since: np.ndarray, rest: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(shortfall, position, log-probability of each row's path, bounds by row): the parts that differ from path first at position.
 
-        since: the first position of a row whose part is still open; skip: the log-mass of edges there that were taken before.
+        since: the first position of a row whose part is still open; rest: the log-mass of the edges there that are in no part yet (nan: all but the path's). A part's key is
+        -log(exp(-key of what it was split from) + exp(shortfall)), so the least shortfall has the largest key.
         """
         at = np.flatnonzero(path)
         row = self.row[at]
-        log_q = self.lattice.log_p[path[at] - 1]
-        fixed = np.rint(log_q * FIXED).astype(np.int64)  # sums of whole numbers do not depend on what else is in the slice
+        edge = path[at] - 1
+        fixed = self.lattice.fixed[edge]  # sums of whole numbers do not depend on what else is in the slice
         run = np.cumsum(fixed)
         edges = np.searchsorted(row, np.arange(len(self.bounds)))
         ahead = np.r_[0, run]
         base = ahead[edges[:-1]]
         total = (ahead[edges[1:]] - base) / FIXED
-        q = np.exp(log_q)
-        first = at == since[row]
-        gone = np.where(first, np.exp(skip[row]), 0.0)
-        rest = 1.0 - q - gone
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mass = np.where((at >= since[row]) & (rest > 1e-12), (run - fixed - base[row]) / FIXED + np.log(np.maximum(rest, 1e-300)), -np.inf)
-            noise = np.log(-np.log(uniforms(self.keys[row], salt, at - self.bounds[row])))
-            key = np.where(np.isfinite(mass), -np.logaddexp(-bound[row], noise - mass), -np.inf)
-        return key, at, total, edges
-
-
-def search(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], texts: np.ndarray, keys: np.ndarray, bounds: np.ndarray, k: int) -> tuple[Search, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+        log_rest = self.lattice.log_rest[edge]
+        split = np.flatnonzero((at == since[row]) & ~np.isnan(rest[row]))
+        log_rest[split] = rest[row[split]]
+        mass = (run - fixed - base[row]) / FIXED + log_rest
+        mass[at < since[row]] = -np.inf
+        return np.log(-np.log(uniforms(self.keys[row], salt, at - self.bounds[row]))) - mass, at, total, edges
+
+
+def search(v: Vocabulary, table: tuple[np.ndarray, np.ndarray, np.ndarray], texts: np.ndarray, keys: np.ndarray, bounds: np.ndarray, k: int) -> tuple[Search, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
     """(search, [(path, has, log-probability, key)] for each draw, threshold): the k segmentations of largest key of each text, and the next key."""
     s = Search(v, table, texts, keys, bounds)
     rows = len(bounds) - 1
@@ -255,42 +276,44 @@ def search(v: Vocabulary, table: tuple[np.ndarray, np.ndarray], texts: np.ndarra
     s.walk(path, s.chunk, s.chunk_end, 0)
     key = -np.log(-np.log(uniforms(keys, 1, np.zeros(rows))))
     has = np.ones(rows, bool)
-    since, skip, taken = bounds[:-1].copy(), np.full(rows, -np.inf), {}
+    since, rest, taken = bounds[:-1].copy(), np.full(rows, np.nan), {}
     draws, open_ = [], []
     for draw in range(k):
-        keys_of, at, total, edges = s.frontier(path, since, key, skip, 2 + 3 * draw)
+        short, at, total, edges = s.frontier(path, since, rest, 2 + 3 * draw)
         if not has.all():
-            keys_of = np.where(has[s.row[at]], keys_of, -np.inf) if len(at) else keys_of
+            short = np.where(has[s.row[at]], short, np.inf) if len(at) else short
         draws.append((path, has, total, np.where(has, key, -np.inf)))
         # Edges that were taken before at the place where this path left its part's prefix.
-        open_.append([keys_of, at, edges, since, taken])
-        best = [segment_max(x[0], x[2]) for x in open_]
-        tops = np.stack([b[0] for b in best])
+        open_.append([short, at, edges, since, taken, key])
+        best = [segment_max(-x[0], x[2]) for x in open_]
+        with np.errstate(invalid="ignore"):
+            tops = np.stack([np.where(np.isfinite(b[0]), -np.logaddexp(-x[5], -b[0]), -np.inf) for x, b in zip(open_, best, strict=True)])
         which = tops.argmax(axis=0)
         key = tops.max(axis=0)
         has = np.isfinite(key)
         if draw == k - 1:
             break
-        new, since, skip, taken = np.zeros_like(path), bounds[:-1].copy(), np.full(rows, -np.inf), {}
+        new, since, rest, taken = np.zeros_like(path), bounds[:-1].copy(), np.full(rows, np.nan), {}
         cut = bounds[:-1].copy()
         begin = np.zeros(rows, np.int64)
-        for d, (keys_of, at, _, start, before) in enumerate(open_):
+        for d, (short, at, _, start, before, _) in enumerate(open_):
             mine = np.flatnonzero(has & (which == d))
             if not len(mine):
                 continue
             i = best[d][1][mine]
             x = at[i]
-            keys_of[i] = -np.inf  # this part leaves the frontier
+            short[i] = np.inf  # this part leaves the frontier
             old = draws[d][0]
             u = uniforms(keys[mine], 3 + 3 * draw, x - bounds[mine])
             edge = np.zeros(len(mine), np.int64)
             for j, row in enumerate(mine.tolist()):  # a row for each text that goes on
                 gone = {int(old[x[j]]) - 1} | (before.get(row, set()) if start[row] == x[j] else set())
                 ways = [e for e in range(s.lattice.first[s.node[x[j]]], s.lattice.first[s.node[x[j]] + 1]) if e not in gone]
-                p = np.exp(s.lattice.log_p[ways])
-                edge[j] = ways[min(int(np.searchsorted(np.cumsum(p), u[j] * p.sum(), "right")), len(ways) - 1)]
-                taken[row] = gone
-                skip[row] = np.logaddexp.reduce(s.lattice.log_p[list(gone)])
+                log_p = s.lattice.log_p[ways]
+                upto = np.cumsum(np.exp(log_p - log_p.max()))
+                at_way = min(int(np.searchsorted(upto, u[j] * upto[-1], "right")), len(ways) - 1)
+                edge[j], taken[row] = ways[at_way], gone
+                rest[row] = np.logaddexp.reduce(np.delete(log_p, at_way)) if len(ways) > 1 else -np.inf
             cut[mine], since[mine], begin[mine] = x, x, x + s.lattice.length[edge]
             from_old = np.zeros(rows, bool)
             from_old[mine] = True
@@ -326,7 +349,7 @@ def segmentations(docs: DataFrame, k: int = SAMPLES, model_file: str = MODEL_FIL
                 yield from drawn(table, big.slice(a, b - a), data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
                 a = b
 
-    def drawn(table: tuple[np.ndarray, np.ndarray], rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def drawn(table: tuple[np.ndarray, np.ndarray, np.ndarray], rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         codes, edges, first_byte = marked(data, bounds, v.prefix)
         keys = rows.column(2).to_numpy().view(np.uint64)
         s, draws, after = search(v, table, codes, keys, edges, k)
@@ -398,25 +421,68 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, text_col: str = "text"
     return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("__text")).mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), T.StructField(to, T.ArrayType(T.IntegerType()))]))
 
 
+def surfaces(proto: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all pieces one after another, start of each, length of each): what ids stand for, with a space for MARK; control pieces are empty."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(proto)
+    kinds = model.pieces[0]
+    told = {kinds.BYTE: lambda x: bytes([int(x[3:5], 16)]), kinds.UNKNOWN: lambda x: model.trainer_spec.unk_surface.encode(), kinds.CONTROL: lambda x: b""}
+    parts = [told.get(x.type, lambda t: t.replace(chr(MARK), " ").encode())(x.piece) for x in model.pieces]
+    length = np.array([len(x) for x in parts])
+    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(length) - length, length
+
+
 def decode(rows: DataFrame, model_file: str = MODEL_FILE, pieces_col: str = "pieces", to: str = "text") -> DataFrame:
-    """rows with `to`, the text of ids in array<int> or packed 32-bit numbers; null stays null. A column of that name is replaced."""
-    proto = vocabulary(model_file).proto
+    """rows with `to`, the text of ids in array<int> or packed 32-bit numbers; null stays null. A column of that name is replaced.
+
+    Bytes that are no UTF-8 become replacement characters, as the model's own decoder has it. Repeated rows are decoded alike; an empty table gives no rows.
+    """
+    v = vocabulary(model_file)
+    proto, prefix = v.proto, v.prefix
     kept = [c for c in rows.columns if c != to]
-    packed = isinstance(rows.schema[pieces_col].dataType, T.BinaryType)
+
+    def whole(column: pa.Array, blob: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+        """Texts of a column of ids, gathered byte by byte; None if some bytes are no UTF-8."""
+        if pa.types.is_binary(column.type):
+            _, offsets, data = column.fill_null(b"").buffers()
+            edges = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // 4
+            ids = np.frombuffer(data, "<i4") if data is not None and len(data) else np.zeros(0, np.int32)
+            ids, edges = ids[edges[0] : edges[-1]], edges - edges[0]
+        else:
+            column_ = column.fill_null(pa.scalar([], column.type))
+            ids, edges = column_.flatten().to_numpy(), np.r_[0, np.cumsum(pc.list_value_length(column_).to_numpy().astype(np.int64))]
+        size = length[ids]
+        ends = np.r_[0, np.cumsum(size)]
+        data = blob[np.repeat(start[ids] - ends[:-1], size) + np.arange(ends[-1])]
+        bounds = ends[edges]
+        if prefix:  # the space that the model puts before each text
+            drop = bounds[:-1][np.diff(bounds) > 0]
+            drop = drop[data[drop] == 32]
+            data, bounds = np.delete(data, drop), bounds - np.searchsorted(drop, bounds)
+        out = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data.tobytes()))
+        out.validate(full=True)
+        return pc.if_else(column.is_valid(), out, pa.scalar(None, out.type)).cast(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        table, model = surfaces(proto), sentencepiece.SentencePieceProcessor(model_proto=proto)
         for batch in batches:
-            found = batch.column(len(kept)).to_pylist()
-            ids = [[] if x is None else np.frombuffer(x, "<i4").tolist() if packed else x for x in found]
-            texts = model.decode(ids) if ids else []
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array([None if x is None else t for x, t in zip(found, texts, strict=True)], pa.string())], [*kept, to])
+            column = batch.column(len(kept))
+            try:
+                texts = whole(column, *table)
+            except pa.ArrowInvalid:
+                packed = pa.types.is_binary(column.type)
+                found = [None if x is None else model.decode(np.frombuffer(x, "<i4").tolist() if packed else x) for x in column.to_pylist()]
+                texts = pa.array(found, pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], texts], [*kept, to])
 
     return rows.select(*[F.col(f"`{c}`") for c in kept], F.col(pieces_col).alias("__pieces")).mapInArrow(run, T.StructType([*(rows.schema[c] for c in kept), T.StructField(to, T.StringType())]))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = segmentations(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "sample", "log_prob", "key", "inclusion", (F.octet_length("pieces") / 4).cast("long").alias("n_pieces"), F.crc32("pieces").alias("pieces_crc32"))
+    """The drawn segmentations, and the checksum of the text that each decodes to."""
+    found = decode(segmentations(read(spark, sf_dir, "documents")), to="decoded")
+    return found.select("doc_id", "sample", "log_prob", "key", "inclusion", (F.octet_length("pieces") / 4).cast("long").alias("n_pieces"), F.crc32("pieces").alias("pieces_crc32"), F.crc32("decoded").alias("text_crc32"), "pieces")

@@ -1,5 +1,6 @@
 import itertools
 import os
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -106,3 +107,36 @@ def test_encode_and_decode(spark, model):
     back = {r.doc_id: r.text for r in S.decode(coded).collect()}
     assert all(back[i] == (t if t is None else t.replace("▁", " ")) for i, t in enumerate(TEXTS))
     assert S.segmentations(df.limit(0)).count() == 0 and S.encode(df.limit(0)).count() == 0
+
+
+def test_segmentations_of_tiny_mass_are_not_lost(spark, model):
+    # One piece holds all but 1e-13 of the mass of its text.
+    v = S.vocabulary()
+    weights = v.weights.copy()
+    weights[model.piece_to_id("▁the")] += 40
+    sharp = S.Vocabulary(weights, v.hashes, v.ids, v.prefixes, v.longest, v.first_byte, v.unknown, v.prefix, v.proto)
+    p = brute(model, sharp, "the")
+    data = np.frombuffer("the".encode() * 4, np.uint8)
+    codes, edges, _ = S.marked(data, np.array([0, 3, 6, 9, 12]), True)
+    k = len(p) + 1
+    _, draws, _ = S.search(sharp, sharp.lookup(), codes, np.arange(4, dtype=np.uint64), edges, k)
+    assert max(p.values()) > 1 - 1e-12 and len(p) > 4
+    assert [int(has.sum()) for _, has, _, _ in draws] == [4] * len(p) + [0]
+
+
+def test_decoding_of_any_bytes(spark, model):
+    v = S.vocabulary()
+    ids = [[v.first_byte + 0xC3], [v.first_byte + 0xE2, v.first_byte + 0x82], [], None, model.encode("ok then"), [v.unknown, 5]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "n int, pieces array<int>").repartition(1)
+    assert {r.n: r.text for r in S.decode(df).collect()} == {i: None if x is None else model.decode(x) for i, x in enumerate(ids)}
+
+
+def test_query_round_trip(spark, model, tmp_path):
+    texts = [t.replace("▁", "_") if t else t for t in TEXTS]
+    spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(0, texts[0], 1)], "doc_id long, text string, sample int").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = S.op2_sentencepiece(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in rows)[0] == 6
+    for r in rows:
+        ids = np.frombuffer(r.pieces, "<i4").tolist()
+        assert model.decode(ids) == (texts[r.doc_id] or "") and len(ids) == r.n_pieces
+        assert r.text_crc32 == zlib.crc32((texts[r.doc_id] or "").encode()) and r.pieces_crc32 == zlib.crc32(r.pieces)
