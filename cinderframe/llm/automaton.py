@@ -57,7 +57,7 @@ class _Node:
         self.most = -1
 
 
-def build(entries: list[Entry], folds: int = 0x250) -> Automaton:
+def build(entries: list[Entry]) -> Automaton:
     """The automaton of some entries in lower case. Swapped neighbours are one edit, as is a letter too many, too few or wrong.
 
     A state is the set of (trie node, edits so far, letter of a swap still to come) that the letters read so far can have led to.
@@ -142,8 +142,9 @@ def build(entries: list[Entry], folds: int = 0x250) -> Automaton:
                 best = max(best, kind)
         return best
 
-    symbols = np.zeros(folds, np.int32)
-    for code in range(folds - 1):
-        lower = chr(code).lower()
-        symbols[code] = number.get(lower, 0) if len(lower) == 1 else 0
+    # A letter counts in either case, whatever its alphabet; the last symbol stands for all code points above.
+    forms = {form for c in letters for form in (c, c.upper(), c.title()) if len(form) == 1}
+    symbols = np.zeros(max(map(ord, forms), default=0) + 2, np.int32)
+    for form in forms:
+        symbols[ord(form)] = number.get(form.lower(), number.get(form, 0))
     return Automaton(np.array(rows, np.int32), np.array([result(s) for s in order], np.int8), symbols)

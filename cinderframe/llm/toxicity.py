@@ -1,19 +1,18 @@
 """Toxicity: a learned lexicon, matched by Levenshtein automata, with context windows that tell quotation from abuse.
 
 The lexicon is learned from labelled documents: words, and stems that take many endings, that stand in many toxic documents and in hardly any
-other. All words of all texts run through one automaton. Each hit looks at its window: hits in quotation marks or next to a verb of
-saying count as quoted. A logistic model over the counts of a document gives its score.
+other. All words of all texts run through one automaton. Each hit looks at its window: hits between paired quotation marks of one line or next to
+a verb of saying count as quoted. A logistic model over the counts of a document and its length gives its score.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,23 +20,24 @@ from .automaton import EXACT, FUZZY, NONE, STEM, Automaton, Entry, build
 from .buffers import IS_SPACE, slices
 from .tables import durable, fold, read
 
-#: Labelled documents of each class from which the lexicon is learned (drawn by a hash of their id), and its entries at most.
-TRAIN_DOCS, ENTRIES = 20_000, 120
-#: Toxic documents that an entry must stand in, and one more stem beside the chosen ones; candidates that are counted, lengths of stems.
-LEAST_DOCS, LEAST_STEM, CANDIDATES, STEMS = 3, 10, 60_000, (4, 5, 6, 7)
-#: An entry must be so many times as frequent in toxic documents, and so far from chance (log-likelihood ratio).
-RATIO, EVIDENCE = 15.0, 15.0
+#: Labelled documents of each class from which the lexicon is learned, a bounded sample drawn by a hash of their id. Nothing else is bounded: each entry
+#: that passes the next three thresholds is kept, and none of them depends on the number of rows.
+TRAIN_DOCS = 20_000
+#: Toxic documents that an entry must add to those of the entries before it; how many times as frequent it must be in toxic documents as in others; and how
+#: far from chance (log-likelihood ratio).
+LEAST_DOCS, RATIO, EVIDENCE = 3, 15.0, 15.0
+#: Lengths of stems.
+STEMS = (4, 5, 6, 7)
 #: Words to either side in which a verb of saying makes a hit a quotation.
 WINDOW = 4
-SAYING = [Entry(w) for w in ("said", "says", "wrote", "writes", "quote", "quoted", "quotes", "quoting", "called", "word", "term", "dit", "écrit", "sagte", "schrieb", "dijo", "escribió")]
-#: Counts above this are one.
-MOST = 3
+#: The verbs, a parameter of hits() and toxicity(). Fixed values.
+SAYING = ("said", "says", "wrote", "writes", "quote", "quoted", "quotes", "quoting", "called", "word", "term", "dit", "écrit", "sagte", "schrieb", "dijo", "escribió")
 THRESHOLD = 0.7
 KINDS = ("exact", "fuzzy", "stem", "quoted")
 
-_CODES = 0x250
+_CODES = 0x3000
 ALNUM = np.array([chr(c).isalnum() for c in range(_CODES)])
-QUOTE = {ord(c) for c in "\"“”«»„"}
+QUOTE = np.array(sorted(map(ord, "\"“”«»„")), np.uint32)
 
 
 def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -66,32 +66,22 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return codes, starts, ends, np.searchsorted(edges, starts, "right") - 1
 
 
-def _entries(text: str) -> set[tuple[str, bool]]:
-    """All words of a text and their possible stems."""
-    words = {w.strip("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())).lower() for w in text.split()}
-    words.discard("")
-    return {(w, False) for w in words if len(w) >= 3} | {(w[:k], True) for w in words for k in STEMS if len(w) > k}
+def _entries(text: Column) -> Column:
+    """All distinct words of a text and their possible stems, as array<struct<entry, stem>>."""
+    words = F.transform(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    words = F.array_distinct(words)
+    told = lambda found, stem: F.transform(found, lambda w: F.struct(w.alias("entry"), F.lit(stem).alias("stem")))
 
+    def stems(size: int) -> Column:
+        return F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > size), lambda w: F.substring(w, 1, size)))
 
-def _counts(texts: DataFrame, wanted: set[tuple[str, bool]] | None) -> DataFrame:
-    """(entry, stem, toxic docs, other docs) over (text, label) rows, of wanted entries or all."""
+    return F.concat(told(F.filter(words, lambda w: F.length(w) >= 3), False), *(told(stems(k), True) for k in STEMS))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for rows in batches:
-            for text, label in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                found = _entries(text or "")
-                seen[label].update(found if wanted is None else found & wanted)
-        keys = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([seen[1][k] for k in keys], pa.int64()), pa.array([seen[0][k] for k in keys], pa.int64())], ["entry", "stem", "toxic", "other"])
 
-    return texts.mapInArrow(count, "entry string, stem boolean, toxic long, other long").groupBy("entry", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-
-
-def _evidence(a: float, n: float, b: float, m: float) -> float:
+def _evidence(a: Column, n: int, b: Column, m: int) -> Column:
     """Log-likelihood ratio of a of n against b of m."""
     rate = (a + b) / (n + m)
-    term = lambda k, expected: k * math.log(k / expected) if k else 0.0
+    term = lambda k, expected: F.when(k > 0, k * F.log(k / expected)).otherwise(0.0)
     return 2 * (term(a, n * rate) + term(b, m * rate) + term(n - a, n * (1 - rate)) + term(m - b, m * (1 - rate)))
 
 
@@ -99,102 +89,122 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Entries from (id, label) rows. A bounded sample of TRAIN_DOCS documents of each label; each chosen entry covers toxic documents that none before it did."""
     drawn = [labels.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(TRAIN_DOCS) for k in (0, 1)]
     sample = durable(drawn[0].unionByName(drawn[1]).select("id", F.col("label").cast("int").alias("label")))
-    texts = docs.join(F.broadcast(sample), docs[id_col] == F.col("id")).select("id", F.col(text_col).alias("text"), "label")  # 2 * TRAIN_DOCS ids
+    texts = docs.join(F.broadcast(sample), docs[id_col] == F.col("id")).select("id", "label", F.coalesce(F.col(text_col), F.lit("")).alias("text"))  # 2 * TRAIN_DOCS ids
     size = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if len(size) < 2:
         return []
-    toxic = texts.where("label = 1").select("text", "label")
-    least = max(LEAST_DOCS, size[1] // 1000)
-    often = _counts(toxic, None).where(F.col("toxic") >= least).orderBy(F.desc("toxic"), "entry", "stem").limit(CANDIDATES).collect()
-    n = {(r.entry, r.stem): r.toxic for r in often}
-    others = {(r.entry, r.stem): r.other for r in _counts(texts.where("label = 0").select("text", "label"), set(n)).collect()}
-    clear = {k: a for k, a in n.items() if a / size[1] >= RATIO * others.get(k, 0) / size[0] and _evidence(a, size[1], others.get(k, 0), size[0]) >= EVIDENCE}
+    spread = texts.select("id", "label", F.explode(_entries(F.col("text"))).alias("e")).select("id", "label", "e.entry", "e.stem")
+    counts = spread.groupBy("entry", "stem").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"))
+    clear_ = durable(counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") / size[1] >= RATIO * F.col("other") / size[0]) & (_evidence(F.col("toxic"), size[1], F.col("other"), size[0]) >= EVIDENCE)))
+    clear = {(r.entry, r.stem): r.toxic for r in clear_.collect()}  # entries of the sample only
     if not clear:
         return []
-    stems = {k: a for k, a in clear.items() if k[1]}
-
-    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            found = [sorted(e for e in _entries(t or "") if e in clear) for t in rows.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([[("s" if s else "w") + e for e, s in f] for f in found], pa.list_(pa.string()))], ["found"])
-
     # At most TRAIN_DOCS lists. A chosen entry must cover documents that are not covered yet, so the words of a much copied document add nothing.
-    holds = [{(e[1:], e[0] == "s") for e in r[0]} for r in toxic.mapInArrow(hit, "found array<string>").collect()]
+    held = spread.where("label = 1").join(F.broadcast(clear_.select("entry", "stem")), ["entry", "stem"]).groupBy("id").agg(F.collect_set(F.struct("entry", "stem")).alias("found"))
+    holds = {n: {(e.entry, e.stem) for e in r.found} for n, r in enumerate(held.select("found").collect())}
+    gain = Counter(e for h in holds.values() for e in h)
     chosen: list[tuple[str, bool]] = []
-    while len(chosen) < ENTRIES:
-        gain = Counter(e for h in holds for e in h)
+    while gain:
         # Of equal gain the shortest stem, then words.
-        best = max(gain, key=lambda e: (gain[e], e[1], -len(e[0]), e[0]), default=None)
-        if best is None or gain[best] < least:
+        best = max(gain, key=lambda e: (gain[e], e[1], -len(e[0]), e[0]))
+        if gain[best] < LEAST_DOCS:
             break
         chosen.append(best)
-        holds = [h for h in holds if best not in h]
+        for n in [n for n, h in holds.items() if best in h]:
+            gain.subtract(holds.pop(n))
     out = []
     for text, stem in chosen:
         # A stem that only ever begins one word is that word.
         whole = max((k for k in clear if not k[1] and k[0].startswith(text)), key=lambda k: (clear[k], k[0]), default=None) if stem else None
-        out.append(Entry(whole[0]) if whole and clear[whole] >= 0.9 * stems[text, True] else Entry(text, stem))
+        out.append(Entry(whole[0]) if whole and clear[whole] >= 0.9 * clear[text, True] else Entry(text, stem))
     # What chosen entries cover together with others, by the same measure: clear words and the shortest clear stems at least half as frequent as the rarest chosen.
     rarest = {kind: min((clear.get((e.text, kind), 0) for e in out if e.stem is kind), default=0) for kind in (False, True)}
     more: list[Entry] = []
     for (text, stem), a in sorted(clear.items(), key=lambda x: (not x[0][1], len(x[0][0]), x[0])):
-        known = [*out, *more]
-        if not rarest[stem] or a < max(least, 0.5 * rarest[stem], LEAST_STEM * stem) or any(e.stem and text.startswith(e.text) or stem and e.text.startswith(text) for e in known):
+        if not rarest[stem] or a < 0.5 * rarest[stem] or any(e.stem and text.startswith(e.text) or stem and e.text.startswith(text) for e in (*out, *more)):
             continue
         more.append(Entry(text, stem))
-    return sorted(set(out) | set(more[:ENTRIES]), key=lambda e: (e.text, e.stem))
+    return sorted(set(out) | set(more), key=lambda e: (e.text, e.stem))
 
 
-def hits(docs: DataFrame, lexicon: list[Entry], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, exact, fuzzy, stem, quoted): abusive hits of each kind in every whole text, and quoted ones of any kind; null counts as empty."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(k, T.IntegerType()) for k in KINDS)])
-    terms, saying = build(lexicon), build(SAYING)
+def hits(docs: DataFrame, lexicon: list[Entry], id_col: str = "doc_id", text_col: str = "text", saying: Sequence[str] = SAYING) -> DataFrame:
+    """(id, exact, fuzzy, stem, quoted, words): abusive hits of each kind in every whole text, quoted ones of any kind, and all words; null counts as empty."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(k, T.IntegerType()) for k in (*KINDS, "words"))])
+    terms, verbs = build(lexicon), build([Entry(w) for w in saying])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in slices(batches, "text"):
             n = rows.num_rows
-            counts = _scan(terms, saying, data, bounds) if len(data) else np.zeros((n, len(KINDS)), np.int32)
-            yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(counts[:, i].astype(np.int32)) for i in range(len(KINDS)))], schema.names)
+            counts = _scan(terms, verbs, data, bounds) if len(data) else np.zeros((n, len(KINDS) + 1), np.int32)
+            yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(counts[:, i].astype(np.int32)) for i in range(len(KINDS) + 1))], schema.names)
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(scan, schema)
 
 
-def _scan(terms: Automaton, saying: Automaton, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def quotations(codes: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of opening and closing marks of each quotation: two neighbouring marks of one line and one text, the first opening and the second closing.
+
+    A mark opens if white space or a bracket stands before it and none after it, and closes otherwise; so an inch sign or a lone mark quotes nothing. The forms
+    of one direction go by it, and « and » by the space inside them.
+    """
+    at = np.flatnonzero(np.isin(codes, QUOTE))
+    if len(at) < 2:
+        return at[:0], at[:0]
+    row = np.searchsorted(edges, at, "right") - 1
+    blank = np.zeros(256, bool)
+    blank[: len(IS_SPACE)] = IS_SPACE
+    space = lambda i: blank[np.minimum(codes[i], 255)] & (codes[i] < 256)
+    first, last = at == edges[row], at + 1 == edges[row + 1]
+    before = first | space(np.maximum(at - 1, 0)) | np.isin(codes[np.maximum(at - 1, 0)], [40, 91, 123])
+    after = last | space(np.minimum(at + 1, len(codes) - 1))
+    mark = codes[at]
+    opens = before & ~after
+    opens = np.where(mark == ord("„"), True, np.where(mark == ord("”"), False, opens))
+    opens = np.where(mark == ord("«"), before, np.where(mark == ord("»"), before & ~after, opens))
+    line = np.r_[0, np.cumsum(codes == 10)][at]
+    pair = np.flatnonzero(opens[:-1] & ~opens[1:] & (row[1:] == row[:-1]) & (line[1:] == line[:-1]))
+    return at[pair], at[pair + 1]
+
+
+def _scan(terms: Automaton, verbs: Automaton, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     codes, starts, ends, row = words_of(data, bounds)
+    n = len(bounds) - 1
     found = terms.run(codes, starts, ends)
     at = np.flatnonzero(found != NONE)
     quoted = np.zeros(len(at), bool)
     if len(at):
-        # Inside quotation marks: an odd number of them since the text's beginning.
-        marks = np.r_[0, np.cumsum(np.isin(codes, list(QUOTE)))]
-        begin = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][bounds[row[at]]]
-        quoted = (marks[starts[at]] - marks[begin]) % 2 == 1
+        opening, closing = quotations(codes, np.r_[0, np.cumsum((data & 0xC0) != 0x80)][bounds])
+        if len(opening):
+            left = np.searchsorted(opening, starts[at], "right") - 1
+            quoted = (left >= 0) & (starts[at] < closing[np.maximum(left, 0)])
         near = at[:, None] + np.r_[-WINDOW:0, 1 : WINDOW + 1]
         real = (near >= 0) & (near < len(starts))
         near = np.clip(near, 0, max(0, len(starts) - 1))
         real &= row[near] == row[at][:, None]
         which = np.unique(near[real])
         says = np.zeros(len(starts), bool)
-        says[which] = saying.run(codes, starts[which], ends[which]) == EXACT
+        says[which] = verbs.run(codes, starts[which], ends[which]) == EXACT
         quoted |= (says[near] & real).any(axis=1)
     kind = np.where(quoted, 3, np.select([found[at] == EXACT, found[at] == FUZZY], [0, 1], 2))
     assert len(KINDS) == 4 and STEM == 3
-    return np.bincount(row[at] * 4 + kind, minlength=4 * (len(bounds) - 1)).reshape(-1, 4)
+    return np.concatenate([np.bincount(row[at] * 4 + kind, minlength=4 * n).reshape(-1, 4), np.bincount(row, minlength=n)[:, None]], axis=1)
+
+
+def _level(column: str) -> Column:
+    """A count as 0, 1, 2, 3, 4 ... for 0, 1, 2-3, 4-7, 8-15 ...: every count weighs, and there are 32 levels at most."""
+    return F.floor(F.log2(F.col(column) + 1)).cast("int")
 
 
-def _inputs(counts: np.ndarray) -> np.ndarray:
-    few = np.minimum(counts, MOST).astype(float)
-    return np.concatenate([np.ones((len(few), 1)), few, few > 0], axis=1)
+def _inputs(levels: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.ones((len(levels), 1)), levels, levels[:, : len(KINDS)] > 0], axis=1).astype(float)
 
 
 def fit(found: DataFrame, labels: DataFrame, steps: int = 60, penalty: float = 0.1) -> np.ndarray:
-    """Logistic weights from (id, label) rows by Newton's method; the driver gets a row for each of the (MOST + 1)**4 cases and label at most."""
-    few = [F.least(F.col(k), F.lit(MOST)).alias(k) for k in KINDS]
-    cells = found.join(labels.where("label is not null"), "id").select(*few, F.col("label").cast("int").alias("label")).groupBy(*KINDS, "label").count().collect()
-    w = np.zeros(1 + 2 * len(KINDS))
-    if not cells:
-        return w
-    x, y, n = _inputs(np.array([r[:4] for r in cells])), np.array([r[4] for r in cells], float), np.array([r[5] for r in cells], float)
+    """Logistic weights from (id, label) rows by Newton's method; the driver gets a row for each combination of five levels and label that occurs."""
+    few = [_level(k).alias(k) for k in (*KINDS, "words")]
+    cells = found.join(labels.where("label is not null"), "id").select(*few, F.col("label").cast("int").alias("label")).groupBy(*KINDS, "words", "label").count().collect()
+    w = np.zeros(2 + 2 * len(KINDS))
+    x, y, n = _inputs(np.array([r[:5] for r in cells]).reshape(-1, 5)), np.array([r[5] for r in cells], float), np.array([r[6] for r in cells], float)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-x @ w))
         hessian = (x * (n * p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w))
@@ -202,19 +212,26 @@ def fit(found: DataFrame, labels: DataFrame, steps: int = 60, penalty: float = 0
     return w
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, exact, fuzzy, stem, quoted) for each row of docs: how likely label 1 is. `labels` has columns id and label 0 or 1; nulls take no part.
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", saying: Sequence[str] = SAYING) -> DataFrame:
+    """(id, score, exact, fuzzy, stem, quoted, words) for each row of docs: how likely label 1 is. `labels` has columns id and label 0 or 1; nulls take no part.
 
     Without both labels nothing is learned and every score is the labels' share, 0.5 without any. Null and empty texts are texts without
     hits. Repeated rows get a row each, an empty table none; other columns are not read.
     """
     labels = labels.where("label is not null and id is not null")
-    found = durable(hits(docs, learn_lexicon(docs, labels, id_col, text_col), id_col, text_col))
-    w = fit(found, labels)
-    z = F.lit(float(w[0]))
-    for i, k in enumerate(KINDS):
-        z = z + F.least(F.col(k), F.lit(MOST)) * float(w[1 + i]) + (F.col(k) > 0).cast("int") * float(w[1 + len(KINDS) + i])
-    return found.select(F.col("id").alias(id_col), (1 / (1 + F.exp(-z))).alias("score"), *KINDS)
+    known = {r[0]: r[1] for r in labels.groupBy("label").count().collect()}
+    found = durable(hits(docs, learn_lexicon(docs, labels, id_col, text_col), id_col, text_col, saying))
+    if len(known) < 2:
+        score = F.lit(float(next(iter(known), 0.5)))
+    else:
+        w = fit(found, labels)
+        z = F.lit(float(w[0]))
+        for i, k in enumerate((*KINDS, "words")):
+            z = z + _level(k) * float(w[1 + i])
+        for i, k in enumerate(KINDS):
+            z = z + (F.col(k) > 0).cast("int") * float(w[2 + len(KINDS) + i])
+        score = 1 / (1 + F.exp(-z))
+    return found.select(F.col("id").alias(id_col), score.alias("score"), *KINDS, "words")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

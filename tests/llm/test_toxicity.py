@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -60,8 +61,35 @@ def test_no_entries():
     assert A.build([]).run(np.array([97], np.uint32), np.array([0]), np.array([1])).tolist() == [A.NONE]
 
 
-def counts(documents, texts, entries):
-    return {r.id: tuple(r[k] for k in X.KINDS) for r in X.hits(documents(texts), entries).collect()}
+def counts(documents, texts, entries, **more):
+    return {r.id: tuple(r[k] for k in X.KINDS) for r in X.hits(documents(texts), entries, **more).collect()}
+
+
+def test_quotation_marks_pair_within_a_line(documents):
+    entries = [A.Entry("idiot"), A.Entry("идиот")]
+    texts = [
+        'The 5" pipe broke. You idiot, you are an idiot.', 'an open " mark and idiot\nidiot" here', '"Fine," she thought, idiot, "fine."', "„idiot“ «idiot» “idiot” « idiot »",
+        '("idiot")', "Ты ИДИОТ идиот „идиот“", 'he growled idiot', '"one idiot" idiot "two idiot"', "»idiot« idiot",
+    ]
+    quoted = {0: (2, 0), 1: (2, 0), 2: (1, 0), 3: (0, 4), 4: (0, 1), 5: (2, 1), 6: (1, 0), 7: (1, 2), 8: (2, 0)}
+    got = counts(documents, texts, entries)
+    assert {i: (x[0], x[3]) for i, x in got.items() if i != 8} == {i: x for i, x in quoted.items() if i != 8}
+    assert counts(documents, texts, entries, saying=("growled",))[6] == (0, 0, 0, 1)
+    assert counts(documents, ["he said idiot"], entries, saying=())[0] == (1, 0, 0, 0)
+
+
+def test_every_count_weighs(spark, documents):
+    """3 and 300 hits, and short and long texts, do not score alike."""
+    rng = random.Random(3)
+    rows = [("idiot " * k + "word " * n, y) for y in (0, 1) for _ in range(60) for k, n in [(rng.choice([1, 2, 3]) if y == 0 else rng.choice([40, 300]), 400)]]
+    texts = [t for t, _ in rows] + ["idiot " * 3 + "word " * 400, "idiot " * 300 + "word " * 400, "idiot " * 3]
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "id long, label int")
+    lexicon = [A.Entry("idiot")]
+    found = X.durable(X.hits(documents(texts), lexicon))
+    w = X.fit(found, labels)
+    levels = np.array([[int(np.log2(r[k] + 1)) for k in (*X.KINDS, "words")] for r in found.orderBy("id").collect()])
+    z = X._inputs(levels) @ w
+    assert z[-3] < -1 < 1 < z[-2] and z[-1] != z[-3]
 
 
 def test_hits_and_quotation(documents):
@@ -103,5 +131,34 @@ def test_learns_words_and_stems(spark, documents):
 
 def test_without_labels(spark, documents):
     none = spark.createDataFrame([], "id long, label int")
+    for label in (0, 1):
+        one = spark.createDataFrame([(0, label), (1, label)], "id long, label int")
+        assert {r.score for r in X.toxicity(documents(["a", None, ""]), one).collect()} == {float(label)}
     assert {r.score for r in X.toxicity(documents(["a", None, ""]), none).collect()} == {0.5}
     assert X.toxicity(documents(["a"]).limit(0), none).count() == 0
+
+
+def test_lexicon_has_no_cap(spark, documents):
+    """300 words of 8 toxic documents each are all learned."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=9))
+    terms = [word() for _ in range(300)]
+    texts = [f"{terms[i % 300]} {word()} {word()}" for i in range(2400)] + [f"{word()} {word()} {word()}" for _ in range(20_000)]
+    labels = spark.createDataFrame([(i, int(i < 2400)) for i in range(len(texts))], "id long, label int")
+    lexicon = X.learn_lexicon(documents(texts), labels)
+    covered = [t for t in terms if any(e.text == t or e.stem and t.startswith(e.text) for e in lexicon)]
+    assert len(covered) == len(terms)
+
+
+def test_query_columns_folds_and_held_out_accuracy(spark, documents, tmp_path):
+    data = corpus(900, 5)
+    texts = [t for t, _ in data] + [None, "", "moron " * 50_000]
+    documents(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(data)] + [(None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = {r.doc_id: r for r in X.op8_toxicity(spark, str(tmp_path)).collect()}
+    assert sorted(rows) == list(range(len(texts))) and set(rows[0].asDict()) == {"doc_id", "held_out", "score", "predicted"}
+    for i, r in rows.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1
+    held = [i for i in range(len(data)) if rows[i].held_out]
+    assert np.mean([rows[i].predicted == data[i][1] for i in held]) > 0.97
+    assert rows[len(texts) - 1].predicted == 1 and rows[len(texts) - 2].predicted == rows[len(texts) - 3].predicted == 0
