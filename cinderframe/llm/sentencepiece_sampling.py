@@ -27,7 +27,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations drawn for each text.
 SAMPLES = 3
 #: Bytes of text searched together, and the code point that stands for a space.
-SLICE, MARK = 2_000_000, 0x2581
+SLICE, MARK = 1_500_000, 0x2581
 SLOTS = 20
 #: Log-probabilities are summed in units of its inverse: exact for texts of some 10**8 characters.
 FIXED = 2.0**32
@@ -330,43 +330,46 @@ def search(v: Vocabulary, table: tuple[np.ndarray, np.ndarray, np.ndarray], text
     return s, draws, key
 
 
-def segmentations(docs: DataFrame, k: int = SAMPLES, model_file: str = MODEL_FILE, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
+def segmentations(docs: DataFrame, k: int = SAMPLES, model_file: str = MODEL_FILE, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, decoded: bool = False) -> DataFrame:
     """(id, sample, log_prob, key, inclusion, pieces): k distinct segmentations of every whole text, drawn without replacement; fewer if the text has fewer.
 
     `key` is the perturbed log-probability, falling with `sample` from 1; `inclusion` is the probability that the segmentation's key exceeds the
-    first one left out, 1 if none is. `pieces` holds its ids as little-endian 32-bit numbers. The draw depends on seed, id and text alone. A null or
-    empty text has one segmentation, without pieces. Repeated rows are drawn alike; null ids share a key; an empty table gives no rows.
+    first one left out, 1 if none is. `pieces` holds its ids as little-endian 32-bit numbers. The draw depends on seed, id and text alone. With
+    `decoded`, a column of that name has the text that the pieces stand for, as decode() gives it. A null or empty text has one segmentation, without pieces. Repeated rows are drawn alike; null ids share a key; an empty table gives no rows.
     """
     v = vocabulary(model_file)
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("sample", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in ("log_prob", "key", "inclusion")), T.StructField("pieces", T.BinaryType())])
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("sample", T.IntegerType()), *(T.StructField(c, T.DoubleType()) for c in ("log_prob", "key", "inclusion")), T.StructField("pieces", T.BinaryType()), *([T.StructField("decoded", T.StringType())] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = v.lookup()
+        table, told = v.lookup(), surfaces(v.proto) if decoded else None
         for big, data, bounds in slices(batches, "text"):
             a = 0
             while a < big.num_rows:
                 b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + SLICE, "right")) - 1)
-                yield from drawn(table, big.slice(a, b - a), data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+                yield from drawn(table, told, big.slice(a, b - a), data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
                 a = b
 
-    def drawn(table: tuple[np.ndarray, np.ndarray, np.ndarray], rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def drawn(table: tuple[np.ndarray, np.ndarray, np.ndarray], told: tuple | None, rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         codes, edges, first_byte = marked(data, bounds, v.prefix)
         keys = rows.column(2).to_numpy().view(np.uint64)
         s, draws, after = search(v, table, codes, keys, edges, k)
         after = np.round(after, 8)
         parts: list[tuple] = [[], [], [], [], [], []]
+        texts = []
         for nth, (path, has, log_prob, key) in enumerate(draws):
             live, log_prob, key = np.flatnonzero(has), np.round(log_prob, 8), np.round(key, 8)
             at = np.flatnonzero(path)
             ids, count = piece_ids(v, s, path, at, data, first_byte)
             ends = np.r_[0, np.cumsum(count)][np.searchsorted(s.row[at], np.arange(len(edges)))]
             whole = ids.astype("<i4").tobytes()
+            if told:
+                texts.append(gathered(ids, ends, told, v.prefix).take(pa.array(live)))
             with np.errstate(over="ignore"):
                 inclusion = -np.expm1(-np.exp(log_prob[live] - after[live]))
             for column, x in zip(parts, (live, np.full(len(live), nth + 1, np.int32), log_prob[live], key[live], inclusion, [whole[4 * ends[i] : 4 * ends[i + 1]] for i in live.tolist()]), strict=True):
                 column.append(x)
         live = np.concatenate(parts[0])
-        yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(live)), *(pa.array(np.concatenate(x)) for x in parts[1:5]), pa.array([x for part in parts[5] for x in part], pa.binary())], schema.names)
+        yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(live)), *(pa.array(np.concatenate(x)) for x in parts[1:5]), pa.array([x for part in parts[5] for x in part], pa.binary()), *([pa.concat_arrays(texts).cast(pa.string())] if told else [])], schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)).alias("__key")).mapInArrow(run, schema)
 
@@ -434,6 +437,20 @@ def surfaces(proto: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(length) - length, length
 
 
+def gathered(ids: np.ndarray, edges: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray], prefix: bool) -> pa.Array:
+    """The texts of ids[edges[i]:edges[i+1]], put together byte by byte, as large strings that are not checked to be UTF-8."""
+    blob, start, length = table
+    size = length[ids]
+    ends = np.r_[0, np.cumsum(size)]
+    data = blob[np.repeat(start[ids] - ends[:-1], size) + np.arange(ends[-1])]
+    bounds = ends[edges]
+    if prefix:  # the space that the model puts before each text
+        drop = bounds[:-1][np.diff(bounds) > 0]
+        drop = drop[data[drop] == 32]
+        data, bounds = np.delete(data, drop), bounds - np.searchsorted(drop, bounds)
+    return pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data.tobytes()))
+
+
 def decode(rows: DataFrame, model_file: str = MODEL_FILE, pieces_col: str = "pieces", to: str = "text") -> DataFrame:
     """rows with `to`, the text of ids in array<int> or packed 32-bit numbers; null stays null. A column of that name is replaced.
 
@@ -443,25 +460,18 @@ def decode(rows: DataFrame, model_file: str = MODEL_FILE, pieces_col: str = "pie
     proto, prefix = v.proto, v.prefix
     kept = [c for c in rows.columns if c != to]
 
-    def whole(column: pa.Array, blob: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
-        """Texts of a column of ids, gathered byte by byte; None if some bytes are no UTF-8."""
+    def whole(column: pa.Array, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Array:
+        """Texts of a column of ids; an error if some bytes are no UTF-8."""
         if pa.types.is_binary(column.type):
-            _, offsets, data = column.fill_null(b"").buffers()
-            edges = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // 4
+            filled = column.fill_null(b"")
+            _, offsets, data = filled.buffers()
+            edges = np.frombuffer(offsets, np.int32)[filled.offset : filled.offset + len(filled) + 1].astype(np.int64) // 4
             ids = np.frombuffer(data, "<i4") if data is not None and len(data) else np.zeros(0, np.int32)
             ids, edges = ids[edges[0] : edges[-1]], edges - edges[0]
         else:
             column_ = column.fill_null(pa.scalar([], column.type))
             ids, edges = column_.flatten().to_numpy(), np.r_[0, np.cumsum(pc.list_value_length(column_).to_numpy().astype(np.int64))]
-        size = length[ids]
-        ends = np.r_[0, np.cumsum(size)]
-        data = blob[np.repeat(start[ids] - ends[:-1], size) + np.arange(ends[-1])]
-        bounds = ends[edges]
-        if prefix:  # the space that the model puts before each text
-            drop = bounds[:-1][np.diff(bounds) > 0]
-            drop = drop[data[drop] == 32]
-            data, bounds = np.delete(data, drop), bounds - np.searchsorted(drop, bounds)
-        out = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data.tobytes()))
+        out = gathered(ids, edges, table, prefix)
         out.validate(full=True)
         return pc.if_else(column.is_valid(), out, pa.scalar(None, out.type)).cast(pa.string())
 
@@ -472,7 +482,7 @@ def decode(rows: DataFrame, model_file: str = MODEL_FILE, pieces_col: str = "pie
         for batch in batches:
             column = batch.column(len(kept))
             try:
-                texts = whole(column, *table)
+                texts = whole(column, table)
             except pa.ArrowInvalid:
                 packed = pa.types.is_binary(column.type)
                 found = [None if x is None else model.decode(np.frombuffer(x, "<i4").tolist() if packed else x) for x in column.to_pylist()]
@@ -484,5 +494,5 @@ def decode(rows: DataFrame, model_file: str = MODEL_FILE, pieces_col: str = "pie
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drawn segmentations, and the checksum of the text that each decodes to."""
-    found = decode(segmentations(read(spark, sf_dir, "documents")), to="decoded")
+    found = segmentations(read(spark, sf_dir, "documents"), decoded=True)
     return found.select("doc_id", "sample", "log_prob", "key", "inclusion", (F.octet_length("pieces") / 4).cast("long").alias("n_pieces"), F.crc32("pieces").alias("pieces_crc32"), F.crc32("decoded").alias("text_crc32"), "pieces")
