@@ -1,9 +1,8 @@
 """SimHash near-duplicates: a self-join of binary tries over fingerprints.
 
 Two 64-bit fingerprints at Hamming distance 2 or less agree on two of four 16-bit blocks. So each distinct fingerprint goes
-into six tries, one for each pair of blocks: these 32 bits form the upper levels, where a pair of nodes with a differing
-bit is left at once, and the other 32 bits the lower levels, where node pairs are walked together with
-their differing bits added up. Large upper nodes are walked level by level as rows of Spark (a row for each member of each
+into six tries, one for each pair of blocks. These 32 bits form the upper levels, where no bit may differ: they serve as a table by their value, as
+the pigeonhole principle has it. The other 32 bits are the lower levels, where node pairs are walked together with their differing bits added up. Large upper nodes are walked level by level as rows of Spark (a row for each member of each
 node pair within the budget), until every node pair is small; small ones are finished inside a task.
 """
 
@@ -21,7 +20,6 @@ from pyspark.sql import types as T
 
 from .buffers import slices, word_spans
 from .components import components
-from .exact_dedup import keep_rows
 from .tables import durable, read
 
 #: Differing bits that still link two fingerprints.
@@ -35,6 +33,20 @@ LEAF = 8
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
+def majority(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Of each run h[edges[i]:edges[i+1]] of 64-bit hashes the number whose bits are set in over half of them; 0 for an empty run."""
+    weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
+    out = np.zeros(len(edges) - 1, np.uint64)
+    some = np.flatnonzero(np.diff(edges) > 0)
+    for a in range(0, len(some), 256):  # the bits of so many runs at once
+        runs = some[a : a + 256]
+        lo, hi = edges[runs[0]], edges[runs[-1] + 1]
+        bits = np.unpackbits(h[lo:hi].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        ones = np.add.reduceat(bits, edges[runs] - lo, axis=0, dtype=np.int32)
+        out[runs] = ((2 * ones > np.diff(edges)[runs][:, None]) * weights).sum(axis=1, dtype=np.uint64)
+    return out
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fp): the 64-bit SimHash of each whole text as a signed long.
 
@@ -45,7 +57,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
         digest = xxhash.xxh64_intdigest
         for rows, data, bounds in slices(batches, "text"):
             starts, ends, row = word_spans(data, bounds)
@@ -67,14 +78,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 stop = np.minimum(n + words - 1, last_word)[begins]
                 h = np.fromiter((digest(whole[a:b], 42) for a, b in zip(at[:-1][begins].tolist(), (at[1:][stop] - 1).tolist(), strict=True)), np.uint64, int(begins.sum()))
                 of = row[begins]
-                edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-                count = np.diff(np.r_[edge, len(of)])
-                for a in range(0, len(edge), 256):  # the bits of so many rows at once
-                    b = min(a + 256, len(edge))
-                    lo, hi = edge[a], edge[b - 1] + count[b - 1]
-                    bits = np.unpackbits(h[lo:hi].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-                    ones = np.add.reduceat(bits, edge[a:b] - lo, axis=0, dtype=np.int32)
-                    out[of[edge[a:b]]] = ((2 * ones > count[a:b, None]) * weights).sum(axis=1, dtype=np.uint64)
+                out = majority(h, np.searchsorted(of, np.arange(rows.num_rows + 1)))
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(out.view(np.int64))], [id_col, "fp"])
 
     return docs.select(F.col(id_col), F.col(text_col).alias("text")).mapInArrow(hashed, schema)
@@ -233,12 +237,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.join(named, "fp").select(id_col, "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with all its columns."""
-    groups = near_groups(docs, id_col, text_col)
-    return keep_rows(docs, groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))), id_col)
-
-
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

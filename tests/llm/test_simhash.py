@@ -87,9 +87,16 @@ def test_long_chain(spark):
     assert {r.node: r.root for r in components(df).collect()} == {i: 0 for i in range(1, 201)}
 
 
-def test_empty_and_filter(documents):
+def test_empty(documents):
     assert simhash.near_groups(documents(["a"]).limit(0)).count() == 0
-    texts = ["a b c d", "A b c d", "z y x w v", None, ""]
-    kept = simhash.drop_near_copies(documents(texts))
-    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
-    assert kept.columns == documents(texts).columns
+
+
+def test_query_columns(spark, documents, tmp_path):
+    rng = random.Random(6)
+    base = [" ".join(rng.choices(WORDS, k=300)) for _ in range(12)]
+    texts = base + [t.replace("w7", "w8", 1) for t in base] + [base[0]] * 3 + [None, "", "long " * 30_000]
+    documents(texts).union(documents(texts[:1])).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = simhash.op7_simhash(spark, str(tmp_path)).collect()
+    fps = [brute_fp(t) for t in texts]
+    root = brute_components(fps)
+    assert sorted(map(tuple, rows)) == sorted([(i, f"{fps[i]:016x}", root[i]) for i in range(len(texts))] + [(0, f"{fps[0]:016x}", root[0])])
