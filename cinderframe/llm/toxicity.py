@@ -7,6 +7,7 @@ a verb of saying count as quoted. A logistic model over the counts of a document
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -37,6 +38,7 @@ KINDS = ("exact", "fuzzy", "stem", "quoted")
 
 _CODES = 0x3000
 ALNUM = np.array([chr(c).isalnum() for c in range(_CODES)])
+_EDGES = "".join(chr(c) for c in [*range(33, 0x250), *range(0x2010, 0x2040)] if not chr(c).isalnum())
 QUOTE = np.array(sorted(map(ord, "\"“”«»„")), np.uint32)
 
 
@@ -66,22 +68,31 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return codes, starts, ends, np.searchsorted(edges, starts, "right") - 1
 
 
-def _entries(text: Column) -> Column:
-    """All distinct words of a text and their possible stems, as array<struct<entry, stem>>."""
-    words = F.transform(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-    words = F.array_distinct(words)
-    told = lambda found, stem: F.transform(found, lambda w: F.struct(w.alias("entry"), F.lit(stem).alias("stem")))
+def _entries(text: str) -> set[tuple[str, bool]]:
+    """All words of a text and their possible stems."""
+    words = {w.strip(_EDGES).lower() for w in text.split()}
+    words.discard("")
+    return {(w, False) for w in words if len(w) >= 3} | {(w[:k], True) for w in words for k in STEMS if len(w) > k}
 
-    def stems(size: int) -> Column:
-        return F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > size), lambda w: F.substring(w, 1, size)))
 
-    return F.concat(told(F.filter(words, lambda w: F.length(w) >= 3), False), *(told(stems(k), True) for k in STEMS))
+def _counts(texts: DataFrame, wanted: set[tuple[str, bool]] | None) -> DataFrame:
+    """(entry, stem, docs) over texts, of wanted entries or all; counted in each task before the shuffle."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for rows in batches:
+            for text in rows.column(0).to_pylist():
+                found = _entries(text or "")
+                seen.update(found if wanted is None else found & wanted)
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.bool_()), pa.array(list(seen.values()), pa.int64())], ["entry", "stem", "docs"])
 
-def _evidence(a: Column, n: int, b: Column, m: int) -> Column:
+    return texts.select("text").mapInArrow(count, "entry string, stem boolean, docs long").groupBy("entry", "stem").agg(F.sum("docs").alias("docs"))
+
+
+def _evidence(a: float, n: float, b: float, m: float) -> float:
     """Log-likelihood ratio of a of n against b of m."""
     rate = (a + b) / (n + m)
-    term = lambda k, expected: F.when(k > 0, k * F.log(k / expected)).otherwise(0.0)
+    term = lambda k, expected: k * math.log(k / expected) if k else 0.0
     return 2 * (term(a, n * rate) + term(b, m * rate) + term(n - a, n * (1 - rate)) + term(m - b, m * (1 - rate)))
 
 
@@ -89,19 +100,27 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Entries from (id, label) rows. A bounded sample of TRAIN_DOCS documents of each label; each chosen entry covers toxic documents that none before it did."""
     drawn = [labels.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(TRAIN_DOCS) for k in (0, 1)]
     sample = durable(drawn[0].unionByName(drawn[1]).select("id", F.col("label").cast("int").alias("label")))
-    texts = docs.join(F.broadcast(sample), docs[id_col] == F.col("id")).select("id", "label", F.coalesce(F.col(text_col), F.lit("")).alias("text"))  # 2 * TRAIN_DOCS ids
+    texts = docs.join(F.broadcast(sample), docs[id_col] == F.col("id")).select(F.col(text_col).alias("text"), "label")  # 2 * TRAIN_DOCS ids
     size = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if len(size) < 2:
         return []
-    spread = texts.select("id", "label", F.explode(_entries(F.col("text"))).alias("e")).select("id", "label", "e.entry", "e.stem")
-    counts = spread.groupBy("entry", "stem").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"))
-    clear_ = durable(counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") / size[1] >= RATIO * F.col("other") / size[0]) & (_evidence(F.col("toxic"), size[1], F.col("other"), size[0]) >= EVIDENCE)))
-    clear = {(r.entry, r.stem): r.toxic for r in clear_.collect()}  # entries of the sample only
+    toxic, rest = texts.where("label = 1"), texts.where("label = 0")
+    # In so few toxic documents no entry reaches EVIDENCE, were it in no other.
+    least = next(a for a in range(1, size[1] + 2) if a > size[1] or _evidence(a, size[1], 0, size[0]) >= EVIDENCE)
+    n = {(r.entry, r.stem): r.docs for r in _counts(toxic, None).where(F.col("docs") >= least).collect()}
+    others = {(r.entry, r.stem): r.docs for r in _counts(rest, set(n)).collect()}
+    clear = {k: a for k, a in n.items() if a / size[1] >= RATIO * others.get(k, 0) / size[0] and _evidence(a, size[1], others.get(k, 0), size[0]) >= EVIDENCE}
     if not clear:
         return []
+
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = [sorted(e for e in _entries(t or "") if e in clear) for t in rows.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([[("s" if s else "w") + e for e, s in f] for f in found], pa.list_(pa.string()))], ["found"])
+
     # At most TRAIN_DOCS lists. A chosen entry must cover documents that are not covered yet, so the words of a much copied document add nothing.
-    held = spread.where("label = 1").join(F.broadcast(clear_.select("entry", "stem")), ["entry", "stem"]).groupBy("id").agg(F.collect_set(F.struct("entry", "stem")).alias("found"))
-    holds = {n: {(e.entry, e.stem) for e in r.found} for n, r in enumerate(held.select("found").collect())}
+    held = toxic.select("text").mapInArrow(hit, "found array<string>").collect()
+    holds = {i: {(e[1:], e[0] == "s") for e in r[0]} for i, r in enumerate(held)}
     gain = Counter(e for h in holds.values() for e in h)
     chosen: list[tuple[str, bool]] = []
     while gain:
