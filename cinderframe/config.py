@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Limits and units of the evaluation.
 MIN_ACRES = 5000.0
 MATCH_DAYS = 2
 CHAIN_GAP_DAYS = 7
@@ -11,6 +12,7 @@ DISC_RADIUS_M, COVER_CELL_M = 200.0, 50.0
 START_FRACTION, END_FRACTION = 0.05, 0.9
 MIN_DURATION_HOURS = 12
 CONDITIONING_DAYS = 20
+CONDITIONING_HOURS = 24 * CONDITIONING_DAYS
 TOA_THRESHOLD = 1.0
 CELL_M = 30.0
 ACRES_PER_M2 = 0.000247105381
@@ -32,6 +34,7 @@ CLASS_WIDTHS = [("road", k, w) for k, w in ROAD_WIDTHS.items()] + [("water", k,
 BACKUP_WIDTH_M, BACKUP_TOLERANCE_M = 5.0, 1.0
 # Years of fuel products.
 PRODUCT_YEARS = (2016, 2022, 2023, 2024)
+# States of a run, in the order of the overview.
 STATUS_ORDER = ("running", "starting", "failed", "done", "pending")
 
 

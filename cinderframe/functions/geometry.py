@@ -48,17 +48,36 @@ def with_tiles(df: DataFrame, size: float, grow: float = 0.0) -> DataFrame:
     return df.withColumn("tx", span("xmin", "xmax")).withColumn("ty", span("ymin", "ymax"))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, condition: Column | None = None) -> DataFrame:
+def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, condition: Column | None = None, key: str = "perim_idx") -> DataFrame:
     """Pairs of a point (x, y) and a polygon (rings) that it lies strictly within.
 
-    Both sides meet on tiles of `size`, so only near pairs are made; bounds and `condition` come before the exact test. Column names must not clash.
+    Points meet bounds on tiles of `size`, so only near pairs are made; bounds and `condition` come before the exact test. Rings come to the pairs
+    that are left, by the polygons' unique `key`; no tile carries them. Column names must not clash.
     """
-    boxes = with_tiles(with_bounds(polygons).withColumn("edges", edges_of(F.col("rings"))), size)
+    boxes = with_tiles(with_bounds(polygons).drop("rings"), size)
     placed = points.withColumn("tx", tile(F.col("x"), size)).withColumn("ty", tile(F.col("y"), size))
     near = placed.join(boxes, ["tx", "ty"]).where(F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax")))
     if condition is not None:
         near = near.where(condition)
-    return near.where(strictly_within(F.col("x").cast("double"), F.col("y").cast("double"), F.col("edges"))).drop("tx", "ty", "edges", "xmin", "ymin", "xmax", "ymax")
+    met = near.drop("tx", "ty", "xmin", "ymin", "xmax", "ymax").join(polygons.select(key, "rings"), key)
+    return met.where(strictly_within(F.col("x").cast("double"), F.col("y").cast("double"), edges_of(F.col("rings"))))
+
+
+def polygon_cells(polygons: DataFrame, cell: float, key: str) -> DataFrame:
+    """(key, u, v) of the cells of one grid over the plane whose centre lies within a polygon, by scanlines: each edge gives its crossings with the rows' centre lines.
+
+    Edges are half open from their lower end, so a line through a corner meets it once.
+    """
+    # A key may have several polygons: each is filled for itself, equal ones once.
+    each = polygons.groupBy(key, F.xxhash64("rings").alias("part")).agg(F.first("rings").alias("rings"))
+    e = each.select(key, "part", F.explode(edges_of(F.col("rings"))).alias("e")).select(key, "part", "e.*")
+    first, last = F.ceil(F.least("y1", "y2") / cell - 0.5), F.ceil(F.greatest("y1", "y2") / cell - 0.5) - 1
+    rows = e.where(first <= last).withColumn("v", F.explode(F.sequence(first, last)))
+    x = F.col("x1") + ((F.col("v") + 0.5) * cell - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    lines = rows.groupBy(key, "part", "v").agg(F.array_sort(F.collect_list(x)).alias("xs"))
+    spans = lines.select(key, "v", F.posexplode("xs").alias("i", "a"), "xs").where("i % 2 = 0").withColumn("b", F.element_at("xs", F.col("i") + 2))
+    left, right = F.floor(F.col("a") / cell - 0.5) + 1, F.ceil(F.col("b") / cell - 0.5) - 1
+    return spans.where(left <= right).select(key, F.explode(F.sequence(left, right)).alias("u"), "v").distinct()
 
 
 def segment_distance2(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:

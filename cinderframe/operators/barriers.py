@@ -11,7 +11,7 @@ from ..functions.geometry import segment_distance2, segments_distance2, with_til
 
 def with_widths(segments: DataFrame, widths: DataFrame) -> DataFrame:
     """Segments with their class's width and rank; unknown classes go."""
-    return segments.join(F.broadcast(widths), ["layer", "class"])  # a row per class
+    return segments.join(widths, ["layer", "class"])
 
 
 def _bounded(segments: DataFrame) -> DataFrame:
@@ -40,8 +40,13 @@ def not_near(backup: DataFrame, primary: DataFrame, tolerance: float = config.BA
 def touched_cells(segments: DataFrame, cell: float, by_centre: bool = False) -> DataFrame:
     """A row for each cell (u, v) that a segment of its width touches; by_centre: whose centre lies in it."""
     reach = F.col("width") / 2
-    span = lambda lo, hi: F.explode(F.sequence(F.floor((F.col(lo) - reach) / cell), F.floor((F.col(hi) + reach) / cell)))
-    near = _bounded(segments).withColumn("u", span("xmin", "xmax")).withColumn("v", span("ymin", "ymax"))
+    # Row by row along the segment: in each row of cells only the columns beside the part of the segment that comes within reach of the row.
+    rows = _bounded(segments).withColumn("v", F.explode(F.sequence(F.floor((F.col("ymin") - reach) / cell), F.floor((F.col("ymax") + reach) / cell))))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    at = lambda y: F.when(dy == 0, F.lit(None)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (y - F.col("y1")) / dy)))
+    t0, t1 = F.coalesce(at(F.col("v") * cell - reach), F.lit(0.0)), F.coalesce(at((F.col("v") + 1) * cell + reach), F.lit(1.0))
+    xa, xb = F.col("x1") + t0 * dx, F.col("x1") + t1 * dx
+    near = rows.withColumn("u", F.explode(F.sequence(F.floor((F.least(xa, xb) - reach) / cell), F.floor((F.greatest(xa, xb) + reach) / cell))))
     s = [F.col(k).cast("double") for k in ("x1", "y1", "x2", "y2")]
     if by_centre:
         apart2 = segment_distance2((F.col("u") + 0.5) * cell, (F.col("v") + 0.5) * cell, *s)

@@ -14,11 +14,9 @@ def display_name(perimeter: Column, point: Column) -> Column:
 
 def product_years(fires: DataFrame, years: DataFrame, year: str = "year") -> DataFrame:
     """fires with product_year: the latest of `years` (a setting of a few rows, column product_year) not after the fire's, else the earliest."""
-    earliest = years.agg(F.min("product_year").alias("earliest"))
-    known = fires.select(year).distinct().where(F.col(year).isNotNull())
-    best = known.join(F.broadcast(years), F.col("product_year") <= F.col(year)).groupBy(year).agg(F.max("product_year").alias("latest"))
-    out = fires.join(best, year, "left").join(F.broadcast(earliest))
-    return out.withColumn("product_year", F.coalesce("latest", "earliest")).drop("latest", "earliest")
+    known = years.agg(F.array_sort(F.collect_set("product_year")).alias("__years"))  # one row
+    before = F.filter("__years", lambda y: y <= F.col(year))
+    return fires.join(F.broadcast(known)).withColumn("product_year", F.coalesce(F.array_max(before), F.array_min("__years"))).drop("__years")
 
 
 def numeric_cases(names: DataFrame, column: str = "name") -> DataFrame:

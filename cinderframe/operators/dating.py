@@ -55,16 +55,22 @@ def coverage_curve(detections: DataFrame, radius: float = config.DISC_RADIUS_M,
     return new.select("case_id", "sat_ts", (F.sum("cells").over(upto) * cell * cell).alias("area_m2"))
 
 
-def time_to_fraction(curve: DataFrame, detections: DataFrame, fraction: float, burn_area_m2: Column | None = None, to: str = "reached") -> DataFrame:
-    """(case_id, `to`): first time at which the area reaches fraction of the smaller of burn and final area.
+def times_to_fractions(curve: DataFrame, detections: DataFrame, fractions: dict[str, float], burn_area_m2: Column | None = None) -> DataFrame:
+    """(case_id, names of `fractions`): first times at which the area reaches each fraction of the smaller of burn and final area, in one pass over the curve.
 
     Null if the target is not above 0; the last detection's time if it is never reached. burn_area_m2 is a column of `curve`, no bound if None.
     """
     final = F.max("area_m2").over(Window.partitionBy("case_id"))
-    target = fraction * (final if burn_area_m2 is None else F.least(final, burn_area_m2))
-    hit = curve.withColumn("target", target).groupBy("case_id").agg(F.min(F.when(F.col("area_m2") >= F.col("target"), F.col("sat_ts"))).alias("hit"), F.max("target").alias("target"))
+    bounded = curve.withColumn("bound", final if burn_area_m2 is None else F.least(final, burn_area_m2))
+    hits = [F.min(F.when(F.col("area_m2") >= f * F.col("bound"), F.col("sat_ts"))).alias(k) for k, f in fractions.items()]
+    hit = bounded.groupBy("case_id").agg(F.max("bound").alias("bound"), *hits)
     last = detections.groupBy("case_id").agg(F.max("sat_ts").alias("last"))
-    return last.join(hit, "case_id", "left").select("case_id", F.when(F.col("target") > 0, F.coalesce("hit", "last")).alias(to))
+    return last.join(hit, "case_id", "left").select("case_id", *[F.when(f * F.col("bound") > 0, F.coalesce(k, "last")).alias(k) for k, f in fractions.items()])
+
+
+def time_to_fraction(curve: DataFrame, detections: DataFrame, fraction: float, burn_area_m2: Column | None = None, to: str = "reached") -> DataFrame:
+    """times_to_fractions() of one fraction."""
+    return times_to_fractions(curve, detections, {to: fraction}, burn_area_m2)
 
 
 def event_end(satellite_end: Column, fireout: Column) -> Column:
@@ -73,16 +79,23 @@ def event_end(satellite_end: Column, fireout: Column) -> Column:
 
 
 def dated(cases: DataFrame, detections: DataFrame, gap_days: float = config.CHAIN_GAP_DAYS, start_fraction: float = config.START_FRACTION, end_fraction: float = config.END_FRACTION) -> DataFrame:
-    """cases (case_id, fireout, burn_area_m2, ...) with their satellite times, status and reason; cases without detections stay, with nulls."""
-    known = detections.join(cases.select("case_id", "burn_area_m2"), "case_id")
+    """cases (case_id, fireout, burn_area_m2, ...) with their satellite times, status and reason; cases without detections stay, with nulls.
+
+    A case whose burn area is no number, or of which a detection lacks its place or time, cannot be dated: ERROR, without times.
+    """
+    unfit = detections.where(F.col("x").isNull() | F.col("y").isNull() | F.col("sat_ts").isNull()).select("case_id", F.lit("a detection without place or time").alias("error"))
+    broken = cases.where(F.col("burn_area_m2").isNull() | F.isnan("burn_area_m2")).select("case_id", F.lit("no burn area").alias("error"))
+    errors = broken.unionByName(unfit).groupBy("case_id").agg(F.max("error").alias("error"))
+    known = detections.join(cases.select("case_id", "burn_area_m2"), "case_id").join(errors, "case_id", "left_anti")
     curve = coverage_curve(known).join(cases.select("case_id", "burn_area_m2"), "case_id")
-    start = time_to_fraction(curve, known, start_fraction, F.col("burn_area_m2"), "SatelliteIgnitionTime")
-    end = time_to_fraction(curve, known, end_fraction, F.col("burn_area_m2"), "SatelliteEnd_coverage")
+    times = times_to_fractions(curve, known, {"SatelliteIgnitionTime": start_fraction, "SatelliteEnd_coverage": end_fraction}, F.col("burn_area_m2"))
     chain = chains(known, gap_days).select("case_id", F.col("chain_end").alias("SatelliteEnd_chain"))
-    out = cases.join(start, "case_id", "left").join(end, "case_id", "left").join(chain, "case_id", "left")
+    out = cases.join(times, "case_id", "left").join(chain, "case_id", "left").join(errors, "case_id", "left")
     out = out.withColumn("SatelliteEndTime", F.col("SatelliteEnd_coverage")).withColumn("EventEndTime", event_end(F.col("SatelliteEndTime"), F.col("fireout")))
     none, part = F.col("SatelliteEnd_chain").isNull(), F.col("SatelliteIgnitionTime").isNull() | F.col("SatelliteEndTime").isNull()
-    return out.withColumn("status", F.when(none, "SKIP").when(part, "PARTIAL").otherwise("OK")).withColumn("reason", F.when(none, "no hotspots inside the burn").when(part, "coverage never rose"))
+    status = F.when(F.col("error").isNotNull(), "ERROR").when(none, "SKIP").when(part, "PARTIAL").otherwise("OK")
+    reason = F.when(F.col("error").isNotNull(), F.col("error")).when(none, "no hotspots inside the burn").when(part, "coverage never rose")
+    return out.withColumn("status", status).withColumn("reason", reason).drop("error")
 
 
 def duration_gate(cases: DataFrame, least_hours: float = config.MIN_DURATION_HOURS) -> DataFrame:

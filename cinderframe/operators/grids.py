@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.geometry import edges_of, strictly_within, with_bounds, with_tiles
+from ..functions.geometry import edges_of, polygon_cells, with_bounds
 from .reports import safe_divide
 
 
@@ -32,7 +32,7 @@ def to_null(value: Column, nodata: float = config.NODATA) -> Column:
 
 def split_bands(bands: DataFrame, layers: DataFrame) -> DataFrame:
     """Cells of a stack under their layer's name; bands without a name go."""
-    return bands.join(F.broadcast(layers), "band")  # a name per band
+    return bands.join(layers, "band")  # a name per band
 
 
 def missing_bands(bands: DataFrame, layers: DataFrame) -> DataFrame:
@@ -73,26 +73,42 @@ def nearest_valid(cells: DataFrame, starts: DataFrame, value: str = "fuel", leas
     return at.join(best, "case_id", "left").select("case_id", F.col("b.row_no").alias("row_no"), F.col("b.col_no").alias("col_no"), (F.col("b.ring") > 0).alias("moved"))
 
 
-def nearest_grid(cells: DataFrame, rows: int, cols: int, factor: float) -> DataFrame:
-    """Cells of a grid of rows x cols whose cells are `factor` times as wide, each with the source value at its centre."""
-    wanted = cells.select("case_id", "band").distinct().withColumn("row_no", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("col_no", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
-    src = wanted.withColumn("r", F.floor((F.col("row_no") + 0.5) * factor).cast("long")).withColumn("c", F.floor((F.col("col_no") + 0.5) * factor).cast("long"))
-    source = cells.select("case_id", "band", F.col("row_no").cast("long").alias("r"), F.col("col_no").cast("long").alias("c"), "value")
-    return src.join(source, ["case_id", "band", "r", "c"], "left").select("case_id", "band", "row_no", "col_no", "value")
+#: A grid's west edge, north edge, cell width, rows and columns.
+Grid = tuple[float, float, float, int, int]
+
+
+def _wanted(cells: DataFrame, source: Grid, target: Grid) -> DataFrame:
+    """Every cell of the target in each band, with its centre in rows and columns of the source, counted from the source's first centre."""
+    (xll, ymax, size, _, _), (t_xll, t_ymax, t_size, rows, cols) = source, target
+    out = cells.select("case_id", "band").distinct().withColumn("row_no", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("col_no", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
+    return out.withColumn("fr", (ymax - (t_ymax - (F.col("row_no") + 0.5) * t_size)) / size - 0.5).withColumn("fc", ((t_xll + (F.col("col_no") + 0.5) * t_size) - xll) / size - 0.5)
+
 
+def _source(cells: DataFrame) -> DataFrame:
+    return cells.select("case_id", "band", F.col("row_no").cast("long").alias("r"), F.col("col_no").cast("long").alias("c"), "value")
 
-def bilinear_grid(cells: DataFrame, rows: int, cols: int, factor: float) -> DataFrame:
+
+def nearest_grid(cells: DataFrame, source: Grid, target: Grid) -> DataFrame:
+    """Cells of the target grid, each with the source value at its centre, null outside the source. The grids may differ in origin and cell width."""
+    at = _wanted(cells, source, target).withColumn("r", F.floor(F.col("fr") + 0.5).cast("long")).withColumn("c", F.floor(F.col("fc") + 0.5).cast("long"))
+    return at.join(_source(cells), ["case_id", "band", "r", "c"], "left").select("case_id", "band", "row_no", "col_no", "value")
+
+
+def bilinear_grid(cells: DataFrame, source: Grid, target: Grid) -> DataFrame:
     """As nearest_grid, with the mean of the four cells around the centre, weighted by nearness; those without a value do not count."""
-    wanted = cells.select("case_id", "band").distinct().withColumn("row_no", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("col_no", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
-    at = wanted.withColumn("fr", (F.col("row_no") + 0.5) * factor - 0.5).withColumn("fc", (F.col("col_no") + 0.5) * factor - 0.5)
     corners = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("k")
-    four = at.select("*", corners).withColumn("r", (F.floor("fr") + F.col("k.i")).cast("long")).withColumn("c", (F.floor("fc") + F.col("k.j")).cast("long"))
+    four = _wanted(cells, source, target).select("*", corners).withColumn("r", (F.floor("fr") + F.col("k.i")).cast("long")).withColumn("c", (F.floor("fc") + F.col("k.j")).cast("long"))
     weight = (1 - F.abs(F.col("fr") - F.col("r"))) * (1 - F.abs(F.col("fc") - F.col("c")))
-    source = cells.select("case_id", "band", F.col("row_no").cast("long").alias("r"), F.col("col_no").cast("long").alias("c"), "value").where("value is not null")
-    met = four.join(source, ["case_id", "band", "r", "c"]).withColumn("w", weight).where("w > 0")
+    met = four.join(_source(cells).where("value is not null"), ["case_id", "band", "r", "c"]).withColumn("w", weight).where("w > 0")
     return met.groupBy("case_id", "band", "row_no", "col_no").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value"))
 
 
+def aligned_layers(layers: DataFrame, names: tuple[str, ...], nodata: float = -9999.0) -> DataFrame:
+    """(case_id, row_no, col_no, names): the cells at which every layer of (case_id, layer, row_no, col_no, value) has a value, one column for each layer."""
+    some = layers.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")) & (F.col("value") != nodata))
+    return some.groupBy("case_id", "row_no", "col_no").pivot("layer", list(names)).agg(F.first("value")).dropna(subset=list(names))
+
+
 def fit_to_reference(cells: DataFrame, rows: int, cols: int) -> DataFrame:
     """Each band cut or padded to rows x cols from its south-west corner; padding repeats the northern row and the eastern column."""
     size = cells.groupBy("case_id", "band").agg((F.max("row_no") + 1).alias("nrows"), (F.max("col_no") + 1).alias("ncols"))
@@ -119,12 +135,16 @@ def fill_edges(cells: DataFrame) -> DataFrame:
     return at.join(source, ["case_id", "band", "r", "c"], "left").select("case_id", "band", "row_no", "col_no", "value")
 
 
-def band_counts(bands: DataFrame, expected: DataFrame) -> DataFrame:
-    """(case_id, bands, expected, status) against a table of expected counts: OK or MISMATCH with the difference; missing stacks count 0."""
-    n = bands.groupBy("case_id").agg(F.count_distinct("band").alias("bands"))
-    joined = expected.join(n, "case_id", "left").withColumn("bands", F.coalesce("bands", F.lit(0)))
-    diff = F.col("bands") - F.col("expected")
-    return joined.select("case_id", "bands", "expected", F.when(diff == 0, "OK").otherwise(F.concat(F.lit("MISMATCH("), diff.cast("string"), F.lit(")"))).alias("status"))
+def band_counts(wind: DataFrame, moisture: DataFrame, weather: DataFrame, conditioning: int = config.CONDITIONING_HOURS) -> DataFrame:
+    """(case_id, ws, m1, fire_rows, status) of each case that has any: distinct bands of two stacks, weather rows after the conditioning hours, and OK or the difference.
+
+    A stack that a case lacks counts null, and then there is no status.
+    """
+    bands = lambda df, to: df.groupBy("case_id").agg(F.count_distinct("band").alias(to))
+    rows = weather.groupBy("case_id").agg(F.greatest(F.lit(0), F.count("*") - conditioning).alias("fire_rows"))
+    both = bands(wind, "ws").join(bands(moisture, "m1"), "case_id", "full").join(rows, "case_id", "full")
+    diff = F.col("m1") - F.col("ws")
+    return both.select("case_id", "ws", "m1", "fire_rows", F.when(diff == 0, "OK").when(diff.isNotNull(), F.format_string("MISMATCH (diff=%+d)", diff)).alias("status"))
 
 
 def polygon_mask(polygons: DataFrame, xll: float, ymax: float, cell: float, rows: int, cols: int, key: str = "perim_idx") -> DataFrame:
@@ -148,14 +168,25 @@ def _spans(lines: DataFrame, xs: Column, key: str) -> DataFrame:
     return crossed.select(key, "row_no", F.posexplode("xs").alias("i", "a"), "xs").where("i % 2 = 0").withColumn("b", F.element_at("xs", F.col("i") + 2)).drop("xs", "i")
 
 
-def polygon_scores(polygons: DataFrame, cell: float, key: str = "perim_idx", tile: float = 500.0) -> DataFrame:
-    """(a_idx, b_idx, na, nb, n_both, jaccard, sorensen, kappa, ratio) of each pair of polygons that share cells; the union is the domain, so nothing is true negative."""
-    inside = with_tiles(with_bounds(polygons).withColumn("edges", edges_of(F.col("rings"))), cell)
-    x, y = (F.col("tx") + 0.5) * cell, (F.col("ty") + 0.5) * cell
-    cells = inside.where(strictly_within(x, y, F.col("edges"))).select(F.col(key).alias("k"), "tx", "ty")
-    sizes = cells.groupBy("k").agg(F.count("*").alias("n"))
-    both = cells.select(F.col("k").alias("a_idx"), "tx", "ty").join(cells.select(F.col("k").alias("b_idx"), "tx", "ty"), ["tx", "ty"]).where("a_idx < b_idx").groupBy("a_idx", "b_idx").agg(F.count("*").alias("n_both"))
-    out = both.join(sizes.select(F.col("k").alias("a_idx"), F.col("n").alias("na")), "a_idx").join(sizes.select(F.col("k").alias("b_idx"), F.col("n").alias("nb")), "b_idx")
+def overlap(observed: DataFrame, simulated: DataFrame, cell: float, key: str = "case_id") -> DataFrame:
+    """(key, u, v, observed, simulated): the domain of each case, cells whose centre lies in an observed or a simulated polygon of it."""
+    flags = [polygon_cells(df, cell, key).withColumn("observed", F.lit(a)).withColumn("simulated", F.lit(not a)) for df, a in ((observed, True), (simulated, False))]
+    return flags[0].unionByName(flags[1]).groupBy(key, "u", "v").agg(F.max("observed").alias("observed"), F.max("simulated").alias("simulated"))
+
+
+def polygon_scores(observed: DataFrame, simulated: DataFrame, cell: float, key: str = "case_id") -> DataFrame:
+    """(key, na, nb, n_both, jaccard, sorensen, kappa, ratio_of_areas) of each case's observed against its simulated polygons.
+
+    The union is the domain, so nothing is true negative. A case may have several polygons; their cells count once. A case without one side scores 0.
+    """
+    of = lambda c: F.count_if(c)
+    out = overlap(observed, simulated, cell, key).groupBy(key).agg(of(F.col("observed")).alias("na"), of(F.col("simulated")).alias("nb"), of(F.col("observed") & F.col("simulated")).alias("n_both"))
     either = F.col("na") + F.col("nb") - F.col("n_both")
     chance = (F.col("na") * F.col("nb") + (either - F.col("na")) * (either - F.col("nb"))) / (either * either)
     return out.withColumns({"jaccard": safe_divide(F.col("n_both"), either), "sorensen": safe_divide(2.0 * F.col("n_both"), F.col("na") + F.col("nb")), "kappa": safe_divide(F.col("n_both") / either - chance, 1 - chance), "ratio_of_areas": safe_divide(F.col("nb"), F.col("na"))})
+
+
+def dissolved(polygons: DataFrame, cell: float, key: str = "case_id") -> DataFrame:
+    """(key, rings, xmin, ymin, xmax, ymax, area): all rings of a key together, their bounds, and the area of their union as cells, overlaps counted once."""
+    bounds = with_bounds(polygons).groupBy(key).agg(F.flatten(F.collect_list("rings")).alias("rings"), *[f(c).alias(c) for c, f in (("xmin", F.min), ("ymin", F.min), ("xmax", F.max), ("ymax", F.max))])
+    return bounds.join(polygon_cells(polygons, cell, key).groupBy(key).agg((F.count("*") * cell * cell).alias("area")), key, "left")

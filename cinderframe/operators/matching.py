@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.geometry import points_in_polygons
+from ..folders import numbered, once
+from ..functions.geometry import edges_of, points_in_polygons, strictly_within
 from ..functions.text import case_id, name_key, whole_days
 
 
@@ -30,20 +31,21 @@ def date_band_join(perimeters: DataFrame, ignitions: DataFrame, days: int = conf
 
     Rows without a key, date or fire-out take no part.
     """
-    left = with_name_key(perimeters, "perim_name").dropna(subset=["name_key", "ig_date"])
-    right = with_name_key(ignitions, "point_name").dropna(subset=["name_key", "discovery", "fireout"])
-    return left.join(right, "name_key").where(F.abs(whole_days(F.col("ig_date"), F.col("discovery"))) <= days)
+    # Names meet within neighbouring spans of days only, so that a common name is not one task's product.
+    span = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / (days + 1))
+    left = with_name_key(perimeters, "perim_name").dropna(subset=["name_key", "ig_date"]).withColumn("span", F.explode(F.array(*[span("ig_date") + k for k in (-1, 0, 1)])))
+    right = with_name_key(ignitions, "point_name").dropna(subset=["name_key", "discovery", "fireout"]).withColumn("span", span("discovery"))
+    return left.join(right, ["name_key", "span"]).drop("span").where(F.abs(whole_days(F.col("ig_date"), F.col("discovery"))) <= days)
 
 
 def verified(pairs: DataFrame) -> DataFrame:
     """Pairs whose point lies strictly within their perimeter."""
-    from ..functions.geometry import edges_of, strictly_within
-
     return pairs.where(strictly_within(F.col("x").cast("double"), F.col("y").cast("double"), edges_of(F.col("rings"))))
 
 
 def survivors(perimeters: DataFrame, ignitions: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The perimeters and ignitions of at least one pair."""
+    """The perimeters and ignitions of at least one pair; the pairs are computed once."""
+    pairs = once(pairs)
     return perimeters.join(pairs, "perim_idx", "left_semi"), ignitions.join(pairs, "pt_idx", "left_semi")
 
 
@@ -60,6 +62,5 @@ def best_point(pairs: DataFrame) -> DataFrame:
 
 
 def number_cases(best: DataFrame) -> DataFrame:
-    """case_no from 1 in order of perimeter, and case_id padded to 5 digits or more. One row a case: a table of thousands, so one task ranks it."""
-    numbered = best.withColumn("case_no", F.row_number().over(Window.orderBy("perim_idx")).cast("long"))
-    return numbered.withColumn("case_id", case_id(F.col("case_no")))
+    """case_no from 1 in order of perimeter, and case_id padded to 5 digits or more. Computed once."""
+    return numbered(once(best), "perim_idx", to="case_no").withColumn("case_id", case_id(F.col("case_no")))

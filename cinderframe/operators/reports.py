@@ -80,9 +80,11 @@ def bias_summary(bias: DataFrame) -> DataFrame:
     return per.join(F.broadcast(limits))  # one row
 
 
-def top_and_bottom(scores: DataFrame, n: int = 10, by: str = "jaccard") -> DataFrame:
-    """(model, place, nth, case_id, score): the n best and n worst cases of each model, ties by case."""
-    finite = scores.where(F.col(by).isNotNull() & ~F.isnan(by))
+def top_and_bottom(scores: DataFrame, n: int = 10, by: str = "jaccard", status: DataFrame | None = None) -> DataFrame:
+    """(model, place, nth, case_id, score): the n best and n worst finite scores of each model, ties by case; only of cases that `status` (case_id, status) calls a success."""
+    finite = scores.where(F.col(by).isNotNull() & ~F.isnan(by) & (F.abs(by) < float("inf")))
+    if status is not None:
+        finite = finite.join(status.where("status = 'success'").select("case_id"), "case_id", "left_semi")
     out = []
     for place, order in (("top", F.desc(by)), ("bottom", F.asc(by))):
         ranked = finite.withColumn("nth", F.row_number().over(Window.partitionBy("model").orderBy(order, "case_id")))
@@ -91,17 +93,27 @@ def top_and_bottom(scores: DataFrame, n: int = 10, by: str = "jaccard") -> DataF
 
 
 def case_status(scores: DataFrame, cases: DataFrame) -> DataFrame:
-    """(case_id, status): success if a model's Jaccard reaches the least success, failed if no model has a score, else non_ignited."""
+    """(case_id, status): success if a model's Jaccard reaches the least success, else non_ignited, also if no model has a score."""
     best = scores.groupBy("case_id").agg(F.max("jaccard").alias("best"))
-    return cases.select("case_id").join(best, "case_id", "left").select("case_id", F.when(F.col("best").isNull(), "failed").when(F.col("best") < config.SUCCESS_JACCARD, "non_ignited").otherwise("success").alias("status"))
+    return cases.select("case_id").join(best, "case_id", "left").select("case_id", F.when(F.col("best") >= config.SUCCESS_JACCARD, "success").otherwise("non_ignited").alias("status"))
+
+
+def features(scores: DataFrame, hours: DataFrame, weather: DataFrame) -> DataFrame:
+    """(case_id, model, acres, hours, wind_kph, jaccard, sorensen, kappa): simulated acres, last arrival (case_id, model, hours) and mean wind beside the scores."""
+    wind = weather.groupBy("case_id").agg(F.avg("wind_kph").alias("wind_kph"))
+    acres = (F.col("simulated_m2") * config.ACRES_PER_M2).alias("acres")
+    return scores.join(hours, ["case_id", "model"], "left").join(wind, "case_id", "left").select("case_id", "model", acres, "hours", "wind_kph", "jaccard", "sorensen", "kappa")
 
 
 def unpivoted(df: DataFrame, ids: list[str], values: list[str], name: str = "metric", value: str = "value") -> DataFrame:
     return df.unpivot(ids, values, name, value)
 
 
-def availability(results: DataFrame, expected: DataFrame) -> DataFrame:
-    """(case_id, found, missing): labels of models with and without a result, sorted."""
+def availability(results: DataFrame, expected: DataFrame, points: DataFrame | None = None) -> DataFrame:
+    """(case_id, found, missing[, points]): labels of models with and without a result, sorted, and the number of a case's rows in `points`."""
     known = expected.join(results.select("case_id", "model", F.lit(True).alias("there")), ["case_id", "model"], "left")
     some = lambda c: F.concat_ws(",", F.array_sort(F.collect_list(F.when(c, F.col("model")))))
-    return known.groupBy("case_id").agg(some(F.col("there").isNotNull()).alias("found"), some(F.col("there").isNull()).alias("missing"))
+    out = known.groupBy("case_id").agg(some(F.col("there").isNotNull()).alias("found"), some(F.col("there").isNull()).alias("missing"))
+    if points is None:
+        return out
+    return out.join(points.groupBy("case_id").agg(F.count("*").alias("points")), "case_id", "left").withColumn("points", F.coalesce("points", F.lit(0)))

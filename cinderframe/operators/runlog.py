@@ -7,27 +7,44 @@ from pyspark.sql import functions as F
 
 from .. import config
 
+# What the log format says. A step begins with "=== STEP <number>: <label>", a crash with a traceback, a finished run with a last line.
 STEP = r"=== STEP (\d+):\s*(\S+)"
 TRACEBACK, COMPLETED = "Traceback (most recent call last)", "CASE COMPLETED."
-ERROR_LINE = r"^\s*\w*(Error|Exception)[:\s]"
+LAST_STEP = 12
+#: The line that ends a traceback begins with the name of an exception, and a colon, bracket or space after it.
+ERROR_LINE = r"^\s*[A-Za-z_]*(?:Error|Exception)(?=[:\s])"
+#: A decimal number, and a setting that gives one to a name.
+NUMBER = r"\d+(?:\.\d+)?"
+SETTING = rf"([\w-]+)\s*=\s*({NUMBER})"
 
 
 def step_number(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, STEP, 1), F.lit("")).cast("long")
 
 
-def case_state(log: DataFrame, tail: int = 60, end: int = 10) -> DataFrame:
-    """(case_id, status, step, label, error): completed in the last `end` lines is done; no step yet is starting; a traceback in the last `tail` lines is failed; else running."""
+def case_state(log: DataFrame, cases: DataFrame | None = None, outputs: DataFrame | None = None, tail: int = 60, end: int = 10) -> DataFrame:
+    """(case_id, status, step, label, error) of the cases that have a log, or of all `cases` (case_id).
+
+    In this order: a case in `outputs` (case_id) is done; without a log it is pending; completed in the last `end` lines is done; no step yet is
+    starting; a traceback in the last `tail` lines is failed; else running. What is done is at the last step.
+    """
     back = F.row_number().over(Window.partitionBy("case_id").orderBy(F.desc("line_no")))
     rows = log.withColumn("back", back).withColumn("step", step_number(F.col("text")))
+    stepped, erred = F.col("step").isNotNull(), (F.col("back") <= tail) & F.col("text").rlike(ERROR_LINE)
     got = rows.groupBy("case_id").agg(
-        F.max_by(F.when(F.col("step").isNotNull(), F.struct("step", F.regexp_extract("text", STEP, 2).alias("label"))), F.when(F.col("step").isNotNull(), F.col("line_no"))).alias("at"),
+        F.max_by(F.when(stepped, F.struct("step", F.regexp_extract("text", STEP, 2).alias("label"))), F.when(stepped, F.col("line_no"))).alias("at"),
         F.bool_or((F.col("back") <= end) & F.col("text").contains(COMPLETED)).alias("done"),
         F.bool_or((F.col("back") <= tail) & F.col("text").contains(TRACEBACK)).alias("failed"),
-        F.min_by(F.when((F.col("back") <= tail) & F.col("text").rlike(ERROR_LINE), F.trim("text")), F.when((F.col("back") <= tail) & F.col("text").rlike(ERROR_LINE), F.col("back"))).alias("error"),
-    )
-    status = F.when(F.col("done"), "done").when(F.col("at.step").isNull(), "starting").when(F.col("failed"), "failed").otherwise("running")
-    return got.select("case_id", status.alias("status"), F.col("at.step").alias("step"), F.col("at.label").alias("label"), F.when(status == "failed", F.substring("error", 1, 52)).alias("error"))
+        F.min_by(F.when(erred, F.trim("text")), F.when(erred, F.col("back"))).alias("error"),
+        F.lit(True).alias("logged"),
+    )
+    got = got if cases is None else cases.select("case_id").distinct().join(got, "case_id", "left")
+    there = F.lit(False)
+    if outputs is not None:
+        got, there = got.join(outputs.select("case_id", F.lit(True).alias("there")).distinct(), "case_id", "left"), F.coalesce("there", F.lit(False))
+    status = F.when(there, "done").when(F.col("logged").isNull(), "pending").when(F.col("done"), "done").when(F.col("at.step").isNull(), "starting").when(F.col("failed"), "failed").otherwise("running")
+    step = F.when(status == "done", F.lit(LAST_STEP).cast("long")).otherwise(F.col("at.step"))
+    return got.select("case_id", status.alias("status"), step.alias("step"), F.when(status != "pending", F.col("at.label")).alias("label"), F.when(status == "failed", F.substring("error", 1, 52)).alias("error"))
 
 
 def status_rank(status: Column) -> Column:
@@ -44,15 +61,23 @@ def elapsed(log: DataFrame, until: Column | None = None) -> DataFrame:
 
 def key_values(log: DataFrame, most: int = 120) -> DataFrame:
     """(case_id, key, value): the first value of each of the first `most` key = number pairs, and Runtime_s from a line `Runtime : n s`."""
-    number = r"([A-Za-z0-9_\-]+)\s*=\s*([0-9]+(?:\.[0-9]+)?)"
-    found = log.select("case_id", "line_no", F.posexplode(F.arrays_zip(F.regexp_extract_all("text", F.lit(number), F.lit(1)).alias("k"), F.regexp_extract_all("text", F.lit(number), F.lit(2)).alias("v"))).alias("i", "kv"))
+    every = lambda group: F.regexp_extract_all("text", F.lit(SETTING), F.lit(group))
+    found = log.select("case_id", "line_no", F.posexplode(F.arrays_zip(every(1).alias("k"), every(2).alias("v"))).alias("i", "kv"))
     order = Window.partitionBy("case_id").orderBy("line_no", "i")
     pairs = found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).groupBy("case_id", F.col("kv.k").alias("key")).agg(F.min_by(F.col("kv.v").cast("double"), "nth").alias("value"))
-    runtime = F.nullif(F.regexp_extract("text", r"(?i)Runtime\s*:\s*([0-9]+(?:\.[0-9]+)?)\s*s", 1), F.lit("")).cast("double")
+    runtime = F.nullif(F.regexp_extract("text", rf"(?i)Runtime\s*:\s*({NUMBER})\s*s", 1), F.lit("")).cast("double")
     runs = log.withColumn("r", runtime).where("r is not null").groupBy("case_id").agg(F.min_by("r", "line_no").alias("value")).select("case_id", F.lit("Runtime_s").alias("key"), "value")
     return pairs.unionByName(runs.join(pairs.where("key = 'Runtime_s'"), "case_id", "left_anti"))
 
 
+def last_csv_row(lines: DataFrame) -> DataFrame:
+    """(case_id, key, value): the last row of each case's CSV file, from its lines (case_id, line_no, text), by the names in the first; blank lines do not count."""
+    rows = lines.where(F.trim("text") != "")
+    ends = rows.groupBy("case_id").agg(F.min_by("text", "line_no").alias("head"), F.max_by("text", "line_no").alias("last"), F.count("*").alias("n")).where("n > 1")
+    cut = lambda c: F.transform(F.split(F.col(c), ","), lambda v: F.trim(v))
+    return ends.select("case_id", F.explode(F.arrays_zip(cut("head").alias("key"), cut("last").alias("value"))).alias("p")).select("case_id", "p.key", "p.value").where("key is not null")
+
+
 def stop_hours(text: Column) -> Column:
     """Hours of a setting SIMULATION_TSTOP = seconds."""
     return F.nullif(F.regexp_extract(text, r"SIMULATION_TSTOP\s*=\s*([0-9.]+)", 1), F.lit("")).cast("double") / 3600

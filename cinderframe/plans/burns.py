@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as X
-from ..functions.projections import albers, utm_epsg
+from ..functions.projections import albers, utm, utm_epsg, utm_inverse
 from ..operators import matching as M
-from .fixtures import frame
+from ..sources import tables as S
+from .fixtures import frame, fresh
 from .registry import query
 
 POLYGONS = "perim_idx, perim_name, ig_date, acres"
@@ -194,22 +195,62 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.dating import hotspots_in_burns
 
-    return hotspots_in_burns(frame(spark, sf, "hotspots").drop("case_id"), cases(spark, sf).drop("x", "y")).select("case_id", "perim_name", "det_id", "sat_ts", "x", "y")
+    path = fresh(spark, "case-hotspots")
+    found = hotspots_in_burns(frame(spark, sf, "hotspots").drop("case_id"), cases(spark, sf).drop("x", "y")).select("case_id", "perim_name", "det_id", "sat_ts", "x", "y")
+    S.write_by_case(found, path)  # a folder for each case, read back as one table
+    return spark.read.schema(found.schema).parquet(path).select(found.columns)
 
 
-@query("a3_polygon_scores", FIRES, PAIRS + """
-, pairs_of as (select a.perim_idx as a_idx, b.perim_idx as b_idx, a.cx as acx, a.cy as acy, a.h as ah, b.cx as bcx, b.cy as bcy, b.h as bh from cases a join cases b on a.perim_idx < b.perim_idx and abs(a.cx - b.cx) < a.h + b.h and abs(a.cy - b.cy) < a.h + b.h),
-c as (select a_idx, b_idx, count(*) filter (ia) as na, count(*) filter (ib) as nb, count(*) filter (ia and ib) as n_both from (
-  select a_idx, b_idx, abs((u + .5) * 50 - acx) + abs((v + .5) * 50 - acy) < ah as ia, abs((u + .5) * 50 - bcx) + abs((v + .5) * 50 - bcy) < bh as ib
-  from (select *, unnest(generate_series(-10, 30)) as u from pairs_of) q, generate_series(-10, 30) g(v)) group by 1, 2)
-select a_idx, b_idx, na, nb, n_both, round(n_both / (na + nb - n_both), 6) as jaccard, round(2.0 * n_both / (na + nb), 6) as sorensen from c where n_both > 0
-""")
+def simulated(spark: SparkSession, sf: str) -> DataFrame:
+    """A simulated burn of each perimeter: a smaller diamond beside it."""
+    k = F.col("perim_idx")
+    x, y, h = F.col("cx") + (k % 5) * 20, F.col("cy") - (k % 3) * 15, F.col("h") - (k % 4) * 25
+    corner = lambda dx, dy: F.struct((x + dx * h).alias("x"), (y + dy * h).alias("y"))
+    return frame(spark, sf, "perimeters").select("perim_idx", F.array(F.array(corner(1, 0), corner(0, 1), corner(-1, 0), corner(0, -1))).alias("rings"))
+
+
+OVERLAP = """
+, grid as (
+  select perim_idx, abs((u + .5) * 50 - cx) + abs((v + .5) * 50 - cy) < h as o, abs((u + .5) * 50 - sx) + abs((v + .5) * 50 - sy) < sh and perim_idx % 6 > 0 as s
+  from (select perim_idx, cx, cy, h, cx + (perim_idx % 5) * 20 as sx, cy - (perim_idx % 3) * 15 as sy, h - (perim_idx % 4) * 25 as sh, unnest(generate_series(-10, 32)) as u from cases) q, generate_series(-10, 32) g(v)
+), counts as (select perim_idx, count(*) filter (o) as na, count(*) filter (s) as nb, count(*) filter (o and s) as n_both, count(*) filter (o or s) as domain from grid group by perim_idx)
+"""
+
+
+@query("a3_polygon_scores", FIRES, PAIRS.rstrip() + OVERLAP + "select perim_idx, na, nb, n_both, round(n_both / domain, 6) as jaccard, round(2.0 * n_both / (na + nb), 6) as sorensen, round(nb / na, 6) as ratio_of_areas from counts")
 def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Observed against simulated polygons of each case; one in six has no simulation."""
     from ..operators.grids import polygon_scores
 
-    fires = cases(spark, sf).select("perim_idx", "rings")
-    got = polygon_scores(fires, cell=50.0)
-    return got.select("a_idx", "b_idx", "na", "nb", "n_both", F.round("jaccard", 6).alias("jaccard"), F.round("sorensen", 6).alias("sorensen"))
+    got = polygon_scores(cases(spark, sf).select("perim_idx", "rings"), with_observed(spark, sf), 50.0, "perim_idx")
+    return got.select("perim_idx", "na", "nb", "n_both", *[F.round(c, 6).alias(c) for c in ("jaccard", "sorensen", "ratio_of_areas")])
+
+
+def with_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The simulated burns of cases, without one in six."""
+    return simulated(spark, sf).where("perim_idx % 6 > 0").join(cases(spark, sf).select("perim_idx"), "perim_idx", "left_semi")
+
+
+@query("p39_domain", FIRES, PAIRS.rstrip() + OVERLAP + "select perim_idx, domain from counts")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.grids import overlap
+
+    return overlap(cases(spark, sf).select("perim_idx", "rings"), with_observed(spark, sf), 50.0, "perim_idx").groupBy("perim_idx").agg(F.count("*").alias("domain"))
+
+
+@query("a17_dissolved", "perimeters", """
+with picked as (select *, perim_idx % 40 as case_id from perimeters where perim_idx % 25 = 0)
+select case_id, n_rings, xmin, ymin, xmax, ymax, area from (
+  select case_id, count(*) as n_rings, cast(min(cx - h) as double) as xmin, cast(min(cy - h) as double) as ymin, cast(max(cx + h) as double) as xmax, cast(max(cy + h) as double) as ymax from picked group by case_id) b
+join (select case_id, cast(count(distinct (u, v)) * 2500 as double) as area from (select *, unnest(generate_series(-10, 32)) as u from picked) q, generate_series(-10, 32) g(v)
+  where abs((u + .5) * 50 - cx) + abs((v + .5) * 50 - cy) < h group by case_id) a using (case_id)
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Several perimeters made one case each."""
+    from ..operators.grids import dissolved
+
+    parts = perimeters(spark, sf).where("perim_idx % 25 = 0").select((F.col("perim_idx") % 40).alias("case_id"), "rings")
+    return dissolved(parts, 50.0).select("case_id", F.size("rings").cast("long").alias("n_rings"), "xmin", "ymin", "xmax", "ymax", "area")
 
 
 @query("a17_total_bounds", FIRES, PAIRS + "select count(*) as n, cast(min(cx - h) as double) as xmin, cast(min(cy - h) as double) as ymin, cast(max(cx + h) as double) as xmax, cast(max(cy + h) as double) as ymax from cases")
@@ -236,16 +277,42 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("s1_perimeter_source", "perimeters", "select perim_idx, perim_name, ig_date, acres from perimeters")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from ..schema import PERIMETERS, require_columns
-
-    return require_columns(frame(spark, sf, "perimeters"), "perim_name", "ig_date", "acres").select(*[F.col(f.name).cast(f.dataType) for f in PERIMETERS])
+    """Through a Parquet table in the shared folder."""
+    path = fresh(spark, "perimeters")
+    perimeters(spark, sf).write.parquet(path)
+    return S.read_perimeters(spark, path)
 
 
-@query("s2_ignition_source", "ignitions", "select pt_idx, point_name, discovery, fireout, cast(x as double) as x, cast(y as double) as y from ignitions")
+@query("s2_ignition_source", "ignitions", "select pt_idx, point_name, date_trunc('second', discovery) as discovery, date_trunc('second', fireout) as fireout, cast(x as double) as x, cast(y as double) as y from ignitions")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from ..schema import IGNITIONS, require_columns
+    """Through CSV files in the shared folder."""
+    path = fresh(spark, "ignitions")
+    times = {k: F.date_format(k, "yyyy-MM-dd HH:mm:ss") for k in ("discovery", "fireout")}
+    frame(spark, sf, "ignitions").withColumns(times).write.option("header", True).csv(path)
+    return S.read_ignitions(spark, path, "csv")
 
-    return require_columns(frame(spark, sf, "ignitions"), "point_name", "discovery", "fireout").select(*[F.col(f.name).cast(f.dataType) for f in IGNITIONS])
+
+@query("p28_utm_round_trip", sql="select c_custkey, -126.0 + (c_custkey * 7) % 60 + 0.25 as lon, 24.0 + (c_custkey * 3) % 25 as lat from customer")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Places to their UTM zone's metres and back."""
+    lon, lat = -126.0 + (F.col("c_custkey") * 7) % 60 + 0.25, 24.0 + (F.col("c_custkey") * 3) % 25
+    at = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", lon.alias("lon"), lat.alias("lat")).withColumn("zone", utm_epsg(F.col("lon"), F.col("lat")) - 32600)
+    x, y = utm(F.col("lon"), F.col("lat"), F.col("zone"))
+    back = utm_inverse(F.col("x"), F.col("y"), F.col("zone"))
+    return at.withColumns({"x": x, "y": y}).select("c_custkey", F.round(back[0], 5).alias("lon"), F.round(back[1], 5).alias("lat"))
+
+
+@query("p28_utm", sql="""
+select c_custkey, round(0.9996 * n * (a + (1 - t + c) * a ** 3 / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a ** 5 / 120) + 500000, 3) as x,
+  round(0.9996 * (6378137.0 * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256) * p - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * sin(2 * p) + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * p) - (35 * e2 ** 3 / 3072) * sin(6 * p))
+    + n * tan(p) * (a * a / 2 + (5 - t + 9 * c + 4 * c * c) * a ** 4 / 24 + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a ** 6 / 720)), 3) as y
+from (select *, 6378137.0 / sqrt(1 - e2 * sin(p) * sin(p)) as n, tan(p) * tan(p) as t, ep2 * cos(p) * cos(p) as c, radians(lon - (6 * (floor((lon + 180) / 6) + 1) - 183)) * cos(p) as a from (
+  select c_custkey, -126.0 + (c_custkey * 7) % 60 + 0.25 as lon, radians(24.0 + (c_custkey * 3) % 25) as p, 0.0066943800229 as e2, 0.0066943800229 / (1 - 0.0066943800229) as ep2 from customer) q) r
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    lon, lat = -126.0 + (F.col("c_custkey") * 7) % 60 + 0.25, 24.0 + (F.col("c_custkey") * 3) % 25
+    x, y = utm(lon, lat, utm_epsg(lon, lat) - 32600)
+    return spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
 @query("p6_naive_utc", sql="select event_id, ts - interval '7' hour as local_ts, ts as utc_ts from events")

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..folders import shared_folder
 from ..operators import dating as D
 from ..operators import reports as R
-from .fixtures import frame
+from ..sources import tables as S
+from ..streaming import live
+from .fixtures import frame, fresh
 from .registry import query
 
 CHAINS = """
@@ -99,9 +102,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return D.duration_gate(dated(spark, sf), 20 * 24).select("case_id", "keep", "reject_reason")
 
 
-@query("p13_outcome", "hotspots case_times", DATED + "select case_id, status from dated")
+@query("p13_outcome", "hotspots case_times", DATED + "select case_id, case when case_id % 11 = 5 or (case_id % 13 = 4 and chain_end is not null) then 'ERROR' when case_id % 7 = 2 then 'SKIP' else status end as status, case when case_id % 11 = 5 and not (case_id % 13 = 4 and chain_end is not null) then 'no burn area' when case_id % 13 = 4 and chain_end is not null then case when case_id % 11 = 5 then 'no burn area' else 'a detection without place or time' end when case_id % 7 = 2 then 'no hotspots inside the burn' end as reason from dated")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return dated(spark, sf).select("case_id", "status")
+    """With cases of every outcome: no burn area, a detection without a place, no detections."""
+    k = F.col("case_id")
+    cases = frame(spark, sf, "case_times").withColumn("burn_area_m2", F.when(k % 11 != 5, F.lit(2_000_000.0)))
+    seen = hot(spark, sf).where((k % 7 != 2) | (k % 11 == 5) | (k % 13 == 4)).withColumn("x", F.when(k % 13 != 4, F.col("x")))
+    return D.dated(cases, seen, gap_days=1).select("case_id", "status", "reason")
 
 
 @query("j16_apply_results", "hotspots case_times", DATED + "select c.case_id, c.acres, d.start_ts, d.end_ts from case_times c left join (select * from dated where case_id % 3 > 0) d on d.case_id = c.case_id")
@@ -136,9 +143,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return assumed_crs(hot(spark, sf))
 
 
-@query("s3_hotspot_source", "hotspots", "select acq_date, count(*) as n, count(distinct case_id) as cases from hotspots where try_strptime(substr(acq_date, 1, 10) || ' ' || lpad(acq_time, 4, '0'), '%Y-%m-%d %H%M') is not null group by acq_date")
+@query("s3_hotspot_source", "hotspots", "select acq_date, count(*) as n, count(distinct det_id) as detections, min(sat_ts) as first_ts from (select det_id, acq_date, try_strptime(substr(acq_date, 1, 10) || ' ' || lpad(acq_time, 4, '0'), '%Y-%m-%d %H%M') as sat_ts from hotspots) t where sat_ts is not null group by acq_date")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from ..schema import require_columns
-
-    rows = D.with_hotspot_time(require_columns(hot(spark, sf), "acq_date", "acq_time", "x", "y").drop("sat_ts"))
-    return rows.groupBy("acq_date").agg(F.count("*").alias("n"), F.countDistinct("case_id").alias("cases"))
+    """As a stream over JSON files in the shared folder."""
+    path = fresh(spark, "hotspots")
+    hot(spark, sf).drop("sat_ts").write.json(path)
+    rows = live.drained(S.read_hotspots(spark, path, "json", stream=True), shared_folder(spark))
+    return rows.groupBy("acq_date").agg(F.count("*").alias("n"), F.countDistinct("det_id").alias("detections"), F.min("sat_ts").alias("first_ts"))

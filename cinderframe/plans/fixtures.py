@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..folders import shared_folder
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 FIXTURES = {
@@ -62,6 +66,11 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text.replace("{ntz}", "timestamp_ntz"), **tables)
 
 
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def with_fixtures(names: list[str], body: str) -> str:
     """DuckDB SQL: the body over fixtures of these names."""
     parts = [f"{n} as ({FIXTURES[n].format(ntz='timestamp', **{t: t for t in TABLES})})" for n in names]

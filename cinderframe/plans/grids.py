@@ -64,11 +64,18 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return G.moisture_lines(G.zonal_means(frame(spark, sf, "cells")))
 
 
-@query("j15_aligned_layers", "cells", "select case_id, row_no, col_no, fuel, m1 from cells where fuel is not null and m1 is not null")
+@query("j15_aligned_layers", "cells", """
+select case_id, row_no, col_no, cast(fuel as double) as fuel, cast(m1 as double) as m1, cast(m10 as double) as m10, cast(m100 as double) as m100 from cells
+where fuel % 5 > 0 and m1 is not null and (row_no + col_no) % 7 > 0 and m100 is not null
+""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    wide = frame(spark, sf, "cells")
-    fuel, m1 = wide.select("case_id", "row_no", "col_no", "fuel"), wide.select("case_id", "row_no", "col_no", "m1")
-    return fuel.join(m1, ["case_id", "row_no", "col_no"]).dropna()
+    """Four layers in one long table, with cells of no data and cells that a layer lacks."""
+    wide = frame(spark, sf, "cells").withColumn("fuel", F.when(F.col("fuel") % 5 > 0, F.col("fuel")).otherwise(config.NODATA))
+    long = wide.select("case_id", "row_no", "col_no", *[F.col(c).cast("double").alias(c) for c in LAYERS]).unpivot(["case_id", "row_no", "col_no"], list(LAYERS), "layer", "value")
+    return G.aligned_layers(long.where((F.col("layer") != "m10") | ((F.col("row_no") + F.col("col_no")) % 7 > 0)), LAYERS)
+
+
+LAYERS = ("fuel", "m1", "m10", "m100")
 
 
 @query("j11_nearest_fuel", "cells", """
@@ -83,22 +90,26 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return G.nearest_valid(cells, starts)
 
 
+#: The bands' grid, and two others of other origins and cell widths.
+SOURCE, COARSE, FINE = (500.0, 1300.0, 30.0, 10, 10), (470.0, 1325.0, 70.0, 5, 6), (512.5, 1290.0, 12.5, 20, 22)
+
+
 @query("j12_nearest_grid", "bands", """
-select w.case_id, w.band, w.row_no, w.col_no, b.value from (select distinct case_id, band, r as row_no, c as col_no from bands, generate_series(0, 3) x(r), generate_series(0, 3) y(c)) w
-left join bands b on b.case_id = w.case_id and b.band = w.band and b.row_no = floor((w.row_no + .5) * 2.5) and b.col_no = floor((w.col_no + .5) * 2.5)
+select w.case_id, w.band, w.row_no, w.col_no, b.value from (select distinct case_id, band, r as row_no, c as col_no from bands, generate_series(0, 4) x(r), generate_series(0, 5) y(c)) w
+left join bands b on b.case_id = w.case_id and b.band = w.band and b.row_no = floor((1300 - (1325 - (w.row_no + .5) * 70)) / 30) and b.col_no = floor((470 + (w.col_no + .5) * 70 - 500) / 30)
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return G.nearest_grid(bands(spark, sf), 4, 4, 2.5)
+    return G.nearest_grid(bands(spark, sf), SOURCE, COARSE)
 
 
 @query("j13_bilinear_grid", "bands", """
 select case_id, band, row_no, col_no, round(sum(w * value) / sum(w), 6) as value from (
   select t.case_id, t.band, t.row_no, t.col_no, b.value, (1 - abs(fr - b.row_no)) * (1 - abs(fc - b.col_no)) as w
-  from (select distinct case_id, band, r as row_no, c as col_no, (r + .5) * 0.5 - 0.5 as fr, (c + .5) * 0.5 - 0.5 as fc from bands, generate_series(0, 19) x(r), generate_series(0, 19) y(c)) t
+  from (select distinct case_id, band, r as row_no, c as col_no, (1300 - (1290 - (r + .5) * 12.5)) / 30 - 0.5 as fr, (512.5 + (c + .5) * 12.5 - 500) / 30 - 0.5 as fc from bands, generate_series(0, 19) x(r), generate_series(0, 21) y(c)) t
   join bands b on b.case_id = t.case_id and b.band = t.band and abs(fr - b.row_no) < 1 and abs(fc - b.col_no) < 1) q group by all
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return round6(G.bilinear_grid(bands(spark, sf), 20, 20, 0.5), "value")
+    return round6(G.bilinear_grid(bands(spark, sf), SOURCE, FINE), "value")
 
 
 SIZED = "with sized as (select *, max(row_no) over (partition by case_id, band) + 1 as nr, max(col_no) over (partition by case_id, band) + 1 as nc from bands) "
@@ -135,12 +146,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("a13_band_counts", "bands weather_hourly", """
-select w.case_id, coalesce(b.n, 0) as bands, w.expected, case when coalesce(b.n, 0) = w.expected then 'OK' else 'MISMATCH(' || (coalesce(b.n, 0) - w.expected) || ')' end as status
-from (select case_id, count(*) % 9 as expected from weather_hourly group by case_id) w left join (select case_id, count(distinct band) as n from bands group by case_id) b on b.case_id = w.case_id
+with ws as (select case_id, count(distinct band) as ws from bands where case_id % 4 > 0 group by case_id), m1 as (select case_id, count(distinct band) as m1 from bands where case_id % 3 > 0 or band > 2 group by case_id),
+rows_ as (select case_id, greatest(0, count(*) - 480) as fire_rows from weather_hourly group by case_id)
+select case_id, ws, m1, fire_rows, case when ws = m1 then 'OK' when ws <> m1 then 'MISMATCH (diff=' || case when m1 > ws then '+' else '' end || (m1 - ws) || ')' end as status
+from ws full join m1 using (case_id) full join rows_ using (case_id)
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    expected = frame(spark, sf, "weather_hourly").groupBy("case_id").agg((F.count("*") % 9).alias("expected"))
-    return G.band_counts(bands(spark, sf), expected)
+    """Wind stacks that some cases lack against moisture stacks that are short in others."""
+    stack = bands(spark, sf)
+    return G.band_counts(stack.where("case_id % 4 > 0"), stack.where("case_id % 3 > 0 or band > 2"), frame(spark, sf, "weather_hourly"))
 
 
 @query("w10_band_numbers", "weather_hourly", "select case_id, ts, dense_rank() over (partition by case_id order by ts) as band from weather_hourly")
@@ -165,11 +179,32 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return B.clip(frame(spark, sf, "barrier_segments"), cases).select("seg_id", "case_id")
 
 
-@query("j6_backup_rivers")
+def _apart2(p: str, s: str) -> str:
+    """SQL: squared distance of a point to a segment; aliases of (x, y) columns and of (x1, y1, x2, y2) columns."""
+    x, y = p
+    a = f"(({x} - {s}.x1) * ({s}.x2 - {s}.x1) + ({y} - {s}.y1) * ({s}.y2 - {s}.y1))"
+    d2 = f"(1.0 * ({s}.x2 - {s}.x1) * ({s}.x2 - {s}.x1) + ({s}.y2 - {s}.y1) * ({s}.y2 - {s}.y1))"
+    t = f"(case when {d2} = 0 then 0.0 else greatest(0.0, least(1.0, {a} / {d2})) end)"
+    return f"(({x} - {s}.x1 - {t} * ({s}.x2 - {s}.x1)) ** 2 + ({y} - {s}.y1 - {t} * ({s}.y2 - {s}.y1)) ** 2)"
+
+
+def _side(s: str, x: str, y: str) -> str:
+    return f"(({s}.x2 - {s}.x1) * ({y} - {s}.y1) - ({s}.y2 - {s}.y1) * ({x} - {s}.x1))"
+
+
+NEAR = " or ".join(f"{_apart2((f'{p}.x{i}', f'{p}.y{i}'), s)} <= 4" for p, s in (("a", "b"), ("b", "a")) for i in (1, 2))
+CROSS = f"({_side('a', 'b.x1', 'b.y1')} * {_side('a', 'b.x2', 'b.y2')} < 0 and {_side('b', 'a.x1', 'a.y1')} * {_side('b', 'a.x2', 'a.y2')} < 0)"
+
+
+SPREAD = "with spread as (select seg_id, class, x1 + 450 * (seg_id % 19) as x1, y1, x2 + 450 * (seg_id % 19) as x2, y2 from barrier_segments) "
+
+
+@query("j6_backup_rivers", "barrier_segments", SPREAD + f"select seg_id from spread a where class = 'unknown' and not exists (select 1 from spread b where b.class = 'river' and ({CROSS} or {NEAR}))")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    lines = frame(spark, sf, "barrier_segments")
-    near = spark.createDataFrame([(1, 0, 150, 0, 150)], "case_id int, xmin int, xmax int, ymin int, ymax int")
-    return B.not_near(lines.where("class = 'unknown'"), B.clip(lines.where("class = 'river'"), near), tolerance=2.0).select("seg_id")
+    """The lines side by side in 19 panels, so that some are far from every river."""
+    aside = 450 * (F.col("seg_id") % 19)
+    lines = frame(spark, sf, "barrier_segments").withColumns({"x1": F.col("x1") + aside, "x2": F.col("x2") + aside})
+    return B.not_near(lines.where("class = 'unknown'"), lines.where("class = 'river'"), tolerance=2.0).select("seg_id")
 
 
 @query("j19_touched_cells")

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..folders import numbered, once
+from ..functions.text import case_id
 from ..operators import cases as C
 from ..operators import runlog as L
 from ..sources import tables as S
-from .fixtures import frame
+from .fixtures import frame, fresh
 from .registry import query
 
 
@@ -26,17 +28,23 @@ state as (
 """
 
 
-@query("w13_case_state", "run_log", STATE + "select case_id, status, step, label from states")
+@query("w13_case_state", "run_log", STATE + """
+, every as (select case_id from states union select -1 - r_regionkey from region)
+select e.case_id, case when e.case_id % 17 = 3 then 'done' when s.case_id is null then 'pending' else status end as status,
+  case when e.case_id % 17 = 3 or status = 'done' then 12 else step end as step, label
+from every e left join states s using (case_id)
+""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return L.case_state(log(spark, sf)).drop("error")
+    """With cases that have no log, and cases that are done by their outputs."""
+    logs = log(spark, sf)
+    every = logs.select("case_id").union(spark.read.parquet(f"{sf}/region.parquet").select((-1 - F.col("r_regionkey")).cast("long")))
+    return L.case_state(logs, every, logs.select("case_id").where("case_id % 17 = 3")).drop("error")
 
 
 @query("t3_status_order", "run_log", STATE + "select case_id, status, row_number() over (order by case status when 'running' then 0 when 'starting' then 1 when 'failed' then 2 when 'done' then 3 else 4 end, case_id) as place from states")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.orderBy(L.status_rank(F.col("status")), "case_id"))  # a row per case
-    return L.case_state(log(spark, sf)).select("case_id", "status", place.alias("place"))
+    states = L.case_state(log(spark, sf)).select("case_id", "status", L.status_rank(F.col("status")).alias("rank"))
+    return numbered(once(states), "rank", "case_id", to="place").select("case_id", "status", F.col("place").cast("int").alias("place"))
 
 
 @query("w14_elapsed", "run_log", "select case_id, case when s < 0 then s + 86400 else s end as elapsed_s from (select case_id, date_sub('second', min_by(ts, line_no), max_by(ts, line_no)) as s from run_log group by case_id) t")
@@ -62,9 +70,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", L.stop_hours(text).alias("hours"))
 
 
-@query("s20_log_lines", "run_log", "select case_id, count(*) as n_lines, max(line_no) as last_line, count(*) filter (contains(text, 'Traceback')) as tracebacks from run_log group by case_id")
+@query("s20_log_lines", "run_log", "select lpad(cast(case_id as varchar), 5, '0') as case_id, line_no, text from run_log")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return log(spark, sf).groupBy("case_id").agg(F.count("*").alias("n_lines"), F.max("line_no").alias("last_line"), F.count_if(F.col("text").contains("Traceback")).alias("tracebacks"))
+    """Logs written as text files, a folder for each case, and read back with their line numbers."""
+    path = fresh(spark, "logs")
+    lines = log(spark, sf).withColumn("case_id", case_id(F.col("case_id")))
+    lines.repartition("case_id").sortWithinPartitions("case_id", "line_no").select("case_id", "text").write.partitionBy("case_id").text(path)
+    return S.read_log(spark, f"{path}/*/*.txt").withColumn("case_id", F.regexp_replace("case_id", "^case_id=", ""))
 
 
 @query("t5_first_lines", "run_log", "select case_id, line_no from run_log qualify row_number() over (partition by case_id order by line_no) <= 24")
@@ -146,18 +158,56 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("s4_case_csv", "case_times", "select lpad(cast(case_id as varchar), 5, '0') as folder, case_id as perim_idx, date_trunc('second', discovery) as point_discovery, null::timestamp as \"EventEndTime\" from case_times")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Through a CSV file in the shared folder and back."""
-    import tempfile
-    import uuid
+    path = fresh(spark, "cases")
+    S.write_cases(case_rows(spark, sf), path)
+    return S.read_cases(spark, path).select("folder", "perim_idx", "point_discovery", "EventEndTime")
 
-    from ..functions.text import case_id
 
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    path = f"{sc.getCheckpointDir()}/cases-{uuid.uuid4().hex}"
-    rows = frame(spark, sf, "case_times").select(case_id(F.col("case_id")).alias("folder"), F.col("case_id").alias("perim_idx"), F.date_trunc("second", "discovery").cast("timestamp_ntz").alias("point_discovery"))
-    S.write_cases(rows, path)
-    return S.read_cases(spark, path).select("folder", "perim_idx", "point_discovery", "EventEndTime")
+def case_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return frame(spark, sf, "case_times").select(case_id(F.col("case_id")).alias("folder"), F.col("case_id").alias("perim_idx"), F.date_trunc("second", "discovery").cast("timestamp_ntz").alias("point_discovery"))
+
+
+@query("s5_case_csv_sink", "case_times", "select lpad(cast(case_id as varchar), 5, '0') as folder, cast(case_id as varchar) as perim_idx, strftime(discovery, '%Y-%m-%dT%H:%M:%S.000') as point_discovery from case_times where case_id % 2 = 0")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """What the second of two writes left in the file, as text."""
+    path = fresh(spark, "cases")
+    S.write_cases(case_rows(spark, sf), path)
+    S.write_cases(case_rows(spark, sf).where("perim_idx % 2 = 0"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@query("s8_metadata_sink", "case_times cells", """select case_id, '{"acres":' || acres || '}' as json from case_times where case_id in (select case_id from cells)""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A JSON file folder for each case that exists, read back."""
+    path = fresh(spark, "metadata")
+    S.write_metadata(frame(spark, sf, "case_times").select("case_id", "acres"), frame(spark, sf, "cells").select("case_id").distinct(), path)
+    return spark.read.schema("value string, case_id long").text(path).select("case_id", F.col("value").alias("json"))
+
+
+@query("s15_newest_of_files", sql="select k % 3 as case_id, max(k) as number from (select row_number() over (order by n_nationkey) - 1 as k from nation) t group by 1")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Of three rounds of files the last, by the times at which they were written."""
+    path = fresh(spark, "files")
+    keys = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("k"))
+    for least, most in ((0, 8), (9, 17), (18, 24)):
+        rows = keys.where(F.col("k").between(least, most)).withColumn("case_id", F.col("k") % 3)
+        rows.groupBy("case_id").agg(F.max("k").cast("string").alias("text")).repartition("case_id").write.mode("append").partitionBy("case_id").text(path)
+    files = S.files_of(spark, f"{path}/*/*.txt").select("path", "modified", F.regexp_extract("case_id", r"([0-9]+)$", 1).cast("long").alias("case_id"))
+    last = C.newest(files).select("case_id", F.regexp_replace("path", r"^file:/*", "/").alias("path"))
+    texts = spark.read.text(f"{path}/*/*.txt").select(F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*", "/").alias("path"), F.col("value").cast("long").alias("number"))
+    return last.join(texts, "path").select("case_id", "number")
+
+
+@query("s18_last_csv_row", sql="""
+with l as (select user_id as case_id, max(event_id) as last from events group by user_id)
+select case_id, unnest(['cells', 'hours']) as key, unnest([cast(last % 97 as varchar), cast(last % 13 as varchar) || '.5']) as value from l
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/events.parquet")
+    text = F.concat((F.col("event_id") % 97).cast("string"), F.lit(", "), (F.col("event_id") % 13).cast("string"), F.lit(".5"))
+    lines = rows.select(F.col("user_id").alias("case_id"), (F.col("event_id") + 1).alias("line_no"), text.alias("text"))
+    heads = rows.select(F.col("user_id").alias("case_id"), F.lit(-1).cast("long").alias("line_no"), F.lit("cells,hours").alias("text")).distinct()
+    return L.last_csv_row(lines.unionByName(heads))
 
 
 @query("j8_product_year", "perimeters", f"select perim_idx, coalesce((select max(y) from (values {', '.join(f'({y})' for y in config.PRODUCT_YEARS)}) p(y) where y <= year(ig_date) + 25), {min(config.PRODUCT_YEARS)}) as product_year from perimeters")
@@ -177,14 +227,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("j17_case_lookup", "case_times", "select case_id, acres from case_times")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from ..functions.text import case_id
-
     folders = frame(spark, sf, "case_times").select(case_id(F.col("case_id")).alias("folder"))
     return folders.withColumn("case_id", F.col("folder").cast("long")).join(frame(spark, sf, "case_times"), "case_id").select("case_id", "acres")
 
 
 @query("t2_sorted_summary", "case_times", "select case_id, acres, row_number() over (order by case_id) as place from case_times")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    return frame(spark, sf, "case_times").select("case_id", "acres", F.row_number().over(Window.orderBy("case_id")).alias("place"))  # a row per case
+    return numbered(once(frame(spark, sf, "case_times").select("case_id", "acres")), "case_id", to="place").withColumn("place", F.col("place").cast("int"))

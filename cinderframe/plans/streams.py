@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..folders import shared_folder
 from ..streaming import live
 from .registry import query
 
@@ -18,14 +19,6 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one where the session names none."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return sc.getCheckpointDir()
-
-
 def hotspots(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).select(F.col("user_id").alias("case_id"), F.col("ts").alias("sat_ts"), ((F.col("event_id") * 7919) % 3000).alias("x"), ((F.col("event_id") * 104729) % 3000).alias("y"))
 
@@ -37,18 +30,25 @@ select user_id as case_id, min(ts) as chain_start, max(ts) as chain_end, count(*
 having max(ts) + interval '12' hour <= (select max(ts) - interval '1' day from events)
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    out = live.drained(live.chains(hotspots(spark, sf), "12 hours"), folder(spark))
+    out = live.drained(live.chains(hotspots(spark, sf), "12 hours"), shared_folder(spark))
     return out.select("case_id", F.col("chain_start").cast("timestamp_ntz").alias("chain_start"), F.col("chain_end").cast("timestamp_ntz").alias("chain_end"), "n")
 
 
 @query("x2_live_cover", sql="""
-select case_id, count(*) as cells from (select distinct user_id as case_id, u, v from (
-  select *, unnest(generate_series(cast(floor((y - 200) / 100.0) as bigint), cast(floor((y + 200) / 100.0) as bigint))) as v from (
-    select *, unnest(generate_series(cast(floor((x - 200) / 100.0) as bigint), cast(floor((x + 200) / 100.0) as bigint))) as u from (select user_id, (event_id * 7919) % 3000 as x, (event_id * 104729) % 3000 as y from events) e) a) b
-  where ((u + .5) * 100 - x) * ((u + .5) * 100 - x) + ((v + .5) * 100 - y) * ((v + .5) * 100 - y) <= 40000) c group by case_id
+with m as (select user_id, event_id, ts, case when date_diff('microsecond', lag(ts) over (partition by user_id order by ts), ts) > 43200000000 then 1 else 0 end as b from events),
+s as (select *, sum(b) over (partition by user_id order by ts range between unbounded preceding and current row) as k from m),
+c as (select user_id, k, min(ts) as chain_start from s group by user_id, k having max(ts) + interval '12' hour <= (select max(ts) - interval '1' day from events)),
+d as (select user_id, k, (event_id * 7919) % 3000 as x, (event_id * 104729) % 3000 as y from s),
+g as (
+  select distinct user_id, k, u, v from (
+    select *, unnest(generate_series(cast(floor((y - 200) / 100.0) as bigint), cast(floor((y + 200) / 100.0) as bigint))) as v from (
+      select *, unnest(generate_series(cast(floor((x - 200) / 100.0) as bigint), cast(floor((x + 200) / 100.0) as bigint))) as u from d) a) b
+  where ((u + .5) * 100 - x) * ((u + .5) * 100 - x) + ((v + .5) * 100 - y) * ((v + .5) * 100 - y) <= 40000)
+select user_id as case_id, chain_start, count(*) as cells from c join g using (user_id, k) group by user_id, chain_start
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return live.drained(live.covered_cells(hotspots(spark, sf), 200.0, 100.0), folder(spark), "update")
+    out = live.drained(live.covered_cells(hotspots(spark, sf), 200.0, 100.0), shared_folder(spark))
+    return out.withColumn("chain_start", F.col("chain_start").cast("timestamp_ntz"))
 
 
 @query("x3_live_status", sql="""
@@ -57,14 +57,26 @@ select user_id as case_id, max_by(event_id % 12 + 1, event_id) filter (event_typ
 def _(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("event_type") == "error", "Traceback (most recent call last)").otherwise(F.concat(F.lit("=== STEP "), (F.col("event_id") % 12 + 1).cast("string"), F.lit(": "), F.col("event_type"), F.lit(" ===")))
     log = events(spark, sf).select(F.col("user_id").alias("case_id"), F.col("event_id").alias("line_no"), text.alias("text"))
-    return live.drained(live.case_status(log), folder(spark), "update")
+    return live.drained(live.case_status(log), shared_folder(spark), "update")
 
 
-@query("x4_late_detections")
+@query("x4_late_detections", sql="""
+with e as (select user_id as case_id, event_id % 3 as part, date_trunc('hour', ts) as hour, ts from events),
+w as (select max(ts) filter (part = 0) - interval '6' hour as first_mark, max(ts) - interval '6' hour as last_mark from e)
+select case_id, hour, count(*) filter (part < 2 or hour + interval '1' hour > first_mark) as n, count(*) filter (part = 2 and hour + interval '1' hour <= first_mark) as late
+from e, w where hour + interval '1' hour <= last_mark group by case_id, hour
+having count(*) filter (part < 2 or hour + interval '1' hour > first_mark) > 0
+""")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Hotspots of closed hours by case, with those that come after the watermark dropped."""
-    rows = hotspots(spark, sf).withWatermark("sat_ts", "6 hours").groupBy("case_id", F.window("sat_ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
-    return live.drained(rows.select("case_id", F.col("w.start").alias("hour"), "n"), folder(spark))
+    """Hotspots of closed hours by case, and how many of them came too late: the table arrives in three batches, each as old as the others."""
+    path, files = f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}", 8
+    table = spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.col("user_id").alias("case_id"), F.col("ts").cast("timestamp").alias("sat_ts"))
+    for k in range(3):  # files are read in the order in which they were written
+        table.where(F.col("event_id") % 3 == k).repartition(files).write.mode("append").parquet(path)
+    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
+    counted = live.drained(live.closed_hours(rows), shared_folder(spark))
+    came = table.groupBy("case_id", F.date_trunc("hour", "sat_ts").alias("hour")).agg(F.count("*").alias("came"))
+    return counted.join(came, ["case_id", "hour"]).select("case_id", F.col("hour").cast("timestamp_ntz").alias("hour"), "n", (F.col("came") - F.col("n")).alias("late"))
 
 
 @query("x5_live_wind", sql="""
@@ -73,5 +85,5 @@ having date_trunc('hour', ts) + interval '1' hour <= (select max(ts) - interval
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     weather = events(spark, sf).select((F.col("user_id") % 10).alias("case_id"), "ts", (F.col("value") / 2.0).alias("wind_kph"))
-    out = live.drained(live.hourly_wind(weather), folder(spark))
+    out = live.drained(live.hourly_wind(weather), shared_folder(spark))
     return out.select("case_id", F.col("hour").cast("timestamp_ntz").alias("hour"), F.round("wind_kph", 6).alias("wind_kph"), "n")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..folders import once
 from ..functions.text import iso
+from ..operators.dating import with_hotspot_time
 from ..operators.grids import centre_of
 
 
@@ -50,10 +52,45 @@ def safe_for_files(df: DataFrame, geometry: str = "rings") -> DataFrame:
     return df.where(F.size(geometry) > 0).drop(*nested).withColumns(zoned)
 
 
+def read_fires(spark: SparkSession, path: str, schema: T.StructType, *required: str, form: str = "parquet", stream: bool = False) -> DataFrame:
+    """A table of perimeters, ignitions or hotspots with the columns and types of `schema`, as a batch or a stream.
+
+    An error names `required` columns that the source lacks; others that it lacks are null, and columns beside the schema's stay out.
+    """
+    there = spark.read.option("header", True).format(form).load(path)
+    S.require_columns(there, *required)
+    reader = spark.readStream.schema(there.schema) if stream else spark.read.schema(there.schema)
+    rows = reader.option("header", True).format(form).load(path)
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def read_perimeters(spark: SparkSession, path: str, form: str = "parquet", stream: bool = False) -> DataFrame:
+    return read_fires(spark, path, S.PERIMETERS, "perim_name", "ig_date", "acres", form=form, stream=stream)
+
+
+def read_ignitions(spark: SparkSession, path: str, form: str = "parquet", stream: bool = False) -> DataFrame:
+    return read_fires(spark, path, S.IGNITIONS, "point_name", "discovery", "fireout", form=form, stream=stream)
+
+
+def read_hotspots(spark: SparkSession, path: str, form: str = "parquet", stream: bool = False) -> DataFrame:
+    """Hotspots with sat_ts from their date and HHMM columns; those without a time go."""
+    return with_hotspot_time(read_fires(spark, path, S.HOTSPOTS, "acq_date", "acq_time", form=form, stream=stream))
+
+
+def write_by_case(df: DataFrame, path: str, key: str = "case_id") -> None:
+    """A folder of files for each case."""
+    df.repartition(key).write.mode("overwrite").partitionBy(key).parquet(path)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """(case_id, line_no, text) of text files in folders named by case."""
-    lines = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("case_id"), F.posexplode(F.split("value", "\r?\n")).alias("i", "text"))
-    return lines.select("case_id", (F.col("i") + 1).cast("long").alias("line_no"), "text")
+    """(case_id, line_no, text) of text files in folders named by case, read by lines; a large file is split among tasks.
+
+    Lines are numbered by the place of their split in the file and their place in the split; a file that ends in a line break has no last empty line.
+    """
+    name = F.col("_metadata.file_path")
+    rows = spark.read.text(path).select(name.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), F.regexp_replace("value", "\r$", "").alias("text"))
+    order = Window.partitionBy("file").orderBy("block", "nth")
+    return once(rows).select(F.regexp_extract("file", r"/([^/]+)/[^/]+$", 1).alias("case_id"), F.row_number().over(order).cast("long").alias("line_no"), "text")
 
 
 def files_of(spark: SparkSession, path: str) -> DataFrame:

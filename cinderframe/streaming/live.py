@@ -18,10 +18,11 @@ def chains(hotspots: DataFrame, gap: str = "7 days", late: str = "1 day") -> Dat
     return sessions.agg(F.count("*").alias("n"), F.min("sat_ts").alias("chain_start"), F.max("sat_ts").alias("chain_end")).select("case_id", "chain_start", "chain_end", "n")
 
 
-def covered_cells(hotspots: DataFrame, radius: float, cell: float, late: str = "1 day") -> DataFrame:
-    """(case_id, cells): cells covered so far, each counted once (update mode)."""
+def covered_cells(hotspots: DataFrame, radius: float, cell: float, gap: str = "12 hours", late: str = "1 day") -> DataFrame:
+    """(case_id, chain_start, cells) of each closed chain: its covered cells, each counted once. A chain's cells leave the state when it ends."""
     cells = disc_cells(hotspots.withWatermark("sat_ts", late), radius, cell)
-    return cells.dropDuplicates(["case_id", "u", "v"]).groupBy("case_id").agg(F.count("*").alias("cells"))
+    chain = cells.groupBy("case_id", F.session_window("sat_ts", gap).alias("w")).agg(F.min("sat_ts").alias("chain_start"), F.collect_set(F.struct("u", "v")).alias("cells"))
+    return chain.select("case_id", "chain_start", F.size("cells").cast("long").alias("cells"))
 
 
 def case_status(log: DataFrame) -> DataFrame:
@@ -36,18 +37,28 @@ def hourly_wind(weather: DataFrame, late: str = "1 hour") -> DataFrame:
     return rows.agg(F.avg("wind_kph").alias("wind_kph"), F.count("*").alias("n")).select("case_id", F.col("w.start").alias("hour"), "wind_kph", "n")
 
 
-def drained(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over what is there now and returns what it wrote; with mode update or complete, the rows of the last batch of each key's first column."""
-    path = f"{folder}/stream-{uuid.uuid4().hex}"
+def closed_hours(hotspots: DataFrame, late: str = "6 hours") -> DataFrame:
+    """(case_id, hour, n): hotspots of closed hours; rows whose hour was closed when they came are dropped."""
+    rows = hotspots.withWatermark("sat_ts", late).groupBy("case_id", F.window("sat_ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
+    return rows.select("case_id", F.col("w.start").alias("hour"), "n")
+
+
+def drained(stream: DataFrame, folder: str, mode: str = "append", name: str | None = None) -> DataFrame:
+    """Runs a stream over what is there now and returns all that it wrote; with mode update or complete, the rows of the last batch of each key's first column.
+
+    State and rows lie in `folder` under `name` (None: a new one). Called again with that name, it goes on where it stopped: each batch overwrites a table of its own, so
+    one that is run again after a failure counts once.
+    """
+    path = f"{folder}/{name or f'stream-{uuid.uuid4().hex}'}"
 
     def write(batch: DataFrame, n: int) -> None:
-        batch.withColumn("__batch", F.lit(n)).write.mode("append").parquet(f"{path}/out")
+        batch.write.mode("overwrite").parquet(f"{path}/out/__batch={n}")
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").foreachBatch(write).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    out = stream.sparkSession.read.schema(stream.schema.add("__batch", T.IntegerType())).parquet(f"{path}/out")
+    out = stream.sparkSession.read.schema(T.StructType([*stream.schema.fields, T.StructField("__batch", T.IntegerType())])).parquet(f"{path}/out")
     if mode == "append":
         return out.drop("__batch")
     key = stream.columns[0]

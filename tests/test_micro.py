@@ -156,7 +156,7 @@ def test_stack_grows_to_the_north_and_east(spark):
 
 def test_bilinear_of_a_plane_is_the_plane(spark):
     plane = spark.createDataFrame([(1, 1, r, c, 2.0 * r + c) for r in range(6) for c in range(6)], "case_id int, band int, row_no int, col_no int, value double")
-    for r in grids.bilinear_grid(plane, 12, 12, 0.5).where("row_no between 1 and 10 and col_no between 1 and 10").collect():
+    for r in grids.bilinear_grid(plane, (0.0, 6.0, 1.0, 6, 6), (0.0, 6.0, 0.5, 12, 12)).where("row_no between 1 and 10 and col_no between 1 and 10").collect():
         assert abs(r.value - (2 * ((r.row_no + 0.5) / 2 - 0.5) + (r.col_no + 0.5) / 2 - 0.5)) < 1e-12
 
 
@@ -197,7 +197,10 @@ def test_log_states(spark):
     logs = {1: ["=== STEP 1: fetch ===", "=== STEP 2: wind ==="], 2: ["hello"], 3: ["=== STEP 3: x ===", "Traceback (most recent call last)", "ValueError: bad"], 4: ["=== STEP 9: y ===", "CASE COMPLETED."], 5: ["=== STEP 1: z ===", "Traceback (most recent call last)", *["ok"] * 70]}
     df = spark.createDataFrame([(c, i + 1, t) for c, lines in logs.items() for i, t in enumerate(lines)], "case_id int, line_no int, text string")
     got = {r.case_id: (r.status, r.step, r.error) for r in L.case_state(df).collect()}
-    assert got == {1: ("running", 2, None), 2: ("starting", None, None), 3: ("failed", 3, "ValueError: bad"), 4: ("done", 9, None), 5: ("running", 1, None)}
+    assert got == {1: ("running", 2, None), 2: ("starting", None, None), 3: ("failed", 3, "ValueError: bad"), 4: ("done", 12, None), 5: ("running", 1, None)}
+    every = spark.createDataFrame([(k,) for k in range(1, 8)], "case_id int")
+    got = {r.case_id: r.status for r in L.case_state(df, every, every.where("case_id in (2, 7)")).collect()}
+    assert got == {1: "running", 2: "done", 3: "failed", 4: "done", 5: "running", 6: "pending", 7: "done"}
 
 
 def test_weather_windows_and_fallback(spark):
@@ -235,3 +238,44 @@ def test_grid_text_round_trip(spark):
     size = spark.createDataFrame([(1, 2, 2, 10.0, 20.0, 5.0)], "case_id int, ncols int, nrows int, xll double, yll double, cellsize double")
     got = {(r.row_no, r.col_no): (r.x, r.y, r.value) for r in T.grid_cells(T.grid_text(cells_, size)).collect()}
     assert got == {(0, 0): (12.5, 27.5, 1.5), (0, 1): (17.5, 27.5, None), (1, 0): (12.5, 22.5, None), (1, 1): (17.5, 22.5, 0.0)}
+
+
+def test_a_split_log_keeps_its_line_numbers(spark, tmp_path):
+    (tmp_path / "00007").mkdir()
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(5000)]
+    (tmp_path / "00007" / "pipeline.log").write_text("\r\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        log = T.read_log(spark, f"{tmp_path}/*/pipeline.log")
+        assert [r.text for r in log.orderBy("line_no").collect()] == lines and log.agg({"line_no": "max"}).first()[0] == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
+    from cinderframe.streaming import live
+
+    day = lambda d, h: (1, dt.datetime(2024, 7, d, h), d, h)
+    schema = "case_id int, sat_ts timestamp, x int, y int"
+    spark.createDataFrame([day(1, 1), day(1, 2), day(5, 1)], schema).write.mode("append").parquet(f"{tmp_path}/in")
+    run = lambda: sorted(r.n for r in live.drained(live.chains(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), "12 hours"), str(tmp_path), name="chains").collect())
+    assert run() == [2]
+    spark.createDataFrame([day(5, 3), day(9, 1)], schema).write.mode("append").parquet(f"{tmp_path}/in")
+    assert run() == [2, 2] and run() == [2, 2]
+
+
+def test_numbers_without_one_task(spark):
+    from cinderframe.folders import numbered
+
+    df = spark.range(1000).selectExpr("(id * 37) % 1000 as k", "id % 7 as v").repartition(9)
+    assert sorted((r.k, r.nth) for r in numbered(df, "k").collect()) == [(k, k + 1) for k in range(1000)]
+
+
+def test_sources_name_what_they_lack(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 7)], "perim_idx long, perim_name string, other int").write.parquet(f"{tmp_path}/p")
+    with pytest.raises(ValueError, match="ig_date"):
+        T.read_perimeters(spark, f"{tmp_path}/p")
+    spark.createDataFrame([("2024-07-01", "930", 1)], "acq_date string, acq_time string, x int").write.json(f"{tmp_path}/h")
+    rows = T.read_hotspots(spark, f"{tmp_path}/h", "json").collect()
+    assert [(r.sat_ts, r.det_id, r.x, r.y) for r in rows] == [(dt.datetime(2024, 7, 1, 9, 30), None, 1.0, None)]
