@@ -8,6 +8,9 @@ sorted by k-gram and then by the context that their windows cover; neighbours ar
 * a context equal to its neighbour's repeats an earlier one over all its windows, which is one long match;
 * the rest, first of their context, are extended word by word to the left and right where contexts of one k-gram differ: their windows are hashed and matched.
 
+The order is that of hashes of the suffixes' first words and of their contexts: words themselves, some 350 bytes for each suffix, would take about eight times the
+corpus on disk. So neighbours are equal or not, and common prefixes of unequal ones come from the windows.
+
 So a passage of MIN_WORDS words or more that occurs twice is always found, and nothing shorter is.
 """
 
@@ -81,14 +84,19 @@ def sparse_suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int,
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(scan, schema)
 
 
+TOLD = ["gram", "doc", "lo", "hi", "first", "again", "several", "other"]
+
+
 def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted suffixes, those with an equal k-gram next to them: `first` of their context, or a repeat of document `other`.
 
-    `again`: an equal context follows; its document is then the first's `other`. At a partition's edges, where a neighbour is out of sight, a suffix counts as first of its
-    context, and its windows decide. A suffix that stands twice, as its row does, repeats nothing.
+    `again`: an equal context follows; its document is then the first's `other`. `several`: its k-gram has other contexts as well. A k-gram's first suffix waits for
+    that until another context or k-gram comes. At a partition's edges, where neighbours are out of sight, a suffix counts as first of its context and of several,
+    and its windows decide. A suffix that stands twice, as its row does, repeats nothing.
     """
     held: pa.RecordBatch | None = None  # the last row, which waits for its right neighbour
-    was_first, was_twice, was_gram, was_other, edge = True, False, True, None, True
+    head: pa.Table | None = None  # a k-gram's first suffix, which waits for another context
+    was_first, was_twice, was_gram, was_other, edge, was_mixed = True, False, True, None, True, True
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -112,14 +120,29 @@ def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             run = int(np.argmin(np.r_[same[1:], False])) + 1
             other = pa.concat_arrays([pa.array([was_other] * run, other.type), other.slice(run)])
         other = pc.if_else(pa.array(first & again), doc.take(pa.array(np.minimum(np.arange(n) + 1, n - 1))), other)
-        take = np.flatnonzero((near & ~twice)[: n - 1])
-        if len(take):
-            at = pa.array(take)
-            yield pa.RecordBatch.from_arrays([rows.column(k).combine_chunks().take(at) for k in ("gram", "doc", "lo", "hi")] + [pa.array(first[take]), pa.array(again[take]), other.take(at)], ["gram", "doc", "lo", "hi", "first", "again", "other"])
+        # Runs of one k-gram, and which of them have another context; the first one of a partition may have had one before it.
+        starts = np.flatnonzero(~same_gram)
+        mixed = np.logical_or.reduceat(same_gram & ~same, starts)
+        mixed[0] |= was_mixed
+        several = first & np.repeat(mixed, np.diff(np.r_[starts, n]))
+        if head is not None and (mixed[0] or len(starts) > 1):
+            yield from head.set_column(6, "several", pa.array([bool(mixed[0])])).to_batches()
+            head = None
+        told = pa.Table.from_arrays([*(rows.column(k) for k in ("gram", "doc", "lo", "hi")), pa.array(first), pa.array(again), pa.array(several), other], names=TOLD)
+        keep = (near & ~twice) & (np.arange(n) < n - 1)
+        last = int(starts[-1])
+        if not mixed[-1] and last < n - 1 and (last or not was_gram):  # the open run's first suffix
+            if keep[last]:
+                head, keep[last] = told.slice(last, 1).combine_chunks(), False
+        if keep.any():
+            yield from told.take(pa.array(np.flatnonzero(keep))).combine_chunks().to_batches()
         held = rows.slice(n - 1).to_batches()[0]
-        was_first, was_twice, was_gram, was_other, edge = bool(first[-1]), bool(twice[-1]), bool(same_gram[-1]), other[n - 1].as_py(), n == 1 and edge
+        was_mixed = bool(mixed[-1])
+        was_first, was_twice, was_gram, was_other, edge = bool(first[-1]), bool(twice[-1]), bool(same_gram[-1]) or (n == 1 and was_gram), other[n - 1].as_py(), n == 1 and edge
+    if head is not None:
+        yield from head.set_column(6, "several", pa.array([True])).to_batches()
     if held is not None and not was_twice:
-        yield pa.RecordBatch.from_arrays([held.column(k) for k in ("gram", "doc", "lo", "hi")] + [pa.array([was_first]), pa.array([False]), pa.array([was_other], held.column("doc").type)], ["gram", "doc", "lo", "hi", "first", "again", "other"])
+        yield pa.RecordBatch.from_arrays([held.column(k) for k in ("gram", "doc", "lo", "hi")] + [pa.array([was_first]), pa.array([False]), pa.array([was_first]), pa.array([was_other], held.column("doc").type)], TOLD)
 
 
 def _windows(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
@@ -198,7 +221,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_co
 def _repeats(docs: DataFrame, min_words: int, gram: int, id_col: str, text_col: str) -> DataFrame:
     """repeats() of rows that id_col tells apart."""
     kind = docs.schema[id_col].dataType
-    told = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc", kind), T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType()), T.StructField("first", T.BooleanType()), T.StructField("again", T.BooleanType()), T.StructField("other", kind)])
+    told = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc", kind), T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType()), *(T.StructField(k, T.BooleanType()) for k in ("first", "again", "several")), T.StructField("other", kind)])
     spans = T.StructType([T.StructField("doc", kind), T.StructField("removed", T.BooleanType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("other", kind)])
     spark = docs.sparkSession
     suffixes, at_suffixes = stored(sparse_suffixes(docs, id_col, text_col, min_words, gram))
@@ -208,8 +231,6 @@ def _repeats(docs: DataFrame, min_words: int, gram: int, id_col: str, text_col:
     release(spark, at_suffixes)
     # A k-gram that has one context only repeats as a whole; windows are needed where contexts of one k-gram differ.
     firsts = pairs.where("first")
-    several = firsts.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1").select("gram", F.lit(True).alias("several"))
-    firsts, at_firsts = stored(firsts.join(several, "gram", "left"))
     windows, at_windows = stored(_windows(docs, firsts.where("several"), id_col, text_col, min_words))
     release(spark)
     place = F.struct("doc", "start")
@@ -217,12 +238,12 @@ def _repeats(docs: DataFrame, min_words: int, gram: int, id_col: str, text_col:
     met = windows.drop("again").join(equal, ["gram", "window"])
     removed = F.struct("doc", "start") != F.col("least")
     long = pairs.where("not first").select("doc", F.lit(True).alias("removed"), F.col("lo").alias("start"), (F.col("hi") + min_words).alias("end"), "other")
-    alone = firsts.where("several is null and again").select("doc", F.lit(False).alias("removed"), F.col("lo").alias("start"), (F.col("hi") + min_words).alias("end"), "other")
+    alone = firsts.where("not several and again").select("doc", F.lit(False).alias("removed"), F.col("lo").alias("start"), (F.col("hi") + min_words).alias("end"), "other")
     short = met.select("doc", removed.alias("removed"), "start", (F.col("start") + min_words).cast("int").alias("end"), F.when(removed, F.col("least.doc")).otherwise(F.col("most.doc")).alias("other"))
     order = ["doc", "removed", "start"]
     found = durable(long.unionByName(alone).unionByName(short).repartition("doc").sortWithinPartitions(*order).mapInArrow(merge_spans, spans))
-    del pairs, firsts, several, windows, equal, met, long, alone, short
-    release(spark, at_pairs, at_firsts, at_windows)
+    del pairs, firsts, windows, equal, met, long, alone, short
+    release(spark, at_pairs, at_windows)
     return found
 
 
