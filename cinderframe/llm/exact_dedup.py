@@ -7,7 +7,6 @@ digests, none of which can hold more than that share, are shuffled and ranked in
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,10 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .buffers import SPACES, byte_view
-from .tables import durable, read
+from .buffers import SPACES
+from .tables import durable, read, spare
 
 #: Counters of a summary, and the most rows of the broadcast.
 COUNTERS = 1024
@@ -26,17 +24,9 @@ COUNTERS = 1024
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, row_no, n_chars, digest): SHA-256 of each text without white space. Null counts as empty."""
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_chars", T.LongType()), T.StructField("digest", T.BinaryType())])
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = batch.column(1)
-            data, bounds = byte_view(text)
-            whole, sha = data.tobytes(), hashlib.sha256
-            found = [sha(whole[a:b].translate(None, SPACES)).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pc.utf8_length(text.fill_null("")).cast(pa.int64()), pa.array(found, pa.binary())], [id_col, "n_chars", "digest"])
-
-    return docs.select(id_col, text_col).mapInArrow(hashed, schema).withColumn("row_no", F.monotonically_increasing_id())
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    digest = F.unhex(F.sha2(F.translate(text, SPACES.decode(), ""), 256))
+    return docs.select(F.col(id_col), F.length(text).cast("long").alias("n_chars"), digest.alias("digest")).withColumn("row_no", F.monotonically_increasing_id())
 
 
 def shrink(counts: dict[bytes, int], counters: int) -> dict[bytes, int]:
@@ -84,27 +74,32 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id is in `kept`; of rows that repeat an id and a text one stays. A null id is kept if `kept` has one."""
-    ids = kept.select(F.col(id_col).alias("__id"))
-    return docs.join(ids.distinct(), docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    """The documents whose id is in `kept`, all rows of such an id; a null id is kept if `kept` has one."""
+    ids = kept.select(F.col(id_col).alias("__id")).distinct()
+    return docs.join(ids, docs[id_col].eqNullSafe(ids["__id"]), "left_semi")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of equal texts, with all its columns."""
+    """One document of each group of equal texts, with all its columns: the longest original text, then the smallest id, a null id last.
+
+    Null and empty texts are one group. Of rows that repeat an id and a text one stays; rows that share an id and differ in text are told apart. An empty
+    table gives no rows.
+    """
     groups = durable(exact_groups(docs, id_col, text_col))
     kept = groups.where("kept")
-    again = durable(groups.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").select(id_col))
+    again = durable(groups.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").select(F.col(id_col).alias("__again")))
     if again.isEmpty():
         return keep_rows(docs, kept, id_col)
     # Ids that repeat: their rows, few in any corpus with a key, are told apart by text as well.
-    known = again.withColumnRenamed(id_col, "__again")
-    same = docs[id_col].eqNullSafe(F.col("__again"))
-    plain = docs.join(known, same, "left_anti")
-    twice = docs.join(known, same, "left_semi").withColumn("__digest", F.sha2(F.regexp_replace(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]", ""), 256))
-    rank = Window.partitionBy(id_col, "__digest").orderBy(F.desc(F.length(text_col)))
+    same = docs[id_col].eqNullSafe(again["__again"])
+    plain = docs.join(again, same, "left_anti")
+    digest, rank = spare(docs, "__digest"), spare(docs, "__rank")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    twice = docs.join(again, same, "left_semi").withColumn(digest, F.sha2(F.translate(text, SPACES.decode(), ""), 256))
+    order = Window.partitionBy(id_col, digest).orderBy(F.desc(F.length(text)))
+    twice = twice.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
     want = kept.select(F.col(id_col).alias("__id"), F.lower(F.hex("digest")).alias("__want"))
-    twice = twice.withColumn("__rank", F.row_number().over(rank)).where("__rank = 1").drop("__rank")
-    twice = twice.join(want, twice[id_col].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__want")), "left_semi").drop("__digest")
+    twice = twice.join(want, twice[id_col].eqNullSafe(want["__id"]) & (twice[digest] == want["__want"]), "left_semi").drop(digest)
     return keep_rows(plain, kept, id_col).unionByName(twice)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .buffers import slices, span_hashes, whole_groups, word_spans
-from .tables import durable, read, release, stored
+from .tables import durable, read, release, spare, stored
 
 #: Words of the shortest repeat, and of the k-grams among which a minimiser is chosen.
 MIN_WORDS, GRAM = 50, 12
@@ -199,7 +199,10 @@ def _digest(text_col: str) -> Column:
 
 def _numbered(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """docs with the column __row, null for a null id."""
-    return docs.join(keys, (docs[id_col] == keys["__id"]) & (_digest(text_col) == keys["__digest"]), "left").drop("__id", "__digest")
+    digest = spare(docs, "__text")
+    told = docs.withColumn(digest, _digest(text_col))
+    joined = told.join(keys, (told[id_col] == keys["__id"]) & (told[digest] == keys["__digest"]), "left")
+    return joined.select(*[told[f"`{c}`"] for c in docs.columns if c != "__row"], keys["__row"])
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,7 +251,11 @@ def _repeats(docs: DataFrame, min_words: int, gram: int, id_col: str, text_col:
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """The documents without their removed spans, all columns; a document of nothing else goes. `chars_col`, if there, is counted anew where a text changed."""
+    """The documents without their removed spans, all columns; a document of nothing else goes. `chars_col`, if there, is counted anew where a text changed.
+
+    Rows with a null id, null, empty and short texts stay as they are. Repeated rows of one id and text are cut alike; rows that share an id and differ in text are
+    documents of their own. An empty table gives no rows.
+    """
     names, schema, key = docs.columns, docs.schema, id_col
     keys = _row_keys(docs, id_col, text_col)
     if keys is not None:
@@ -281,8 +288,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
                     columns[chars_at] = pa.array(chars, columns[chars_at].type)
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
-    joined = docs.join(cuts, docs[key] == F.col("__doc"), "left").drop("__doc")
-    return joined.select(*[F.col(f"`{k}`") for k in names], "__cuts").mapInArrow(cut, schema)
+    joined = docs.join(cuts, docs[key] == cuts["__doc"], "left")
+    return joined.select(*[docs[f"`{k}`"] for k in names], cuts["__cuts"].alias(spare(docs, "__cuts"))).mapInArrow(cut, schema)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

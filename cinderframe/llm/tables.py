@@ -37,6 +37,13 @@ def release(spark: SparkSession, *paths: str) -> None:
     spark._jvm.System.gc()
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until df has no column of it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def fold(column: str, folds: int):
     """crc32 of an id as text, modulo folds; a null id falls into fold -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % folds, F.lit(-1)).cast("int")

@@ -1,8 +1,8 @@
 import random
 
 import corpus_pipeline as P
-from cinderframe.llm import language_id, simhash
-from tests.llm.test_simhash import brute_components, brute_fp
+from cinderframe.llm import language_id
+from tests.llm.test_near_copies import brute_roots
 from tests.llm.test_suffix_dedup import brute
 
 
@@ -23,14 +23,15 @@ def test_run_equals_brute_force(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     packs = P.run(spark, str(tmp_path)).collect()
     model = language_id.learn(docs)
-    left = {r.doc_id: rows[r.doc_id][1] for r in language_id.identify(docs, model).collect() if r.lang_pred != "und" and r.score >= language_id.LEAST_SCORE}
+    least = language_id.least_score(docs, model)
+    left = {r.doc_id: rows[r.doc_id][1] for r in language_id.identify(docs, model).collect() if r.lang_pred != "und" and r.score >= least}
     best = {}
     for i, t in left.items():
         k = "".join(t.split())
         best[k] = min(best.get(k, (1, 0)), (-len(t), i))
     left = {i: left[i] for _, i in sorted(best.values(), key=lambda x: x[1])}
     ids = list(left)
-    root = brute_components([brute_fp(left[i]) for i in ids])
+    root = brute_roots([left[i] for i in ids])
     left = {i: left[i] for k, i in enumerate(ids) if root[k] == k}
     ids = list(left)
     gone = brute(list(left.values()), 50)[True]
@@ -49,4 +50,20 @@ def test_stages_keep_the_columns(spark, documents):
     for name, stage in P.STAGES[:-1]:
         assert stage(spark, docs, "").dtypes == docs.dtypes, name
         assert stage(spark, docs.limit(0), "").count() == 0, name
-    assert simhash.near_groups(docs).count() == 4
+
+
+def test_stages_on_awkward_rows(spark):
+    """Null ids, repeated rows, ids that repeat with other texts, and columns of the stages' own names."""
+    passage = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, passage), (1, passage), (1, "another text " * 30), (None, passage + " end"), (None, None), (2, None), (3, ""), (4, passage.upper()), (5, "x y " * 100_000)]
+    clash = "__id long, __doc long, __cuts long, __key long, __row long, __digest string, __rank long, __again long, __node long, __want string"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), *[7] * 5, "d", *[7] * 3, "w") for i, t in rows], f"doc_id long, text string, lang string, source string, n_chars long, {clash}")
+    kept = {"exact dedup": [(None, passage + " end"), (1, "another text " * 30), (1, passage), (2, None), (4, passage.upper()), (5, "x y " * 100_000)]}
+    for name, stage in P.STAGES[1:-1]:
+        out = stage(spark, docs, "")
+        assert out.dtypes == docs.dtypes, name
+        got = out.collect()
+        assert {r["__rank"] for r in got} == {7} and {r["__digest"] for r in got} == {"d"}, name
+        if name in kept:
+            assert sorted(((r.doc_id or 0, r.text or "") for r in got)) == sorted((i or 0, t or "") for i, t in kept[name])
+    assert {r.doc_id for r in P.packs(spark, docs, "").collect()} == {1, 2, 3, 4, 5, None}

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 
@@ -67,3 +68,29 @@ def test_without_labels(spark, documents):
     assert {r.score for r in Q.quality(docs, none).collect()} == {0.5}
     assert {r.score for r in Q.quality(docs, spark.createDataFrame([(0, 1)], "id long, label int")).collect()} == {1.0}
     assert Q.quality(docs.limit(0), none).count() == 0
+
+
+def test_query_equals_brute_force(spark, documents, tmp_path):
+    """Columns and folds of the query, and its scores against the same model fitted in plain numpy from all labelled rows outside the fold."""
+    data = rows(400, 4) + [(None, 1), ("", 0)]
+    texts = [t for t, _ in data] + ["word " * 100_000, None]
+    documents(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, y, 0) for i, (_, y) in enumerate(data)] + [(None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in Q.op3_quality(spark, str(tmp_path)).collect()}
+    assert sorted(got) == list(range(len(texts))) and set(got[0].asDict()) == {"doc_id", "held_out", "score", "predicted"}
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1
+    parts = [(t or "").encode() for t in texts]
+    x = Q.statistics_of(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0] + [len(p) for p in parts]))
+    known = [i for i in range(len(data)) if zlib.crc32(str(i).encode()) % 5 > 0]
+    stats = Q.durable(Q.statistics(documents(texts)))
+    labels = spark.createDataFrame([(i, data[i][1]) for i in known], "id long, label int")
+    model = Q.fit(stats, labels)
+    z, y = model.cosines(x[known]), np.array([data[i][1] for i in known], float)
+    gram = z.T @ z
+    w = np.linalg.solve(gram + Q.RIDGE * max(1.0, np.trace(gram)) / len(gram) * np.eye(len(gram)), z.T @ y)
+    assert np.allclose(w, model.weights[-1], atol=1e-6)
+    want = model.calibrated(model.cosines(x) @ w)
+    assert max(abs(got[i].score - want[i]) for i in got) < 0.02
+    held = [i for i in range(len(data) - 2) if got[i].held_out]
+    assert np.mean([got[i].predicted == data[i][1] for i in held]) > 0.9
