@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .buffers import SPACES
-from .tables import durable, read, spare
+from .tables import durable, read, spare, stored
 
 #: Counters of a summary, and the most rows of the broadcast.
 COUNTERS = 1024
@@ -73,12 +73,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return heavy.select(columns).unionByName(light.select(columns))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id is in `kept`, all rows of such an id; a null id is kept if `kept` has one."""
-    ids = kept.select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["__id"]), "left_semi")
-
-
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of equal texts, with all its columns: the longest original text, then the smallest id, a null id last.
 
@@ -86,10 +80,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table gives no rows.
     """
     groups = durable(exact_groups(docs, id_col, text_col))
-    kept = groups.where("kept")
+    # What goes is the lesser part; stored, so that Spark knows its size and need not shuffle the texts for it.
+    gone, _ = stored(groups.where("not kept").select(F.col(id_col).alias("__id")).distinct())
     again = durable(groups.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").select(F.col(id_col).alias("__again")))
     if again.isEmpty():
-        return keep_rows(docs, kept, id_col)
+        return docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]), "left_anti")
     # Ids that repeat: their rows, few in any corpus with a key, are told apart by text as well.
     same = docs[id_col].eqNullSafe(again["__again"])
     plain = docs.join(again, same, "left_anti")
@@ -98,9 +93,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     twice = docs.join(again, same, "left_semi").withColumn(digest, F.sha2(F.translate(text, SPACES.decode(), ""), 256))
     order = Window.partitionBy(id_col, digest).orderBy(F.desc(F.length(text)))
     twice = twice.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
-    want = kept.select(F.col(id_col).alias("__id"), F.lower(F.hex("digest")).alias("__want"))
+    want = groups.where("kept").select(F.col(id_col).alias("__id"), F.lower(F.hex("digest")).alias("__want"))
     twice = twice.join(want, twice[id_col].eqNullSafe(want["__id"]) & (twice[digest] == want["__want"]), "left_semi").drop(digest)
-    return keep_rows(plain, kept, id_col).unionByName(twice)
+    return plain.join(gone, plain[id_col].eqNullSafe(gone["__id"]), "left_anti").unionByName(twice)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
