@@ -2,7 +2,9 @@ import hashlib
 import re
 from collections import defaultdict
 
-from cinderframe.llm.exact_dedup import drop_copies, exact_groups, frequent, shrink
+import duckdb
+
+from cinderframe.llm.exact_dedup import ORACLE, drop_copies, exact_groups, frequent, op10_exact_dedup, shrink
 
 TEXTS = ["a b", "ab", None, "", " \n\t", "a  b", "c", "C", "ab ", "x" * 50_000, "x" * 49_999 + " x", "é e", "ée"] + ["hot text"] * 40
 
@@ -40,3 +42,10 @@ def test_summary_holds_every_frequent_key(spark):
     df = spark.createDataFrame([(bytearray(k.encode()),) for k in keys], "digest binary").repartition(5)
     assert {b"a", b"b"} <= {bytes(r.digest) for r in frequent(df, 4).collect()}
     assert shrink({b"a": 5, b"b": 1, b"c": 1}, 2) == {b"a": 4}
+
+
+def test_query_equals_its_sql(spark, documents, tmp_path):
+    documents([*TEXTS, "b " * 500_000]).write.parquet(f"{tmp_path}/documents.parquet")
+    duckdb.sql(f"create or replace temp view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = op10_exact_dedup(spark, str(tmp_path)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(duckdb.sql(ORACLE).fetchall())
