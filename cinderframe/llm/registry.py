@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, quality, sentencepiece_sampling, sharding, simhash, suffix_dedup, topk_search, toxicity
+from . import exact_dedup, language_id, packing, quality, sentencepiece_sampling, sharding, simhash, suffix_dedup, topk_search, toxicity, turn_repair
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op13_turn_repair": turn_repair.op13_turn_repair,
     }
 
 
