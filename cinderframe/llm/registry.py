@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, quality, sentencepiece_sampling, sharding, simhash, suffix_dedup, topk_search, toxicity, turn_repair
+from . import exact_dedup, language_id, packing, prefix_trie, quality, sentencepiece_sampling, sharding, simhash, suffix_dedup, topk_search, toxicity, turn_repair
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,9 +21,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
         "op13_turn_repair": turn_repair.op13_turn_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": topk_search.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_topk_search": topk_search.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE}
