@@ -31,13 +31,13 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Each batch in runs of rows of about SLICE_BYTES: (rows, bytes, bounds)."""
+def slices(batches: Iterable[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Each batch in runs of rows of about `size` bytes: (rows, bytes, bounds)."""
     for batch in batches:
         data, bounds = byte_view(batch.column(text))
         first = 0
         while first < batch.num_rows:
-            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SLICE_BYTES, "right")) - 1)
+            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1)
             yield batch.slice(first, last - first), data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
             first = last
 

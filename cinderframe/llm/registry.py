@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, prefix_trie, quality, sentencepiece_sampling, sharding, simhash, suffix_dedup, topk_search, toxicity, turn_repair
+from . import exact_dedup, language_id, packing, pitman_yor, prefix_trie, quality, sentencepiece_sampling, sharding, simhash, suffix_dedup, topk_search, toxicity, turn_repair
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
         "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_pitman_yor": pitman_yor.op12_pitman_yor,
         "op13_turn_repair": turn_repair.op13_turn_repair,
     }
 
