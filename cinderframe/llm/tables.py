@@ -33,8 +33,9 @@ def release(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what Python lets go reaches the JVM with the next call
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def spare(df: DataFrame, name: str) -> str:
