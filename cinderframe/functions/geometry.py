@@ -48,19 +48,37 @@ def with_tiles(df: DataFrame, size: float, grow: float = 0.0) -> DataFrame:
     return df.withColumn("tx", span("xmin", "xmax")).withColumn("ty", span("ymin", "ymax"))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, condition: Column | None = None, key: str = "perim_idx") -> DataFrame:
-    """Pairs of a point (x, y) and a polygon (rings) that it lies strictly within.
+#: Polygons of this many points or fewer take their rings along to the tiles.
+SMALL_RINGS = 64
 
-    Points meet bounds on tiles of `size`, so only near pairs are made; bounds and `condition` come before the exact test. Rings come to the pairs
-    that are left, by the polygons' unique `key`; no tile carries them. Column names must not clash.
+
+def near_points(points: DataFrame, polygons: DataFrame, base: float, key: str = "perim_idx") -> DataFrame:
+    """Pairs of a point (x, y) and a polygon (rings) whose bounds hold it.
+
+    A polygon lies on tiles of base * 2**level, at the least level at which its bounds are no wider than three of them: 16 tiles at most,
+    however large it is. A point meets each level that some polygon has. Rings of more than SMALL_RINGS points come to the pairs by the polygons' unique `key`.
+    Points and polygons without a place meet nothing. Column names must not clash.
     """
-    boxes = with_tiles(with_bounds(polygons).drop("rings"), size)
-    placed = points.withColumn("tx", tile(F.col("x"), size)).withColumn("ty", tile(F.col("y"), size))
-    near = placed.join(boxes, ["tx", "ty"]).where(F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax")))
-    if condition is not None:
-        near = near.where(condition)
-    met = near.drop("tx", "ty", "xmin", "ymin", "xmax", "ymax").join(polygons.select(key, "rings"), key)
-    return met.where(strictly_within(F.col("x").cast("double"), F.col("y").cast("double"), edges_of(F.col("rings"))))
+    boxes = with_bounds(polygons).where("xmin is not null and ymin is not null")
+    wide = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")) / (3.0 * base)
+    boxes = boxes.withColumn("level", F.when(wide > 1, F.ceil(F.log2(wide))).otherwise(0).cast("int"))
+    levels = sorted(r.level for r in boxes.select("level").distinct().collect())  # one for each doubling of size
+    at = lambda v: F.floor(v / (base * F.pow(F.lit(2.0), "level"))).cast("long")
+    placed = points.withColumn("level", F.explode(F.array(*map(F.lit, levels or [0])).cast("array<int>"))).withColumn("tx", at(F.col("x"))).withColumn("ty", at(F.col("y")))
+    span = lambda lo, hi: F.explode(F.sequence(at(F.col(lo)), at(F.col(hi))))
+    tiled = boxes.withColumn("tx", span("xmin", "xmax")).withColumn("ty", span("ymin", "ymax"))
+    inside = F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
+    small = F.size(F.flatten("rings")) <= SMALL_RINGS
+    met = lambda some: placed.join(some, ["level", "tx", "ty"]).where(inside).drop("level", "tx", "ty", "xmin", "ymin", "xmax", "ymax")
+    light, heavy = met(tiled.where(small)), met(tiled.where(~small).drop("rings")).join(polygons.select(key, "rings"), key)
+    return light.unionByName(heavy)
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, base: float, condition: Column | None = None, key: str = "perim_idx") -> DataFrame:
+    """Pairs of a point (x, y) and a polygon (rings) that it lies strictly within: near_points(), then `condition`, then the exact test."""
+    near = near_points(points, polygons, base, key)
+    near = near if condition is None else near.where(condition)
+    return near.where(strictly_within(F.col("x").cast("double"), F.col("y").cast("double"), edges_of(F.col("rings"))))
 
 
 def polygon_cells(polygons: DataFrame, cell: float, key: str) -> DataFrame:

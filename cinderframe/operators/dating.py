@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.geometry import points_in_polygons
-from ..functions.text import hotspot_time, seconds_between
+from ..folders import once
+from ..functions.geometry import edges_of, near_points, points_in_polygons, polygon_cells, shoelace, strictly_within
+from ..functions.text import hotspot_time, lenient_timestamp, seconds_between
 
 
 def with_hotspot_time(hotspots: DataFrame, to: str = "sat_ts") -> DataFrame:
@@ -21,13 +22,24 @@ def hotspots_in_burns(hotspots: DataFrame, cases: DataFrame, tile: float = 200.0
 
 
 def chains(detections: DataFrame, gap_days: float = config.CHAIN_GAP_DAYS, start: str | None = None) -> DataFrame:
-    """(case_id, chain_start, chain_end, n): the first chain from `start` on (all times if None), broken by the first gap over gap_days."""
+    """(case_id, chain_start, chain_end, n): the first chain from the time in column `start` on (all times if None), broken by the first gap over gap_days.
+
+    No two times of one span of gap_days are a gap apart, so a case's spans, a few rows that are merged in each task, tell its chains.
+    """
     rows = detections if start is None else detections.where(F.col("sat_ts") >= F.col(start))
-    order = Window.partitionBy("case_id").orderBy("sat_ts")
-    gap = seconds_between(F.lag("sat_ts").over(order), F.col("sat_ts"))
-    marked = rows.withColumn("breaks", (F.coalesce(gap, F.lit(0)) > int(gap_days * 86400)).cast("int"))
-    numbered = marked.withColumn("chain", F.sum("breaks").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    return numbered.where("chain = 0").groupBy("case_id").agg(F.min("sat_ts").alias("chain_start"), F.max("sat_ts").alias("chain_end"), F.count("*").alias("n"))
+    limit = int(gap_days * 86400)
+    span = F.floor(F.timestamp_diff("SECOND", F.lit("2000-01-01").cast("timestamp_ntz"), F.col("sat_ts")) / limit)
+    spans = rows.where("sat_ts is not null").groupBy("case_id", span.alias("span")).agg(F.min("sat_ts").alias("first"), F.max("sat_ts").alias("last"), F.count("*").alias("n"))
+    order = Window.partitionBy("case_id").orderBy("span")
+    breaks = F.coalesce(seconds_between(F.lag("last").over(order), F.col("first")), F.lit(0)) > limit
+    numbered = spans.withColumn("breaks", breaks.cast("int")).withColumn("chain", F.sum("breaks").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.where("chain = 0").groupBy("case_id").agg(F.min("first").alias("chain_start"), F.max("last").alias("chain_end"), F.sum("n").alias("n"))
+
+
+def in_first_chain(detections: DataFrame, gap_days: float = config.CHAIN_GAP_DAYS, start: str | None = None) -> DataFrame:
+    """The detections of each case's first chain, with its chain_start and chain_end."""
+    found = chains(detections, gap_days, start).drop("n")
+    return detections.join(found, "case_id").where(F.col("sat_ts").between(F.col("chain_start"), F.col("chain_end")))
 
 
 def disc_cells(detections: DataFrame, radius: float = config.DISC_RADIUS_M, cell: float = config.COVER_CELL_M) -> DataFrame:
@@ -48,24 +60,29 @@ def covered_area(detections: DataFrame, radius: float = config.DISC_RADIUS_M, ce
     return first_seen(detections, radius, cell).groupBy("case_id").agg((F.count("*") * cell * cell).alias("area_m2"))
 
 
-def coverage_curve(detections: DataFrame, radius: float = config.DISC_RADIUS_M, cell: float = config.COVER_CELL_M) -> DataFrame:
-    """(case_id, sat_ts, area_m2): covered area after each time at which it grew, and at the last detection."""
-    new = first_seen(detections, radius, cell).groupBy("case_id", "sat_ts").agg(F.count("*").alias("cells"))
+def coverage_curve(detections: DataFrame, radius: float = config.DISC_RADIUS_M, cell: float = config.COVER_CELL_M, burns: DataFrame | None = None) -> DataFrame:
+    """(case_id, sat_ts, area_m2): covered area after each time of a detection; within each case's polygon only if burns (case_id, rings) are given."""
+    seen = first_seen(detections, radius, cell)
+    if burns is not None:
+        seen = seen.join(polygon_cells(burns, cell, "case_id"), ["case_id", "u", "v"], "left_semi")
+    new = seen.groupBy("case_id", "sat_ts").agg(F.count("*").alias("cells"))
+    times = detections.groupBy("case_id", "sat_ts").agg(F.lit(0).cast("long").alias("cells"))
+    each = new.unionByName(times).groupBy("case_id", "sat_ts").agg(F.sum("cells").alias("cells"))
     upto = Window.partitionBy("case_id").orderBy("sat_ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return new.select("case_id", "sat_ts", (F.sum("cells").over(upto) * cell * cell).alias("area_m2"))
+    return each.select("case_id", "sat_ts", (F.sum("cells").over(upto) * cell * cell).alias("area_m2"))
 
 
-def times_to_fractions(curve: DataFrame, detections: DataFrame, fractions: dict[str, float], burn_area_m2: Column | None = None) -> DataFrame:
+def times_to_fractions(curve: DataFrame, detections: DataFrame, fractions: dict[str, float], burn_area_m2: Column | None = None, reached: bool = False) -> DataFrame:
     """(case_id, names of `fractions`): first times at which the area reaches each fraction of the smaller of burn and final area, in one pass over the curve.
 
-    Null if the target is not above 0; the last detection's time if it is never reached. burn_area_m2 is a column of `curve`, no bound if None.
+    Null if the target is not above 0, unless `reached` counts it as reached at once; the last detection's time if it is never reached. burn_area_m2 is a column of `curve`, no bound if None.
     """
     final = F.max("area_m2").over(Window.partitionBy("case_id"))
     bounded = curve.withColumn("bound", final if burn_area_m2 is None else F.least(final, burn_area_m2))
     hits = [F.min(F.when(F.col("area_m2") >= f * F.col("bound"), F.col("sat_ts"))).alias(k) for k, f in fractions.items()]
     hit = bounded.groupBy("case_id").agg(F.max("bound").alias("bound"), *hits)
     last = detections.groupBy("case_id").agg(F.max("sat_ts").alias("last"))
-    return last.join(hit, "case_id", "left").select("case_id", *[F.when(f * F.col("bound") > 0, F.coalesce(k, "last")).alias(k) for k, f in fractions.items()])
+    return last.join(hit, "case_id", "left").select("case_id", *[F.when(F.lit(reached) | (f * F.col("bound") > 0), F.coalesce(k, "last")).alias(k) for k, f in fractions.items()])
 
 
 def time_to_fraction(curve: DataFrame, detections: DataFrame, fraction: float, burn_area_m2: Column | None = None, to: str = "reached") -> DataFrame:
@@ -78,24 +95,54 @@ def event_end(satellite_end: Column, fireout: Column) -> Column:
     return F.when(satellite_end.isNotNull(), F.least(satellite_end, fireout))
 
 
-def dated(cases: DataFrame, detections: DataFrame, gap_days: float = config.CHAIN_GAP_DAYS, start_fraction: float = config.START_FRACTION, end_fraction: float = config.END_FRACTION) -> DataFrame:
-    """cases (case_id, fireout, burn_area_m2, ...) with their satellite times, status and reason; cases without detections stay, with nulls.
+def report_end(detections: DataFrame, cases: DataFrame, gap_days: float = config.CHAIN_GAP_DAYS, fraction: float = config.END_FRACTION) -> tuple[DataFrame, DataFrame]:
+    """(curve, ends) as the report has them: cover of the first chain from each case's discovery, clipped to its burn; ends: case_id and sat_end, when it reaches `fraction` of the smaller of burn and final cover.
+
+    cases: case_id, rings, discovery, burn_area_m2.
+    """
+    kept = in_first_chain(detections.join(cases.select("case_id", "discovery"), "case_id"), gap_days, "discovery").select("case_id", "sat_ts", "x", "y")
+    curve = coverage_curve(kept, burns=cases.select("case_id", "rings"))
+    met = curve.join(cases.select("case_id", "burn_area_m2"), "case_id")
+    return curve, times_to_fractions(met, kept, {"sat_end": fraction}, F.col("burn_area_m2"), reached=True)
+
+
+#: Why a case has no times, in the order in which it is asked.
+SKIPS = ("no burn polygon", "burn polygon empty", "no hotspots within the bounds", "no hotspots after ignition", "no hotspots inside the burn", "cover never reached the start fraction")
+
+
+def dated(cases: DataFrame, hotspots: DataFrame, gap_days: float = config.CHAIN_GAP_DAYS, start_fraction: float = config.START_FRACTION, end_fraction: float = config.END_FRACTION, tile: float = 200.0) -> DataFrame:
+    """cases (case_id, rings, discovery, fireout, ...) with their satellite times, status and reason, from all hotspots (sat_ts, x, y).
 
-    A case whose burn area is no number, or of which a detection lacks its place or time, cannot be dated: ERROR, without times.
+    Hotspots in the burn and not before discovery count. Cover of the first chain from a day before discovery gives SatelliteIgnitionTime; a chain that begins
+    at that time gives SatelliteEnd_chain and, by the cover of its own detections, SatelliteEnd_coverage. SKIP: one of SKIPS, no times. PARTIAL: cover that never ends. ERROR: a
+    discovery, given as text, that is no time. burn_area_m2 is taken from the rings where cases have none.
     """
-    unfit = detections.where(F.col("x").isNull() | F.col("y").isNull() | F.col("sat_ts").isNull()).select("case_id", F.lit("a detection without place or time").alias("error"))
-    broken = cases.where(F.col("burn_area_m2").isNull() | F.isnan("burn_area_m2")).select("case_id", F.lit("no burn area").alias("error"))
-    errors = broken.unionByName(unfit).groupBy("case_id").agg(F.max("error").alias("error"))
-    known = detections.join(cases.select("case_id", "burn_area_m2"), "case_id").join(errors, "case_id", "left_anti")
-    curve = coverage_curve(known).join(cases.select("case_id", "burn_area_m2"), "case_id")
-    times = times_to_fractions(curve, known, {"SatelliteIgnitionTime": start_fraction, "SatelliteEnd_coverage": end_fraction}, F.col("burn_area_m2"))
-    chain = chains(known, gap_days).select("case_id", F.col("chain_end").alias("SatelliteEnd_chain"))
-    out = cases.join(times, "case_id", "left").join(chain, "case_id", "left").join(errors, "case_id", "left")
+    text = dict(cases.dtypes)["discovery"] == "string"
+    begun = lenient_timestamp(F.col("discovery")) if text else F.col("discovery")
+    area = F.col("burn_area_m2") if "burn_area_m2" in cases.columns else shoelace(edges_of(F.col("rings")))
+    known = cases.select("case_id", "rings", begun.cast("timestamp_ntz").alias("__begun"), area.alias("__area"))
+    after = F.col("sat_ts") >= F.col("__begun")
+    inside = after & strictly_within(F.col("x").cast("double"), F.col("y").cast("double"), edges_of(F.col("rings")))
+    burns = known.where("size(flatten(rings)) > 0")
+    near = near_points(hotspots.select("sat_ts", "x", "y").where("sat_ts is not null"), burns, tile, "case_id")
+    pairs = once(near.select("case_id", "sat_ts", "x", "y", "__begun", "__area", F.coalesce(after, F.lit(False)).alias("after"), F.coalesce(inside, F.lit(False)).alias("inside")))
+    seen = pairs.where("inside").withColumn("__from", F.col("__begun") - F.expr("interval 1 day"))
+    times = []
+    for start, fraction, name in (("__from", start_fraction, "SatelliteIgnitionTime"), ("SatelliteIgnitionTime", end_fraction, "SatelliteEnd_coverage")):
+        rows = in_first_chain(seen, gap_days, start)
+        curve = coverage_curve(rows).join(known.select("case_id", "__area"), "case_id")
+        ends = rows.groupBy("case_id").agg(F.max("chain_end").alias("SatelliteEnd_chain"))
+        times.append(once(times_to_fractions(curve, rows, {name: fraction}, F.col("__area")).join(ends, "case_id").where(F.col(name).isNotNull() | F.lit(bool(times)))))
+        seen = seen.join(times[0].select("case_id", "SatelliteIgnitionTime"), "case_id") if len(times) == 1 else seen
+    counts = pairs.groupBy("case_id").agg(F.count_if("after").alias("n_after"), F.count_if("inside").alias("n_inside"))
+    out = cases.join(known.select("case_id", "__begun"), "case_id").join(counts, "case_id", "left").join(times[0].select("case_id", "SatelliteIgnitionTime"), "case_id", "left").join(times[1], "case_id", "left")
     out = out.withColumn("SatelliteEndTime", F.col("SatelliteEnd_coverage")).withColumn("EventEndTime", event_end(F.col("SatelliteEndTime"), F.col("fireout")))
-    none, part = F.col("SatelliteEnd_chain").isNull(), F.col("SatelliteIgnitionTime").isNull() | F.col("SatelliteEndTime").isNull()
-    status = F.when(F.col("error").isNotNull(), "ERROR").when(none, "SKIP").when(part, "PARTIAL").otherwise("OK")
-    reason = F.when(F.col("error").isNotNull(), F.col("error")).when(none, "no hotspots inside the burn").when(part, "coverage never rose")
-    return out.withColumn("status", status).withColumn("reason", reason).drop("error")
+    asked = [F.col("rings").isNull(), F.size(F.flatten("rings")) == 0, F.col("n_after").isNull(), F.col("n_after") == 0, F.col("n_inside") == 0, F.col("SatelliteIgnitionTime").isNull()]
+    why = F.coalesce(*[F.when(c, reason) for c, reason in zip(asked, SKIPS, strict=True)])
+    error = F.when(F.col("discovery").isNotNull() & F.col("__begun").isNull(), "discovery is no time")
+    part = F.when(F.col("SatelliteEndTime").isNull(), "no coverage end")
+    status = F.when(error.isNotNull(), "ERROR").when(why.isNotNull(), "SKIP").when(part.isNotNull(), "PARTIAL").otherwise("OK")
+    return out.withColumn("status", status).withColumn("reason", F.coalesce(error, why, part)).drop("__begun", "n_after", "n_inside")
 
 
 def duration_gate(cases: DataFrame, least_hours: float = config.MIN_DURATION_HOURS) -> DataFrame:

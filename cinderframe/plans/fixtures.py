@@ -53,6 +53,15 @@ FIXTURES = {
     # A case is a perimeter with the ignition that matches it by name, date and place.
     "case_times": """
         select user_id as case_id, min(ts) as discovery, max(ts) - interval '3' day as fireout, count(*) as acres from {events} group by user_id""",
+    # Detections and burns of many fires on one plane, each fire in a square of its own; some burns are missing, empty, elsewhere or without a readable time.
+    "spots": """
+        select event_id as det_id, user_id, ts as sat_ts, user_id*4000 + (event_id*7919)%3000 as x, (event_id*104729)%3000 as y from {events}""",
+    "burns": """
+        select user_id as case_id, user_id*4000 + 1500 + (user_id*37)%200 + 0.25 as cx, 1500 + (user_id*53)%200 + 0.5 + case when user_id%13=8 then 9000 else 0 end as cy,
+               700 + (user_id%5)*100 as h, user_id%13 as kind,
+               case user_id%13 when 6 then null when 7 then '2030-01-01 00:00:00' when 10 then 'unknown' else cast(cast(min(ts) as date) as string) || ' 12:00:00' end as discovery,
+               max(ts) - interval '3' day as fireout, count(*) as acres
+        from {events} group by user_id""",
 }
 FIXTURES["perim_edges"] = f"""
     select p.perim_idx, e.edge_no, p.cx+p.h*e.ax as x1, p.cy+p.h*e.ay as y1, p.cx+p.h*e.bx as x2, p.cy+p.h*e.by_ as y2
