@@ -248,7 +248,7 @@ def repaired(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = positions(rows, "conv_id", "turn", "role", "text")
     letters = _letters(placed)
     schema = "conv_id long, piece long, pieces long, entry int, audit string, blank long, duplicate long, truncated long, illegal long, cost long"
-    plans = durable(letters.repartition("conv_id").sortWithinPartitions("conv_id", "piece").mapInPandas(_plans, schema))
+    plans = durable(letters.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "conv_id").sortWithinPartitions("conv_id", "piece").mapInPandas(_plans, schema))
     turns = placed.groupBy("conv_id", F.floor(F.col("pos") / CHUNK).alias("piece")).agg(F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("turns"))
     same = F.col("t.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("t.piece") == F.col("p.piece"))
     met = turns.alias("t").join(plans.alias("p"), same).select("t.conv_id", "t.piece", "turns", "pieces", "entry", "audit")
