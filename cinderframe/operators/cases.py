@@ -52,10 +52,13 @@ def all_results(cases: DataFrame, results: DataFrame) -> DataFrame:
     return joined.withColumn("error", F.when(F.col("__there").isNull(), "no result")).drop("__there")
 
 
-def assumed_crs(points: DataFrame) -> DataFrame:
-    """(case_id, bounds, epsg): 4326 if all of a case's points could be longitudes and latitudes, else null."""
+def assumed_crs(points: DataFrame, strict: bool = False) -> DataFrame:
+    """(case_id, bounds, epsg): 4326 if all of a case's points could be longitudes and latitudes, else null or, if strict, an error when the rows are read. Points without a time do not count."""
+    points = points.where("sat_ts is not null") if "sat_ts" in points.columns else points
     ends = points.groupBy("case_id").agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"))
-    return ends.withColumn("epsg", F.when((F.col("xmin") >= -180) & (F.col("xmax") <= 180) & (F.col("ymin") >= -90) & (F.col("ymax") <= 90), 4326))
+    fits = (F.col("xmin") >= -180) & (F.col("xmax") <= 180) & (F.col("ymin") >= -90) & (F.col("ymax") <= 90)
+    other = F.raise_error(F.format_string("case %s has no CRS and bounds beyond degrees", F.col("case_id").cast("string"))).cast("int") if strict else F.lit(None).cast("int")
+    return ends.withColumn("epsg", F.when(fits, 4326).otherwise(other))
 
 
 def guarded_union(parts: list[DataFrame], key: list[str]) -> DataFrame:

@@ -100,7 +100,7 @@ def report_end(detections: DataFrame, cases: DataFrame, gap_days: float = config
 
     cases: case_id, rings, discovery, burn_area_m2.
     """
-    kept = in_first_chain(detections.join(cases.select("case_id", "discovery"), "case_id"), gap_days, "discovery").select("case_id", "sat_ts", "x", "y")
+    kept = once(in_first_chain(detections.join(cases.select("case_id", "discovery"), "case_id"), gap_days, "discovery").select("case_id", "sat_ts", "x", "y"))
     curve = coverage_curve(kept, burns=cases.select("case_id", "rings"))
     met = curve.join(cases.select("case_id", "burn_area_m2"), "case_id")
     return curve, times_to_fractions(met, kept, {"sat_end": fraction}, F.col("burn_area_m2"), reached=True)
@@ -129,7 +129,7 @@ def dated(cases: DataFrame, hotspots: DataFrame, gap_days: float = config.CHAIN_
     seen = pairs.where("inside").withColumn("__from", F.col("__begun") - F.expr("interval 1 day"))
     times = []
     for start, fraction, name in (("__from", start_fraction, "SatelliteIgnitionTime"), ("SatelliteIgnitionTime", end_fraction, "SatelliteEnd_coverage")):
-        rows = in_first_chain(seen, gap_days, start)
+        rows = once(in_first_chain(seen, gap_days, start).select("case_id", "sat_ts", "x", "y", "chain_end"))
         curve = coverage_curve(rows).join(known.select("case_id", "__area"), "case_id")
         ends = rows.groupBy("case_id").agg(F.max("chain_end").alias("SatelliteEnd_chain"))
         times.append(once(times_to_fractions(curve, rows, {name: fraction}, F.col("__area")).join(ends, "case_id").where(F.col(name).isNotNull() | F.lit(bool(times)))))

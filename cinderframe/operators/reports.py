@@ -45,6 +45,16 @@ def histogram(df: DataFrame, by: list[str], value: str, bins: int) -> DataFrame:
     return joined.select(*by, "bin", (F.col("vmin") + (F.col("bin") - 1) * width).alias("lo"), (F.col("vmin") + F.col("bin") * width).alias("hi"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+def score_histogram(scores: DataFrame, score: str = "jaccard") -> DataFrame:
+    """(model, bin, bins, n) of finite scores on [0, 1]: a third as many bins as scores, 5 to 25, empty ones kept, the last one closed."""
+    finite = scores.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(score).between(0, 1))
+    bins = finite.groupBy("model").agg(F.least(F.lit(25), F.greatest(F.lit(5), F.floor(F.count("*") / 3))).cast("long").alias("bins"))
+    at = F.least(F.floor(F.col(score) * F.col("bins")) + 1, F.col("bins"))
+    counts = finite.join(bins, "model").groupBy("model", at.alias("bin")).agg(F.count("*").alias("n"))
+    every = bins.withColumn("bin", F.explode(F.sequence(F.lit(1).cast("long"), F.col("bins"))))
+    return every.join(counts, ["model", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
 def growth_curve(cells: DataFrame, by: list[str], toa: str, bins: int, cell_area: float, threshold: float = config.TOA_THRESHOLD) -> DataFrame:
     """(by, t, area_m2): burned area by arrival time, from a histogram in place of a sort."""
     counts = histogram(cells.where(F.col(toa) >= threshold), by, toa, bins)
@@ -98,6 +108,12 @@ def case_status(scores: DataFrame, cases: DataFrame) -> DataFrame:
     return cases.select("case_id").join(best, "case_id", "left").select("case_id", F.when(F.col("best") >= config.SUCCESS_JACCARD, "success").otherwise("non_ignited").alias("status"))
 
 
+def status_counts(statuses: DataFrame, cases: DataFrame) -> DataFrame:
+    """(status, n): cases by status, failed those of `cases` that have none, and a total."""
+    known = cases.select("case_id").distinct().join(statuses, "case_id", "left").select(F.coalesce("status", F.lit("failed")).alias("status"))
+    return status_totals(known)
+
+
 def features(scores: DataFrame, hours: DataFrame, weather: DataFrame) -> DataFrame:
     """(case_id, model, acres, hours, wind_kph, jaccard, sorensen, kappa): simulated acres, last arrival (case_id, model, hours) and mean wind beside the scores."""
     wind = weather.groupBy("case_id").agg(F.avg("wind_kph").alias("wind_kph"))

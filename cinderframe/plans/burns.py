@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..folders import once
 from ..functions import geometry as G
 from ..functions import text as X
 from ..functions.projections import albers, utm, utm_epsg, utm_inverse
@@ -217,25 +218,27 @@ OVERLAP = """
 """
 
 
-@query("a3_polygon_scores", FIRES, PAIRS.rstrip() + OVERLAP + "select perim_idx, na, nb, n_both, round(n_both / domain, 6) as jaccard, round(2.0 * n_both / (na + nb), 6) as sorensen, round(nb / na, 6) as ratio_of_areas from counts")
+@query("a3_polygon_scores", FIRES, PAIRS.rstrip() + OVERLAP + "select perim_idx, na, nb, n_both, round(n_both / domain, 6) as jaccard, round(2.0 * n_both / (na + nb), 6) as sorensen, round(nb / na, 6) as ratio_of_areas, round(case when chance = 1 then 0 else (n_both / domain - chance) / (1 - chance) end, 6) as kappa from (select *, (na * nb + (domain - na) * (domain - nb)) / (domain * domain) as chance from counts) k")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Observed against simulated polygons of each case; one in six has no simulation."""
     from ..operators.grids import polygon_scores
 
-    got = polygon_scores(cases(spark, sf).select("perim_idx", "rings"), with_observed(spark, sf), 50.0, "perim_idx")
-    return got.select("perim_idx", "na", "nb", "n_both", *[F.round(c, 6).alias(c) for c in ("jaccard", "sorensen", "ratio_of_areas")])
+    known = once(cases(spark, sf).select("perim_idx", "rings"))
+    got = polygon_scores(known, with_observed(spark, sf, known), 50.0, "perim_idx")
+    return got.select("perim_idx", "na", "nb", "n_both", *[F.round(c, 6).alias(c) for c in ("jaccard", "sorensen", "ratio_of_areas", "kappa")])
 
 
-def with_observed(spark: SparkSession, sf: str) -> DataFrame:
-    """The simulated burns of cases, without one in six."""
-    return simulated(spark, sf).where("perim_idx % 6 > 0").join(cases(spark, sf).select("perim_idx"), "perim_idx", "left_semi")
+def with_observed(spark: SparkSession, sf: str, known: DataFrame) -> DataFrame:
+    """The simulated burns of the known cases, without one in six."""
+    return simulated(spark, sf).where("perim_idx % 6 > 0").join(known.select("perim_idx"), "perim_idx", "left_semi")
 
 
 @query("p39_domain", FIRES, PAIRS.rstrip() + OVERLAP + "select perim_idx, domain from counts")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.grids import overlap
 
-    return overlap(cases(spark, sf).select("perim_idx", "rings"), with_observed(spark, sf), 50.0, "perim_idx").groupBy("perim_idx").agg(F.count("*").alias("domain"))
+    known = once(cases(spark, sf).select("perim_idx", "rings"))
+    return overlap(known, with_observed(spark, sf, known), 50.0, "perim_idx").groupBy("perim_idx").agg(F.count("*").alias("domain"))
 
 
 @query("a17_dissolved", "perimeters", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..folders import shared_folder
+from ..folders import once, shared_folder
 from ..functions import geometry as G
 from ..operators import dating as D
 from ..operators import reports as R
@@ -96,7 +96,7 @@ def detections(spark: SparkSession, sf: str) -> DataFrame:
     """(case_id, sat_ts, x, y, discovery, since, burn): hotspots in each readable case's burn from its discovery on; since is a day earlier."""
     cases = burns(spark, sf).withColumn("discovery", F.try_to_timestamp("discovery").cast("timestamp_ntz")).where("size(rings) > 0").withColumn("burn", G.shoelace(G.edges_of(F.col("rings"))))
     inside = G.points_in_polygons(spots(spark, sf), cases, 200.0, F.col("sat_ts") >= F.col("discovery"), "case_id")
-    return inside.select("case_id", "sat_ts", "x", "y", "discovery", (F.col("discovery") - F.expr("interval 1 day")).alias("since"), "burn")
+    return once(inside.select("case_id", "sat_ts", "x", "y", "discovery", (F.col("discovery") - F.expr("interval 1 day")).alias("since"), "burn"))
 
 
 def first(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,10 +149,11 @@ def report(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 @query("a5_fraction_times", BURNS, TIMES + "select l.case_id, l.t as start_ts, e.t as end_ts from lit l left join ended e on e.case_id = l.case_id")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """The 5 % time of the first chain, and the 90 % time of the chain from there."""
-    rows = first(spark, sf)
-    lit = D.time_to_fraction(D.coverage_curve(rows).join(burn_areas(spark, sf), "case_id"), rows, 0.05, F.col("burn"), "start_ts")
-    later = D.in_first_chain(detections(spark, sf).join(lit, "case_id"), GAP_DAYS, "start_ts")
-    ended = D.time_to_fraction(D.coverage_curve(later).join(burn_areas(spark, sf), "case_id"), later, 0.9, F.col("burn"), "end_ts")
+    every, areas = detections(spark, sf), burn_areas(spark, sf)
+    rows = D.in_first_chain(every, GAP_DAYS, "since")
+    lit = once(D.time_to_fraction(D.coverage_curve(rows).join(areas, "case_id"), rows, 0.05, F.col("burn"), "start_ts"))
+    later = once(D.in_first_chain(every.join(lit, "case_id"), GAP_DAYS, "start_ts"))
+    ended = D.time_to_fraction(D.coverage_curve(later).join(areas, "case_id"), later, 0.9, F.col("burn"), "end_ts")
     return lit.join(ended, "case_id", "left")
 
 

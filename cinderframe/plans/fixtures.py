@@ -48,7 +48,7 @@ FIXTURES = {
         from {orders}""",
     "run_log": """
         select user_id as case_id, row_number() over (partition by user_id order by event_id) as line_no, ts,
-               case when event_type='error' then 'Traceback (most recent call last)' else concat('=== STEP ', cast(event_id%12+1 as string), ': ', event_type, ' ===') end as text
+               case when event_type='error' and event_id%3=0 then concat('ValueError: no value in line ', cast(event_id as string)) when event_type='error' then 'Traceback (most recent call last)' else concat('=== STEP ', cast(event_id%12+1 as string), ': ', event_type, ' ===') end as text
         from {events}""",
     # A case is a perimeter with the ignition that matches it by name, date and place.
     "case_times": """

@@ -92,6 +92,27 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return R.case_status(scores(spark, sf).where("case_id % 4 > 0"), every)
 
 
+@query("a10_status_totals", "cells", SCORES + """
+, states as (select case_id, case when max(jaccard) >= 0.01 then 'success' else 'non_ignited' end as status from scores where case_id % 3 > 0 group by case_id),
+every as (select distinct case_id from cells union select 1000 + r_regionkey from region)
+select coalesce(status, 'total') as status, count(*) as n from (select coalesce(status, 'failed') as status from every left join states using (case_id)) s group by rollup (status)
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """With cases that failed: a third of all, and some that have no cells."""
+    every = frame(spark, sf, "cells").select("case_id").union(spark.read.parquet(f"{sf}/region.parquet").select((1000 + F.col("r_regionkey")).cast("long")))
+    got = scores(spark, sf).where("case_id % 3 > 0")
+    return R.status_counts(R.case_status(got, got.select("case_id").distinct()), every)
+
+
+@query("a6_score_histogram", "cells", SCORES + """
+, b as (select model, cast(least(25, greatest(5, count(*) // 3)) as bigint) as bins from scores group by model),
+c as (select s.model, cast(least(floor(jaccard * bins) + 1, bins) as bigint) as bin, count(*) as n from scores s join b on b.model = s.model group by all)
+select b.model, g.bin, bins, coalesce(n, 0) as n from b join (select unnest(generate_series(1, 25)) as bin) g on g.bin <= bins left join c on c.model = b.model and c.bin = g.bin
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return R.score_histogram(scores(spark, sf))
+
+
 BIAS = SCORES.rstrip() + ", bias as (select case_id, model, log2(ratio_of_areas) as log2_ratio, row_number() over (partition by model order by log2(ratio_of_areas), case_id) as nth from scores where ratio_of_areas > 0)\n"
 
 

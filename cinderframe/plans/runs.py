@@ -31,14 +31,15 @@ state as (
 @query("w13_case_state", "run_log", STATE + """
 , every as (select case_id from states union select -1 - r_regionkey from region)
 select e.case_id, case when e.case_id % 17 = 3 then 'done' when s.case_id is null then 'pending' else status end as status,
-  case when e.case_id % 17 = 3 or status = 'done' then 12 else step end as step, label
+  case when e.case_id % 17 = 3 or status = 'done' then 12 else step end as step, label, case when e.case_id % 17 <> 3 and status = 'failed' then error end as error
 from every e left join states s using (case_id)
+left join (select case_id, min_by(left(trim(text), 52), back) filter (back <= 60 and starts_with(text, 'ValueError:')) as error from ranked group by case_id) x using (case_id)
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """With cases that have no log, and cases that are done by their outputs."""
     logs = log(spark, sf)
     every = logs.select("case_id").union(spark.read.parquet(f"{sf}/region.parquet").select((-1 - F.col("r_regionkey")).cast("long")))
-    return L.case_state(logs, every, logs.select("case_id").where("case_id % 17 = 3")).drop("error")
+    return L.case_state(logs, every, logs.select("case_id").where("case_id % 17 = 3"))
 
 
 @query("t3_status_order", "run_log", STATE + "select case_id, status, row_number() over (order by case status when 'running' then 0 when 'starting' then 1 when 'failed' then 2 when 'done' then 3 else 4 end, case_id) as place from states")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..folders import shared_folder
 from ..streaming import live
+from .fixtures import frame
 from .registry import query
+from .runs import STATE
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,23 +62,37 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return live.drained(live.case_status(log), shared_folder(spark), "update")
 
 
+@query("x3_live_tail", "run_log", STATE + """
+, errors as (select case_id, min_by(left(trim(text), 52), back) filter (back <= 60 and starts_with(text, 'ValueError:')) as error from ranked group by case_id)
+select s.case_id, status, case when status = 'done' then 12 else step end as step, label, case when status = 'failed' then error end as error from states s join errors e using (case_id)
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """By the last 60 lines of each case, which come in several batches."""
+    path, files = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}", 4
+    log = frame(spark, sf, "run_log").select("case_id", F.col("line_no").cast("long").alias("line_no"), "text")
+    for k in range(3):  # files are read in the order in which they were written
+        log.where((F.col("line_no") * 7 + F.col("case_id")) % 3 == k).repartition(files).write.mode("append").parquet(path)
+    rows = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files).parquet(path)
+    return live.drained(live.case_tail(rows), shared_folder(spark), "update")
+
+
 @query("x4_late_detections", sql="""
 with e as (select user_id as case_id, event_id % 3 as part, date_trunc('hour', ts) as hour, ts from events),
 w as (select max(ts) filter (part = 0) - interval '6' hour as first_mark, max(ts) - interval '6' hour as last_mark from e)
-select case_id, hour, count(*) filter (part < 2 or hour + interval '1' hour > first_mark) as n, count(*) filter (part = 2 and hour + interval '1' hour <= first_mark) as late
-from e, w where hour + interval '1' hour <= last_mark group by case_id, hour
-having count(*) filter (part < 2 or hour + interval '1' hour > first_mark) > 0
+select cast(null as bigint) as batch, case_id, hour, count(*) as n, cast(null as bigint) as late
+from e, w where hour + interval '1' hour <= last_mark and (part < 2 or hour + interval '1' hour > first_mark) group by case_id, hour
+union all select 2, null, null, null, count(*) from e, w where part = 2 and hour + interval '1' hour <= first_mark
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Hotspots of closed hours by case, and how many of them came too late: the table arrives in three batches, each as old as the others."""
+    """Hotspots of closed hours by case, and how many rows of each batch came too late, whole hours of them included: the table arrives in three batches, each as old as the others."""
     path, files = f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}", 8
-    table = spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.col("user_id").alias("case_id"), F.col("ts").cast("timestamp").alias("sat_ts"))
+    table = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("det_id"), F.col("user_id").alias("case_id"), F.col("ts").cast("timestamp").alias("sat_ts"))
     for k in range(3):  # files are read in the order in which they were written
-        table.where(F.col("event_id") % 3 == k).repartition(files).write.mode("append").parquet(path)
+        table.where(F.col("det_id") % 3 == k).repartition(files).write.mode("append").parquet(path)
     rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
-    counted = live.drained(live.closed_hours(rows), shared_folder(spark))
-    came = table.groupBy("case_id", F.date_trunc("hour", "sat_ts").alias("hour")).agg(F.count("*").alias("came"))
-    return counted.join(came, ["case_id", "hour"]).select("case_id", F.col("hour").cast("timestamp_ntz").alias("hour"), "n", (F.col("came") - F.col("n")).alias("late"))
+    counted, late = live.drained_with_late(live.closed_hours(rows), shared_folder(spark))
+    hours = counted.select(F.lit(None).cast("long").alias("batch"), "case_id", F.col("hour").cast("timestamp_ntz").alias("hour"), "n", F.lit(None).cast("long").alias("late"))
+    return hours.unionByName(late.groupBy("batch").agg(F.sum("late").alias("late")), allowMissingColumns=True)
 
 
 @query("x5_live_wind", sql="""

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+import threading
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from ..operators.dating import disc_cells
-from ..operators.runlog import TRACEBACK, step_number
+from ..operators.runlog import COMPLETED, ERROR_LINE, LAST_STEP, STEP, TRACEBACK, step_number
 
 
 def chains(hotspots: DataFrame, gap: str = "7 days", late: str = "1 day") -> DataFrame:
@@ -31,6 +36,47 @@ def case_status(log: DataFrame) -> DataFrame:
     return log.groupBy("case_id").agg(F.max_by(step, F.when(step.isNotNull(), F.col("line_no"))).alias("step"), F.bool_or(F.col("text").contains(TRACEBACK)).alias("failed"))
 
 
+class _Tail(StatefulProcessor):
+    """Keeps a case's last lines and its latest step; each batch tells the state that they make."""
+
+    def __init__(self, tail: int, end: int):
+        self.tail, self.end = tail, end
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.lines = handle.getListState("lines", "line_no long, text string")
+        self.step = handle.getValueState("step", "line_no long, step long, label string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        held = [tuple(x) for x in self.lines.get()] if self.lines.exists() else []
+        step = tuple(self.step.get()) if self.step.exists() else None
+        for frame in rows:
+            for n, text in zip(frame["line_no"], frame["text"], strict=True):
+                at = re.search(STEP, text or "")
+                if at and (step is None or n > step[0]):
+                    step = (int(n), int(at[1]), at[2])
+            held = sorted([*held, *((int(n), text or "") for n, text in zip(frame["line_no"], frame["text"], strict=True))])[-self.tail :]
+        self.lines.put(held)
+        if step is not None:
+            self.step.update(step)
+        texts = [text for _, text in held]
+        status = "done" if any(COMPLETED in x for x in texts[-self.end :]) else "starting" if step is None else "failed" if any(TRACEBACK in x for x in texts) else "running"
+        error = next((x.strip()[:52] for x in reversed(texts) if re.search(ERROR_LINE, x)), None) if status == "failed" else None
+        number = LAST_STEP if status == "done" else None if step is None else step[1]
+        yield pd.DataFrame({"case_id": [key[0]], "status": [status], "step": pd.array([number], "Int64"), "label": [None if step is None else step[2]], "error": [error]})
+
+    def close(self) -> None:
+        pass
+
+
+def case_tail(log: DataFrame, tail: int = 60, end: int = 10) -> DataFrame:
+    """(case_id, status, step, label, error) as case_state() gives them, from a stream of lines (case_id, line_no, text) in any batches (update mode).
+
+    The state holds the last `tail` lines of a case and no more; needs the RocksDB state store, which drained() sets for it.
+    """
+    rows = log.select("case_id", "line_no", "text").groupBy("case_id")
+    return rows.transformWithStateInPandas(_Tail(tail, end), "case_id long, status string, step long, label string, error string", "Update", "None")
+
+
 def hourly_wind(weather: DataFrame, late: str = "1 hour") -> DataFrame:
     """(case_id, hour, wind_kph, n): means of closed hours."""
     rows = weather.withWatermark("ts", late).groupBy("case_id", F.window("ts", "1 hour").alias("w"))
@@ -38,12 +84,53 @@ def hourly_wind(weather: DataFrame, late: str = "1 hour") -> DataFrame:
 
 
 def closed_hours(hotspots: DataFrame, late: str = "6 hours") -> DataFrame:
-    """(case_id, hour, n): hotspots of closed hours; rows whose hour was closed when they came are dropped."""
-    rows = hotspots.withWatermark("sat_ts", late).groupBy("case_id", F.window("sat_ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
-    return rows.select("case_id", F.col("w.start").alias("hour"), "n")
+    """(case_id, hour, n): hotspots (case_id, det_id, sat_ts) of closed hours, each det_id once; rows whose hour was closed when they came are dropped, and counted by the engine one by one."""
+    each = hotspots.withWatermark("sat_ts", late).select("case_id", "det_id", F.window("sat_ts", "1 hour").alias("w")).dropDuplicates(["case_id", "det_id", "w"])
+    return each.groupBy("case_id", "w").agg(F.count("*").alias("n")).select("case_id", F.col("w.start").alias("hour"), "n")
+
+
+class _Dropped(StreamingQueryListener):
+    """Rows that a query's stateful operators dropped as too late, by batch."""
+
+    def __init__(self) -> None:
+        self.late: dict[str, dict[int, int]] = {}
+        self.over: dict[str, threading.Event] = {}
+
+    def ended(self, run: str) -> threading.Event:
+        return self.over.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event: object) -> None:
+        pass
+
+    def onQueryProgress(self, event: object) -> None:
+        p = event.progress
+        self.late.setdefault(str(p.runId), {})[p.batchId] = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
+
+    def onQueryTerminated(self, event: object) -> None:
+        self.ended(str(event.runId)).set()
+
+
+def drained_with_late(stream: DataFrame, folder: str, name: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """drained() in append mode, and (batch, late): how many rows each batch with late ones dropped, a row for each such batch, kept beside the stream's rows."""
+    spark, listener, name = stream.sparkSession, _Dropped(), name or f"stream-{uuid.uuid4().hex}"
+    spark.streams.addListener(listener)
+    try:
+        out = drained(stream, folder, name=name, listener=listener)
+    finally:
+        spark.streams.removeListener(listener)
+    counts = [(batch, late) for run in listener.late.values() for batch, late in run.items() if late]
+    spark.createDataFrame(counts, "batch long, late long").write.mode("append").parquet(f"{folder}/{name}/late")
+    return out, spark.read.parquet(f"{folder}/{name}/late")
+
+
+#: The state store that operators with state of several kinds need.
+STORE, ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def drained(stream: DataFrame, folder: str, mode: str = "append", name: str | None = None) -> DataFrame:
+def drained(stream: DataFrame, folder: str, mode: str = "append", name: str | None = None, listener: _Dropped | None = None) -> DataFrame:
     """Runs a stream over what is there now and returns all that it wrote; with mode update or complete, the rows of the last batch of each key's first column.
 
     State and rows lie in `folder` under `name` (None: a new one). Called again with that name, it goes on where it stopped: each batch overwrites a table of its own, so
@@ -54,8 +141,16 @@ def drained(stream: DataFrame, folder: str, mode: str = "append", name: str | No
     def write(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/out/__batch={n}")
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").foreachBatch(write).trigger(availableNow=True).start()
-    query.awaitTermination()
+    conf = stream.sparkSession.conf
+    before = conf.get(STORE, None)
+    conf.set(STORE, ROCKS)
+    try:
+        query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").foreachBatch(write).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        conf.unset(STORE) if before is None else conf.set(STORE, before)
+    if listener is not None:
+        listener.ended(str(query.runId)).wait(60)  # its events come after the query's end
     if query.exception() is not None:
         raise query.exception()
     out = stream.sparkSession.read.schema(T.StructType([*stream.schema.fields, T.StructField("__batch", T.IntegerType())])).parquet(f"{path}/out")
