@@ -111,7 +111,7 @@ with d as (
 select doc_id,
   first_value(doc_id) over (partition by text_sha256 order by n desc, doc_id) as keep_id,
   count(*) over (partition by text_sha256) as group_size,
-  doc_id = first_value(doc_id) over (partition by text_sha256 order by n desc, doc_id) as kept,
+  row_number() over (partition by text_sha256 order by n desc, doc_id) = 1 as kept,
   text_sha256
 from d
 """

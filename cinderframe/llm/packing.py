@@ -137,6 +137,10 @@ def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, rounds: int = R
     return bins, starts, used
 
 
+#: Rows of one id and length that are numbered at once.
+ALIKE = 100_000
+
+
 def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, tokens: Column | None = None, id_col: str = "doc_id", text_col: str = "text", group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """(id, part, from, tokens, group, bin, start, bin_length, bin_tokens): where each piece of each document lies.
 
@@ -146,7 +150,11 @@ def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, tokens: Column | N
     """
     most = max(lengths)
     size = F.coalesce(F.octet_length(text_col), F.lit(0)) + 1 if tokens is None else tokens
-    rows = durable(docs.select(F.col(id_col), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).cast("long").alias("n")).withColumn("salt", F.monotonically_increasing_id()))
+    plain = docs.select(F.col(id_col), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).cast("long").alias("n"))
+    # Rows that share id and length are numbered, a block at a time: the same table is dealt alike however it is split.
+    alike = plain.groupBy(id_col, "n").agg(F.count("*").alias("__c")).withColumn("__b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__c") - 1) / ALIKE))))
+    nth = F.explode(F.sequence(F.col("__b") * ALIKE, F.least(F.col("__c"), (F.col("__b") + 1) * ALIKE) - 1)).alias("__nth")
+    rows = durable(alike.select(id_col, "n", nth).select(id_col, "n", F.xxhash64(F.col(id_col), "n", "__nth").alias("salt")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
     part = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.floor((F.col("n") - 1) / most)).cast("long"))).alias("part")

@@ -113,3 +113,10 @@ def test_query_on_a_table(documents, tmp_path):
         total[r.doc_id] += r.tokens
         assert r.start + r.tokens <= r.bin_tokens <= r.bin_length and r.bin_length in PERMITTED
     assert total == {i: len((t or "").encode()) + 1 for i, t in enumerate(texts)}
+
+
+def test_the_split_of_the_table_does_not_matter(documents):
+    rows = documents(["x" * (k % 900) for k in range(600)] + [None, "", ""])
+    rows = rows.unionByName(rows.where("doc_id % 50 = 0"))
+    once, twice, more = (sorted(map(repr, packed(rows.repartition(n), group_tokens=40_000).collect())) for n in (1, 5, 50))
+    assert once == twice == more
