@@ -106,7 +106,7 @@ def test_chain_breaks_after_a_gap(spark):
 def test_cover_counts_each_cell_once(spark):
     hits = spark.createDataFrame([(1, at(0), 0.0, 0.0), (1, at(1), 0.0, 0.0), (1, at(2), 1000.0, 0.0)], "case_id int, sat_ts timestamp_ntz, x double, y double")
     curve = [(r.sat_ts, r.area_m2) for r in D.coverage_curve(hits).orderBy("sat_ts").collect()]
-    assert [t for t, _ in curve] == [at(0), at(2)] and curve[1][1] == 2 * curve[0][1]
+    assert [t for t, _ in curve] == [at(0), at(1), at(2)] and curve[0][1] == curve[1][1] and curve[2][1] == 2 * curve[0][1]
     assert curve[0][1] == 2500 * sum(math.hypot(u * 50 + 25, v * 50 + 25) <= 200 for u in range(-5, 5) for v in range(-5, 5))
     half = D.time_to_fraction(D.coverage_curve(hits), hits, 0.5).first()
     assert half.reached == at(0)
@@ -279,3 +279,46 @@ def test_sources_name_what_they_lack(spark, tmp_path):
     spark.createDataFrame([("2024-07-01", "930", 1)], "acq_date string, acq_time string, x int").write.json(f"{tmp_path}/h")
     rows = T.read_hotspots(spark, f"{tmp_path}/h", "json").collect()
     assert [(r.sat_ts, r.det_id, r.x, r.y) for r in rows] == [(dt.datetime(2024, 7, 1, 9, 30), None, 1.0, None)]
+
+
+def square(x, y, h):
+    return [[{"x": x - h, "y": y - h}, {"x": x + h, "y": y - h}, {"x": x + h, "y": y + h}, {"x": x - h, "y": y + h}]]
+
+
+RINGS = "array<array<struct<x:double,y:double>>>"
+
+
+def test_end_lies_within_the_first_chain(spark):
+    """Detections on two days, and on three days two months later: the fire ends with its own chain."""
+    cases = spark.createDataFrame([(1, square(0.0, 0.0, 900.0), at(-1), None), (2, None, at(0), None), (3, square(9e4, 0.0, 90.0), at(0), None), (4, square(0.0, 0.0, 900.0), at(99), None)], f"case_id int, rings {RINGS}, discovery timestamp_ntz, fireout timestamp_ntz")
+    hits = spark.createDataFrame([(at(d), 250.0 * k, 0.0) for k, d in enumerate((0, 1, 60, 61, 62))], "sat_ts timestamp_ntz, x double, y double")
+    got = {r.case_id: r for r in D.dated(cases, hits).collect()}
+    assert (got[1].SatelliteIgnitionTime, got[1].SatelliteEnd_chain, got[1].SatelliteEndTime, got[1].status) == (at(0), at(1), at(1), "OK")
+    assert [got[k].reason for k in (2, 3, 4)] == [D.SKIPS[0], D.SKIPS[2], D.SKIPS[3]] and got[2].status == "SKIP"
+
+
+def test_report_covers_only_the_burn(spark):
+    cases = spark.createDataFrame([(1, square(0.0, 0.0, 100.0), at(0), 40_000.0)], f"case_id int, rings {RINGS}, discovery timestamp_ntz, burn_area_m2 double")
+    hits = spark.createDataFrame([(1, at(0), 0.0, 0.0), (1, at(1), 90.0, 0.0)], "case_id int, sat_ts timestamp_ntz, x double, y double")
+    curve, ends = D.report_end(hits, cases)
+    assert [r.area_m2 for r in curve.orderBy("sat_ts").collect()] == [40_000.0, 40_000.0] and ends.first().sat_end == at(0)
+
+
+def test_tiles_follow_the_extent(spark):
+    from cinderframe.functions.geometry import points_in_polygons
+
+    many = [{"x": 5e4 + 3e4 * math.cos(k / 50 * math.pi), "y": 3e4 * math.sin(k / 50 * math.pi)} for k in range(100)]
+    polygons = spark.createDataFrame([(1, square(0.0, 0.0, 30_000.0)), (2, square(10.0, 10.0, 20.0)), (3, [many]), (4, None)], f"perim_idx int, rings {RINGS}")
+    points = spark.createDataFrame([(k, 997.0 * k - 9e4, 13.0) for k in range(200)] + [(999, 12.0, 12.0), (1000, None, 1.0)], "pt int, x double, y double")
+    pairs = points_in_polygons(points, polygons, 200.0)
+    want = {(1, k) for k in range(200) if abs(997.0 * k - 9e4) < 3e4} | {(1, 999), (2, 999)} | {(3, k) for k in range(200) if abs(997.0 * k - 9e4 - 5e4) < 29_950}
+    assert {(r.perim_idx, r.pt) for r in pairs.collect()} == want
+
+
+def test_crs_is_asked_for(spark):
+    from cinderframe.operators.cases import assumed_crs
+
+    df = spark.createDataFrame([(1, 10.0, 20.0), (2, 5e5, 20.0)], "case_id int, x double, y double")
+    assert [r.epsg for r in assumed_crs(df).orderBy("case_id").collect()] == [4326, None]
+    with pytest.raises(Exception, match="case 2 has no CRS"):
+        assumed_crs(df, strict=True).collect()
