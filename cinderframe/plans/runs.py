@@ -151,6 +151,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return S.grid_cells(grid_text(spark, sf)).where("value is not null")
 
 
+@query("s11_grid_files", "bands", "select case_id, row_no, col_no, 500 + (col_no + .5) * 30 as x, 1300 - (row_no + .5) * 30 as y, greatest(value - 10, 0.0) as value from bands where band = 1")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Through a text file for each case in the shared folder."""
+    path = fresh(spark, "grid-files")
+    S.write_lines_by_case(grid_text(spark, sf), path)
+    return S.grid_cells(S.file_lines(spark, path, "*.txt", S.GRID_FILE)).where("value is not null")
+
+
 @query("s11_grid_header", "bands", "select distinct case_id, 10 as ncols, 10 as nrows, 500.0::double as xmin, 1000.0::double as ymin, 800.0::double as xmax, 1300.0::double as ymax from bands")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return S.grid_header(grid_text(spark, sf)).select("case_id", "ncols", "nrows", F.col("xll").alias("xmin"), F.col("yll").alias("ymin"), "xmax", "ymax")

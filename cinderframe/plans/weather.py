@@ -9,7 +9,8 @@ from ..functions.text import time_key
 from ..operators import cases as C
 from ..operators import grids as G
 from ..operators import weather as W
-from .fixtures import frame
+from ..sources import tables as S
+from .fixtures import frame, fresh
 from .registry import query
 
 WINDOWS = "with fires as (select user_id % 10 as case_id, min(ts) + interval '5' hour as start_ts, max(ts) - interval '50' hour as end_ts from events group by 1) "
@@ -148,6 +149,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return W.from_text(W.text_lines(weather(spark, sf).withColumn("pcp_mm", F.floor(F.col("pcp_mm") * 1000) / 1000), weather(spark, sf).select("case_id").distinct().withColumn("elevation", F.lit(12.5))))
 
 
+@query("s9_weather_files", "weather_hourly", f"select case_id, ts, cast(temp_c as double) as temp_c, cast(rh as double) as rh, floor(pcp_mm * 1000) / 1000 as pcp_mm, cast(wind_kph as double) as wind_kph, cast(wind_dir_deg as double) as wind_dir_deg, cast(cloud_pct as double) as cloud_pct from ({ROUNDED}) t")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Through a text file for each case in the shared folder."""
+    path, rows = fresh(spark, "weather-files"), weather(spark, sf).withColumn("pcp_mm", F.floor(F.col("pcp_mm") * 1000) / 1000)
+    S.write_lines_by_case(W.text_lines(rows, rows.select("case_id").distinct().withColumn("elevation", F.lit(12.5))), path)
+    return W.from_text(S.file_lines(spark, path, "*.txt", S.WEATHER_FILE))
+
+
 @query("p24_time_keys", "weather_hourly", "select case_id, ts as key_ts from weather_hourly")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     names = weather(spark, sf).select("case_id", F.concat(F.lit("grid_"), F.date_format("ts", "MM-dd-yyyy_HHmm"), F.lit("_30m_vel.asc")).alias("name"))

@@ -98,6 +98,29 @@ def files_of(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("case_id"), "path", F.col("modificationTime").alias("modified"))
 
 
+#: What a file must hold: a weather file its header and a line of ten fields, a grid file its size.
+WEATHER_FILE = (r"(?m)^\s*Year.*WindSpd", r"(?m)^\s*\d+(?:[ \t]+\S+){9,}\s*$")
+GRID_FILE = (r"(?im)^\s*ncols\s+\d", r"(?im)^\s*nrows\s+\d", r"(?im)^\s*cellsize\s+\S")
+
+
+def write_lines_by_case(lines: DataFrame, path: str) -> None:
+    """A text file for each case, in a folder of its own, from (case_id, line_no, line)."""
+    whole = lines.groupBy("case_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("line_no", "line")))["line"], "\n").alias("value"))
+    whole.write.partitionBy("case_id").text(path)
+
+
+def file_lines(spark: SparkSession, path: str, pattern: str, needs: tuple[str, ...]) -> DataFrame:
+    """(case_id, path, line_no, line) of all files of a name pattern under path, wherever Spark can read; a file's case is the number of its folder. A file without what it needs is an error that names it, when rows are read."""
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    there = F.lit(True)
+    for need in needs:
+        there = there & F.col("value").rlike(need)
+    value = F.when(there, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no header or no rows in "), F.col("path"))).cast("string"))
+    case = F.regexp_extract("path", r"(\d+)/[^/]*$", 1).try_cast("long")
+    lines = whole.select(case.alias("case_id"), "path", F.posexplode(F.split(value, r"\r?\n")).alias("line_no", "line"))
+    return lines.withColumn("line_no", F.col("line_no") + 1)
+
+
 HEADER = ("ncols", "nrows", "xllcorner", "yllcorner", "cellsize", "nodata_value")
 
 

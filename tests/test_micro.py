@@ -322,3 +322,18 @@ def test_crs_is_asked_for(spark):
     assert [r.epsg for r in assumed_crs(df).orderBy("case_id").collect()] == [4326, None]
     with pytest.raises(Exception, match="case 2 has no CRS"):
         assumed_crs(df, strict=True).collect()
+
+
+def test_files_without_a_header_are_named(spark, tmp_path):
+    from cinderframe.operators import weather as W
+    from cinderframe.sources import tables as S
+
+    good = "RAWS_UNITS: Metric\nYear Mth Day Time Temp RH HrlyPcp WindSpd WindDir CloudCov\n2024 7 1 30 20 40 0.5 10 270 50\r\n2024 7 1 130 short\n"
+    for case, name, text in ((7, "a.wxs", good), (8, "b.wxs", good), (8, "notes.txt", "no weather")):
+        (tmp_path / f"{case:05d}").mkdir(exist_ok=True)
+        (tmp_path / f"{case:05d}" / name).write_text(text)
+    got = W.from_text(S.file_lines(spark, str(tmp_path), "*.wxs", S.WEATHER_FILE)).orderBy("case_id").collect()
+    assert [(r.case_id, r.ts.minute, r.wind_kph) for r in got] == [(7, 30, 10.0), (8, 30, 10.0)]
+    (tmp_path / "00007" / "a.wxs").write_text(good.replace("WindSpd", "Wind"))
+    with pytest.raises(Exception, match="no header or no rows in .*00007/a.wxs"):
+        W.from_text(S.file_lines(spark, str(tmp_path), "*.wxs", S.WEATHER_FILE)).collect()
