@@ -13,9 +13,6 @@ TRACEBACK, COMPLETED = "Traceback (most recent call last)", "CASE COMPLETED."
 LAST_STEP = 12
 #: The line that ends a traceback begins with the name of an exception, and a colon, bracket or space after it.
 ERROR_LINE = r"^\s*[A-Za-z_]*(?:Error|Exception)(?=[:\s])"
-#: A decimal number, and a setting that gives one to a name.
-NUMBER = r"\d+(?:\.\d+)?"
-SETTING = rf"([\w-]+)\s*=\s*({NUMBER})"
 
 
 def step_number(text: Column) -> Column:
@@ -59,14 +56,29 @@ def elapsed(log: DataFrame, until: Column | None = None) -> DataFrame:
     return ends.select("case_id", F.when(s < 0, s + 86400).otherwise(s).alias("elapsed_s"))
 
 
+def _settings(text: Column) -> Column:
+    """(k, v) of each `key = number` of a line: the word before each equals sign, and the word after it if that is a number."""
+    parts = F.split(text, "=")
+    word = lambda p, place: F.element_at(F.split(F.trim(p), r"\s+"), place)
+    number = lambda p: F.when(word(p, 1).rlike("^[0-9]"), F.rtrim(word(p, 1), F.lit(",;")).try_cast("double"))
+    rest = F.size(parts) - 1
+    pairs = F.zip_with(F.slice(parts, 1, rest), F.slice(parts, 2, rest), lambda a, b: F.struct(word(a, -1).alias("k"), number(b).alias("v")))
+    return F.filter(pairs, lambda p: (p.k != "") & p.v.isNotNull())
+
+
+def _runtime(text: Column) -> Column:
+    """Seconds of a line `Runtime : n s`."""
+    after = F.split(F.substring_index(F.lower(text), "runtime", -1), ":", 2)
+    number = F.rtrim(F.element_at(F.split(F.trim(F.get(after, F.lit(1))), r"\s+"), 1), F.lit("s"))
+    return F.when(F.lower(text).contains("runtime") & (F.trim(after[0]) == ""), number.try_cast("double"))
+
+
 def key_values(log: DataFrame, most: int = 120) -> DataFrame:
     """(case_id, key, value): the first value of each of the first `most` key = number pairs, and Runtime_s from a line `Runtime : n s`."""
-    every = lambda group: F.regexp_extract_all("text", F.lit(SETTING), F.lit(group))
-    found = log.select("case_id", "line_no", F.posexplode(F.arrays_zip(every(1).alias("k"), every(2).alias("v"))).alias("i", "kv"))
+    found = log.select("case_id", "line_no", F.posexplode(_settings(F.col("text"))).alias("i", "kv"))
     order = Window.partitionBy("case_id").orderBy("line_no", "i")
-    pairs = found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).groupBy("case_id", F.col("kv.k").alias("key")).agg(F.min_by(F.col("kv.v").cast("double"), "nth").alias("value"))
-    runtime = F.nullif(F.regexp_extract("text", rf"(?i)Runtime\s*:\s*({NUMBER})\s*s", 1), F.lit("")).cast("double")
-    runs = log.withColumn("r", runtime).where("r is not null").groupBy("case_id").agg(F.min_by("r", "line_no").alias("value")).select("case_id", F.lit("Runtime_s").alias("key"), "value")
+    pairs = found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).groupBy("case_id", F.col("kv.k").alias("key")).agg(F.min_by("kv.v", "nth").alias("value"))
+    runs = log.withColumn("r", _runtime(F.col("text"))).where("r is not null").groupBy("case_id").agg(F.min_by("r", "line_no").alias("value")).select("case_id", F.lit("Runtime_s").alias("key"), "value")
     return pairs.unionByName(runs.join(pairs.where("key = 'Runtime_s'"), "case_id", "left_anti"))
 
 
