@@ -1,7 +1,7 @@
 """Toxicity: a learned lexicon, matched by Levenshtein automata, with context windows that tell quotation from abuse.
 
 The lexicon is learned from labelled documents: words, and stems that take many endings, that stand in many toxic documents and in hardly any
-other. All words of all texts run through one automaton. Each hit looks at its window: hits between paired quotation marks of one line or next to
+other. All words of all texts run through one automaton, made as they go. Each hit looks at its window: hits between paired quotation marks of one line or next to
 a verb of saying count as quoted. A logistic model over the counts of a document and its length gives its score.
 """
 
@@ -21,12 +21,15 @@ from .automaton import EXACT, FUZZY, NONE, STEM, Automaton, Entry, build
 from .buffers import IS_SPACE, slices
 from .tables import durable, fold, read
 
-#: Labelled documents of each class from which the lexicon is learned, a bounded sample drawn by a hash of their id. Nothing else is bounded: each entry
-#: that passes the next three thresholds is kept, and none of them depends on the number of rows.
+#: Labelled documents of each class from which the lexicon is learned, a bounded sample drawn by a hash of their id. No number of entries is fixed: each that
+#: passes the next five thresholds is kept, or another one that stands for it, and none of them depends on the number of rows.
 TRAIN_DOCS = 20_000
 #: Toxic documents that an entry must add to those of the entries before it; how many times as frequent it must be in toxic documents as in others; and how
 #: far from chance (log-likelihood ratio).
 LEAST_DOCS, RATIO, EVIDENCE = 3, 15.0, 15.0
+#: Fewest letters of a word that can be an entry. An entry that adds no documents of its own joins only if it stands in this share of those of the rarest
+#: one that does: below it, chance companions of chosen words look like entries.
+LEAST_LETTERS, LEAST_SHARE = 3, 0.5
 #: Lengths of stems.
 STEMS = (4, 5, 6, 7)
 #: Words to either side in which a verb of saying makes a hit a quotation.
@@ -72,7 +75,7 @@ def _entries(text: str) -> set[tuple[str, bool]]:
     """All words of a text and their possible stems."""
     words = {w.strip(_EDGES).lower() for w in text.split()}
     words.discard("")
-    return {(w, False) for w in words if len(w) >= 3} | {(w[:k], True) for w in words for k in STEMS if len(w) > k}
+    return {(w, False) for w in words if len(w) >= LEAST_LETTERS} | {(w[:k], True) for w in words for k in STEMS if len(w) > k}
 
 
 def _counts(texts: DataFrame, wanted: set[tuple[str, bool]] | None) -> DataFrame:
@@ -136,11 +139,11 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         # A stem that only ever begins one word is that word.
         whole = max((k for k in clear if not k[1] and k[0].startswith(text)), key=lambda k: (clear[k], k[0]), default=None) if stem else None
         out.append(Entry(whole[0]) if whole and clear[whole] >= 0.9 * clear[text, True] else Entry(text, stem))
-    # What chosen entries cover together with others, by the same measure: clear words and the shortest clear stems at least half as frequent as the rarest chosen.
+    # What chosen entries cover together with others, by the same measure: clear words and the shortest clear stems from LEAST_SHARE of the rarest chosen on.
     rarest = {kind: min((clear.get((e.text, kind), 0) for e in out if e.stem is kind), default=0) for kind in (False, True)}
     more: list[Entry] = []
     for (text, stem), a in sorted(clear.items(), key=lambda x: (not x[0][1], len(x[0][0]), x[0])):
-        if not rarest[stem] or a < 0.5 * rarest[stem] or any(e.stem and text.startswith(e.text) or stem and e.text.startswith(text) for e in (*out, *more)):
+        if not rarest[stem] or a < LEAST_SHARE * rarest[stem] or any(e.stem and text.startswith(e.text) or stem and e.text.startswith(text) for e in (*out, *more)):
             continue
         more.append(Entry(text, stem))
     return sorted(set(out) | set(more), key=lambda e: (e.text, e.stem))

@@ -162,3 +162,56 @@ def test_query_columns_folds_and_held_out_accuracy(spark, documents, tmp_path):
     held = [i for i in range(len(data)) if rows[i].held_out]
     assert np.mean([rows[i].predicted == data[i][1] for i in held]) > 0.97
     assert rows[len(texts) - 1].predicted == 1 and rows[len(texts) - 2].predicted == rows[len(texts) - 3].predicted == 0
+
+
+def distances(words, word):
+    """Edit distances with swaps of one word to many of one length."""
+    a = np.array([[ord(c) for c in w] for w in words])
+    d = [[np.full(len(a), max(i, j)) for j in range(len(word) + 1)] for i in range(a.shape[1] + 1)]
+    for i in range(1, a.shape[1] + 1):
+        for j in range(1, len(word) + 1):
+            d[i][j] = np.minimum(np.minimum(d[i - 1][j], d[i][j - 1]) + 1, d[i - 1][j - 1] + (a[:, i - 1] != ord(word[j - 1])))
+            if i > 1 and j > 1:
+                swap = (a[:, i - 1] == ord(word[j - 2])) & (a[:, i - 2] == ord(word[j - 1]))
+                d[i][j] = np.where(swap, np.minimum(d[i][j], d[i - 2][j - 2] + 1), d[i][j])
+    return d[-1][-1]
+
+
+@pytest.mark.parametrize("room", [A.ROOM, 100_000])
+def test_large_lexicon_in_bounded_memory(room, monkeypatch):
+    """5,000 entries of nine letters, with misspelt and other words; a small room is emptied many times and gives the same."""
+    import time
+    import tracemalloc
+
+    monkeypatch.setattr(A, "WORDS", 1 << 14 if room == A.ROOM else 64)
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    make = lambda k: "".join(rng.choices(letters, k=k))
+    entries = sorted({make(9) for _ in range(5000)})
+    words = [make(rng.randint(1, 12)) for _ in range(100)]
+    for e in rng.sample(entries, 200):
+        w = list(e)
+        for _ in range(rng.randint(0, 3)):
+            i, kind = rng.randrange(len(w) - 1), rng.random()
+            if kind < 0.25:
+                w.insert(i, rng.choice(letters))
+            elif kind < 0.5:
+                w.pop(i)
+            elif kind < 0.75:
+                w[i] = rng.choice(letters)
+            else:
+                w[i], w[i + 1] = w[i + 1], w[i]
+        words.append("".join(w))
+    codes = np.array([ord(c) for w in words for c in w], np.uint32)
+    ends = np.cumsum([len(w) for w in words])
+    tracemalloc.start()
+    began = time.monotonic()
+    terms = A.build([A.Entry(e) for e in entries], room)
+    got = terms.run(codes, ends - [len(w) for w in words], ends)
+    peak, took = tracemalloc.get_traced_memory()[1], time.monotonic() - began
+    tracemalloc.stop()
+    print(f"{peak / 1e6:.0f} MB, {took:.1f} s, {len(terms.places)} states")
+    least = [distances(entries, w).min() for w in words]
+    assert got.tolist() == [A.EXACT if n == 0 else A.FUZZY if n <= 2 else A.NONE for n in least]
+    assert {A.EXACT, A.FUZZY, A.NONE} <= set(got.tolist())
+    assert peak < 1e9 and took < 30
