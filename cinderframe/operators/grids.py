@@ -77,6 +77,12 @@ def nearest_valid(cells: DataFrame, starts: DataFrame, value: str = "fuel", leas
 Grid = tuple[float, float, float, int, int]
 
 
+def coarsened(grid: Grid, factor: int = 4) -> Grid:
+    """The grid from the same north-west corner with cells `factor` times as wide, as many as cover the whole of it."""
+    xll, ymax, size, rows, cols = grid
+    return xll, ymax, size * factor, -(-rows // factor), -(-cols // factor)
+
+
 def _wanted(cells: DataFrame, source: Grid, target: Grid) -> DataFrame:
     """Every cell of the target in each band, with its centre in rows and columns of the source, counted from the source's first centre."""
     (xll, ymax, size, _, _), (t_xll, t_ymax, t_size, rows, cols) = source, target

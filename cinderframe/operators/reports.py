@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
+from ..folders import medians, numbered_within, once
 
 
 def safe_divide(n: Column, d: Column) -> Column:
@@ -72,22 +73,27 @@ def best_fit(df: DataFrame, by: list[str], x: str, y: str, log_x: bool = False,
 
 def score_summary(scores: DataFrame) -> DataFrame:
     """(model, n, mean and median of the three scores, median area ratio)."""
-    named = [(k, f"{name}_{k}", f) for k in ("jaccard", "sorensen", "kappa") for name, f in (("mean", F.avg), ("median", F.median))]
-    return scores.groupBy("model").agg(F.count("*").alias("n"), *[f(k).alias(name) for k, name, f in named], F.median("ratio_of_areas").alias("median_ratio"))
+    kept = once(scores.select("model", "jaccard", "sorensen", "kappa", "ratio_of_areas"))
+    means = kept.groupBy("model").agg(F.count("*").alias("n"), *[F.avg(k).alias(f"mean_{k}") for k in ("jaccard", "sorensen", "kappa")])
+    middle = medians(kept, ["model"], ["jaccard", "sorensen", "kappa", "ratio_of_areas"])
+    of = lambda k, name: F.max(F.when(F.col("column") == k, F.col("median"))).alias(name)
+    wide = middle.groupBy("model").agg(of("jaccard", "median_jaccard"), of("sorensen", "median_sorensen"), of("kappa", "median_kappa"), of("ratio_of_areas", "median_ratio"))
+    return means.join(wide, "model", "left").select("model", "n", "mean_jaccard", "median_jaccard", "mean_sorensen", "median_sorensen", "mean_kappa", "median_kappa", "median_ratio")
 
 
 def area_bias(scores: DataFrame) -> DataFrame:
-    """(case_id, model, log2_ratio, nth) of finite positive area ratios, ascending in each model."""
+    """(case_id, model, log2_ratio, nth) of finite positive area ratios, ascending in each model, ties by case."""
     ratio = F.col("ratio_of_areas")
-    rows = scores.where((ratio > 0) & ~F.isnan(ratio) & (ratio < float("inf"))).withColumn("log2_ratio", F.log2(ratio))
-    return rows.withColumn("nth", F.row_number().over(Window.partitionBy("model").orderBy("log2_ratio", "case_id"))).select("case_id", "model", "log2_ratio", "nth")
+    rows = scores.where((ratio > 0) & ~F.isnan(ratio) & (ratio < float("inf"))).select("case_id", "model", F.log2(ratio).alias("log2_ratio"))
+    return numbered_within(rows, ["model"], "log2_ratio", "case_id")
 
 
 def bias_summary(bias: DataFrame) -> DataFrame:
-    """(model, n, over_pct, median, lower, upper): the limits are those of all models together."""
-    per = bias.groupBy("model").agg(F.count("*").alias("n"), (100.0 * F.count_if(F.col("log2_ratio") > 0) / F.count("*")).alias("over_pct"), F.median("log2_ratio").alias("median"))
+    """(model, n, over_pct, median, lower, upper) of numbered rows, as area_bias() gives them; the limits are those of all models together."""
+    sizes = bias.groupBy("model").agg(F.count("*").alias("n"), (100.0 * F.count_if(F.col("log2_ratio") > 0) / F.count("*")).alias("over_pct"))
+    middle = bias.join(sizes.select("model", "n"), "model").where((F.col("nth") * 2).between(F.col("n"), F.col("n") + 2)).groupBy("model").agg(F.avg("log2_ratio").alias("median"))
     limits = bias.agg(F.least(F.lit(-2.0), 1.2 * F.min("log2_ratio")).alias("lower"), F.greatest(F.lit(2.0), 1.2 * F.max("log2_ratio")).alias("upper"))
-    return per.join(F.broadcast(limits))  # one row
+    return sizes.join(middle, "model").join(F.broadcast(limits)).select("model", "n", "over_pct", "median", "lower", "upper")  # one row
 
 
 def top_and_bottom(scores: DataFrame, n: int = 10, by: str = "jaccard", status: DataFrame | None = None) -> DataFrame:

@@ -85,13 +85,6 @@ def request_windows(fires: DataFrame, dem: DataFrame, days: int = config.CONDITI
     return out, fires.join(out, "case_id", "left_anti")
 
 
-def nearest_point(grid: DataFrame, places: DataFrame) -> DataFrame:
-    """(case_id, point_id, d2): the grid point (point_id, lon, lat) nearest to each place (case_id, lon0, lat0), ties to smaller ids. `grid` is one case's model grid or has a case_id."""
-    d2 = (F.col("lon") - F.col("lon0")) ** 2 + (F.col("lat") - F.col("lat0")) ** 2
-    best = grid.join(places, "case_id").groupBy("case_id").agg(F.min(F.struct(d2.alias("d2"), "point_id")).alias("b"))
-    return best.select("case_id", F.col("b.point_id").alias("point_id"), F.col("b.d2").alias("d2"))
-
-
 def after_conditioning(weather: DataFrame, days: int = config.CONDITIONING_DAYS) -> DataFrame:
     """Rows of each case after its first `days` of hourly records, with their number from 1."""
     n = F.row_number().over(Window.partitionBy("case_id").orderBy("ts"))

@@ -112,6 +112,17 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return round6(G.bilinear_grid(bands(spark, sf), SOURCE, FINE), "value")
 
 
+@query("j13_coarse_wind", "bands", """
+select case_id, band, row_no, col_no, round(sum(w * value) / sum(w), 6) as value from (
+  select t.case_id, t.band, t.row_no, t.col_no, b.value, (1 - abs(fr - b.row_no)) * (1 - abs(fc - b.col_no)) as w
+  from (select distinct case_id, band, r as row_no, c as col_no, (r + .5) * 4 - 0.5 as fr, (c + .5) * 4 - 0.5 as fc from bands, generate_series(0, 2) x(r), generate_series(0, 2) y(c)) t
+  join bands b on b.case_id = t.case_id and b.band = t.band and abs(fr - b.row_no) < 1 and abs(fc - b.col_no) < 1) q group by all
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells four times as wide as the source's."""
+    return round6(G.bilinear_grid(bands(spark, sf), SOURCE, G.coarsened(SOURCE)), "value")
+
+
 SIZED = "with sized as (select *, max(row_no) over (partition by case_id, band) + 1 as nr, max(col_no) over (partition by case_id, band) + 1 as nc from bands) "
 
 

@@ -16,9 +16,9 @@ _SQL: dict[str, str] = {}
 #: Columns of SQL twins that DuckDB would give another type than Spark does.
 _CASTS = {
     "p17_grown_bounds": "xmin double, ymin double, xmax double, ymax double", "j18_polygon_mask": "row_no integer, first_col integer", "j12_nearest_grid": "row_no integer, col_no integer",
-    "j13_bilinear_grid": "row_no integer, col_no integer", "w11_fit_to_reference": "row_no integer, col_no integer", "w10_band_numbers": "band integer", "p20_class_width": "width double",
-    "a15_barrier_on_grid": "width double", "a2_scores": "observed_m2 double, simulated_m2 double", "p22_acres": "acres double", "a12_area_bias": "nth integer", "t1_top_and_bottom": "nth integer",
-    "t4_bias_bars": "nth integer", "t3_status_order": "place integer", "t5_first_lines": "line_no integer", "s12_grid_text": "line_no integer",
+    "j13_bilinear_grid": "row_no integer, col_no integer", "j13_coarse_wind": "row_no integer, col_no integer", "w11_fit_to_reference": "row_no integer, col_no integer", "w10_band_numbers": "band integer", "p20_class_width": "width double",
+    "a15_barrier_on_grid": "width double", "a2_scores": "observed_m2 double, simulated_m2 double", "p22_acres": "acres double", "t1_top_and_bottom": "nth integer",
+    "t3_status_order": "place integer", "t5_first_lines": "line_no integer", "s12_grid_text": "line_no integer",
     "s11_grid_from_text": "x double, y double", "s11_grid_files": "x double, y double", "s11_grid_header": "ncols bigint, nrows bigint", "t2_sorted_summary": "place integer", "w8_after_conditioning": "nth integer",
     "s10_weather_text": "line_no integer", "u1_stacked_grids": "band integer",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import time_key
 from ..operators import cases as C
 from ..operators import grids as G
+from ..operators import nearest as N
 from ..operators import weather as W
 from ..sources import tables as S
 from .fixtures import frame, fresh
@@ -122,7 +123,18 @@ qualify row_number() over (partition by case_id order by d2, point_id) = 1
 def _(spark: SparkSession, sf: str) -> DataFrame:
     grid = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_nationkey").alias("case_id"), F.col("c_custkey").alias("point_id"), (F.col("c_acctbal") / 100).alias("lon"), (F.col("c_custkey") % 90).alias("lat"))
     places = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("case_id"), F.col("n_nationkey").alias("lon0"), F.lit(45).alias("lat0"))
-    return W.nearest_point(grid, places).withColumn("d2", F.round("d2", 6))
+    return N.nearest_point(grid, places).withColumn("d2", F.round("d2", 6))
+
+
+@query("j10_nearest_of_shared", sql="""
+select n_nationkey as case_id, c_custkey as point_id, round((c_acctbal / 100 - n_nationkey * 4) * (c_acctbal / 100 - n_nationkey * 4) + (c_custkey % 90 - 45.25) * (c_custkey % 90 - 45.25), 6) as d2 from customer, nation
+qualify row_number() over (partition by n_nationkey order by (c_acctbal / 100 - n_nationkey * 4) * (c_acctbal / 100 - n_nationkey * 4) + (c_custkey % 90 - 45.25) * (c_custkey % 90 - 45.25), c_custkey) = 1
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """All places share one grid."""
+    grid = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("point_id"), (F.col("c_acctbal") / 100).alias("lon"), (F.col("c_custkey") % 90).alias("lat"))
+    places = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("case_id"), (F.col("n_nationkey") * 4).alias("lon0"), F.lit(45.25).alias("lat0"))
+    return N.nearest_point(grid, places).withColumn("d2", F.round("d2", 6))
 
 
 @query("w8_after_conditioning", "weather_hourly", "select case_id, ts, row_number() over (partition by case_id order by ts) - 480 as nth from weather_hourly qualify nth > 0")
