@@ -52,12 +52,12 @@ def with_tiles(df: DataFrame, size: float, grow: float = 0.0) -> DataFrame:
 SMALL_RINGS = 64
 
 
-def near_points(points: DataFrame, polygons: DataFrame, base: float, key: str = "perim_idx") -> DataFrame:
+def near_points(points: DataFrame, polygons: DataFrame, base: float, key: str = "perim_idx", same: tuple[str, ...] = ()) -> DataFrame:
     """Pairs of a point (x, y) and a polygon (rings) whose bounds hold it.
 
     A polygon lies on tiles of base * 2**level, at the least level at which its bounds are no wider than three of them: 16 tiles at most,
     however large it is. A point meets each level that some polygon has. Rings of more than SMALL_RINGS points come to the pairs by the polygons' unique `key`.
-    Points and polygons without a place meet nothing. Column names must not clash.
+    Points and polygons without a place meet nothing. Column names must not clash, but for those of `same`, in which a pair is equal; `key` is unique within them.
     """
     boxes = with_bounds(polygons).where("xmin is not null and ymin is not null")
     wide = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")) / (3.0 * base)
@@ -69,8 +69,8 @@ def near_points(points: DataFrame, polygons: DataFrame, base: float, key: str =
     tiled = boxes.withColumn("tx", span("xmin", "xmax")).withColumn("ty", span("ymin", "ymax"))
     inside = F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
     small = F.size(F.flatten("rings")) <= SMALL_RINGS
-    met = lambda some: placed.join(some, ["level", "tx", "ty"]).where(inside).drop("level", "tx", "ty", "xmin", "ymin", "xmax", "ymax")
-    light, heavy = met(tiled.where(small)), met(tiled.where(~small).drop("rings")).join(polygons.select(key, "rings"), key)
+    met = lambda some: placed.join(some, [*same, "level", "tx", "ty"]).where(inside).drop("level", "tx", "ty", "xmin", "ymin", "xmax", "ymax")
+    light, heavy = met(tiled.where(small)), met(tiled.where(~small).drop("rings")).join(polygons.select(*same, key, "rings"), [*same, key])
     return light.unionByName(heavy)
 
 

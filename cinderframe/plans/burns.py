@@ -242,7 +242,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("a17_dissolved", "perimeters", """
-with picked as (select *, perim_idx % 40 as case_id from perimeters where perim_idx % 25 = 0)
+with picked as (select *, perim_idx // 8 as case_id from perimeters)
 select case_id, n_rings, xmin, ymin, xmax, ymax, area from (
   select case_id, count(*) as n_rings, cast(min(cx - h) as double) as xmin, cast(min(cy - h) as double) as ymin, cast(max(cx + h) as double) as xmax, cast(max(cy + h) as double) as ymax from picked group by case_id) b
 join (select case_id, cast(count(distinct (u, v)) * 2500 as double) as area from (select *, unnest(generate_series(-10, 32)) as u from picked) q, generate_series(-10, 32) g(v)
@@ -252,8 +252,27 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """Several perimeters made one case each."""
     from ..operators.grids import dissolved
 
-    parts = perimeters(spark, sf).where("perim_idx % 25 = 0").select((F.col("perim_idx") % 40).alias("case_id"), "rings")
-    return dissolved(parts, 50.0).select("case_id", F.size("rings").cast("long").alias("n_rings"), "xmin", "ymin", "xmax", "ymax", "area")
+    return dissolved(joined_burns(spark, sf), 50.0).select("case_id", F.size("rings").cast("long").alias("n_rings"), "xmin", "ymin", "xmax", "ymax", "area")
+
+
+def joined_burns(spark: SparkSession, sf: str) -> DataFrame:
+    """Perimeters of neighbouring numbers, made one case."""
+    return perimeters(spark, sf).select(F.floor(F.col("perim_idx") / 8).cast("long").alias("case_id"), "rings")
+
+
+@query("a17_union_area", "perimeters", """
+with p as (select perim_idx // 8 as case_id, cx + cy - h as a0, cx + cy + h as a1, cx - cy - h as b0, cx - cy + h as b1 from perimeters),
+a as (select case_id, v as lo, lead(v) over (partition by case_id order by v) as hi from (select distinct case_id, unnest([a0, a1]) as v from p) t),
+b as (select case_id, v as lo, lead(v) over (partition by case_id order by v) as hi from (select distinct case_id, unnest([b0, b1]) as v from p) t)
+select case_id, round(sum(1.0 * (a_hi - a_lo) * (b_hi - b_lo)) / 2, 6) as area from (
+  select distinct a.case_id, a.lo as a_lo, a.hi as a_hi, b.lo as b_lo, b.hi as b_hi from a join b using (case_id)
+  join p on p.case_id = a.case_id and a0 <= a.lo and a1 >= a.hi and b0 <= b.lo and b1 >= b.hi) c group by case_id
+""")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Turned by 45 degrees the diamonds are squares, whose union SQL can measure."""
+    from ..operators.dissolve import union_area, union_boundary
+
+    return union_area(union_boundary(joined_burns(spark, sf), 200.0)).select("case_id", F.round("area", 6).alias("area"))
 
 
 @query("a17_total_bounds", FIRES, PAIRS + "select count(*) as n, cast(min(cx - h) as double) as xmin, cast(min(cy - h) as double) as ymin, cast(max(cx + h) as double) as xmax, cast(max(cy + h) as double) as ymax from cases")
