@@ -7,13 +7,14 @@ import threading
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
-from ..operators.dating import disc_cells
 from ..operators.runlog import COMPLETED, ERROR_LINE, LAST_STEP, STEP, TRACEBACK, step_number
 
 
@@ -23,11 +24,104 @@ def chains(hotspots: DataFrame, gap: str = "7 days", late: str = "1 day") -> Dat
     return sessions.agg(F.count("*").alias("n"), F.min("sat_ts").alias("chain_start"), F.max("sat_ts").alias("chain_end")).select("case_id", "chain_start", "chain_end", "n")
 
 
+#: Covered cells are kept as bits of square tiles of so many cells a side.
+TILE = 64
+
+
+class _Cover(StatefulProcessor):
+    """Keeps the cells of a case's open chains: a row of bits for each tile and span of one gap, in which all times belong to one chain. A timer closes a chain."""
+
+    def __init__(self, radius: float, cell: float, gap: int):
+        self.radius, self.cell, self.gap = radius, cell, gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getMapState("spans", "span long", "first long, last long")
+        self.tiles = handle.getMapState("tiles", "span long, tu long, tv long", "bits binary")
+
+    def _cells(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        steps = np.arange(int(2 * self.radius / self.cell) + 2)
+        u, v = (np.floor((k - self.radius) / self.cell).astype(np.int64)[:, None] + steps for k in (x, y))
+        dx, dy = (u + 0.5) * self.cell - x[:, None], (v + 0.5) * self.cell - y[:, None]
+        which, i, j = np.nonzero(dx[:, :, None] ** 2 + dy[:, None, :] ** 2 <= self.radius * self.radius)
+        return u[which, i], v[which, j]
+
+    def _add(self, span: int, times: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        first, last = int(times.min()), int(times.max())
+        known = self.spans.getValue((span,))
+        if known is not None:
+            first, last = min(first, known[0]), max(last, known[1])
+        self.spans.updateValue((span,), (first, last))
+        u, v = self._cells(x, y)
+        at = pd.DataFrame({"tu": u // TILE, "tv": v // TILE, "bit": u % TILE * TILE + v % TILE})
+        for (tu, tv), cells in at.groupby(["tu", "tv"]):
+            key = (span, int(tu), int(tv))
+            held = self.tiles.getValue(key)
+            bits = np.zeros(TILE * TILE, np.bool_) if held is None else np.unpackbits(np.frombuffer(bytes(held[0]), np.uint8)).astype(np.bool_)
+            bits[cells["bit"].to_numpy()] = True
+            self.tiles.updateValue(key, (np.packbits(bits).tobytes(),))
+
+    def _chains(self) -> list[tuple[int, int, list[int]]]:
+        """(first, last, spans) of the open chains, in order."""
+        out: list[tuple[int, int, list[int]]] = []
+        for (span,), (first, last) in sorted((tuple(k), tuple(v)) for k, v in self.spans.iterator()):
+            if out and first - out[-1][1] <= self.gap:
+                out[-1] = (out[-1][0], last, [*out[-1][2], span])
+            else:
+                out.append((first, last, [span]))
+        return out
+
+    def _closed(self, key: tuple, watermark: int) -> Iterator[pd.DataFrame]:
+        """Rows of the chains that the watermark (in milliseconds) has passed, whose state goes; a timer for each of the others."""
+        chains = self._chains()
+        over = [c for c in chains if (c[1] + self.gap) <= watermark * 1000]
+        if over:
+            chain_of = {span: n for n, c in enumerate(over) for span in c[2]}
+            seen: dict[tuple[int, int, int], np.ndarray] = {}
+            gone = []
+            for k, (bits,) in self.tiles.iterator():
+                if k[0] in chain_of:
+                    tile, own = (chain_of[k[0]], k[1], k[2]), np.frombuffer(bytes(bits), np.uint8)
+                    seen[tile] = seen[tile] | own if tile in seen else own
+                    gone.append(tuple(k))
+            for k in gone:
+                self.tiles.removeKey(k)
+            for span in chain_of:
+                self.spans.removeKey((span,))
+            cells = np.zeros(len(over), np.int64)
+            for (n, _, _), bits in seen.items():
+                cells[n] += int(np.unpackbits(bits).sum())
+            yield pd.DataFrame({"case_id": key[0], "start": [c[0] for c in over], "cells": cells})
+        wanted = {-(-(c[1] + self.gap) // 1000) for c in chains if c not in over}
+        there = set(self.handle.listTimers())
+        for t in there - wanted:
+            self.handle.deleteTimer(t)
+        for t in wanted - there:
+            self.handle.registerTimer(t)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            for span, part in frame.groupby(frame["us"] // self.gap):
+                self._add(int(span), part["us"].to_numpy(np.int64), part["x"].to_numpy(np.float64), part["y"].to_numpy(np.float64))
+        yield from self._closed(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._closed(key, timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
 def covered_cells(hotspots: DataFrame, radius: float, cell: float, gap: str = "12 hours", late: str = "1 day") -> DataFrame:
-    """(case_id, chain_start, cells) of each closed chain: its covered cells, each counted once. A chain's cells leave the state when it ends."""
-    cells = disc_cells(hotspots.withWatermark("sat_ts", late), radius, cell)
-    chain = cells.groupBy("case_id", F.session_window("sat_ts", gap).alias("w")).agg(F.min("sat_ts").alias("chain_start"), F.collect_set(F.struct("u", "v")).alias("cells"))
-    return chain.select("case_id", "chain_start", F.size("cells").cast("long").alias("cells"))
+    """(case_id, chain_start, cells) of each closed chain of a stream: its covered cells, each counted once.
+
+    No value of the state grows: a chain has a row of bits for each tile and span of time. Its state leaves when the watermark passes its last time by `gap`.
+    Rows without time or place take no part, late ones are dropped. Needs the RocksDB state store, which drained() sets for it.
+    """
+    rows = hotspots.withWatermark("sat_ts", late).where("sat_ts is not null and x is not null and y is not null")
+    plain = rows.select("case_id", "sat_ts", F.unix_micros("sat_ts").alias("us"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    chains = plain.groupBy("case_id").transformWithStateInPandas(_Cover(radius, cell, pd.Timedelta(gap) // pd.Timedelta("1us")), "case_id long, start long, cells long", "Append", "EventTime")
+    return chains.select("case_id", F.timestamp_micros("start").alias("chain_start"), "cells")
 
 
 def case_status(log: DataFrame) -> DataFrame:
