@@ -40,11 +40,13 @@ def _cuts(edges: DataFrame, key: str, digits: int) -> DataFrame:
     """(key, part, edge, x, y): where edges of different polygons of a key cross or touch."""
     tiled = once(_with_tiles(edges, key))
     side = lambda c: tiled.select(key, "tx", "ty", *[F.col(k).alias(c + k) for k in ("part", "edge", "x1", "y1", "x2", "y2")])
-    met = side("a").join(side("b"), [key, "tx", "ty"]).where("apart < bpart").drop("tx", "ty").distinct()
+    met = side("a").join(side("b"), [key, "tx", "ty"]).where("apart < bpart").drop("tx", "ty")
     ax, ay, bx, by = F.col("ax2") - F.col("ax1"), F.col("ay2") - F.col("ay1"), F.col("bx2") - F.col("bx1"), F.col("by2") - F.col("by1")
     gx, gy, turn = F.col("bx1") - F.col("ax1"), F.col("by1") - F.col("ay1"), ax * by - ay * bx
     t, u = (gx * by - gy * bx) / turn, (gx * ay - gy * ax) / turn
     near = 10.0 ** (-2 * digits)
+    beside = lambda c: (F.least(f"a{c}1", f"a{c}2") <= F.greatest(f"b{c}1", f"b{c}2") + 10.0**-digits) & (F.least(f"b{c}1", f"b{c}2") <= F.greatest(f"a{c}1", f"a{c}2") + 10.0**-digits)
+    met = met.where(beside("x") & beside("y"))
     point = lambda x, y: F.struct(F.round(x, digits).alias("x"), F.round(y, digits).alias("y"))
 
     def ends_on(p: str, s: str) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, MapState, TimerValues
 
 from ..operators.runlog import COMPLETED, ERROR_LINE, LAST_STEP, STEP, TRACEBACK, step_number
 
@@ -39,27 +39,37 @@ class _Cover(StatefulProcessor):
         self.spans = handle.getMapState("spans", "span long", "first long, last long")
         self.tiles = handle.getMapState("tiles", "span long, tu long, tv long", "bits binary")
 
-    def _cells(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _cells(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the place, row and column of each cell of the discs around all places."""
         steps = np.arange(int(2 * self.radius / self.cell) + 2)
         u, v = (np.floor((k - self.radius) / self.cell).astype(np.int64)[:, None] + steps for k in (x, y))
         dx, dy = (u + 0.5) * self.cell - x[:, None], (v + 0.5) * self.cell - y[:, None]
         which, i, j = np.nonzero(dx[:, :, None] ** 2 + dy[:, None, :] ** 2 <= self.radius * self.radius)
-        return u[which, i], v[which, j]
-
-    def _add(self, span: int, times: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
-        first, last = int(times.min()), int(times.max())
-        known = self.spans.getValue((span,))
-        if known is not None:
-            first, last = min(first, known[0]), max(last, known[1])
-        self.spans.updateValue((span,), (first, last))
-        u, v = self._cells(x, y)
-        at = pd.DataFrame({"tu": u // TILE, "tv": v // TILE, "bit": u % TILE * TILE + v % TILE})
-        for (tu, tv), cells in at.groupby(["tu", "tv"]):
-            key = (span, int(tu), int(tv))
-            held = self.tiles.getValue(key)
-            bits = np.zeros(TILE * TILE, np.bool_) if held is None else np.unpackbits(np.frombuffer(bytes(held[0]), np.uint8)).astype(np.bool_)
-            bits[cells["bit"].to_numpy()] = True
-            self.tiles.updateValue(key, (np.packbits(bits).tobytes(),))
+        return which, u[which, i], v[which, j]
+
+    def _add(self, us: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        known = {int(k[0]): tuple(v) for k, v in self.spans.iterator()}
+        span = us // self.gap
+        for n in np.unique(span):
+            times = us[span == n]
+            old = known.get(int(n), (times[0], times[0]))
+            new = (min(int(times.min()), int(old[0])), max(int(times.max()), int(old[1])))
+            if new != known.get(int(n)):
+                self.spans.updateValue((int(n),), new)
+        which, u, v = self._cells(x, y)
+        at = np.stack([span[which], u // TILE, v // TILE])
+        order = np.lexsort(at)
+        at, bit = at[:, order], (u % TILE * TILE + v % TILE)[order]
+        cuts = np.nonzero((at[:, 1:] != at[:, :-1]).any(axis=0))[0] + 1
+        for first, last in zip([0, *cuts], [*cuts, len(bit)], strict=True):
+            if first == last:
+                continue
+            key = tuple(int(k) for k in at[:, first])
+            held = self.tiles.getValue(key) if key[0] in known else None
+            bits = np.zeros(TILE * TILE, np.uint8)
+            bits[bit[first:last]] = 1
+            packed = np.packbits(bits)
+            self.tiles.updateValue(key, ((packed if held is None else packed | np.frombuffer(bytes(held[0]), np.uint8)).tobytes(),))
 
     def _chains(self) -> list[tuple[int, int, list[int]]]:
         """(first, last, spans) of the open chains, in order."""
@@ -71,6 +81,17 @@ class _Cover(StatefulProcessor):
                 out.append((first, last, [span]))
         return out
 
+    @staticmethod
+    def _drop(state: MapState, gone: list[tuple], stay: list[tuple[tuple, tuple]]) -> None:
+        """Takes keys out of a map, or if most go, all of it, and puts back what stays."""
+        if len(gone) <= len(stay):
+            for k in gone:
+                state.removeKey(k)
+            return
+        state.clear()
+        for k, v in stay:
+            state.updateValue(k, v)
+
     def _closed(self, key: tuple, watermark: int) -> Iterator[pd.DataFrame]:
         """Rows of the chains that the watermark (in milliseconds) has passed, whose state goes; a timer for each of the others."""
         chains = self._chains()
@@ -78,16 +99,18 @@ class _Cover(StatefulProcessor):
         if over:
             chain_of = {span: n for n, c in enumerate(over) for span in c[2]}
             seen: dict[tuple[int, int, int], np.ndarray] = {}
-            gone = []
+            gone, stay = [], []
             for k, (bits,) in self.tiles.iterator():
                 if k[0] in chain_of:
                     tile, own = (chain_of[k[0]], k[1], k[2]), np.frombuffer(bytes(bits), np.uint8)
                     seen[tile] = seen[tile] | own if tile in seen else own
                     gone.append(tuple(k))
-            for k in gone:
-                self.tiles.removeKey(k)
-            for span in chain_of:
-                self.spans.removeKey((span,))
+                else:
+                    stay.append((tuple(k), bytes(bits)))
+            self._drop(self.tiles, gone, [(k, (bits,)) for k, bits in stay])
+            left = [(span, c) for c in chains if c not in over for span in c[2]]
+            spans = {int(k[0]): tuple(v) for k, v in self.spans.iterator()} if left else {}
+            self._drop(self.spans, [(span,) for span in chain_of], [((span,), spans[span]) for span, _ in left])
             cells = np.zeros(len(over), np.int64)
             for (n, _, _), bits in seen.items():
                 cells[n] += int(np.unpackbits(bits).sum())
@@ -101,8 +124,7 @@ class _Cover(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            for span, part in frame.groupby(frame["us"] // self.gap):
-                self._add(int(span), part["us"].to_numpy(np.int64), part["x"].to_numpy(np.float64), part["y"].to_numpy(np.float64))
+            self._add(frame["us"].to_numpy(np.int64), frame["x"].to_numpy(np.float64), frame["y"].to_numpy(np.float64))
         yield from self._closed(key, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
