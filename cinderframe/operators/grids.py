@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.geometry import edges_of, polygon_cells, with_bounds
+from ..functions.projections import utm_inverse
 from .reports import safe_divide
 
 
@@ -25,6 +26,14 @@ def centre_of(row: Column, col: Column, xll: Column | float, ymax: Column | floa
     return xll + (col + 0.5) * cell, ymax - (row + 0.5) * cell
 
 
+def with_places(cells: DataFrame, grids: DataFrame, south: bool = False) -> DataFrame:
+    """cells with x, y, lon and lat of their centres, on each case's grid (case_id, xll, ymax, cell, zone) in UTM; rows of a case without a grid have nulls."""
+    x, y = centre_of(F.col("row_no"), F.col("col_no"), F.col("xll"), F.col("ymax"), F.col("cell"))
+    at = cells.join(grids.select("case_id", "xll", "ymax", "cell", "zone"), "case_id", "left").withColumns({"x": x, "y": y})
+    lon, lat = utm_inverse(F.col("x"), F.col("y"), F.col("zone"), south)
+    return at.withColumns({"lon": lon, "lat": lat}).drop("xll", "ymax", "cell", "zone")
+
+
 def to_null(value: Column, nodata: float = config.NODATA) -> Column:
     """A cell value with nodata and NaN as null."""
     return F.when(~F.isnan(value.cast("double")) & (value != nodata), value)

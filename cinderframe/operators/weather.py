@@ -76,9 +76,11 @@ def wind_schedule(fires: DataFrame, bands: DataFrame) -> DataFrame:
 
 
 def request_windows(fires: DataFrame, dem: DataFrame, days: int = config.CONDITIONING_DAYS) -> tuple[DataFrame, DataFrame]:
-    """((case_id, from_ts, to_ts, x, y, elevation), rejected): the weather each fire needs, at its grid's centre cell; fires without times or grid are rejected."""
-    size = dem.groupBy("case_id").agg((F.min("row_no") + F.max("row_no")).alias("r2"), (F.min("col_no") + F.max("col_no")).alias("c2"))
-    off = F.greatest(F.abs(2 * F.col("row_no") - F.col("r2")), F.abs(2 * F.col("col_no") - F.col("c2")))
+    """((case_id, from_ts, to_ts, row_no, col_no, elevation), rejected): the weather each fire needs, at the middle cell of its grid, row and column half their number rounded down,
+    or the cell with a value that is nearest to it; fires without times or grid are rejected. with_places() adds where that is.
+    """
+    size = dem.groupBy("case_id").agg(F.floor((F.max("row_no") + 1) / 2).alias("r2"), F.floor((F.max("col_no") + 1) / 2).alias("c2"))
+    off = F.greatest(F.abs(F.col("row_no") - F.col("r2")), F.abs(F.col("col_no") - F.col("c2")))
     centre = dem.join(size, "case_id").groupBy("case_id").agg(F.min(F.struct(off.alias("off"), "row_no", "col_no", "value")).alias("p")).select("case_id", F.col("p.row_no").alias("row_no"), F.col("p.col_no").alias("col_no"), F.col("p.value").alias("elevation"))
     good = fires.where("start_ts is not null and end_ts is not null").join(centre, "case_id")
     out = good.select("case_id", (F.col("start_ts") - F.expr(f"interval {days} days")).alias("from_ts"), F.col("end_ts").alias("to_ts"), "row_no", "col_no", "elevation")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..folders import once
 from ..operators import reports as R
 from ..operators import scoring as S
 from .fixtures import frame
@@ -161,7 +162,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """With an infinite score and a case that no model fits."""
     case, model = F.col("case_id") % 10, F.col("model")
     infinite = F.when((case == 7) & (model == "b"), F.lit(float("inf"))).when(case == 2, F.col("jaccard") * 0.001).otherwise(F.col("jaccard"))
-    got = scores(spark, sf).withColumn("jaccard", infinite)
+    got = once(scores(spark, sf).withColumn("jaccard", infinite))
     status = R.case_status(got.where("jaccard < double('infinity')"), got.select("case_id").distinct())
     return rounded(R.top_and_bottom(got, 3, status=status), "score")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.projections import A, E2
 from ..functions.text import time_key
 from ..operators import cases as C
 from ..operators import grids as G
@@ -96,6 +97,44 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return C.scenario_rows(fires(spark, sf), cells, frame(spark, sf, "bands")).select("case_id", "stop_s", "year", "hour_of_year")
 
 
+def utm_grids(df: DataFrame) -> DataFrame:
+    """A grid of 30 m cells for each case, in a zone of its own."""
+    case = F.col("case_id")
+    return df.select("case_id").distinct().select("case_id", (400_000.0 + case * 1000).alias("xll"), (4_200_000.0 + case * 5000).alias("ymax"), F.lit(30.0).alias("cell"), (10 + case % 9).alias("zone"))
+
+
+# The series of the inverse projection, written out; its constants are those of the ellipsoid.
+E1 = (1 - (1 - E2) ** 0.5) / (1 + (1 - E2) ** 0.5)
+PLACES = f"""
+, at0 as (select *, 400000.0 + case_id * 1000 + (col_no + .5) * 30 as x, 4200000.0 + case_id * 5000 - (row_no + .5) * 30 as y, 10 + case_id % 9 as zone from placed),
+at1 as (select *, y / 0.9996 / {A * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256)!r} as mu from at0),
+at2 as (select *, mu + {3 * E1 / 2 - 27 * E1**3 / 32!r} * sin(2 * mu) + {21 * E1**2 / 16 - 55 * E1**4 / 32!r} * sin(4 * mu) + {151 * E1**3 / 96!r} * sin(6 * mu) + {1097 * E1**4 / 512!r} * sin(8 * mu) as p from at1),
+at3 as (select *, {E2 / (1 - E2)!r} * cos(p) ** 2 as c, tan(p) ** 2 as t, {A!r} / sqrt(1 - {E2!r} * sin(p) ** 2) as n, {A * (1 - E2)!r} / (1 - {E2!r} * sin(p) ** 2) ** 1.5 as r from at2),
+at4 as (select *, (x - 500000) / (n * 0.9996) as d, {E2 / (1 - E2)!r} as g from at3),
+known as (select *, round(6 * zone - 183 + degrees((d - (1 + 2 * t + c) * d ** 3 / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * g + 24 * t * t) * d ** 5 / 120) / cos(p)), 6) as lon,
+  round(degrees(p - n * tan(p) / r * (d * d / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * g) * d ** 4 / 24 + (61 + 90 * t + 298 * c + 45 * t * t - 252 * g - 3 * c * c) * d ** 6 / 720)), 6) as lat from at4)
+"""
+
+
+@query("p35_scenario_places", "cells", WINDOWS + ", placed as (select case_id, row_no, col_no from cells where fuel >= 101 qualify row_number() over (partition by case_id order by greatest(abs(row_no - 20), abs(col_no - 20)), (row_no - 20) * (row_no - 20) + (col_no - 20) * (col_no - 20), row_no, col_no) = 1)" + PLACES + "select f.case_id, x, y, lon, lat, date_sub('second', start_ts, end_ts) as stop_s from fires f join known k on k.case_id = f.case_id where end_ts > start_ts")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each case starts to burn."""
+    cells = frame(spark, sf, "cells")
+    starts = cells.select("case_id").distinct().withColumn("row0", F.lit(20)).withColumn("col0", F.lit(20))
+    rows = C.scenario_rows(fires(spark, sf), G.nearest_valid(cells, starts).drop("moved"), frame(spark, sf, "bands"))
+    return G.with_places(rows, utm_grids(cells)).select("case_id", "x", "y", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "stop_s")
+
+
+@query("p36_request_places", "bands", WINDOWS + """
+, placed as (select * from (select *, greatest(abs(row_no - (max(row_no) over p + 1) // 2), abs(col_no - (max(col_no) over p + 1) // 2)) as off from bands where band = 1 window p as (partition by case_id)) q
+  qualify row_number() over (partition by case_id order by off, row_no, col_no, value) = 1)""" + PLACES + "select f.case_id, start_ts - interval '20' day as from_ts, end_ts as to_ts, lon, lat, value as elevation from fires f join known k on k.case_id = f.case_id")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The place of which each fire needs the weather."""
+    dem = frame(spark, sf, "bands").where("band = 1")
+    rows = W.request_windows(fires(spark, sf), dem)[0]
+    return G.with_places(rows, utm_grids(dem)).select("case_id", "from_ts", "to_ts", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "elevation")
+
+
 @query("p35_scenario_rows", "cells bands", WINDOWS + """
 , snapped as (select case_id, row_no, col_no from cells where fuel >= 101 qualify row_number() over (partition by case_id order by greatest(abs(row_no - 20), abs(col_no - 20)), (row_no - 20) * (row_no - 20) + (col_no - 20) * (col_no - 20), row_no, col_no) = 1)
 select f.case_id, s.row_no, s.col_no, date_sub('second', start_ts, end_ts) as stop_s, year(start_ts) as year, cast(floor(date_sub('second', date_trunc('year', start_ts), start_ts) / 3600.0) as bigint) as hour_of_year, coalesce(b.bands, 0) as bands
@@ -109,7 +148,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("p36_weather_requests", "bands", WINDOWS + """
 select f.case_id, start_ts - interval '20' day as from_ts, end_ts as to_ts, b.row_no, b.col_no, b.value as elevation from fires f
-join (select * from (select *, greatest(abs(2 * row_no - min(row_no) over p - max(row_no) over p), abs(2 * col_no - min(col_no) over p - max(col_no) over p)) as d from bands where band = 1 window p as (partition by case_id)) t
+join (select * from (select *, greatest(abs(row_no - (max(row_no) over p + 1) // 2), abs(col_no - (max(col_no) over p + 1) // 2)) as d from bands where band = 1 window p as (partition by case_id)) t
   qualify row_number() over (partition by case_id order by d, row_no, col_no, value) = 1) b on b.case_id = f.case_id
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
