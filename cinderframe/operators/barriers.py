@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.geometry import segment_distance2, segments_distance2, with_tiles
+from ..folders import once
+from ..functions.geometry import segment_distance2, segments_cross, segments_distance2, with_tiles
+
+PLACE = ("x1", "y1", "x2", "y2")
 
 
 def with_widths(segments: DataFrame, widths: DataFrame) -> DataFrame:
@@ -28,17 +31,35 @@ def clip(segments: DataFrame, extents: DataFrame, tile: float = 100.0) -> DataFr
     return left.join(right, ["tx", "ty"]).where(meet & first).drop("tx", "ty", "e_xmin", "e_xmax", "e_ymin", "e_ymax")
 
 
-def not_near(backup: DataFrame, primary: DataFrame, tolerance: float = config.BACKUP_TOLERANCE_M, tile: float = 50.0) -> DataFrame:
+def not_near(backup: DataFrame, primary: DataFrame, tolerance: float = config.BACKUP_TOLERANCE_M, tile: float = 16.0) -> DataFrame:
     """Backup segments farther than tolerance from every primary one; all of them if there is none."""
-    left = with_tiles(_bounded(backup), tile, tolerance).select("seg_id", "tx", "ty", "x1", "y1", "x2", "y2")
-    right = with_tiles(_bounded(primary), tile).select("tx", "ty", *[F.col(k).alias(f"p_{k}") for k in ("x1", "y1", "x2", "y2")])
-    a, b = [F.col(k) for k in ("x1", "y1", "x2", "y2")], [F.col(f"p_{k}") for k in ("x1", "y1", "x2", "y2")]
-    near = left.join(right, ["tx", "ty"]).where(segments_distance2(a, b) <= tolerance * tolerance).select("seg_id").distinct()
-    return backup.join(near, "seg_id", "left_anti")
+    # Lines in one place are tested once, and only if their bounds come within tolerance.
+    left = with_tiles(_bounded(backup.select(*PLACE).distinct()), tile, tolerance)
+    right = with_tiles(_bounded(primary.select(*PLACE).distinct()), tile)
+    right = right.select("tx", "ty", *[F.col(k).alias(f"p_{k}") for k in (*PLACE, "xmin", "xmax", "ymin", "ymax")])
+    a, b = [F.col(k) for k in PLACE], [F.col(f"p_{k}") for k in PLACE]
+    beside = [(F.col(f"p_{c}min") <= F.col(f"{c}max") + tolerance) & (F.col(f"p_{c}max") >= F.col(f"{c}min") - tolerance) for c in "xy"]
+    met = lambda lines: lines.join(right.hint("merge"), ["tx", "ty"]).where(beside[0] & beside[1])
+    # Most that come near cross, which is told for far less than a distance.
+    crossing = once(met(left).where(segments_cross(a, b)).select(*PLACE).distinct())
+    rest = once(left.join(crossing, list(PLACE), "left_anti"))
+    near = met(rest).where(segments_distance2(a, b) <= tolerance * tolerance).select(*PLACE).distinct()
+    return backup.join(crossing.unionByName(near), list(PLACE), "left_anti").select(backup.columns)
+
+
+def drawn_once(segments: DataFrame) -> DataFrame:
+    """Classed segments with widths; those of one class in one place once, as rasters do not tell them apart."""
+    return segments.select(*PLACE, "layer", "class", "width", "class_rank").distinct()
 
 
 def touched_cells(segments: DataFrame, cell: float, by_centre: bool = False) -> DataFrame:
-    """A row for each cell (u, v) that a segment of its width touches; by_centre: whose centre lies in it."""
+    """A row for each cell (u, v) that a segment of its width touches; by_centre: whose centre lies in it. Segments of one place and width are drawn once."""
+    shapes = _drawn(segments.select(*PLACE, "width").distinct(), cell, by_centre)
+    return segments.join(shapes.hint("merge"), [*PLACE, "width"])
+
+
+def _drawn(segments: DataFrame, cell: float, by_centre: bool) -> DataFrame:
+    """(x1, y1, x2, y2, width, u, v) of distinct segments."""
     reach = F.col("width") / 2
     # Row by row along the segment: in each row of cells only the columns beside the part of the segment that comes within reach of the row.
     rows = _bounded(segments).withColumn("v", F.explode(F.sequence(F.floor((F.col("ymin") - reach) / cell), F.floor((F.col("ymax") + reach) / cell))))
@@ -55,7 +76,7 @@ def touched_cells(segments: DataFrame, cell: float, by_centre: bool = False) ->
         corners = [x0, y0, x0 + cell, y0], [x0 + cell, y0, x0 + cell, y0 + cell], [x0 + cell, y0 + cell, x0, y0 + cell], [x0, y0 + cell, x0, y0]
         inside = s[0].between(x0, x0 + cell) & s[1].between(y0, y0 + cell)
         apart2 = F.when(inside, F.lit(0.0)).otherwise(F.least(*[segments_distance2(s, side) for side in corners]))
-    return near.where(apart2 <= reach * reach)
+    return near.where(apart2 <= reach * reach).select(*PLACE, "width", "u", "v")
 
 
 def barrier_raster(touched: DataFrame) -> DataFrame:

@@ -225,7 +225,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("a15_barrier_raster")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    touched = B.touched_cells(B.with_widths(frame(spark, sf, "barrier_segments"), config.class_widths(spark)), cell=10.0)
+    touched = B.touched_cells(B.drawn_once(B.with_widths(frame(spark, sf, "barrier_segments"), config.class_widths(spark))), cell=10.0)
     return B.barrier_raster(touched)
 
 
@@ -241,7 +241,7 @@ hit as (select u, v, layer, width, r from (select *, {DIST.format(x="(u + .5) *
 @query("a14_cells_by_class", "barrier_segments", TOUCHED.replace("hit as (select u, v, layer, width, r", "hit as (select u, v, layer, class, width, r") + "select layer, class, count(distinct (u, v)) as cells from hit group by layer, class")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Area of each class's buffered lines as cells, overlaps counted once."""
-    touched = B.touched_cells(B.with_widths(frame(spark, sf, "barrier_segments"), config.class_widths(spark)), cell=20.0, by_centre=True)
+    touched = B.touched_cells(B.drawn_once(B.with_widths(frame(spark, sf, "barrier_segments"), config.class_widths(spark))), cell=20.0, by_centre=True)
     return touched.select("layer", "class", "u", "v").distinct().groupBy("layer", "class").agg(F.count("*").alias("cells"))
 
 
@@ -250,7 +250,7 @@ select g.u, g.v, coalesce(max(b.width), 0.0) as width from (select u, v from gen
 left join (select u, v, layer, max_by(width, r) as width from hit group by all) b on b.u = g.u and b.v = g.v group by g.u, g.v
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    touched = B.touched_cells(B.with_widths(frame(spark, sf, "barrier_segments"), config.class_widths(spark)), cell=20.0, by_centre=True)
+    touched = B.touched_cells(B.drawn_once(B.with_widths(frame(spark, sf, "barrier_segments"), config.class_widths(spark))), cell=20.0, by_centre=True)
     grid = spark.range(22).select(F.col("id").alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(21).cast("long"))).alias("v"))
     return B.on_grid(B.barrier_raster(touched), grid)
 
