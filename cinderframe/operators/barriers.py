@@ -43,7 +43,11 @@ def not_near(backup: DataFrame, primary: DataFrame, tolerance: float = config.BA
     # Most that come near cross, which is told for far less than a distance.
     crossing = once(met(left).where(segments_cross(a, b)).select(*PLACE).distinct())
     rest = once(left.join(crossing, list(PLACE), "left_anti"))
-    near = met(rest).where(segments_distance2(a, b) <= tolerance * tolerance).select(*PLACE).distinct()
+    # What does not cross is as near as the nearest end of one to the other; a row for each end keeps the expression small enough to be compiled.
+    ends = [F.struct(*[c.cast("double").alias(k) for k, c in zip(("px", "py", "sx1", "sy1", "sx2", "sy2"), (*p, *s), strict=True)]) for p, s in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))]
+    rows = met(rest).select(*PLACE, F.inline(F.array(*ends)))
+    apart2 = segment_distance2(*[F.col(k) for k in ("px", "py", "sx1", "sy1", "sx2", "sy2")])
+    near = rows.where(apart2 <= tolerance * tolerance).select(*PLACE).distinct()
     return backup.join(crossing.unionByName(near), list(PLACE), "left_anti").select(backup.columns)
 
 
