@@ -27,8 +27,6 @@ FILTERS = 16
 #: together TRAIN_ALL documents at most, dealt to them alike, so that the driver holds 80 MB of windows.
 TRAIN_DOCS, TRAIN_WINDOWS, TRAIN_ALL = 500, 6, 50_000
 EPOCHS, BATCH, RATE = 10, 128, 0.01
-#: Labelled documents, held out from training, on which drop_unknown chooses the score below which a verdict is more often wrong than right.
-CALIBRATION = 20_000
 UNKNOWN = "und"
 #: Bytes whose windows are held at once, a multiple of WINDOW: memory does not grow with a text.
 PIECE = 1 << 21
@@ -201,15 +199,13 @@ def identify(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", tex
     return _judged(docs.select(F.col(id_col), F.col(text_col).alias("text")), model, "text", make, schema)
 
 
-def least_score(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = CALIBRATION) -> float:
+def least_score(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
     """The largest score, in hundredths, below which verdicts on held-out documents are wrong more often than right; 0 if there is none.
 
-    About `rows` labelled documents whose fold of three is 1, a bounded sample drawn by a hash of their id.
+    From every labelled document whose fold of three is 1.
     """
     known = docs.where(F.col(lang_col).isNotNull() & (F.col(lang_col) != UNKNOWN) & (F.length(text_col) > 0) & (fold(id_col, 3) == 1)).select(id_col, text_col, lang_col)
-    share = rows / max(1, known.count())
-    drawn = known.where(F.pmod(F.xxhash64(id_col, F.lit(13)), F.lit(1 << 20)) / float(1 << 20) < share).withColumn("__lang", F.col(lang_col))
-    told = _judged(drawn.select(id_col, text_col, "__lang"), model, text_col, lambda batch, best, score, names: ([batch.column(2), pa.array(names[best], pa.string()), pa.array(score)], None), "lang string, pred string, score double")
+    told = _judged(known.select(id_col, text_col, F.col(lang_col).alias("__lang")), model, text_col, lambda batch, best, score, names: ([batch.column(2), pa.array(names[best], pa.string()), pa.array(score)], None), "lang string, pred string, score double")
     levels = told.where(F.col("pred") != UNKNOWN).groupBy(F.floor(F.col("score") * 100).alias("level")).agg(F.count("*").alias("n"), F.sum((F.col("lang") == F.col("pred")).cast("int")).alias("right")).orderBy("level").collect()  # 101 rows at most
     least, n, right = 0.0, 0, 0
     for r in levels:
