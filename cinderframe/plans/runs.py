@@ -77,7 +77,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh(spark, "logs")
     lines = log(spark, sf).withColumn("case_id", case_id(F.col("case_id")))
     lines.repartition("case_id").sortWithinPartitions("case_id", "line_no").select("case_id", "text").write.partitionBy("case_id").text(path)
-    return S.read_log(spark, f"{path}/*/*.txt").withColumn("case_id", F.regexp_replace("case_id", "^case_id=", ""))
+    return S.read_log(spark, path).withColumn("case_id", F.regexp_replace("case_id", "^case_id=", ""))
 
 
 @query("t5_first_lines", "run_log", "select case_id, line_no from run_log qualify row_number() over (partition by case_id order by line_no) <= 24")

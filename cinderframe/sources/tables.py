@@ -83,12 +83,14 @@ def write_by_case(df: DataFrame, path: str, key: str = "case_id") -> None:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """(case_id, line_no, text) of text files in folders named by case, read by lines; a large file is split among tasks.
+    """(case_id, line_no, text) of text files in folders named by case (all *.txt under a folder, or those of a pattern), read by lines; a large file is split among tasks.
 
     Lines are numbered by the place of their split in the file and their place in the split; a file that ends in a line break has no last empty line.
     """
     name = F.col("_metadata.file_path")
-    rows = spark.read.text(path).select(name.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), F.regexp_replace("value", "\r$", "").alias("text"))
+    # A folder of very many cases is listed by tasks, which a pattern is not.
+    files = spark.read.text(path) if "*" in path else spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+    rows = files.select(name.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), F.regexp_replace("value", "\r$", "").alias("text"))
     order = Window.partitionBy("file").orderBy("block", "nth")
     return once(rows).select(F.regexp_extract("file", r"/([^/]+)/[^/]+$", 1).alias("case_id"), F.row_number().over(order).cast("long").alias("line_no"), "text")
 
