@@ -104,16 +104,16 @@ def polygon_spans(polygons: DataFrame, cell: float, key: str) -> DataFrame:
     lowest, highest = (lambda e: F.ceil(F.least(e.y1, e.y2) / cell - 0.5)), (lambda e: F.ceil(F.greatest(e.y1, e.y2) / cell - 0.5) - 1)
     at = lambda e, v: e.x1 + ((v + 0.5) * cell - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
     small = F.size(F.flatten("rings")) <= SMALL_RINGS
-    edges = polygons.where(small).select(key, edges_of(F.col("rings")).alias("edges"))
-    ends = edges.withColumn("low", F.array_min(F.transform("edges", lowest))).withColumn("high", F.array_max(F.transform("edges", highest)))
-    rows = ends.where("low <= high").select(key, "edges", F.explode(F.sequence("low", "high")).alias("v"))
-    crossed = F.filter("edges", lambda e: (lowest(e) <= F.col("v")) & (highest(e) >= F.col("v")))
-    light = rows.select(key, "v", F.array_sort(F.transform(crossed, lambda e: at(e, F.col("v")))).alias("xs"))
+    slanted = F.filter(edges_of(F.col("rings")), lambda e: lowest(e) <= highest(e))
+    crossings = F.flatten(F.transform(slanted, lambda e: F.transform(F.sequence(lowest(e), highest(e)), lambda v: F.struct(v.alias("v"), at(e, v).alias("x")))))
+    # In order of rows and places, every two crossings are the ends of a run.
+    sorted_ = polygons.where(small).select(key, F.array_sort(crossings).alias("c")).where("size(c) > 0")
+    light = sorted_.select(key, F.inline(F.expr("transform(sequence(0, size(c) - 2, 2), i -> struct(c[i].v as v, c[i].x as a, c[i + 1].x as b))")))
     each = polygons.where(~small).groupBy(key, F.xxhash64("rings").alias("part")).agg(F.first("rings").alias("rings"))
     long = each.select(key, "part", F.explode(edges_of(F.col("rings"))).alias("e")).where(lowest(F.col("e")) <= highest(F.col("e"))).withColumn("v", F.explode(F.sequence(lowest(F.col("e")), highest(F.col("e")))))
     heavy = long.groupBy(key, "part", "v").agg(F.array_sort(F.collect_list(at(F.col("e"), F.col("v")))).alias("xs")).drop("part")
-    lines = light.unionByName(heavy)
-    spans = lines.select(key, "v", F.posexplode("xs").alias("i", "a"), "xs").where("i % 2 = 0").withColumn("b", F.element_at("xs", F.col("i") + 2))
+    heavy = heavy.select(key, "v", F.posexplode("xs").alias("i", "a"), "xs").where("i % 2 = 0").select(key, "v", "a", F.element_at("xs", F.col("i") + 2).alias("b"))
+    spans = light.unionByName(heavy)
     first, last = F.floor(F.col("a") / cell - 0.5) + 1, F.ceil(F.col("b") / cell - 0.5) - 1
     return spans.select(key, "v", first.alias("first"), last.alias("last")).where("first <= last")
 

@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..folders import once
-from ..functions.geometry import edges_of, near_points, segment_distance2, strictly_within
+from ..functions.geometry import edges_of, near_points, segment_distance2, strictly_within, with_bounds
+
+
+#: Up to so many edges of a key are paired without tiles, and up to a quarter as many polygons.
+FEW = 64
 
 
 def _turned(rings: Column) -> Column:
@@ -25,15 +29,15 @@ def _turned(rings: Column) -> Column:
 
 
 def _with_tiles(edges: DataFrame, key: str) -> DataFrame:
-    """Edges on tiles as wide as a key's edges are long in the mean, by pieces no longer than that: in the mean at most eight rows an edge, however unequal they are."""
+    """Edges on tiles as wide as a key's edges are long in the mean, by pieces no longer than that: in the mean at most eight rows an edge, however unequal they are. FEW edges or less of a key lie on one tile."""
     length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
-    mean = edges.groupBy(key).agg(F.avg(length).alias("tile"))
-    n = F.greatest(F.ceil(length / F.col("tile")), F.lit(1)).cast("int")
+    mean = edges.groupBy(key).agg(F.avg(length).alias("tile"), (F.count("*") <= FEW).alias("few"))
+    n = F.when(F.col("few"), 1).otherwise(F.greatest(F.ceil(length / F.col("tile")), F.lit(1)).cast("int"))
     pieces = edges.join(mean, key).withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
     at = lambda a, b, k: F.col(a) + (F.col(b) - F.col(a)) * k / F.col("n")
     # Grown a little, as an edge that only touches another one counts.
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.least(at(a, b, F.col("i") - 1), at(a, b, F.col("i"))) / F.col("tile") - 1e-6), F.floor(F.greatest(at(a, b, F.col("i") - 1), at(a, b, F.col("i"))) / F.col("tile") + 1e-6)))
-    return pieces.withColumn("tx", span("x1", "x2")).withColumn("ty", span("y1", "y2")).drop("tile", "n", "i").distinct()
+    span = lambda a, b: F.explode(F.when(F.col("few"), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.floor(F.least(at(a, b, F.col("i") - 1), at(a, b, F.col("i"))) / F.col("tile") - 1e-6), F.floor(F.greatest(at(a, b, F.col("i") - 1), at(a, b, F.col("i"))) / F.col("tile") + 1e-6))))
+    return pieces.withColumn("tx", span("x1", "x2")).withColumn("ty", span("y1", "y2")).drop("tile", "few", "n", "i").distinct()
 
 
 def _cuts(edges: DataFrame, key: str, digits: int) -> DataFrame:
@@ -79,7 +83,11 @@ def union_boundary(polygons: DataFrame, tile: float, key: str = "case_id", digit
     lines = pieces.groupBy(key, F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi")).agg(F.bool_or(ahead).alias("ahead"), F.bool_or(~ahead).alias("back"), F.collect_set("part").alias("parts"))
     lines = once(lines.where("not (ahead and back)"))
     x, y = (F.col("lo.x") + F.col("hi.x")) / 2, (F.col("lo.y") + F.col("hi.y")) / 2
-    near = near_points(lines.select(key, "lo", "hi", "parts", x.alias("x"), y.alias("y")), each, tile, "part", (key,))
+    middles = lines.select(key, "lo", "hi", "parts", x.alias("x"), y.alias("y"))
+    counted = each.withColumn("few", F.count("*").over(Window.partitionBy(key)) <= FEW // 4)
+    box = with_bounds(counted.where("few").drop("few"))
+    by_key = middles.join(box.hint("merge"), key).where("x between xmin and xmax and y between ymin and ymax").drop("xmin", "ymin", "xmax", "ymax")
+    near = by_key.unionByName(near_points(middles, counted.where("not few").drop("few"), tile, "part", (key,)))
     hidden = near.where(~F.array_contains("parts", F.col("part"))).where(strictly_within(F.col("x"), F.col("y"), edges_of(F.col("rings"))))
     left = lines.join(hidden.select(key, "lo", "hi").distinct(), [key, "lo", "hi"], "left_anti")
     p, q = F.when(F.col("ahead"), F.col("lo")).otherwise(F.col("hi")), F.when(F.col("ahead"), F.col("hi")).otherwise(F.col("lo"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.geometry import edges_of, polygon_cells, with_bounds
+from ..functions.geometry import edges_of, polygon_cells, polygon_spans, with_bounds
 from ..functions.projections import utm_inverse
 from .reports import safe_divide
 
@@ -204,4 +204,8 @@ def polygon_scores(observed: DataFrame, simulated: DataFrame, cell: float, key:
 def dissolved(polygons: DataFrame, cell: float, key: str = "case_id") -> DataFrame:
     """(key, rings, xmin, ymin, xmax, ymax, area): all rings of a key together, their bounds, and the area of their union as cells, overlaps counted once."""
     bounds = with_bounds(polygons).groupBy(key).agg(F.flatten(F.collect_list("rings")).alias("rings"), *[f(c).alias(c) for c, f in (("xmin", F.min), ("ymin", F.min), ("xmax", F.max), ("ymax", F.max))])
-    return bounds.join(polygon_cells(polygons, cell, key).groupBy(key).agg((F.count("*") * cell * cell).alias("area")), key, "left")
+    # Of each run the cells beyond those of the runs before it, so runs are sorted and not taken apart.
+    before = Window.partitionBy(key, "v").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    new = F.greatest(F.lit(0), F.col("last") - F.greatest(F.col("first"), F.coalesce(F.max("last").over(before) + 1, F.col("first"))) + 1)
+    cells = polygon_spans(polygons, cell, key).select(key, new.alias("cells")).groupBy(key).agg((F.sum("cells") * cell * cell).alias("area"))
+    return bounds.join(cells, key, "left")
