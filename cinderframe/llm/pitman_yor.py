@@ -2,8 +2,8 @@
 
 Texts become slices of word numbers, kept once. Each slice's pairs of neighbouring words go to buckets by the second word's hash (pairs of the most frequent second words by
 both, so that no bucket holds a hot word's pairs alone). A bucket seats the customers of its pairs, and, for the words that it owns, those of the parent, whose customers are the
-pairs' tables. A pair seen once has one table whatever is drawn, so only the others are seated: in each round MOVES customers of each pair, drawn at random, leave
-their table and sit down again by the restaurant's rule (Gibbs). Between rounds buckets exchange what they need of each other's words: tables by
+pairs' tables. A pair seen once has one table whatever is drawn, so only the others are seated: in each round every customer of each pair leaves its
+table and sits down again by the restaurant's rule (a Gibbs sweep), and so does every customer of the parent. Between rounds buckets exchange what they need of each other's words: tables by
 context, and the parent's probabilities. The predictive probabilities of the rounds after BURN_IN are averaged; every slice gets those of its pairs and adds them up.
 """
 
@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import math
+import random
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,8 +28,10 @@ from .tables import fold, read, release, stored
 #: Discount and strength of the restaurants of contexts and of their parent.
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
-#: Rounds, those of them that are not averaged, and customers of each pair that move in a round.
-ROUNDS, BURN_IN, MOVES = 3, 1, 6
+#: Rounds, those of them that are not averaged, and sweeps of all customers in a round.
+ROUNDS, BURN_IN, SWEEPS = 3, 1, 1
+#: Dishes whose tables a task holds as lists at once.
+DISHES = 65_536
 #: Words that stand for a text's end and beginning.
 END, BEGIN = np.uint64(0x5E4D), np.uint64(0xBE61)
 #: Bytes of text in a slice and in what is hashed at once, tokens for each bucket, and the share of tokens from which a word's pairs are dealt by both words: at most 1024 words.
@@ -205,78 +209,91 @@ def _opened(buckets: int) -> Callable:
         word_asked = np.full(len(words), -1)
         word_asked[~own] = find[np.searchsorted(asked[find], words[~own])]
         small = {k: v.astype(np.int32) for k, v in {"u": first_asked, "w": second[at[several]], "t": np.ones(len(several)), "tables": np.zeros(len(several)), "word_asked": word_asked}.items()}
-        state = pack(words=words, own=own, count=count, single=single, c=c[several], sizes=c[several], asked=asked, **small)
+        state = pack(words=words, own=own, count=count, single=single, sizes=c[several], asked=asked, **small)
         out += _dealt(contexts[by], buckets, "sum", bucket, x=tables[by]) + _dealt(words[away], buckets, "away", bucket, y=count[away], z=single[away]) + _dealt(asked, buckets, "ask", bucket)
         return _rows([*out, _message(bucket, "state", bucket, data=state)])
 
     return begin
 
 
-def reseat(sizes: np.ndarray, t: np.ndarray, new: np.ndarray, discount: float, moves: int, draw: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Tables of several dishes after `moves` Gibbs steps of each: a customer drawn at random leaves and sits down again, at a table of n others with weight n - discount, or at a new one with weight `new`.
+def _swept(n: list[int], customers: int, new: float, discount: float, sweeps: int, rand: Callable[[], float]) -> list[int]:
+    """Tables n of one dish after it has come to have so many customers and every one of them has left and sat down again in each sweep.
 
-    sizes: the tables of all dishes, one dish after the other; t: tables of each dish, at least one.
+    A customer sits down at the table of another one, drawn until one is accepted, or at a new one. A table of n others so has weight n - discount.
     """
-    dishes = len(t)
-    if not dishes:
-        return sizes, t
-    slots = t + moves
-    start = np.cumsum(slots) - slots
-    held = np.zeros(int(slots.sum()))
-    held[np.repeat(start - (np.cumsum(t) - t), t) + np.arange(len(sizes))] = sizes
-    c, used, t = np.bincount(np.repeat(np.arange(dishes), slots), weights=held), t.copy(), t.astype(float)
-    last = start + slots - 1
-    for _ in range(moves):
-        total = np.cumsum(held)
-        before = np.r_[0.0, total[last[:-1]]]
-        k = np.searchsorted(total, before + np.floor(draw.random(dishes) * c), "right")
-        held[k] -= 1
-        t -= held[k] == 0
-        weight = np.where(held > 0, held - discount, 0.0)
-        total = np.cumsum(weight)
-        before = np.r_[0.0, total[last[:-1]]]
-        old = total[last] - before
-        fresh = draw.random(dishes) * (old + new) >= old
-        at = np.searchsorted(total, before + draw.random(dishes) * old * (1 - 1e-12), "right")
-        # A sum over all dishes is rounded: a draw never leaves its own dish.
-        at = np.clip(at, start, last)
-        fresh |= held[at] <= 0
-        at = np.where(fresh, start + used, at)
-        held[at] += 1
-        used += fresh
-        t += fresh
-    kept = held > 0
-    return held[kept].astype(np.int64), t.astype(np.int32)
+    at = [k for k, size in enumerate(n) for _ in range(size)]
+    free: list[int] = []
+    while len(at) > customers:  # any of them leaves, as they are exchangeable
+        j = int(rand() * len(at))
+        k, at[j] = at[j], at[-1]
+        at.pop()
+        n[k] -= 1
+        if not n[k]:
+            free.append(k)
+    some = len(at)
+    at += [-1] * (customers - some)
+    for first, others in [(some, None)] + [(0, customers - 1)] * sweeps:  # who is new meets those before them, then everyone meets all others
+        for j in range(first, customers):
+            m = j if others is None else others
+            k = at[j]
+            if k >= 0:
+                n[k] -= 1
+                if not n[k]:
+                    free.append(k)
+            span = m + new
+            while True:
+                r = rand() * span
+                if r >= m:
+                    if free:
+                        k = free.pop()
+                    else:
+                        k = len(n)
+                        n.append(0)
+                    break
+                i = int(r)
+                k = at[i if i < j else i + 1]
+                if (r - i) * n[k] >= discount:
+                    break
+            n[k] += 1
+            at[j] = k
+    return [size for size in n if size] if free else n
+
+
+def reseat(sizes: np.ndarray, t: np.ndarray, new: np.ndarray, discount: float, sweeps: int, draw: np.random.Generator, customers: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of several dishes after Gibbs sweeps, in each of which every customer of every dish leaves and sits down again, at a table of n others with weight n - discount, or at a new one with weight `new`.
+
+    sizes: the tables of all dishes, one dish after the other; t: tables of each dish; customers: those that each dish is to have, if they have changed. Before the sweeps who is too many leaves, and who is new sits down by the same rule.
+    """
+    rand = random.Random(int(draw.integers(2**62))).random
+    ends = np.cumsum(t)
+    if customers is None:
+        total = np.r_[0, np.cumsum(sizes)]
+        customers = total[ends] - total[ends - t]
+    kept, tables = [], []
+    for a in range(0, len(t), DISHES):  # so many as lists at once
+        block = slice(a, a + DISHES)
+        held = sizes[ends[a] - t[a] : ends[block][-1]].tolist()
+        out, of, first = array("i"), array("i"), 0
+        for count, want, weight in zip(t[block].tolist(), customers[block].tolist(), new[block].tolist(), strict=True):
+            n = held[first : first + count]
+            first += count
+            if want > 2:
+                n = _swept(n, want, weight, discount, sweeps, rand)
+            elif want == 2:  # the last to move finds the other one alone, wherever both were
+                n = [2] if rand() * (1 - discount + weight) < 1 - discount else [1, 1]
+            else:  # one customer has one table whatever is drawn
+                n = [1] * want
+            out.extend(n)
+            of.append(len(n))
+        kept.append(np.array(out, np.int32))
+        tables.append(np.array(of, np.int32))
+    return (np.concatenate(kept), np.concatenate(tables)) if kept else (sizes, t)
 
 
 def _root_tables(s: dict[str, np.ndarray], customers: np.ndarray, weight: float, draw: np.random.Generator) -> np.ndarray:
-    """Tables of each word at the parent, after its number of customers has changed and MOVES of them have moved; who comes or goes does so at the word's first table."""
-    some = customers > 0
-    if "root_sizes" not in s:
-        s["root_sizes"], s["root_t"] = customers[some].astype(np.int64), some.astype(np.int64)
-    else:
-        t, sizes = s["root_t"], s["root_sizes"].copy()
-        has = t > 0
-        first = np.cumsum(t) - t
-        had = np.zeros(len(t))
-        had[has] = np.add.reduceat(sizes, first[has])
-        more = (customers - had).astype(np.int64)
-        low = has & (more < 0)
-        low[has] &= sizes[first[has]] + more[has] < 1
-        again = low | (has != some)
-        keep = has & ~again
-        sizes[first[keep]] += more[keep]
-        # Words that begin, end or would empty their first table start with one.
-        parts = np.where(keep, t, some)
-        new_first = np.cumsum(parts) - parts
-        new = np.zeros(int(parts.sum()), np.int64)
-        new[np.repeat((new_first - first)[keep], t[keep]) + np.flatnonzero(np.repeat(keep, t))] = sizes[np.repeat(keep, t)]
-        fresh = some & ~keep
-        new[new_first[fresh]] = customers[fresh]
-        s["root_sizes"], s["root_t"] = new, parts
-    s["root_sizes"], moved = reseat(s["root_sizes"], s["root_t"][some], np.full(int(some.sum()), weight), ROOT_DISCOUNT, MOVES, draw)
-    s["root_t"] = s["root_t"].astype(np.int32)
-    s["root_t"][some] = moved
+    """Tables of each word at the parent, after its number of customers has changed and all of them have been seated again."""
+    sizes, t = s.get("root_sizes", np.zeros(0, np.int32)), s.get("root_t", np.zeros(len(customers), np.int32))
+    s["root_sizes"], s["root_t"] = reseat(sizes, t, np.full(len(t), weight), ROOT_DISCOUNT, SWEEPS, draw, customers.astype(np.int64))
     return s["root_t"]
 
 
@@ -325,7 +342,7 @@ def _round(buckets: int, number: int, totals: dict[str, float]) -> Callable:
             replies = rows["reply"].take(np.argsort(rows["reply"].column("src").to_numpy()))
             opened_of, p_of = (_flat(replies.column(k), float)[0] for k in "xy")
             of = np.where(own, p, p_of[s["word_asked"]] if len(p_of) else 0.0)
-            s["sizes"], s["t"] = reseat(s["sizes"], s["t"], (STRENGTH + DISCOUNT * opened_of[s["u"]]) * of[s["w"]], DISCOUNT, MOVES, draw)
+            s["sizes"], s["t"] = reseat(s["sizes"], s["t"], (STRENGTH + DISCOUNT * opened_of[s["u"]]) * of[s["w"]], DISCOUNT, SWEEPS, draw)
         if number < 1 + ROUNDS:
             here = np.flatnonzero(~own)
             here = here[np.argsort(_owner(words[here], buckets), kind="stable")]
@@ -352,7 +369,8 @@ def _answers(kept: dict[int, tuple[float, float]], v: float) -> Callable:
         kinds = table.column("kind").to_pylist()
         s = unpack(table.column("data")[kinds.index("state")].as_py())
         bucket = table.column("bucket")[0].as_py()
-        value = np.r_[0.0, 1 - DISCOUNT, s["c"] - DISCOUNT * s["tables"] / len(kept)].astype(np.float32)
+        total, ends = np.r_[0, np.cumsum(s["sizes"])], np.cumsum(s["t"])
+        value = np.r_[0.0, 1 - DISCOUNT, total[ends] - total[ends - s["t"]] - DISCOUNT * s["tables"] / len(kept)].astype(np.float32)
         opened = np.stack([s[f"opened{n}"] for n in kept], axis=1).astype(np.float32)
         p = np.stack([(s[f"seated{n}"] + (ROOT_STRENGTH + ROOT_DISCOUNT * t) / (v + 1)) / (ROOT_STRENGTH + c) for n, (c, t) in kept.items()], axis=1).astype(np.float32)
         out = []

@@ -61,6 +61,21 @@ def test_moves_leave_the_posterior_as_it_is():
     assert np.abs(np.bincount(t, minlength=4)[1:] / n - want / want.sum()).max() < 0.01
 
 
+def test_a_sweep_moves_every_customer():
+    """Where new tables are all but certain, one sweep leaves nobody at the old table; and customers who come or go do it by the rule too."""
+    draw = np.random.default_rng(2)
+    sizes, t = reseat(np.array([3000, 1, 40]), np.ones(3, np.int64), np.full(3, 1e12), 0.5, 1, draw)
+    assert t.tolist() == [3000, 1, 40] and (sizes == 1).all()
+    d, new, n = 0.5, 0.8, 60_000
+    want = np.array([(1 - d) * (2 - d), new * 3 * (1 - d), new * new])
+    for before in (0, 1, 2, 9):  # customers of each dish, who all become three
+        t = np.full(n, min(before, 1))
+        sizes, t = reseat(np.full(n * min(before, 1), before), t, np.full(n, new), d, 20, draw, np.full(n, 3))
+        assert sizes.sum() == 3 * n and np.abs(np.bincount(t, minlength=4)[1:] / n - want / want.sum()).max() < 0.01
+    sizes, t = reseat(np.array([5, 2, 4]), np.array([1, 2, 0]), np.ones(3), d, 1, draw, np.array([0, 1, 0]))
+    assert sizes.tolist() == [1] and t.tolist() == [0, 1, 0]
+
+
 def test_texts_like_the_training_ones_are_likelier(spark, sf):
     got = op12_pitman_yor(spark, sf).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.count("*").alias("n")).first()
     assert got.n > 10 and got.s > got.b
