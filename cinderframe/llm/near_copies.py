@@ -5,7 +5,8 @@ The SimHash tries come first, over fingerprints of the sets: they link whatever
 among the first n - ceil(SIMILARITY n) + 1 of each in any common order, so these prefixes are joined. The order has rare shingles first, by the
 counts of a sample, so that common lines meet in no prefix; which sample it is changes the work and never the result. Members of a
 shingle lie in order of size and are paired at growing distances. Pairs that are linked already are left out, as are those whose sketches, parity bits that bound the
-difference of the sets from below, tell them apart; so a large group of near copies is not paired with itself. What is left is checked by its sets.
+difference of the sets from below, tell them apart; so a large group of near copies is not paired with itself. From the second round on a pair is left out, too, where both have one of the last few
+shingles before this one in common, as they meet there: near copies share many shingles, and only the least of them need bring them together. What is left is checked by its sets.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +30,12 @@ from .tables import durable, release, spare, stored
 WORDS, SIMILARITY = 5, 0.8
 #: Documents of the sample that orders the shingles, and the most shingles that are held as common.
 SAMPLE, COMMON = 20_000, 2**18
-#: Bits of a set's parity: bit k is the number of shingles that fall on k, modulo 2. The sketch is the same for so many bits, and goes along with every member of a shingle.
-PARITY, SKETCH = 1024, 256
+#: Least bits of a set's parity, a power of two that is no less than the set: bit k is the number of shingles that fall on k, modulo 2. The sketch is the same for so many bits, and goes along with every member of a shingle.
+PARITY, SKETCH = 1024, 512
 #: Distances of the first round, and how much farther each next one reaches.
-REACH, WIDER = 2, 256
+REACH, WIDER = 2, 16
+#: So many shingles before one, by value, tell whether two members have met there already.
+PRIOR = 4
 
 LOWER_BYTES = np.frombuffer(LOWER, np.uint8)
 
@@ -79,6 +82,17 @@ def _common(docs: DataFrame, text_col: str, words: int, sample: int) -> tuple[np
     return h[order], n[order]
 
 
+def _parity(h: np.ndarray) -> bytes:
+    """The parity of one set, of the least power of two bits that is no less than its size."""
+    bits = 1 << (len(h) - 1).bit_length()
+    return np.packbits((np.bincount((h % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(packed: np.ndarray, width: int) -> np.ndarray:
+    """Parities, a row each, as those of fewer bits: `width` bytes, of which the rows have a multiple."""
+    return np.bitwise_xor.reduce(packed.reshape(len(packed), -1, width), axis=1)
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str, words: int, share: tuple[int, int], sample: int) -> DataFrame:
     """(id, node, n, fp, parity, sketch, prefix) of each row: the key of its set, the set's size, fingerprint, parity and sketch, and its rarest shingles."""
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("fp", T.LongType()), T.StructField("parity", T.BinaryType()), T.StructField("sketch", T.BinaryType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
@@ -105,7 +119,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, words: int, share: tuple[
                 bits = np.bincount((row[part] - a) * PARITY + (h[part] % np.uint64(PARITY)).astype(np.int64), minlength=(b - a) * PARITY)
                 packed = np.packbits((bits & 1).astype(np.uint8).reshape(-1, PARITY), axis=1)
                 parity += [x.tobytes() for x in packed]
-                sketch += [x.tobytes() for x in np.bitwise_xor.reduce(packed.reshape(len(packed), -1, SKETCH // 8), axis=1)]
+                sketch += [x.tobytes() for x in _folded(packed, SKETCH // 8)]
+            for k in np.flatnonzero(size > PARITY).tolist():  # parities of large sets would fill up
+                parity[k] = _parity(h[edges[k] : edges[k + 1]])
             columns = [pa.array(set_keys(h, edges)), pa.array(size.astype(np.int32)), pa.array(majority(h, edges).view(np.int64)), pa.array(parity, pa.binary()), pa.array(sketch, pa.binary())]
             yield pa.RecordBatch.from_arrays([rows.column(0), *columns, prefix], schema.names)
 
@@ -132,11 +148,22 @@ def _apart(x: np.ndarray, y: np.ndarray, size: np.ndarray, share: tuple[int, int
     return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) * (den + num) > size * (den - num)
 
 
+def _met(prior: np.ndarray, shingle: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Where members i and j have an earlier shingle in common; `prior` holds a member's last ones before this, or this one for want of them."""
+    out = np.zeros(len(i), bool)
+    for x in prior:
+        mine = x[i]
+        for y in prior:
+            out |= (mine == y[j]) & (mine != shingle[i])
+    return out
+
+
 def _pairs(batches: Iterator[pa.RecordBatch], share: tuple[int, int], least: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of members of a shingle that lie least to most - 1 rows apart, fit in size and sketch and are not linked yet."""
+    """Pairs of members of a shingle that lie least to most - 1 rows apart, fit in size and sketch, are not linked yet and have not met at an earlier shingle (columns p0, p1, ..., if any)."""
     num, den = share
     for rows in whole_groups(batches, ["shingle"]):
         shingle, n, node, root = (rows.column(k).to_numpy() for k in ("shingle", "n", "node", "root"))
+        prior = [rows.column(k).to_numpy() for k in rows.schema.names if k[0] == "p"]
         sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
         n = n.astype(np.int64)
         left = np.arange(len(n))
@@ -147,6 +174,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], share: tuple[int, int], least: int
                 break
             i = left[root[left + d] != root[left]]
             i = i[~_apart(sketch[i], sketch[i + d], n[i] + n[i + d], share)]
+            i = i[~_met(prior, shingle, i, i + d)]
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[i + d])), pa.array(np.maximum(node[i], node[i + d]))], ["a", "b"])
 
@@ -154,9 +182,17 @@ def _pairs(batches: Iterator[pa.RecordBatch], share: tuple[int, int], least: int
 def _close(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Pairs whose parities do not rule out the similarity."""
     for rows in batches:
-        x, y = (np.frombuffer(b"".join(rows.column(k).to_pylist()), np.uint64).reshape(rows.num_rows, -1) for k in ("x", "y"))
         size = rows.column("na").to_numpy().astype(np.int64) + rows.column("nb").to_numpy()
-        yield rows.select(["a", "b"]).filter(pa.array(~_apart(x, y, size, share)))
+        x, y = (rows.column(k).to_pylist() for k in "xy")
+        width = np.array([min(len(p), len(q)) for p, q in zip(x, y, strict=True)], np.int64)
+        near = np.zeros(len(size), bool)
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            for k in range(0, len(at), max(1, 2**22 // w)):
+                some = at[k : k + max(1, 2**22 // w)]
+                left, right = (np.frombuffer(b"".join(_folded(np.frombuffer(v[r], np.uint8)[None], w).tobytes() if len(v[r]) > w else v[r] for r in some.tolist()), np.uint64).reshape(len(some), -1) for v in (x, y))
+                near[some] = ~_apart(left, right, size[some], share)
+        yield rows.select(["a", "b"]).filter(pa.array(near))
 
 
 def _similar(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +254,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     release(spark, at_full)
     largest = members.agg(F.max("members")).first()[0] or 0
     paths, links, roots = [at_rows, at_nodes, at_members], None, None
-    told = nodes.select("node", "n", "parity")
+    told, prior = nodes.select("node", "n", "parity"), [f"p{k}" for k in range(PRIOR)]
 
     def verified(pairs: DataFrame) -> None:
         """Adds the pairs that are similar to the links, and renews the roots."""
@@ -244,9 +280,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     verified(_by_tries(nodes))
     least, most = 1, REACH
     while least < largest:
-        some = members.where(F.col("members") > least).join(nodes.select("node", "sketch"), "node")
+        some, told_by = members.where(F.col("members") > least), []
+        if least > 1:  # in the first round, of neighbours alone, every shingle links what it can
+            before, told_by = Window.partitionBy("node").orderBy("shingle"), prior
+            some = some.select(*key, *(F.coalesce(F.lag("shingle", k + 1).over(before), "shingle").alias(p) for k, p in enumerate(prior)))
+        some = some.join(nodes.select("node", "sketch"), "node")
         some = some.withColumn("root", F.col("node")) if roots is None else some.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        some = some.select(*key, "root", "sketch").repartition("shingle").sortWithinPartitions(*key)
+        some = some.select(*key, "root", "sketch", *told_by).repartition("shingle").sortWithinPartitions(*key)
         verified(some.mapInArrow(lambda b, least=least, most=most: _pairs(b, share, least, most), "a long, b long").distinct())
         least, most = most, most * WIDER
     named = rows.select("id", "node")

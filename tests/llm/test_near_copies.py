@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as P
@@ -67,3 +69,28 @@ def test_ids_that_repeat_and_null_ids(spark):
     df = spark.createDataFrame([(5, " ".join(text)), (5, other), (3, near), (None, other + " z"), (None, "alone")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.text) for r in N.drop_near_copies(df).collect()) == sorted([(5, other), (3, near), (0, "alone")])
     assert N.drop_near_copies(df.limit(0)).count() == 0
+
+
+def test_pairs_of_near_copies_are_made_once(spark, documents):
+    """Members who share many shingles come together at the least of them, not at each; and all pairs that a plain join finds are still made."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**40, 60)
+    sets = [np.unique(np.where(rng.random(60) < 0.1, rng.integers(1, 2**40, 60), base)) for _ in range(30)]
+    rows = sorted((int(h), 100, k, [*reversed([int(v) for v in x[:i]])][: N.PRIOR]) for k, x in enumerate(sets) for i, h in enumerate(x))
+    table = {"shingle": [r[0] for r in rows], "n": pa.array([r[1] for r in rows], pa.int32()), "node": [r[2] for r in rows], "root": [r[2] for r in rows], "sketch": [bytes(8)] * len(rows)}
+    met = {f"p{k}": [r[3][k] if k < len(r[3]) else r[0] for r in rows] for k in range(N.PRIOR)}
+    made = [[(a, b) for out in N._pairs(iter([pa.RecordBatch.from_pydict(t)]), (4, 5), 1, 10**6) for a, b in zip(*(c.to_pylist() for c in out.columns))] for t in (table, table | met)]
+    assert set(made[0]) == set(made[1]) and len(set(made[1])) == 30 * 29 / 2
+    assert len(made[0]) > 40 * len(set(made[0])) and len(made[1]) < 2 * len(set(made[1]))
+
+
+def test_parities_of_large_sets_tell_them_apart():
+    """Sets of thousands of shingles with nothing in common are told apart before their shingles are compared; near ones and their own copies are not."""
+    rng = np.random.default_rng(6)
+    one, two = (rng.integers(0, 2**63, 5000).astype(np.uint64) for _ in range(2))
+    short = one[:4090]
+    x, y = [one, one, one, short, one], [two, one, np.r_[one[:4800], two[:200]], one, two[:4050]]
+    sized = {k: pa.array([len(s) for s in v], pa.int32()) for k, v in (("na", x), ("nb", y))}
+    rows = pa.RecordBatch.from_pydict({"a": range(5), "b": range(5), **sized, "x": [N._parity(s) for s in x], "y": [N._parity(s) for s in y]})
+    (out,) = N._close(iter([rows]), (4, 5))
+    assert out.column("a").to_pylist() == [1, 2, 3]
