@@ -64,3 +64,19 @@ def test_state_is_rows_of_bounded_size(spark, tmp_path):
     assert [r.case_id for r in out.collect()] == [1]
     left = spark.read.format("statestore").option("path", str(tmp_path / "open/state")).option("stateVarName", "tiles").load()
     assert {r.case_id for r in left.selectExpr("key.case_id").collect()} == {2}
+
+
+def test_a_case_has_one_timer_and_chains_close_one_after_the_other(spark, tmp_path):
+    """A case of many open chains waits for the next one to close, and each closes in the batch in which the watermark has passed it."""
+    rows = [(1, DAY + dt.timedelta(days=2 * k), 0.0, 0.0) for k in range(20)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in/0"))
+    stream = lambda late: live.covered_cells(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in/*")), 200.0, 50.0, late=late)
+    out = live.drained(stream("15 days"), str(tmp_path), name="open")
+    closed = {r.chain_start for r in out.collect()}
+    assert closed == {r[1] for r in rows if r[1] + dt.timedelta(hours=12) <= rows[-1][1] - dt.timedelta(days=15)}
+    timers = spark.read.format("statestore").option("path", str(tmp_path / "open/state")).option("readRegisteredTimers", True).load()
+    assert timers.count() == 1
+    for k in range(1, 4):
+        spark.createDataFrame([(2, rows[-1][1] + dt.timedelta(days=5 * k), 0.0, 0.0)], SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+        out = live.drained(stream("15 days"), str(tmp_path), name="open")
+    assert {r.chain_start for r in out.where("case_id = 1").collect()} == {r[1] for r in rows[:-1]}
