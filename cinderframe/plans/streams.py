@@ -7,13 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..folders import shared_folder
+from ..folders import once, shared_folder
 from ..streaming import live
 from .fixtures import frame
 from .registry import query
 from .runs import STATE
 
 
+#: A batch of lines comes in a file for each so many lines of the log, and in 4 at least.
+LINES_OF_FILE = 2**20
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf}/events.parquet"
     # The pattern lets the stream read a table that is one file, too.
@@ -68,8 +72,8 @@ select s.case_id, status, case when status = 'done' then 12 else step end as ste
 """)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """By the last 60 lines of each case, which come in several batches."""
-    path, files = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}", 4
-    log = frame(spark, sf, "run_log").select("case_id", F.col("line_no").cast("long").alias("line_no"), "text")
+    path, log = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}", once(frame(spark, sf, "run_log").select("case_id", F.col("line_no").cast("long").alias("line_no"), "text"))
+    files = max(4, log.count() // LINES_OF_FILE)
     for k in range(3):  # files are read in the order in which they were written
         log.where((F.col("line_no") * 7 + F.col("case_id")) % 3 == k).repartition(files).write.mode("append").parquet(path)
     rows = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files).parquet(path)
