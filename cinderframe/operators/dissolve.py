@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..folders import once
 from ..functions.geometry import edges_of, near_points, segment_distance2, strictly_within, with_bounds
+from .small_unions import boundaries
 
 
 #: Up to so many edges of a key are paired without tiles, and up to a quarter as many polygons.
@@ -65,14 +66,39 @@ def _cuts(edges: DataFrame, key: str, digits: int) -> DataFrame:
     return touched.select(key, two).select(key, "k.part", "k.edge", F.explode("k.p").alias("p")).select(key, "part", "edge", "p.x", "p.y")
 
 
+def _few_simple(each: DataFrame, key: str, digits: int) -> DataFrame:
+    """union_boundary() of keys with a few polygons of one ring each: a task takes the polygons of many keys at once."""
+    corners = lambda k: F.get("rings", F.lit(0))[k].cast("array<double>")
+    rows = each.where(F.size(F.get("rings", F.lit(0))) >= 3).sortWithinPartitions(key, "part").select(key, corners("x").alias("xs"), corners("y").alias("ys"))
+    return rows.mapInArrow(boundaries(digits), f"{key} {each.schema[key].dataType.simpleString()}, x1 double, y1 double, x2 double, y2 double")
+
+
 def union_boundary(polygons: DataFrame, tile: float, key: str = "case_id", digits: int = 6) -> DataFrame:
     """(key, x1, y1, x2, y2): the boundary of the union of each key's polygons (rings), as edges with the inside on their left.
 
-    Edges are cut where they meet those of the key's other polygons, found on common tiles; a piece stays unless its middle lies within another polygon. Pieces that
+    Edges are cut where they meet those of the key's other polygons; a piece stays unless its middle lies within another polygon. Pieces that
     two polygons have in common stay once, or not at all if the polygons lie on either side of it. Cuts are rounded to `digits` decimals. Polygons
-    must not cross themselves; null ones, rings of fewer than three points and repeated ones add nothing. `tile` is the base of near_points().
+    must not cross themselves; null ones, rings of fewer than three points and repeated ones add nothing. Keys of FEW corners or less, in polygons of one ring with all places known,
+    are each one task's; the others' edges meet on common tiles, whose base in near_points() is `tile`.
     """
-    each = once(polygons.where("rings is not null").select(key, "rings").distinct().withColumn("part", F.xxhash64("rings")))
+    known = polygons.where(F.col("rings").isNotNull() & F.col(key).isNotNull())
+    each = once(known.select(key, "rings").repartition(key).distinct().withColumn("part", F.xxhash64("rings")))
+    ring = F.get("rings", F.lit(0))
+    # NaN is the largest value; array_contains() is null, not false, where a place is not known.
+    held = lambda v: ~F.array_contains(v, F.lit(1e12)) & (F.array_max(v) < 1e12) & (F.array_min(v) > -1e12)
+    simple = (F.size("rings") == 1) & held(ring.x.cast("array<double>")) & held(ring.y.cast("array<double>"))
+    corners = F.when(simple, F.size(ring)).otherwise(FEW + 1)
+    others = once(each.groupBy(key).agg(F.sum(corners).alias("corners")).where(f"corners > {FEW}").select(key))
+    if others.isEmpty():
+        return _few_simple(each, key, digits)
+    # No broadcast: all keys may be others.
+    few = _few_simple(each.join(others.hint("merge"), key, "left_anti").repartition(key), key, digits)
+    return few.unionByName(_on_tiles(each.join(others.hint("merge"), key, "left_semi"), tile, key, digits))
+
+
+def _on_tiles(each: DataFrame, tile: float, key: str, digits: int) -> DataFrame:
+    """union_boundary() of any keys; `each` polygon comes once, numbered by `part`."""
+    each = once(each)
     edges = each.select(key, "part", F.posexplode(_turned(F.col("rings"))).alias("edge", "e")).select(key, "part", "edge", *[F.round(f"e.{k}", digits).alias(k) for k in ("x1", "y1", "x2", "y2")])
     edges = edges.where("x1 != x2 or y1 != y2")
     ends = [edges.select(key, "part", "edge", F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2)]
